@@ -1 +1,451 @@
-"""Report jobs."""
+"""Report jobs over the driver tables.
+
+Bindings (see ``tables.py``): device = ``user_id``; configuration = 'view',
+error = 'error', start = 'signup', complete = 'purchase', other = 'click';
+details = ``props``; release ``k`` = the number in ``props`` (beta channel =
+tags 10-19, release line = k div 10); company of a device = customer
+``c_custkey = user_id``; company group = ``c_nationkey``; industry =
+``c_mktsegment`` (segment = 'BUILDING'); evaluation date 2024-01-31.
+
+Each job's oracle is built by a small SQL template where several jobs share a
+shape; the Spark side always goes through the library operators.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetlens.functions import columns as C
+from fleetlens.functions import timeutil as TU
+from fleetlens.operators import joins as J
+from fleetlens.operators.latest import latest_by
+from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
+from fleetlens.operators.rollup import pivot_metrics, splice_rollup
+from fleetlens.plans.dataflow import BETA_LIKE, stable_devices
+from fleetlens.plans.registry import query
+from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
+from fleetlens.sources import catalog as cat
+
+SS = SparkSession
+r6 = C.r
+D = dt.timedelta
+W3_START = AS_OF - D(days=3)   # fresh window of the rollup views
+W5_START = AS_OF - D(days=5)
+W7_START = AS_OF - D(days=7)
+
+
+def ev(spark: SS, d: str) -> DataFrame:
+    return tbl(spark, d, "events").withColumn("date", F.to_date("ts"))
+
+
+def q(d0: dt.date | None = None, d1: dt.date | None = None, extra: str = "") -> str:
+    """SQL event source with date bounds [d0, d1) and derived columns."""
+    conds = []
+    if d0:
+        conds.append(f"ts >= timestamp '{d0}'")
+    if d1:
+        conds.append(f"ts < timestamp '{d1}'")
+    if extra:
+        conds.append(extra)
+    where = (" where " + " and ".join(conds)) if conds else ""
+    return ("(select *, cast(ts as date) as date, cast(nullif(regexp_extract(props, '(\\d+)', 1), '') as integer) as k "
+            f"from events{where})")
+
+
+def k_col() -> Column:
+    return version_of()
+
+
+# =========================================================== widget / component reliability
+def widget_stats(e: DataFrame, start: dt.date, end: dt.date, failed: Column) -> DataFrame:
+    """R20/R21 core for one window: configured devices vs configured devices that failed."""
+    stable = stable_devices(e, start, end)
+    w = J.semi(cat.read_events(e, start, end).where(~F.col("user_id").isin(0)), stable, "user_id")
+    cfg = w.where(F.col("event_type") == "view")
+    bad = J.semi(w.where(failed), cfg.select("user_id", "date"), ["user_id", "date"])
+    both = cfg.select("user_id", "date", F.lit(True).alias("c"), F.lit(False).alias("f")) \
+        .unionByName(bad.select("user_id", "date", F.lit(False).alias("c"), F.lit(True).alias("f")))
+    out = distinct_counts(both, "date", "user_id", {"total_count": F.col("c"), "failed_count": F.col("f")})
+    return out.where(F.col("total_count") > 0)
+
+
+def widget_stats_sql(d0: dt.date, d1: dt.date, failed: str) -> str:
+    stable = (f"(select user_id from {q(d0, d1)} where props not like '{BETA_LIKE}' and event_type in ('signup','purchase') "
+              f"union select user_id from {q(d0, d1)} where props not like '{BETA_LIKE}' and event_type in ('view','click'))")
+    alld = f"(select * from {q(d0, d1)} where user_id not in (0) and user_id in {stable})"
+    return f"""(select a.date, a.total_count, coalesce(b.failed_count, 0) as failed_count from
+ (select date, count(distinct user_id) as total_count from {alld} where event_type = 'view' group by 1) a left join
+ (select date, count(distinct user_id) as failed_count from {alld} x where ({failed}) and exists
+   (select 1 from {alld} c where c.event_type = 'view' and c.user_id = x.user_id and c.date = x.date) group by 1) b
+ on a.date = b.date)"""
+
+
+def _spliced_widget(spark: SS, d: str, failed: Column) -> DataFrame:
+    e = ev(spark, d)
+    fresh = widget_stats(e, W3_START, YESTERDAY, failed)
+    hist = widget_stats(e, dt.date(2024, 1, 1), W3_START - D(days=1), failed)
+    return splice_rollup(fresh, hist, "date", W3_START)
+
+
+def _spliced_widget_sql(failed: str) -> str:
+    fresh = widget_stats_sql(W3_START, AS_OF, failed)
+    hist = widget_stats_sql(dt.date(2024, 1, 1), W3_START, failed)
+    return f"select * from {fresh} union all select * from {hist} where date < date '{W3_START}'"
+
+
+R20_FAIL_SQL = "event_type = 'error' and props not like '%\"k\": 4_}'"
+
+
+@query("R20_widget_stats_spliced", _spliced_widget_sql(R20_FAIL_SQL))
+def r20(spark: SS, d: str) -> DataFrame:
+    return _spliced_widget(spark, d, (F.col("event_type") == "error") & C.not_like("props", '%"k": 4_}'))
+
+
+R21_FAIL_SQL = "(event_type = 'error' and value > 50) or (event_type = 'click' and value < 5 and k >= 20)"
+
+
+@query("R21_widget_stats_multi_branch", _spliced_widget_sql(R21_FAIL_SQL))
+def r21(spark: SS, d: str) -> DataFrame:
+    c = F.col
+    branch_error = (c("event_type") == "error") & (c("value") > 50)
+    branch_player = (c("event_type") == "click") & (c("value") < 5) & (k_col() >= 20)
+    return _spliced_widget(spark, d, branch_error | branch_player)
+
+
+@query("R22_daily_reliability_with_usage", f"""
+with u as (select date, count(distinct user_id) as usageCount from {q()} group by 1),
+e as (select date, count(distinct user_id) as errorCount from {q()} where event_type = 'error' group by 1),
+s as (select date, count(distinct user_id) as componentUsageCount from {q()} where event_type = 'view' and value > 50 group by 1)
+select u.usageCount, coalesce(e.errorCount, 0) as errorCount,
+ round(1 - coalesce(e.errorCount, 0) / u.usageCount, 6) as Reliability, strftime(u.date, '%Y-%m-%d') as usage_date,
+ coalesce(s.componentUsageCount, 0) as componentUsageCount
+from u left join e on u.date = e.date left join s on u.date = s.date""")
+def r22(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d)
+    rel = distinct_counts(e, "date", "user_id", {
+        "usageCount": F.lit(True), "errorCount": F.col("event_type") == "error",
+        "componentUsageCount": (F.col("event_type") == "view") & (F.col("value") > 50)})
+    return rel.select("usageCount", "errorCount",
+                      r6(1 - C.safe_ratio("errorCount", "usageCount")).alias("Reliability"),
+                      F.date_format("date", "yyyy-MM-dd").alias("usage_date"), "componentUsageCount")
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("R23_widget_reliability_dashboard", f"""
+with x as (select e.date, c.c_mktsegment as fam, count(distinct e.user_id) as total,
+  count(distinct case when e.event_type = 'error' then e.user_id end) as failed
+ from {q(W7_START, AS_OF)} e join customer c on c.c_custkey = e.user_id group by 1, 2),
+r as (select date, fam, (total - failed) / total as rel from x where total > 1),
+spine as (select distinct date from r where fam = 'BUILDING')
+select s.date, {', '.join(f"max(case when r.fam = '{f}' then round(r.rel, 6) end) as {f.lower()}" for f in SEGMENTS)}
+from spine s left join r on r.date = s.date group by 1""")
+def r23(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY)
+    c = tbl(spark, d, "customer", "c_custkey", "c_mktsegment")
+    x = e.join(c, e.user_id == c.c_custkey).withColumn("fam", F.col("c_mktsegment"))
+    cnt = distinct_counts(x, ["date", "fam"], "user_id", {"total": F.lit(True), "failed": F.col("event_type") == "error"})
+    rel = cnt.where(F.col("total") > 1).withColumn("value", r6(C.safe_ratio(F.col("total") - F.col("failed"), "total")))
+    series = {f.lower(): rel.where(F.col("fam") == f) for f in SEGMENTS}
+    spine = rel.where(F.col("fam") == "BUILDING").select("date")
+    return pivot_metrics(series, spine=spine)
+
+
+@query("R24_top_errors_by_day", f"""
+select count(distinct x.user_id) as display_count, substr(x.props, 1, 200) as details, x.event_type as event
+from {q(YESTERDAY, AS_OF)} x where x.event_type in ('error', 'click') and x.value > 60 and exists
+ (select 1 from {q(YESTERDAY, AS_OF)} c where c.event_type = 'view' and c.user_id = x.user_id) group by 2, 3""")
+def r24(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY)
+    cfg = e.where(F.col("event_type") == "view").select("user_id", "date")
+    bad = J.semi(e.where(F.col("event_type").isin("error", "click") & (F.col("value") > 60)), cfg, ["user_id", "date"])
+    out = top_errors(bad, F.col("props"), "user_id", extra=["event_type"]).withColumnRenamed("event_type", "event")
+    return out.select("display_count", "details", "event").orderBy(F.col("display_count").desc(), "details", "event")
+
+
+@query("R25_affected_files", f"""
+select distinct x.props as file_url, x.user_id as display_id from {q(W3_START, AS_OF)} x
+where x.event_type = 'error' and x.value > 95 and exists
+ (select 1 from {q(W3_START, AS_OF)} c where c.event_type = 'view' and c.user_id = x.user_id and c.date = x.date)""")
+def r25(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W3_START, YESTERDAY)
+    cfg = e.where(F.col("event_type") == "view").select("user_id", "date")
+    bad = J.semi(e.where((F.col("event_type") == "error") & (F.col("value") > 95)), cfg, ["user_id", "date"])
+    return bad.select(F.col("props").alias("file_url"), F.col("user_id").alias("display_id")).distinct()
+
+
+@query("R26_started_never_finished", f"""
+with s as (select distinct user_id, date from {q()} where event_type = 'signup'),
+ok as (select distinct user_id, date from {q()} where event_type = 'purchase'),
+bad as (select * from s where not exists (select 1 from ok where ok.user_id = s.user_id and ok.date = s.date))
+select a.date, a.attempted, coalesce(b.never_finished, 0) as never_finished,
+ round((a.attempted - coalesce(b.never_finished, 0)) / a.attempted, 6) as reliability
+from (select date, count(distinct user_id) as attempted from s group by 1) a
+left join (select date, count(distinct user_id) as never_finished from bad group by 1) b on a.date = b.date""")
+def r26(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d)
+    starts = e.where(F.col("event_type") == "signup").select("user_id", "date")
+    done = e.where(F.col("event_type") == "purchase").select("user_id", "date")
+    never = J.anti(starts, done, ["user_id", "date"])
+    both = starts.withColumn("f", F.lit(False)).unionByName(never.withColumn("f", F.lit(True)))
+    rel = daily_reliability(both, "user_id", F.col("f"), total=~F.col("f"), scale=1.0,
+                            total_name="attempted", failed_name="never_finished", ratio_name="reliability")
+    return rel
+
+
+STAGE = "case when k < 50 then 'stable' else 'beta' end"
+LEVEL = "case when value > 90 then 'error' when value > 70 then 'warning' else 'info' end"
+
+
+def _stage_level(e: DataFrame) -> DataFrame:
+    k = k_col()
+    return e.withColumn("k", k).withColumn("rollout_stage", F.when(F.col("k") < 50, "stable").otherwise("beta")) \
+        .withColumn("level", F.when(F.col("value") > 90, "error").when(F.col("value") > 70, "warning").otherwise("info"))
+
+
+@query("R27_component_daily_stats", f"""
+with x as (select distinct date, {STAGE} as rollout_stage, event_type as component, user_id, {LEVEL} as level from {q()})
+select date, rollout_stage, component, count(*) as total_count, count(*) filter (where level <> 'info') as failed_count
+from x group by 1, 2, 3""")
+def r27(spark: SS, d: str) -> DataFrame:
+    x = _stage_level(ev(spark, d)).select("date", "rollout_stage", F.col("event_type").alias("component"),
+                                          "user_id", "level").distinct()
+    return x.groupBy("date", "rollout_stage", "component").agg(
+        F.count(F.lit(1)).alias("total_count"), F.count_if(F.col("level") != "info").alias("failed_count"))
+
+
+@query("R27b_component_errors_and_warnings", f"""
+select date, {STAGE} as rollout_stage, {LEVEL} as level, event_type as component, props as event, count(*) as n
+from {q()} where {LEVEL} <> 'info' group by all""")
+def r27b(spark: SS, d: str) -> DataFrame:
+    x = _stage_level(ev(spark, d)).where(F.col("level") != "info")
+    out = x.groupBy("date", "rollout_stage", "level", F.col("event_type").alias("component"),
+                    F.col("props").alias("event")).agg(F.count(F.lit(1)).alias("n"))
+    sev = F.when(F.col("level") == "error", 0).when(F.col("level") == "warning", 1).otherwise(2)
+    return out.orderBy(F.col("date").desc(), sev, F.col("n").desc())
+
+
+@query("R28_component_version_usage", f"""
+select {STAGE} as rollout_stage, event_type as component, k as version, count(distinct user_id) as displays
+from {q(W7_START, AS_OF)} group by 1, 2, 3""")
+def r28(spark: SS, d: str) -> DataFrame:
+    x = _stage_level(cat.read_events(ev(spark, d), W7_START, YESTERDAY))
+    return x.groupBy("rollout_stage", F.col("event_type").alias("component"), F.col("k").alias("version")) \
+        .agg(F.count_distinct("user_id").alias("displays"))
+
+
+def _component_reliability(spark: SS, d: str) -> DataFrame:
+    s = r27(spark, d)
+    return s.withColumn("Reliability", r6(C.safe_ratio(F.col("total_count") - F.col("failed_count"), "total_count")))
+
+
+COMP_REL_SQL = f"""(select *, round((total_count - failed_count) / total_count, 6) as Reliability from
+ (select date, rollout_stage, component, count(*) as total_count, count(*) filter (where level <> 'info') as failed_count
+  from (select distinct date, {STAGE} as rollout_stage, event_type as component, user_id, {LEVEL} as level from {q()})
+  group by 1, 2, 3))"""
+
+
+@query("R29_component_reliability_series", f"select * from {COMP_REL_SQL}")
+def r29(spark: SS, d: str) -> DataFrame:
+    return _component_reliability(spark, d)
+
+
+COMPONENTS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("R29b_component_reliability_stable_pivot", f"""
+with r as (select * from {COMP_REL_SQL} where rollout_stage = 'stable'),
+top as (select distinct date from r order by date desc limit 7)
+select t.date, {', '.join(f"max(case when r.component = '{c}' then r.Reliability end) as {c}" for c in COMPONENTS)}
+from top t left join r on r.date = t.date group by 1""")
+def r29b(spark: SS, d: str) -> DataFrame:
+    r = _component_reliability(spark, d).where(F.col("rollout_stage") == "stable")
+    spine = r.select("date").distinct().orderBy(F.col("date").desc()).limit(7)
+    return pivot_metrics({c: r.where(F.col("component") == c).select("date", F.col("Reliability").alias("value"))
+                          for c in COMPONENTS}, spine=spine)
+
+
+def _not_test(spark: SS, d: str, e: DataFrame) -> DataFrame:
+    """Drop devices of test companies (negative account balance)."""
+    test = tbl(spark, d, "customer", "c_custkey", "c_acctbal").where(F.col("c_acctbal") < 0) \
+        .select(F.col("c_custkey").alias("user_id"))
+    return J.anti(e, test, "user_id")
+
+
+NOT_TEST_SQL = "user_id not in (select c_custkey from customer where c_acctbal < 0)"
+
+
+@query("R30_social_reliability", f"""
+with t as (select date, count(distinct user_id) as displays from {q(extra=NOT_TEST_SQL)} group by 1),
+er as (select date, count(distinct user_id) as errors from (
+  select date, user_id from {q(extra=NOT_TEST_SQL)} where event_type = 'error'
+  union select date, user_id from {q(extra=NOT_TEST_SQL)} where event_type = 'click' and value > 97) group by 1)
+select t.date, t.displays, coalesce(er.errors, 0) as errors, round(1 - coalesce(er.errors, 0) / t.displays, 6) as reliability
+from t left join er on t.date = er.date""")
+def r30(spark: SS, d: str) -> DataFrame:
+    e = _not_test(spark, d, ev(spark, d))
+    failed = (F.col("event_type") == "error") | ((F.col("event_type") == "click") & (F.col("value") > 97))
+    return daily_reliability(e, "user_id", failed, scale=1.0, total_name="displays", failed_name="errors",
+                             ratio_name=None).withColumn("reliability", r6(1 - C.safe_ratio("errors", "displays")))
+
+
+@query("R30b_social_usage_by_month", f"""
+select strftime(date, '%Y-%m') as month, count(distinct user_id) as displays from {q(extra=NOT_TEST_SQL)} group by 1""")
+def r30b(spark: SS, d: str) -> DataFrame:
+    e = _not_test(spark, d, ev(spark, d))
+    return e.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count_distinct("user_id").alias("displays"))
+
+
+@query("R31_unlicensed_usage_asof", """
+with x as (select e.event_id, cast(e.ts as date) as date, e.user_id,
+  (select v.value > 50 from events v where v.user_id = e.user_id and v.event_type = 'view' and v.ts < e.ts
+   order by v.ts desc, v.event_id desc limit 1) as offline_subscription
+ from events e where e.event_type = 'error' and e.value > 75)
+select date, count(distinct user_id) as displays from x where offline_subscription = false group by 1""")
+def r31(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d)
+    unauth = e.where((F.col("event_type") == "error") & (F.col("value") > 75)).select("event_id", "user_id", "ts", "date")
+    cfg = e.where(F.col("event_type") == "view").select("user_id", "ts", F.col("event_id").alias("cid"),
+                                                       (F.col("value") > 50).alias("offline_subscription"))
+    j = J.asof_join(unauth, cfg, "user_id", right_cols=["offline_subscription"], tie="cid", prefix="cfg_")
+    return j.where(C.is_false("cfg_offline_subscription")).groupBy("date") \
+        .agg(F.count_distinct("user_id").alias("displays"))
+
+
+@query("R32_text_log_reliability", f"""
+with x as (select date, regexp_replace(props, '[^0-9]', '', 'g') as company_id, event_type from {q(W3_START, AS_OF)})
+select t.date, t.total_count, coalesce(f.failed_count, 0) as failed_count,
+ round((t.total_count - coalesce(f.failed_count, 0)) / t.total_count * 100, 6) as Reliability
+from (select date, count(distinct company_id) as total_count from x group by 1) t left join
+(select date, count(distinct company_id) as failed_count from x where event_type = 'error' group by 1) f on t.date = f.date""")
+def r32(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W3_START, YESTERDAY) \
+        .withColumn("company_id", F.regexp_replace("props", "[^0-9]", ""))
+    return daily_reliability(e, "company_id", F.col("event_type") == "error", total_name="total_count",
+                             failed_name="failed_count", ratio_name="Reliability")
+
+
+RESP = "case when event_type = 'click' then null else value > 10 end"
+
+
+def _uptime_samples(e: DataFrame) -> DataFrame:
+    resp = F.when(F.col("event_type") == "click", F.lit(None).cast("boolean")).otherwise(F.col("value") > 10)
+    return e.withColumn("responding", resp).withColumn("error", F.col("event_type") == "error")
+
+
+def _uptime_aggs() -> list[Column]:
+    n = F.count(F.lit(1))
+    ok = F.sum((C.is_true("responding") & C.is_not_true("error")).cast("int"))
+    return [r6(ok / n * 100).alias("uptime_pct"),
+            r6(F.sum(C.is_true("responding").cast("int")) / n * 100).alias("responding_pct"),
+            r6(F.sum(C.is_not_true("error").cast("int")) / n * 100).alias("error_free_pct")]
+
+
+UPTIME_SQL = f"""round(sum(case when ({RESP}) is true and (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as uptime_pct,
+ round(sum(case when ({RESP}) is true then 1 else 0 end) / count(*) * 100, 6) as responding_pct,
+ round(sum(case when (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as error_free_pct"""
+
+
+@query("R33_daily_uptime", f"select date, {UPTIME_SQL} from {q()} group by 1")
+def r33(spark: SS, d: str) -> DataFrame:
+    return _uptime_samples(ev(spark, d)).groupBy("date").agg(*_uptime_aggs())
+
+
+@query("R33b_daily_uptime_per_type", f"select date, {STAGE} as component_type, {UPTIME_SQL} from {q()} group by 1, 2")
+def r33b(spark: SS, d: str) -> DataFrame:
+    x = _stage_level(_uptime_samples(ev(spark, d))).withColumnRenamed("rollout_stage", "component_type")
+    return x.groupBy("date", "component_type").agg(*_uptime_aggs())
+
+
+@query("R34_shared_schedule_uptime_wide", f"""
+with x as (select * from {q(W7_START, AS_OF)})
+select count(distinct user_id) as active_schedules,
+ count(distinct case when event_type = 'error' then user_id end) as failing_schedules,
+ {', '.join(f"count(distinct case when event_type = '{t}' then user_id end) as {t}_usage, count(distinct case when event_type = '{t}' and value > 90 then user_id end) as {t}_errors, round(1 - count(distinct case when event_type = '{t}' and value > 90 then user_id end) / nullif(count(distinct case when event_type = '{t}' then user_id end), 0), 6) as {t}_uptime" for t in COMPONENTS)}
+from x""")
+def r34(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY).withColumn("all", F.lit(1))
+    t = F.col("event_type")
+    flags = {"active_schedules": F.lit(True), "failing_schedules": t == "error"}
+    for c in COMPONENTS:
+        flags[f"{c}_usage"] = t == c
+        flags[f"{c}_errors"] = (t == c) & (F.col("value") > 90)
+    wide = distinct_counts(e, "all", "user_id", flags)  # one scan, one row
+    out = [F.col("active_schedules"), F.col("failing_schedules")]
+    for c in COMPONENTS:
+        out += [F.col(f"{c}_usage"), F.col(f"{c}_errors"),
+                r6(1 - C.safe_ratio(f"{c}_errors", f"{c}_usage")).alias(f"{c}_uptime")]
+    return wide.select(*out)
+
+
+@query("R35_schedule_errors_with_company", f"""
+with x as (select e.date, e.user_id, e.event_type, c.c_nationkey as company_id
+ from {q(W5_START, AS_OF)} e left join customer c on c.c_custkey = e.user_id)
+select date, count(distinct user_id) as endpoints, count(distinct company_id) as companies,
+ count(distinct case when event_type = 'error' then user_id end) as endpoints_with_errors,
+ count(distinct case when event_type = 'error' then company_id end) as companies_with_errors from x group by 1""")
+def r35(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W5_START, YESTERDAY)
+    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
+    x = e.join(c, e.user_id == c.c_custkey, "left").withColumn("company_id", F.col("c_nationkey"))
+    err = F.col("event_type") == "error"
+    a = distinct_counts(x, "date", "user_id", {"endpoints": F.lit(True), "endpoints_with_errors": err})
+    b = distinct_counts(x, "date", "company_id", {"companies": F.lit(True), "companies_with_errors": err})
+    return a.join(b, "date", "left").select("date", "endpoints", F.coalesce("companies", F.lit(0)).alias("companies"),
+                                            "endpoints_with_errors",
+                                            F.coalesce("companies_with_errors", F.lit(0)).alias("companies_with_errors"))
+
+
+# Deprecated content items -> the event kind that reveals them.
+DEPRECATED = {"legacy_click": "click", "legacy_signup": "signup"}
+
+
+@query("R36_deprecated_content_matrix", f"""
+with x as (select e.user_id, c.c_nationkey, e.event_type from {q(W7_START, AS_OF)} e left join customer c on c.c_custkey = e.user_id)
+select user_id as display_id, min(c_nationkey) as company_id,
+ {', '.join(f"max(case when event_type = '{v}' then '{k}' end) as {k}" for k, v in DEPRECATED.items())}
+from x group by 1""")
+def r36(spark: SS, d: str) -> DataFrame:
+    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY)
+    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
+    g = e.join(c, e.user_id == c.c_custkey, "left").groupBy(F.col("user_id").alias("display_id")).agg(
+        F.min("c_nationkey").alias("company_id"), F.collect_set("event_type").alias("__seen"))  # <= 5 kinds
+    cols = [F.when(F.array_contains("__seen", v), F.lit(k)).alias(k) for k, v in DEPRECATED.items()]
+    n = sum(F.array_contains("__seen", v).cast("int") for v in DEPRECATED.values())
+    return g.select("display_id", "company_id", *cols, n.alias("__n")).orderBy(F.col("__n").desc()).drop("__n")
+
+
+PRICE_PER_100MB = 0.005   # fixed value: log storage price per 100 MB
+
+
+@query("R37_log_table_cost", f"""
+with kb as (select date, event_type as platform, sum(strlen(props) + strlen(event_type) + 16) / 1024 as kb from {q()} group by 1, 2),
+c as (select *, kb / 1024 / 100 * {PRICE_PER_100MB} as cost from kb)
+select date, platform, round(kb, 6) as kb, round(cost, 9) as cost, printf('%.10f', cost) as cost_text,
+ round(cost / sum(cost) over (partition by date), 6) as share from c""")
+def r37(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d)
+    size = F.octet_length("props") + F.octet_length("event_type") + 16   # ts + value: 8 bytes each
+    kb = e.groupBy("date", F.col("event_type").alias("platform")).agg((F.sum(size) / 1024).alias("kb"))
+    c = kb.withColumn("cost", F.col("kb") / 1024 / 100 * F.lit(PRICE_PER_100MB))
+    tot = c.groupBy("date").agg(F.sum("cost").alias("__t"))  # one row per day
+    return c.join(F.broadcast(tot), "date").select(
+        "date", "platform", r6("kb").alias("kb"), F.round("cost", 9).alias("cost"),
+        F.format_string("%.10f", "cost").alias("cost_text"), r6(F.col("cost") / F.col("__t")).alias("share"))
+
+
+# =========================================================== flagship: module content reliability
+@query("R71_content_reliability", f"""
+with x as (select * from {q(W5_START, AS_OF)})
+select t.date, round((t.total - coalesce(f.errors, 0)) / t.total * 100, 6) as pct from
+ (select date, count(distinct user_id) as total from x group by 1 having date <= date '{AS_OF}') t left join
+ (select date, count(distinct user_id) as errors from x where event_type = 'error' group by 1) f on t.date = f.date""")
+def r71(spark: SS, d: str) -> DataFrame:
+    """Content (white-screen) reliability over the last 5 days: the minimum slice."""
+    e = cat.read_partition_time(ev(spark, d), W5_START, AS_OF)
+    rel = daily_reliability(e, "user_id", F.col("event_type") == "error")
+    return rel.where(F.col("date") <= F.lit(AS_OF)).select("date", "pct").orderBy(F.col("date").desc())
