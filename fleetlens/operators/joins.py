@@ -82,8 +82,8 @@ def join_calendar(points: DataFrame, calendar: DataFrame, point_col: str, start_
     With ``grain`` ('week' = Monday weeks, 'month') the periods are the calendar's
     own truncation, so the theta join becomes an equi-join on the truncated key
     (hash join, no nested loop).  Otherwise the calendar is broadcast for a
-    range join after checking its row count; a larger calendar falls back to a
-    shuffled join on the period key of the points' own truncation.
+    range join after checking its row count; a calendar above the bound is
+    refused (pass ``grain`` so the join is an equi-join instead).
     """
     p = F.col(point_col)
     if grain is not None:
@@ -157,27 +157,23 @@ def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds:
 
     A left join on that condition produces ``max(matches, 1)`` rows per left
     row (the fan-out of Z15); ``matches > 0`` is the 0/1 flag of R12.  Computed
-    as a difference of running counts at the two window ends, never as pairs.
+    as ``C(ts) - C(ts - window)`` where ``C(t)`` is the running count of right
+    rows at ``t``: running counts are evaluated once per distinct probe point
+    (key, t) and joined back by value, so no pair and no row id is needed.
     """
-    lcols = left.columns
     win_us = window_seconds * 1_000_000
+    bsz = bucket_seconds * 1_000_000
     lt = epoch_micros(F.col(left_ts))
-    rid = F.monotonically_increasing_id()
-    Lp = left.withColumn("__lid", rid)
-    # probes: hi at ts (inclusive), lo at ts - window (inclusive -> subtract)
-    probes = Lp.select(F.col(key).alias("__k"), "__lid",
-                       F.explode(F.array(
-                           F.struct(lt.alias("__t"), F.lit(1).alias("__sign")),
-                           F.struct((lt - F.lit(win_us)).alias("__t"), F.lit(-1).alias("__sign")))).alias("__p"))
-    P = probes.select("__k", "__lid", F.col("__p.__t").alias("__t"), F.col("__p.__sign").alias("__sign"),
-                      F.lit(1).alias("__kind"), F.lit(0).alias("__w"))
+    Lx = left.withColumn("__hi", lt).withColumn("__lo", lt - F.lit(win_us))
+    pts = (Lx.select(F.col(key).alias("__k"), F.col("__hi").alias("__t"))
+             .union(Lx.select(F.col(key).alias("__k"), F.col("__lo").alias("__t")))
+             .where(F.col("__k").isNotNull() & F.col("__t").isNotNull()).distinct())
+    P = pts.select("__k", "__t", F.lit(1).alias("__kind"), F.lit(0).alias("__w"))
     R = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
-         .select(F.col(key).alias("__k"), F.lit(None).cast("long").alias("__lid"),
-                 epoch_micros(F.col(right_ts)).alias("__t"), F.lit(0).alias("__sign"),
+         .select(F.col(key).alias("__k"), epoch_micros(F.col(right_ts)).alias("__t"),
                  F.lit(0).alias("__kind"), F.lit(1).alias("__w")))
-    bsz = bucket_seconds * 1_000_000
     U = P.unionByName(R).withColumn("__b", F.floor(F.col("__t") / bsz).cast("long"))
-    # right rows at equal t sort first: "<=" is inclusive at both probe ends
+    # right rows at equal t sort first: the count at t is inclusive ("<=")
     w = (Window.partitionBy("__k", "__b").orderBy("__t", "__kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     scanned = U.withColumn("__in", F.sum("__w").over(w)).where(F.col("__kind") == 1)
@@ -190,10 +186,14 @@ def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds:
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     prefix = (pb.unionByName(summ).withColumn("__before", F.sum("__n").over(wc))
                 .where(F.col("__p") == -1).select("__k", "__b", "__before"))
-    counts = (scanned.join(prefix, ["__k", "__b"], "left")
-              .groupBy("__lid").agg(F.sum(F.col("__sign") * (F.col("__in") + F.col("__before"))).alias(name)))
-    return Lp.join(counts, "__lid", "left").select(
-        *lcols, F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name))
+    cum = (scanned.join(prefix, ["__k", "__b"], "left")
+           .select("__k", "__t", (F.col("__in") + F.coalesce(F.col("__before"), F.lit(0))).alias("__c")))
+    hi = cum.select(F.col("__k").alias("__kh"), F.col("__t").alias("__th"), F.col("__c").alias("__ch"))
+    lo = cum.select(F.col("__k").alias("__kl"), F.col("__t").alias("__tl"), F.col("__c").alias("__cl"))
+    j = (Lx.join(hi, (Lx[key] == hi["__kh"]) & (Lx["__hi"] == hi["__th"]), "left")
+           .join(lo, (Lx[key] == lo["__kl"]) & (Lx["__lo"] == lo["__tl"]), "left"))
+    n = F.coalesce(F.col("__ch"), F.lit(0)) - F.coalesce(F.col("__cl"), F.lit(0))
+    return j.select(*[Lx[c] for c in left.columns], n.cast("long").alias(name))
 
 
 def expand_matches(df: DataFrame, count_col: str) -> DataFrame:
