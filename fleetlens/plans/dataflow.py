@@ -282,3 +282,19 @@ select cur.user_id, cur.status, cur.amount from cur left join prev on cur.user_i
 where prev.user_id is null or cur.status is distinct from prev.status or cur.amount is distinct from prev.amount""")
 def r16(spark: SS, d: str) -> DataFrame:
     return snapshot_diff(_snapshots(ev(spark, d)), "collectionDate", ["user_id"], ["status", "amount"])
+
+
+@query("T06_late_data_reread", """
+with fresh as (select cast(ts as date) as date, count(distinct user_id) as users,
+  count(distinct case when event_type = 'error' then user_id end) as errors from events
+  where ts >= timestamp '2024-01-30' and ts < timestamp '2024-01-31' group by 1),
+hist as (select cast(ts as date) as date, count(distinct user_id) as users,
+  count(distinct case when event_type = 'error' then user_id end) as errors from events
+  where ts < timestamp '2024-01-30' group by 1)
+select * from fresh union all select * from hist where date < date '2024-01-30'""")
+def t06(spark: SS, d: str) -> DataFrame:
+    """Recompute the last N = 1 day (late events included) and splice it over the rollup."""
+    e = ev(spark, d)
+    fresh = _daily_error_users(cat.read_events(e, YESTERDAY, YESTERDAY))
+    history = _daily_error_users(e.where(F.col("ts") < cat.day_start(YESTERDAY)))
+    return splice_rollup(fresh, history, "date", YESTERDAY)
