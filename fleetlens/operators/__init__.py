@@ -7,4 +7,5 @@ from fleetlens.operators.nested import (allocate_cost, expand_hierarchy, license
                                         snapshot_diff, unnest)
 from fleetlens.operators.reliability import (daily_reliability, distinct_counts, first_event_dates,  # noqa: F401
                                              funnel, top_errors)
-from fleetlens.operators.rollup import latest_n_dates, pivot_metrics, splice_rollup, tag_union  # noqa: F401
+from fleetlens.operators.rollup import (latest_n_dates, one_scan_union, pivot_metrics, splice_rollup,  # noqa: F401
+                                        tag_union)

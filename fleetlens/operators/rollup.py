@@ -64,3 +64,17 @@ def tag_union(frames: Sequence[tuple[str, DataFrame]], tag: str = "source") -> D
     """N homogeneous sources stacked by name with a source tag."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
                   [df.withColumn(tag, F.lit(name)) for name, df in frames])
+
+
+def one_scan_union(df: DataFrame, sources: Mapping[str, "F.Column"], cols: Sequence[str | "F.Column"], *,
+                   distinct: bool = True) -> DataFrame:
+    """U01/U02 when the logical sources are slices of one physical table.
+
+    ``UNION [DISTINCT]`` of ``df.where(p_i).select(cols)`` for disjoint slices is
+    one scan filtered by ``p_1 OR ... OR p_n``: the table is read once instead of
+    once per branch.  (Overlapping slices under UNION ALL would need the tag
+    form of :func:`tag_union`.)
+    """
+    cond = reduce(lambda a, b: a | b, list(sources.values()))
+    out = df.where(cond).select(*cols)
+    return out.distinct() if distinct else out

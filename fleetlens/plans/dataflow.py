@@ -12,7 +12,7 @@ from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by, production
 from fleetlens.operators.nested import allocate_cost, expand_hierarchy, licensed_displays, snapshot_diff
 from fleetlens.operators.reliability import daily_reliability, funnel, top_errors
-from fleetlens.operators.rollup import pivot_metrics, splice_rollup
+from fleetlens.operators.rollup import one_scan_union, pivot_metrics, splice_rollup
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
 from fleetlens.sources import catalog as cat
@@ -186,9 +186,9 @@ BETA_LIKE = '%"k": 1_}'  # release tags 10-19 are the beta channel
 def stable_devices(e: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Non-beta devices seen by either player family in [start, end]."""
     w = cat.read_events(e, start, end).where(C.not_like("props", BETA_LIKE))
-    fam_a = w.where(F.col("event_type").isin("signup", "purchase")).select("user_id")
-    fam_b = w.where(F.col("event_type").isin("view", "click")).select("user_id")
-    return fam_a.union(fam_b).distinct()
+    families = {"installer": F.col("event_type").isin("signup", "purchase"),
+                "player": F.col("event_type").isin("view", "click")}
+    return one_scan_union(w, families, ["user_id"])
 
 
 STABLE_SQL = """(select user_id from events where ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31'

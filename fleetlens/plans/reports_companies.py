@@ -25,7 +25,7 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.nested import snapshot_diff
 from fleetlens.operators.reliability import distinct_counts, funnel
-from fleetlens.operators.rollup import splice_rollup
+from fleetlens.operators.rollup import one_scan_union, splice_rollup
 from fleetlens.plans.dataflow import r08
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports import W3_START, W7_START, ev, k_col, q
@@ -43,12 +43,10 @@ def activity(spark: SS, d: str) -> DataFrame:
     """Company activity from four sources (display contact, login, subscription, purchase)."""
     e = ev(spark, d)
     c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
-    srcs = [e.where(F.col("event_type") == "view"), e.where(F.col("event_type") == "signup"),
-            e.where(F.col("event_type") == "purchase"), e.where((F.col("event_type") == "click") & (F.col("value") > 50))]
-    u = None
-    for s in srcs:
-        s = s.select("user_id", "ts")
-        u = s if u is None else u.unionByName(s)
+    t = F.col("event_type")
+    srcs = {"display_contact": t == "view", "login": t == "signup", "subscription": t == "purchase",
+            "purchase": (t == "click") & (F.col("value") > 50)}
+    u = one_scan_union(e, srcs, ["user_id", "ts"], distinct=False)  # disjoint slices: UNION ALL
     return u.join(c, u.user_id == c.c_custkey).select(F.col("c_nationkey").alias("companyId"), "ts")
 
 
@@ -241,11 +239,14 @@ def r108(spark: SS, d: str) -> DataFrame:
     one (presentation, company) row standing for every display of the company
     (expanding it is a join with the display list; it is not materialised here)."""
     p = scheduled_presentations(spark, d)
-    explicit = p.where(~F.col("distributeToAll") & (F.size("distribution") > 0)) \
-        .select("presentationId", F.explode("distribution").alias("displayId"), F.lit(None).cast("long").alias("companyId"))
-    to_all = p.where(F.col("distributeToAll")).select("presentationId", F.lit(None).cast("long").alias("displayId"),
-                                                      "companyId")
-    return explicit.distinct().unionByName(to_all.distinct())
+    # one pass: explicit rows explode their distribution; company-wide rows explode
+    # a single NULL display (no second scan of the schedules for a union branch)
+    to_all = F.col("distributeToAll")
+    targets = F.when(to_all, F.array(F.lit(None).cast("long"))).otherwise(F.col("distribution"))
+    x = p.where(to_all | (F.size("distribution") > 0)).select(
+        "presentationId", F.explode(targets).alias("displayId"),
+        F.when(to_all, F.col("companyId")).alias("companyId"))
+    return x.distinct()
 
 
 @query("R108b_presentation_reach", f"""

@@ -16,7 +16,7 @@ from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by
 from fleetlens.operators.reliability import daily_reliability, distinct_counts
-from fleetlens.operators.rollup import splice_rollup
+from fleetlens.operators.rollup import one_scan_union, splice_rollup
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports import W3_START, W5_START, W7_START, ev, k_col, q
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
@@ -211,13 +211,10 @@ union select user_id, date from {q(W7_START, AS_OF)} where event_type in ('view'
 union select user_id, date from {q(W7_START, AS_OF)} where event_type = 'error' and value > 50""")
 def r50(spark: SS, d: str) -> DataFrame:
     e = cat.read_events(ev(spark, d), W7_START, YESTERDAY)
-    srcs = [e.where(F.col("event_type").isin("signup", "purchase")), e.where(F.col("event_type").isin("view", "click")),
-            e.where((F.col("event_type") == "error") & (F.col("value") > 50))]
-    out = None
-    for s in srcs:
-        s = s.select(F.col("user_id").alias("display_id"), "date")
-        out = s if out is None else out.union(s)
-    return out.distinct()
+    srcs = {"installer": F.col("event_type").isin("signup", "purchase"),
+            "player": F.col("event_type").isin("view", "click"),
+            "heartbeat": (F.col("event_type") == "error") & (F.col("value") > 50)}
+    return one_scan_union(e, srcs, [F.col("user_id").alias("display_id"), "date"])
 
 
 @query("R51_display_activation", f"""
