@@ -10,6 +10,7 @@ release line = k div 10.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,13 +191,14 @@ PLAYER_COUNTERS = {
 
 @query("R77_player_reliability_stats", f"""
 select date, {', '.join(f"count(distinct case when {c} then user_id end) as {n}" for n, c in PLAYER_COUNTERS.items())}
-from {q()} group by 1 having count(distinct case when event_type = 'signup' then user_id end) > 0""")
+from {q()} group by 1 having {' and '.join(f"count(distinct case when {c} then user_id end) > 0" for c in PLAYER_COUNTERS.values())}""")
 def r77(spark: SS, d: str) -> DataFrame:
-    """Nine counters in one scan and one two-level aggregation (the view joins nine
-    scans on date; its inner joins drop days without startups, re-imposed here)."""
+    """Nine counters in one scan and one two-level aggregation.  The view inner-joins
+    nine per-date scans, so a day missing from any branch (a zero counter) is
+    dropped; the filter re-imposes exactly that."""
     e = ev(spark, d).withColumn("k", k_col())
     out = distinct_counts(e, "date", "user_id", {n: F.expr(c) for n, c in PLAYER_COUNTERS.items()})
-    return out.where(F.col("startups") > 0)
+    return out.where(reduce(lambda a, b: a & b, [F.col(n) > 0 for n in PLAYER_COUNTERS]))
 
 
 UNGRACEFUL = "(event_type = 'signup' and value >= 30)"
