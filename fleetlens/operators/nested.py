@@ -59,8 +59,8 @@ def allocate_cost(units: DataFrame, unit_col: str, total_cost: DataFrame, cost_c
                   *, by: Sequence[str] = (), total_units_col: str | None = None, out: str = "cost") -> DataFrame:
     """``cost = units / total_units * total_cost``.
 
-    ``total_cost`` holds one row per ``by`` group (one row overall when ``by``
-    is empty: broadcast, its size is proven).  Total units are summed from
+    ``total_cost`` holds one row per ``by`` group; with no ``by`` it is one row
+    and broadcast (size proven), otherwise AQE chooses the join.  Total units are summed from
     ``units`` unless given on ``total_cost``.
     """
     by = list(by)
@@ -70,7 +70,8 @@ def allocate_cost(units: DataFrame, unit_col: str, total_cost: DataFrame, cost_c
         tot = tot.join(su, by, "inner") if by else tot.crossJoin(su)
         total_units_col = "__tu"
     share = F.try_divide(F.col(unit_col).cast("double"), F.col(total_units_col).cast("double")) * F.col(cost_col)
-    j = units.join(F.broadcast(tot), by, "left") if by else units.crossJoin(F.broadcast(tot))
+    # one row overall: broadcast (size proven); one row per group: let AQE choose
+    j = units.join(tot, by, "left") if by else units.crossJoin(F.broadcast(tot))
     return j.withColumn(out, share).drop("__tu")
 
 

@@ -726,9 +726,9 @@ with g as (select cast(ts as date) as date, event_type, sum(value) as v from eve
 select date, event_type, round(v / sum(v) over (partition by date), 6) as share from g""")
 def a20(spark: SS, d: str) -> DataFrame:
     g = ev(spark, d).groupBy(F.to_date("ts").alias("date"), "event_type").agg(F.sum("value").alias("v"))
-    # totals per date: one row per day, bounded by the date range -> broadcast
+    # totals per date: one row per day; AQE broadcasts it at run time when small
     tot = g.groupBy("date").agg(F.sum("v").alias("__t"))
-    return g.join(F.broadcast(tot), "date").select("date", "event_type", r6(F.col("v") / F.col("__t")).alias("share"))
+    return g.join(tot, "date").select("date", "event_type", r6(F.col("v") / F.col("__t")).alias("share"))
 
 
 @query("A21_bool_to_int_sum", """

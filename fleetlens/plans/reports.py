@@ -432,8 +432,8 @@ def r37(spark: SS, d: str) -> DataFrame:
     size = F.octet_length("props") + F.octet_length("event_type") + 16   # ts + value: 8 bytes each
     kb = e.groupBy("date", F.col("event_type").alias("platform")).agg((F.sum(size) / 1024).alias("kb"))
     c = kb.withColumn("cost", F.col("kb") / 1024 / 100 * F.lit(PRICE_PER_100MB))
-    tot = c.groupBy("date").agg(F.sum("cost").alias("__t"))  # one row per day
-    return c.join(F.broadcast(tot), "date").select(
+    tot = c.groupBy("date").agg(F.sum("cost").alias("__t"))  # one row per day; AQE picks the join
+    return c.join(tot, "date").select(
         "date", "platform", r6("kb").alias("kb"), F.round("cost", 9).alias("cost"),
         F.format_string("%.10f", "cost").alias("cost_text"), r6(F.col("cost") / F.col("__t")).alias("share"))
 
