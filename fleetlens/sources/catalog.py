@@ -103,11 +103,21 @@ def shard_paths(root: str, prefix: str, start: DateLike, end: DateLike) -> list[
 def read_shards(spark: SparkSession, root: str, prefix: str, start: DateLike, end: DateLike) -> DataFrame:
     """S01 over a physically sharded layout: one scan over the generated path list.
 
-    Missing days are skipped by Spark's ``ignoreMissingFiles``; each row gets its
-    shard date so downstream code can treat it like a partition column.
+    Days without a shard are skipped (one metadata call per day of the range on
+    the driver, no listing of the family); each row gets its shard date so
+    downstream code can treat it like a partition column.
     """
-    paths = shard_paths(root, prefix, start, end)
-    return (spark.read.option("ignoreMissingFiles", "true").parquet(*paths)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def exists(p: str) -> bool:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        return hp.getFileSystem(conf).exists(hp)
+
+    paths = [p for p in shard_paths(root, prefix, start, end) if exists(p)]
+    if not paths:
+        raise FileNotFoundError(f"no {prefix}YYYYMMDD shard under {root} between {start} and {end}")
+    return (spark.read.parquet(*paths)
             .withColumn("event_date", F.to_date(F.regexp_extract(F.input_file_name(), r"(\d{8})", 1), "yyyyMMdd")))
 
 
