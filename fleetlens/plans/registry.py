@@ -40,4 +40,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from fleetlens.plans import primitives, dataflow, reports, reports_devices, reports_uptime, reports_companies  # noqa: F401
+    from fleetlens.plans import primitives, dataflow, reports, reports_devices, reports_uptime, reports_companies, reports_shapes  # noqa: F401
