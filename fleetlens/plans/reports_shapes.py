@@ -99,3 +99,50 @@ def r112b(spark: SS, d: str) -> DataFrame:
     ref = F.when(F.col("value") > 50, "client").otherwise("direct")
     return e.groupBy("date", ref.alias("referer")).agg(F.sum(F.octet_length("props") * 100).cast("long").alias("bytes_sent"),
                                                        F.count(F.lit(1)).alias("requests"))
+
+
+def placeholder_items(spark: SS, d: str) -> DataFrame:
+    """Presentations (orders) -> placeholders (line items) -> widget items: two
+    items per placeholder, nested as array<struct<..., items array<struct>>>."""
+    li = tbl(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_shipdate")
+    day = F.to_date("l_shipdate")
+    items = F.array(
+        F.struct(F.concat(F.lit("d"), F.col("l_partkey").cast("string")).alias("name"),
+                 (F.col("l_discount") > 0.05).alias("timeDefined"), F.date_sub(day, 30).alias("startDate"),
+                 day.alias("endDate")),
+        F.struct(F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("name"),
+                 (F.col("l_tax") > 0.04).alias("timeDefined"), day.alias("startDate"),
+                 F.date_add(day, 30).alias("endDate")))
+    pres = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("id"), items.alias("items"))).alias("placeholders"))  # <= 7 per order
+    x = pres.select(F.col("l_orderkey").alias("presentationId"), F.explode("placeholders").alias("pl"))
+    return x.select("presentationId", F.explode("pl.items").alias("it")).select("presentationId", "it.*")
+
+
+ITEMS_SQL = """(select l_orderkey as presentationId, 'd' || cast(l_partkey as varchar) as name, l_discount > 0.05 as timeDefined,
+ cast(l_shipdate as date) - 30 as startDate, cast(l_shipdate as date) as endDate from lineitem
+ union all select l_orderkey, 't' || cast(l_partkey as varchar), l_tax > 0.04, cast(l_shipdate as date), cast(l_shipdate as date) + 30 from lineitem)"""
+ITEMS_AS_OF = dt.date(1998, 6, 1)
+
+
+@query("R109c_no_content_due_to_widget_schedule", f"""
+select P.presentationId from {ITEMS_SQL} P where not exists (select 1 from {ITEMS_SQL} P1 where P1.presentationId = P.presentationId
+ and (P1.timeDefined = false or P1.timeDefined is null or (P1.timeDefined = true and (P1.startDate is null or date '{ITEMS_AS_OF}' >= P1.startDate)
+ and (P1.endDate is null or date '{ITEMS_AS_OF}' <= P1.endDate)))) group by 1""")
+def r109c(spark: SS, d: str) -> DataFrame:
+    """Presentations none of whose widget items plays on the evaluation date (nested explode + NOT EXISTS)."""
+    it = placeholder_items(spark, d)
+    t = F.lit(ITEMS_AS_OF)
+    plays = ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()  # noqa: E712
+             | ((F.col("timeDefined") == True) & (F.col("startDate").isNull() | (t >= F.col("startDate")))  # noqa: E712
+                & (F.col("endDate").isNull() | (t <= F.col("endDate")))))
+    return J.anti(it.select("presentationId"), it.where(plays).select("presentationId"), "presentationId").distinct()
+
+
+@query("R124d_api_call_counts_last_hour", f"""
+select user_id, count(*) as calls, sum(k) as cycles, count(*) filter (where value > 90) as loading_requests
+from {q(extra=f"ts > timestamp '{dt.datetime(2024, 1, 31) - D(hours=1)}'")} group by 1""")
+def r124d(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d).where(F.col("ts") > TU.as_of_ts(dt.datetime(2024, 1, 31) - D(hours=1))).withColumn("k", k_col())
+    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("calls"), F.sum("k").cast("long").alias("cycles"),
+                                    F.count_if(F.col("value") > 90).alias("loading_requests"))

@@ -242,3 +242,20 @@ def test_no_python_udfs_in_registered_jobs(spark, sf_dir):
     for name, job in QUERIES.items():
         plan = job(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan, name
+
+
+@pytest.mark.parametrize("name", ["R53_installer_type_counts", "R77_player_reliability_stats",
+                                  "R34_shared_schedule_uptime_wide", "R50_active_displays"])
+def test_one_pass_rewrites_scan_events_once(spark, sf_dir, name):
+    from fleetlens.plans.registry import QUERIES, load_all
+    load_all()
+    df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") == 1, plan
+
+
+def test_latest_by_has_no_window(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    for ties in ("keep", "one"):
+        plan = latest_by(o, "o_custkey", "o_orderkey", ties=ties)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan
