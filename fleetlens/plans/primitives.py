@@ -624,7 +624,7 @@ def a07(spark: SS, d: str) -> DataFrame:
 
 
 @query("A08_conditional_sum", """
-select cast(ts as date) as date, sum(case when event_type = 'signup' then 1 else 0 end) as signups,
+select cast(ts as date) as date, cast(sum(case when event_type = 'signup' then 1 else 0 end) as bigint) as signups,
 round(sum(case when value is null then 0 else value end), 6) as total from events group by 1""")
 def a08(spark: SS, d: str) -> DataFrame:
     return ev(spark, d).groupBy(F.to_date("ts").alias("date")).agg(
@@ -732,7 +732,7 @@ def a20(spark: SS, d: str) -> DataFrame:
 
 
 @query("A21_bool_to_int_sum", """
-select cast(ts as date) as date, sum(cast(value > 50 as integer)) as high from events group by 1""")
+select cast(ts as date) as date, cast(sum(cast(value > 50 as integer)) as bigint) as high from events group by 1""")
 def a21(spark: SS, d: str) -> DataFrame:
     return ev(spark, d).groupBy(F.to_date("ts").alias("date")).agg(
         F.sum((F.col("value") > 50).cast("int")).cast("long").alias("high"))

@@ -245,7 +245,7 @@ def r108(spark: SS, d: str) -> DataFrame:
     targets = F.when(to_all, F.array(F.lit(None).cast("long"))).otherwise(F.col("distribution"))
     x = p.where(to_all | (F.size("distribution") > 0)).select(
         "presentationId", F.explode(targets).alias("displayId"),
-        F.when(to_all, F.col("companyId")).alias("companyId"))
+        F.when(to_all, F.col("companyId")).cast("long").alias("companyId"))
     return x.distinct()
 
 
@@ -366,7 +366,7 @@ def r111b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R112_storage_bandwidth", f"""
-select cast(make_timestamp(epoch_us(ts)) as date) as date, event_type as bucket, sum(strlen(props) * 100) as bytes_sent, count(*) as requests
+select cast(make_timestamp(epoch_us(ts)) as date) as date, event_type as bucket, cast(sum(strlen(props) * 100) as bigint) as bytes_sent, count(*) as requests
 from {q(W7_START, AS_OF)} group by 1, 2""")
 def r112(spark: SS, d: str) -> DataFrame:
     e = cat.read_events(tbl(spark, d, "events"), W7_START, YESTERDAY).withColumn("time_micros", TU.epoch_micros("ts"))
@@ -385,7 +385,7 @@ REQ_SQL = lambda h: f"(select *, cast(nullif(regexp_extract(props, '(\\d+)', 1),
 
 @query("R120_load_one_minute_with_top_version", f"""
 with r as (select *, floor((epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 60000000)::bigint as idx from {REQ_SQL(10)}),
-agg as (select idx, round(sum(value), 6) as pending, sum(k) as megacycles, round(avg(value), 6) as latency, count(distinct k) as instances,
+agg as (select idx, round(sum(value), 6) as pending, cast(sum(k) as bigint) as megacycles, round(avg(value), 6) as latency, count(distinct k) as instances,
  count(distinct user_id) as displays, count(*) as requests, max(ts) as latest from r group by 1),
 v as (select idx, event_type as viewer_version, count(*) as n from r group by 1, 2),
 top as (select idx, viewer_version from (select *, rank() over (partition by idx order by n desc) as rk from v) where rk = 1)
@@ -449,7 +449,7 @@ COST_SQL = lambda d0, d1: f"""(select date, round(channel_updates * {RATES['gets
  round((channel_updates * {RATES['gets']} / 1000 + instance_hours * {RATES['instance_hour']} + reindex * {RATES['reindex']}) / displays, 6) as cost_per_display,
  reindex, display_requests, channel_updates, round(instance_hours, 6) as instance_hours from
  (select date, count(*) filter (where event_type = 'click' and value > 90) as reindex, count(*) filter (where event_type = 'view') as display_requests,
-  count(*) filter (where event_type = 'signup') as channel_updates, count(distinct (floor(epoch(ts))::bigint // 900)) * 0.25 as instance_hours,
+  count(*) filter (where event_type = 'signup') as channel_updates, count(distinct (floor(epoch(ts))::bigint // 900)) * 0.25::double as instance_hours,
   count(distinct user_id) as displays from {q(d0, d1)} group by 1))"""
 
 

@@ -92,7 +92,7 @@ def r102c(spark: SS, d: str) -> DataFrame:
 
 
 @query("R112b_installer_storage_by_referer", f"""
-select date, case when value > 50 then 'client' else 'direct' end as referer, sum(strlen(props) * 100) as bytes_sent, count(*) as requests
+select date, case when value > 50 then 'client' else 'direct' end as referer, cast(sum(strlen(props) * 100) as bigint) as bytes_sent, count(*) as requests
 from {q(AS_OF - D(days=90), AS_OF)} where event_type in ('signup', 'purchase') group by 1, 2""")
 def r112b(spark: SS, d: str) -> DataFrame:
     e = cat.read_events(ev(spark, d), AS_OF - D(days=90), YESTERDAY).where(F.col("event_type").isin("signup", "purchase"))
@@ -140,7 +140,7 @@ def r109c(spark: SS, d: str) -> DataFrame:
 
 
 @query("R124d_api_call_counts_last_hour", f"""
-select user_id, count(*) as calls, sum(k) as cycles, count(*) filter (where value > 90) as loading_requests
+select user_id, count(*) as calls, cast(sum(k) as bigint) as cycles, count(*) filter (where value > 90) as loading_requests
 from {q(extra=f"ts > timestamp '{dt.datetime(2024, 1, 31) - D(hours=1)}'")} group by 1""")
 def r124d(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d).where(F.col("ts") > TU.as_of_ts(dt.datetime(2024, 1, 31) - D(hours=1))).withColumn("k", k_col())

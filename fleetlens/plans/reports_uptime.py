@@ -408,7 +408,7 @@ def r85(spark: SS, d: str) -> DataFrame:
 
 
 @query("R85b_endpoint_app_uptime", f"""
-with i as (select user_id, event_type as app, k // 10 as app_version, to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval,
+with i as (select user_id, event_type as app, cast(k // 10 as bigint) as app_version, to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval,
  max(case when value > 90 then 1 else 0 end) as down from {q(YESTERDAY, AS_OF)} group by 1, 2, 3, 4)
 select user_id, app, app_version, count(*) as intervals, count(*) filter (where down = 0) as up_intervals,
  round(count(*) filter (where down = 0) / count(*), 6) as uptime from i group by 1, 2, 3""")
