@@ -19,9 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
-from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
-from fleetlens.operators.latest import latest_by
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
 from fleetlens.operators.rollup import pivot_metrics, splice_rollup
 from fleetlens.plans.dataflow import BETA_LIKE, stable_devices
