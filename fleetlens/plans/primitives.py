@@ -565,12 +565,12 @@ def j23(spark: SS, d: str) -> DataFrame:
 # =============================================================== 2.4 aggregations
 @query("A01_group_by_keys", """
 select l_returnflag, l_linestatus, round(sum(l_quantity), 6) as sum_qty,
-round(sum(l_extendedprice * (1 - l_discount)), 6) as revenue, count(*) as n from lineitem group by 1, 2""")
+round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue, count(*) as n from lineitem group by 1, 2""")
 def a01(spark: SS, d: str) -> DataFrame:
     li = tbl(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_discount")
     return li.groupBy("l_returnflag", "l_linestatus").agg(
         r6(F.sum("l_quantity")).alias("sum_qty"),
-        r6(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("revenue"),
+        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),  # money: cents
         F.count(F.lit(1)).alias("n"))
 
 
@@ -834,12 +834,12 @@ with u as (select 'orders' as source, o_totalprice as amount from orders
  union all select 'customer', c_acctbal from customer
  union all select 'supplier', s_acctbal from supplier
  union all select 'events', value from events)
-select source, count(*) as n, round(sum(amount), 6) as amount from u group by 1""")
+select source, count(*) as n, round(sum(amount), 2) as amount from u group by 1""")
 def u04(spark: SS, d: str) -> DataFrame:
     srcs = [("orders", "o_totalprice"), ("lineitem", "l_extendedprice"), ("customer", "c_acctbal"),
             ("supplier", "s_acctbal"), ("events", "value")]
     u = tag_union([(t, tbl(spark, d, t, F.col(c).alias("amount"))) for t, c in srcs])
-    return u.groupBy("source").agg(F.count(F.lit(1)).alias("n"), r6(F.sum("amount")).alias("amount"))
+    return u.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("amount"))
 
 
 # =============================================================== 2.8 date / time
