@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,3 +65,25 @@ def production(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[s
     src = df.where(pre) if pre is not None else df
     cur = latest_by(src, keys, order, ties=ties)
     return cur.where(post) if post is not None else cur
+
+
+def first_n_per_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], n: Column | int, *,
+                    pos_col: str = "pos", salts: int = 256) -> DataFrame:
+    """Rows among the first ``n`` of their key by ``order`` (``n`` may differ per
+    row's key), with their 0-based position -- exact, and without one task per key.
+
+    Phase 1 ranks inside (key, salt) groups, salt = hash(order) mod ``salts``, so a
+    key holding a third of all rows is sorted by ``salts`` tasks; only each
+    group's first ``n`` survive.  The global first ``n`` of a key are among those
+    candidates (at most ``n * salts`` per key), which phase 2 ranks per key.
+    Ties in ``order`` are broken by the remaining columns' hash order only
+    through the salt, so give a unique ``order`` for a deterministic result.
+    """
+    keys, order = _names(keys), _names(order)
+    nn = F.lit(n) if isinstance(n, int) else n
+    salted = df.withColumn("__n", nn).withColumn("__s", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    w1 = Window.partitionBy(*keys, "__s").orderBy(*order)
+    cand = salted.withColumn("__r", F.row_number().over(w1)).where(F.col("__r") <= F.col("__n"))
+    w2 = Window.partitionBy(*keys).orderBy(*order)
+    ranked = cand.withColumn(pos_col, F.row_number().over(w2) - 1).where(F.col(pos_col) < F.col("__n"))
+    return ranked.drop("__n", "__s", "__r")

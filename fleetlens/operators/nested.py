@@ -96,3 +96,22 @@ def snapshot_diff(snapshots: DataFrame, date_col: str, keys: Sequence[str], cols
     for c in cols:
         changed = changed | ~F.col(c).eqNullSafe(F.col(f"__p_{c}"))
     return j.where(changed).select(*keys, *cols)
+
+
+def licensed_assignments(assignments: DataFrame, subs: DataFrame, *, company_col: str, display_col: str,
+                         order: Sequence[str], plan_company_col: str, status_col: str, license_args: Sequence[str],
+                         license_count: Callable[..., Column] = total_licenses, salts: int = 256) -> DataFrame:
+    """R08 when assignments are rows (company, display, assignment order) rather
+    than an array column: the first ``n`` assignments of each company, ``n`` its
+    licence count, picked by the salted two-phase top-n (no array per company,
+    no one task per company).  Same output as :func:`licensed_displays`."""
+    from fleetlens.operators.latest import first_n_per_key
+    s = subs.select(F.col(company_col).alias("companyId"), F.col(plan_company_col).alias("planCompanyId"),
+                    F.col(status_col).alias("planSubscriptionStatus"),
+                    license_count(*[F.col(c) for c in license_args]).alias("__n"))
+    a = assignments.select(F.col(company_col).alias("companyId"), F.col(display_col).alias("displayId"), *order)
+    j = a.join(s, "companyId")  # one subscription row per company
+    lic = first_n_per_key(j, "companyId", list(order), F.col("__n"), salts=salts)
+    by = F.when(F.col("planCompanyId").isNull() | (F.col("planCompanyId") == F.col("companyId")),
+                F.col("companyId")).otherwise(F.col("planCompanyId"))
+    return lic.select("companyId", "displayId", by.alias("licensedBy"), "planSubscriptionStatus").distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by, production
-from fleetlens.operators.nested import allocate_cost, expand_hierarchy, licensed_displays, snapshot_diff
+from fleetlens.operators.nested import allocate_cost, expand_hierarchy, licensed_assignments, snapshot_diff
 from fleetlens.operators.reliability import daily_reliability, funnel, top_errors
 from fleetlens.operators.rollup import one_scan_union, pivot_metrics, splice_rollup
 from fleetlens.plans.registry import query
@@ -137,18 +137,19 @@ ord as (select o_custkey, o_orderkey, row_number() over (partition by o_custkey
 select distinct s.companyId, o.o_orderkey as displayId, s.planCompanyId as licensedBy, s.planSubscriptionStatus
 from subs s join ord o on o.o_custkey = s.companyId where o.pos < coalesce(s.planProCount, 0)""")
 def r08(spark: SS, d: str) -> DataFrame:
+    """Assignments are order rows per customer (by order date, then key): the salted
+    top-n keeps a customer with a third of all orders from landing in one task."""
     o = tbl(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderdate")
-    assigned = o.groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey"))),
-                                                      lambda s: s["o_orderkey"]).alias("assigned"))
     c = tbl(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    subs = c.join(assigned, c.c_custkey == assigned.o_custkey).select(
+    subs = c.select(
         "c_custkey", F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.col("c_nationkey").cast("long"))
         .otherwise(F.col("c_custkey")).alias("plan_company"), F.col("c_mktsegment").alias("status"),
         F.when(F.col("c_acctbal") > 0, F.floor(F.col("c_acctbal") / 2000)).alias("plan_pro_count"),
-        F.lit(None).cast("long").alias("pro_count"), F.lit(None).cast("string").alias("na"), "assigned")
-    return licensed_displays(subs, company_col="c_custkey", plan_company_col="plan_company", status_col="status",
-                             assigned_col="assigned",
-                             license_args=["na", "na", "na", "na", "na", "plan_pro_count", "pro_count"])
+        F.lit(None).cast("long").alias("pro_count"), F.lit(None).cast("string").alias("na"))
+    return licensed_assignments(o.withColumnRenamed("o_custkey", "c_custkey"), subs, company_col="c_custkey",
+                                display_col="o_orderkey", order=["o_orderdate", "o_orderkey"],
+                                plan_company_col="plan_company", status_col="status",
+                                license_args=["na", "na", "na", "na", "na", "plan_pro_count", "pro_count"])
 
 
 def _enriched(spark: SS, d: str) -> DataFrame:

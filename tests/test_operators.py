@@ -259,3 +259,17 @@ def test_latest_by_has_no_window(spark, sf_dir):
     for ties in ("keep", "one"):
         plan = latest_by(o, "o_custkey", "o_orderkey", ties=ties)._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan
+
+
+def test_first_n_per_key_hot_key_matches_brute_force(spark):
+    from fleetlens.operators.latest import first_n_per_key
+    rnd = random.Random(3)
+    data = [(0 if rnd.random() < 1 / 3 else rnd.randrange(1, 20), i, rnd.randrange(10_000)) for i in range(3000)]
+    nmap = {k: (k % 4) * 3 for k in range(20)}  # per-key n, 0 included
+    df = spark.createDataFrame([(k, i, o, nmap[k]) for k, i, o in data], "k long, id long, o long, n long")
+    got = rows(first_n_per_key(df, "k", ["o", "id"], F.col("n"), salts=8), "k", "id", "pos")
+    exp = []
+    for k in range(20):
+        mine = sorted((o, i) for kk, i, o in data if kk == k)[:nmap[k]]
+        exp += [(k, i, p) for p, (o, i) in enumerate(mine)]
+    assert got == sorted(exp)
