@@ -69,12 +69,10 @@ def _naive_forms(spark, d):
 
     def r122():
         parts = [e().where(F.expr(c)).groupBy("date").agg(F.count(F.lit(1)).alias(n)) for n, c in
-                 [("reindex", "event_type = 'click' and value > 90"), ("display_requests", "event_type = 'view'"),
+                 [("cache_miss", "event_type = 'click' and value > 90"), ("display_requests", "event_type = 'view'"),
                   ("channel_updates", "event_type = 'signup'")]]
+        parts.append(e().groupBy("date").agg((F.sum("value") / 3600).alias("instance_hours")))
         parts.append(e().groupBy("date").agg(F.count_distinct("user_id").alias("displays")))
-        parts.append(e().groupBy("date").agg(
-            (F.count_distinct(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900)) * 0.25)
-            .alias("instance_hours")))
         return reduce(lambda a, b: a.join(b, "date"), parts)
 
     from fleetlens.plans.registry import QUERIES

@@ -20,6 +20,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens import constants as K
 from fleetlens.functions.columns import pct_ok
 
 
@@ -74,7 +75,7 @@ def funnel(entities: DataFrame, events: DataFrame, *, entity: str, cohort_col: s
         *[F.count_distinct(F.when(F.col(f"has_{s}") == 1, F.col(entity))).alias(f"reached_{s}") for s in steps])
 
 
-def top_errors(df: DataFrame, detail: Column, id_col: str, *, detail_len: int = 200,
+def top_errors(df: DataFrame, detail: Column, id_col: str, *, detail_len: int = K.TOP_ERROR_DETAIL_LENGTH,
                extra: Sequence[str] = ()) -> DataFrame:
     """Distinct devices per truncated error detail (``SUBSTR(d, 1, n)``), most first.
 

@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
@@ -398,7 +399,7 @@ def r35(spark: SS, d: str) -> DataFrame:
                                             F.coalesce("companies_with_errors", F.lit(0)).alias("companies_with_errors"))
 
 
-# Deprecated content items -> the event kind that reveals them.
+# Binding: deprecated content items -> the event kind that reveals them.
 DEPRECATED = {"legacy_click": "click", "legacy_signup": "signup"}
 
 
@@ -417,7 +418,7 @@ def r36(spark: SS, d: str) -> DataFrame:
     return g.select("display_id", "company_id", *cols, n.alias("__n")).orderBy(F.col("__n").desc()).drop("__n")
 
 
-PRICE_PER_100MB = 0.005   # fixed value: log storage price per 100 MB
+PRICE_PER_100MB = K.LOG_STORAGE_PRICE_PER_100MB
 
 
 @query("R37_log_table_cost", f"""

@@ -20,6 +20,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
@@ -426,31 +427,43 @@ def r121(spark: SS, d: str) -> DataFrame:
     return per.join(inst, "date")
 
 
-# Cost model rates (per call / per hour), as parameters of the job.
-RATES = {"gets": 0.6, "instance_hour": 0.05, "reindex": 0.0001}
-
-
 def _display_costs(e: DataFrame) -> DataFrame:
-    """R122: one pass of conditional counts per day, then the cost arithmetic."""
-    e = e.withColumn("q15", TU.epoch_bucket("ts", 900))
+    """R122 cost model of the request log, one pass of conditional counts per day.
+
+    Bindings: cache miss = 'click' with value > 90, display request = 'view',
+    channel update = 'signup', request latency = value (seconds).  The formula
+    is the view's, including its quirk (Z20): the gets cost tests the cache-miss
+    count but prices channel updates.  The view inner-joins the four per-day
+    counts, so a day missing any of them is dropped (re-imposed by the filter).
+    """
     g = e.groupBy("date").agg(
-        F.count_if((F.col("event_type") == "click") & (F.col("value") > 90)).alias("reindex"),
+        F.count_if((F.col("event_type") == "click") & (F.col("value") > 90)).alias("cache_miss"),
         F.count_if(F.col("event_type") == "view").alias("display_requests"),
         F.count_if(F.col("event_type") == "signup").alias("channel_updates"),
-        (F.count_distinct("q15") * 0.25).alias("instance_hours"),
+        (F.sum("value") / 60 / 60).alias("instance_hours"),
         F.count_distinct("user_id").alias("displays"))
-    total = (F.col("channel_updates") * RATES["gets"] / 1000 + F.col("instance_hours") * RATES["instance_hour"]
-             + F.col("reindex") * RATES["reindex"])
+    g = g.where((F.col("cache_miss") > 0) & (F.col("display_requests") > 0) & (F.col("channel_updates") > 0))
+    rate = K.DATASTORE_PRICE_PER_100K / 100000
+    puts = F.col("display_requests") * K.PUTS_PER_DISPLAY_REQUEST + F.col("channel_updates")
+    gets_cost = F.when(F.col("cache_miss") < K.DATASTORE_FREE_TIER, F.lit(0.0)) \
+        .otherwise((F.col("channel_updates") - K.DATASTORE_FREE_TIER) * rate)
+    puts_cost = F.when(puts < K.DATASTORE_FREE_TIER, F.lit(0.0)).otherwise((puts - K.DATASTORE_FREE_TIER) * rate)
+    total = gets_cost + puts_cost + F.col("instance_hours") * K.INSTANCE_HOUR_PRICE
+    reindex = (F.col("display_requests") * K.REINDEX_PER_DISPLAY_REQUEST
+               + F.col("channel_updates") * K.REINDEX_PER_CHANNEL_UPDATE)
     return g.select("date", r6(total).alias("total_cost"), r6(total / F.col("displays")).alias("cost_per_display"),
-                    "reindex", "display_requests", "channel_updates", r6("instance_hours").alias("instance_hours"))
+                    reindex.cast("long").alias("reindex_count"))
 
 
-COST_SQL = lambda d0, d1: f"""(select date, round(channel_updates * {RATES['gets']} / 1000 + instance_hours * {RATES['instance_hour']} + reindex * {RATES['reindex']}, 6) as total_cost,
- round((channel_updates * {RATES['gets']} / 1000 + instance_hours * {RATES['instance_hour']} + reindex * {RATES['reindex']}) / displays, 6) as cost_per_display,
- reindex, display_requests, channel_updates, round(instance_hours, 6) as instance_hours from
- (select date, count(*) filter (where event_type = 'click' and value > 90) as reindex, count(*) filter (where event_type = 'view') as display_requests,
-  count(*) filter (where event_type = 'signup') as channel_updates, count(distinct (floor(epoch(ts))::bigint // 900)) * 0.25::double as instance_hours,
-  count(distinct user_id) as displays from {q(d0, d1)} group by 1))"""
+COST_SQL = lambda d0, d1: f"""(select date, round(gets + puts + ih * {K.INSTANCE_HOUR_PRICE}, 6) as total_cost,
+ round((gets + puts + ih * {K.INSTANCE_HOUR_PRICE}) / displays, 6) as cost_per_display,
+ cast(dr * {K.REINDEX_PER_DISPLAY_REQUEST} + cu * {K.REINDEX_PER_CHANNEL_UPDATE} as bigint) as reindex_count from
+ (select *, case when cm < {K.DATASTORE_FREE_TIER} then 0.0 else (cu - {K.DATASTORE_FREE_TIER}) * {K.DATASTORE_PRICE_PER_100K} / 100000 end as gets,
+  case when dr * {K.PUTS_PER_DISPLAY_REQUEST} + cu < {K.DATASTORE_FREE_TIER} then 0.0
+   else (dr * {K.PUTS_PER_DISPLAY_REQUEST} + cu - {K.DATASTORE_FREE_TIER}) * {K.DATASTORE_PRICE_PER_100K} / 100000 end as puts from
+ (select date, count(*) filter (where event_type = 'click' and value > 90) as cm, count(*) filter (where event_type = 'view') as dr,
+  count(*) filter (where event_type = 'signup') as cu, sum(value) / 60 / 60 as ih, count(distinct user_id) as displays
+  from {q(d0, d1)} group by 1) where cm > 0 and dr > 0 and cu > 0))"""
 
 
 @query("R122_display_costs", f"""
@@ -461,7 +474,7 @@ def r122(spark: SS, d: str) -> DataFrame:
                          _display_costs(e.where(F.col("ts") < cat.day_start(W3_START))), "date", W3_START)
 
 
-NOISY_CALLS = 480   # fixed value: calls per day above which a display is noisy
+NOISY_CALLS = K.NOISY_CALLS_PER_DAY
 
 
 @query("R123_display_counts", f"""
@@ -498,11 +511,11 @@ def r124(spark: SS, d: str) -> DataFrame:
 
 
 @query("R124b_noisy_displays_today", f"""
-select user_id, count(*) as calls from {q(YESTERDAY, AS_OF)} group by 1 having count(*) > 1 * (hour(timestamp '{NOW - D(hours=1)}') + 1)""")
+select user_id, count(*) as calls from {q(YESTERDAY, AS_OF)} group by 1 having count(*) > {K.NOISY_CALLS_PER_HOUR} * (hour(timestamp '{NOW - D(hours=1)}') + 1)""")
 def r124b(spark: SS, d: str) -> DataFrame:
-    """Threshold grows with the hour of the evaluation time (per-hour call budget x (hour + 1))."""
+    """Displays above 20 calls per hour so far today: threshold 20 x (hour + 1) at the evaluation time."""
     e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY)
-    budget = 1 * (F.hour(TU.as_of_ts(NOW - D(hours=1))) + 1)
+    budget = K.NOISY_CALLS_PER_HOUR * (F.hour(TU.as_of_ts(NOW - D(hours=1))) + 1)
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("calls")).where(F.col("calls") > budget)
 
 

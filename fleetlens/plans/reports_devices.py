@@ -28,7 +28,7 @@ D = dt.timedelta
 W30_START = AS_OF - D(days=30)
 SEGMENT = "BUILDING"
 
-# Industry -> OS string reported by that company's players.
+# Binding: industry -> OS string reported by that company's players.
 OS_BY_INDUSTRY = {"AUTOMOBILE": "Windows 10", "BUILDING": "Ubuntu 20.04", "MACHINERY": "raspbian",
                   "HOUSEHOLD": "Windows 7", "FURNITURE": "Mac OS X"}
 OS_SQL = "case c_mktsegment " + " ".join(f"when '{k}' then '{v}'" for k, v in OS_BY_INDUSTRY.items()) + " end"
@@ -250,7 +250,7 @@ def r52(spark: SS, d: str) -> DataFrame:
                     (F.col("value") > 50).alias("offline_subscription"), (F.col("ch") == 1).alias("useChannel"))
 
 
-# Installer classes -> (event kind, release/value rule) of the source rows.
+# Binding: installer classes -> (event kind, release/value rule) of the source rows.
 INSTALLER_CLASSES = {
     "v3": "event_type = 'signup' and k >= 50",
     "v2": "event_type = 'signup' and k < 50",

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
@@ -32,7 +33,7 @@ SS = SparkSession
 r6 = C.r
 D = dt.timedelta
 LOOKBACK_S = 6 * 3600
-HEARTBEATS_PER_DAY = 288   # fixed value: one heartbeat per 5 minutes
+HEARTBEATS_PER_DAY = K.HEARTBEATS_PER_DAY
 
 
 # =========================================================== R70-R79 module reliability
@@ -159,10 +160,11 @@ LWEEK_SQL = "(floor((dayofyear(ts) + dayofweek(date_trunc('year', ts)) + 1 - 2)
 
 
 @query("R76_weekly_system_metrics", f"""
-select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL} from {q()} group by 1, 2 order by 1 desc, 2 desc limit 1000""")
+select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL} from {q()} group by 1, 2 order by 1 desc, 2 desc limit {K.WEEKLY_METRICS_ROWS}""")
 def r76(spark: SS, d: str) -> DataFrame:
     m = _metrics(ev(spark, d))
-    return m.groupBy("year", "week").agg(*_metric_aggs()).orderBy(F.col("year").desc(), F.col("week").desc()).limit(1000)
+    return m.groupBy("year", "week").agg(*_metric_aggs()).orderBy(F.col("year").desc(), F.col("week").desc()) \
+        .limit(K.WEEKLY_METRICS_ROWS)
 
 
 @query("R76b_weekly_metrics_by_platform", f"""
@@ -175,7 +177,7 @@ def r76b(spark: SS, d: str) -> DataFrame:
     return m.groupBy("year", "week", plat.alias("platform")).agg(*_metric_aggs())
 
 
-# The nine daily counters of the player reliability view.
+# Binding: the nine daily counters of the player reliability view.
 PLAYER_COUNTERS = {
     "total": "true",
     "startups": "event_type = 'signup'",

@@ -20,7 +20,7 @@ from fleetlens.plans.registry import QUERIES, load_all
 from fleetlens.plans.tables import YESTERDAY
 from fleetlens.sources.sinks import write_partitions
 
-# Target table -> job that fills it.
+# Target table -> job that fills it.
 DAILY_SUMMARIES = {
     "dailyUptime": "R85_endpoint_uptime",
     "dailyUsage": "R86_daily_usage",
