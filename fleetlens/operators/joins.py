@@ -1,17 +1,18 @@
 """Join family: semi/anti (J07-J13), null-aware NOT IN (J09), calendar range join
 (J17), lookback join (J18/R12), as-of join (J19) and next-event (W01).
 
-Range joins and per-entity ordered scans share one skew-safe plan
-("bucketed scan + bucket carry"):
-
-* rows are bucketed by ``(key, floor(epoch(ts) / bucket))``; the ordered
-  window runs per (key, bucket) -- a key holding a third of all rows is still
-  split into as many tasks as it has buckets;
-* what crosses a bucket boundary (the last right-side row before a bucket, the
-  first row of the next bucket, the running count before a bucket) is
-  computed on a per-(key, bucket) *summary* -- one row per non-empty bucket,
-  so its per-key window is bounded by the time span, not by the row count;
-* the summary is equi-joined back on (key, bucket).
+Range joins and per-entity ordered scans are bucketed by
+``(key, floor(epoch(ts) / bucket))`` and run their ordered window per (key,
+bucket): a key holding a third of all rows is split into as many tasks as it
+has buckets.  What crosses a bucket boundary is handled exactly:
+
+* bounded look-back (``lookback_count``): a right row is copied into the few
+  following buckets its window reaches, so one range-frame window per
+  partition sees every match -- one shuffle, no join;
+* unbounded look-back / look-ahead (``asof_join``, ``next_event``): a
+  per-(key, bucket) *summary* (one row per non-empty bucket, so its per-key
+  window is bounded by the time span, not by the row count) carries the last
+  right row / first next row across buckets and is equi-joined back.
 
 No pair of rows is ever materialised, so a window holding many matches costs
 nothing extra, and results are exact (no caps).
@@ -162,44 +163,34 @@ def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds:
     ``left.ts - window < right.ts <= left.ts``.
 
     A left join on that condition produces ``max(matches, 1)`` rows per left
-    row (the fan-out of Z15); ``matches > 0`` is the 0/1 flag of R12.  Computed
-    as ``C(ts) - C(ts - window)`` where ``C(t)`` is the running count of right
-    rows at ``t``: running counts are evaluated once per distinct probe point
-    (key, t) and joined back by value, so no pair and no row id is needed.
+    row (the fan-out of Z15); ``matches > 0`` is the 0/1 flag of R12.
+
+    Plan: one shuffle on (key, bucket) and one range-frame window.  A right row
+    can only match left rows of its own bucket and of the buckets its window
+    reaches into (at most ``ceil(window / bucket)`` more), so it is copied into
+    those; each left row then counts the right rows of its own partition whose
+    time lies in ``(ts - window, ts]``.  No pair is materialised, no join is
+    needed, and a hot key is split over its buckets.
     """
+    lcols = left.columns
     win_us = window_seconds * 1_000_000
     bsz = bucket_seconds * 1_000_000
-    lt = epoch_micros(F.col(left_ts))
-    Lx = left.withColumn("__hi", lt).withColumn("__lo", lt - F.lit(win_us))
-    pts = (Lx.select(F.col(key).alias("__k"), F.col("__hi").alias("__t"))
-             .union(Lx.select(F.col(key).alias("__k"), F.col("__lo").alias("__t")))
-             .where(F.col("__k").isNotNull() & F.col("__t").isNotNull()).distinct())
-    P = pts.select("__k", "__t", F.lit(1).alias("__kind"), F.lit(0).alias("__w"))
+    L = left.select(F.col(key).alias("__k"), epoch_micros(F.col(left_ts)).alias("__t"), F.lit(0).alias("__w"),
+                    F.struct(*[F.col(c) for c in lcols]).alias("__l"))
+    L = L.withColumn("__b", F.floor(F.col("__t") / bsz).cast("long"))
+    rt = epoch_micros(F.col(right_ts))
     R = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
-         .select(F.col(key).alias("__k"), epoch_micros(F.col(right_ts)).alias("__t"),
-                 F.lit(0).alias("__kind"), F.lit(1).alias("__w")))
-    U = P.unionByName(R).withColumn("__b", F.floor(F.col("__t") / bsz).cast("long"))
-    # right rows at equal t sort first: the count at t is inclusive ("<=")
-    w = (Window.partitionBy("__k", "__b").orderBy("__t", "__kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = U.withColumn("__in", F.sum("__w").over(w)).where(F.col("__kind") == 1)
-    summ = (R.withColumn("__b", F.floor(F.col("__t") / bsz).cast("long"))
-              .groupBy("__k", "__b").agg(F.count(F.lit(1)).alias("__n"))
-              .select("__k", "__b", F.lit(0).alias("__p"), "__n"))
-    pb = scanned.select("__k", "__b").distinct().select("__k", "__b", F.lit(-1).alias("__p"),
-                                                       F.lit(0).cast("long").alias("__n"))
-    wc = (Window.partitionBy("__k").orderBy("__b", "__p")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prefix = (pb.unionByName(summ).withColumn("__before", F.sum("__n").over(wc))
-                .where(F.col("__p") == -1).select("__k", "__b", "__before"))
-    cum = (scanned.join(prefix, ["__k", "__b"], "left")
-           .select("__k", "__t", (F.col("__in") + F.coalesce(F.col("__before"), F.lit(0))).alias("__c")))
-    hi = cum.select(F.col("__k").alias("__kh"), F.col("__t").alias("__th"), F.col("__c").alias("__ch"))
-    lo = cum.select(F.col("__k").alias("__kl"), F.col("__t").alias("__tl"), F.col("__c").alias("__cl"))
-    j = (Lx.join(hi, (Lx[key] == hi["__kh"]) & (Lx["__hi"] == hi["__th"]), "left")
-           .join(lo, (Lx[key] == lo["__kl"]) & (Lx["__lo"] == lo["__tl"]), "left"))
-    n = F.coalesce(F.col("__ch"), F.lit(0)) - F.coalesce(F.col("__cl"), F.lit(0))
-    return j.select(*[Lx[c] for c in left.columns], n.cast("long").alias(name))
+         .select(F.col(key).alias("__k"), rt.alias("__t"), F.lit(1).alias("__w"),
+                 F.lit(None).cast(L.schema["__l"].dataType).alias("__l"),
+                 # own bucket up to the bucket holding the last instant it can be matched from
+                 F.explode(F.sequence(F.floor(rt / bsz).cast("long"),
+                                      F.floor((rt + F.lit(win_us - 1)) / bsz).cast("long"))).alias("__b")))
+    U = L.unionByName(R)
+    w = (Window.partitionBy("__k", "__b").orderBy("__t")
+         .rangeBetween(-(win_us - 1), Window.currentRow))   # (ts - window, ts], ties included
+    counted = U.withColumn("__n", F.sum("__w").over(w)).where(F.col("__l").isNotNull())
+    n = F.when(F.col("__k").isNull(), F.lit(0)).otherwise(F.col("__n"))
+    return counted.select(*[F.col("__l")[c].alias(c) for c in lcols], n.cast("long").alias(name))
 
 
 def expand_matches(df: DataFrame, count_col: str) -> DataFrame:

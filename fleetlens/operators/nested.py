@@ -78,24 +78,27 @@ def allocate_cost(units: DataFrame, unit_col: str, total_cost: DataFrame, cost_c
 def snapshot_diff(snapshots: DataFrame, date_col: str, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Rows of the latest snapshot that are new or differ from the previous one.
 
-    The two snapshot dates are found with one small aggregation over distinct
-    dates; comparison is NULL-safe (NULL vs value counts as a change).
+    The latest two snapshot dates come from one small aggregation over the
+    distinct dates; then one aggregation per key picks the row of each of the
+    two dates (keys are unique within a snapshot), so the snapshots are read
+    twice in total and never self-joined.  The comparison is NULL-safe (NULL
+    vs value counts as a change).
     """
     keys, cols = list(keys), list(cols)
     dates = snapshots.select(date_col).distinct()
-    top2 = dates.agg(F.max(date_col).alias("__d1"))
-    prev = dates.crossJoin(F.broadcast(top2)).where(F.col(date_col) < F.col("__d1")) \
-                .agg(F.max(date_col).alias("__d0"))
-    bounds = top2.crossJoin(prev)  # one row
-    tagged = snapshots.crossJoin(F.broadcast(bounds))
-    latest = tagged.where(F.col(date_col) == F.col("__d1")).select(*keys, *cols)
-    before = tagged.where(F.col(date_col) == F.col("__d0")).select(
-        *keys, *[F.col(c).alias(f"__p_{c}") for c in cols], F.lit(True).alias("__seen"))
-    j = latest.join(before, keys, "left")
-    changed = F.col("__seen").isNull()
+    d1 = dates.agg(F.max(date_col).alias("__d1"))
+    d0 = dates.crossJoin(F.broadcast(d1)).where(F.col(date_col) < F.col("__d1")).agg(F.max(date_col).alias("__d0"))
+    bounds = d1.crossJoin(d0)  # one row
+    row = F.struct(*[F.col(c) for c in cols])
+    both = (snapshots.crossJoin(F.broadcast(bounds))
+            .where((F.col(date_col) == F.col("__d1")) | (F.col(date_col) == F.col("__d0")))
+            .groupBy(*keys).agg(F.max(F.when(F.col(date_col) == F.col("__d1"), row)).alias("__cur"),
+                                F.max(F.when(F.col(date_col) == F.col("__d0"), row)).alias("__prev")))
+    cur = both.where(F.col("__cur").isNotNull())
+    changed = F.col("__prev").isNull()
     for c in cols:
-        changed = changed | ~F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    return j.where(changed).select(*keys, *cols)
+        changed = changed | ~F.col("__cur")[c].eqNullSafe(F.col("__prev")[c])
+    return cur.where(changed).select(*keys, *[F.col("__cur")[c].alias(c) for c in cols])
 
 
 def licensed_assignments(assignments: DataFrame, subs: DataFrame, *, company_col: str, display_col: str,

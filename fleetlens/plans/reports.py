@@ -23,7 +23,7 @@ from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
 from fleetlens.operators.rollup import pivot_metrics, splice_rollup
-from fleetlens.plans.dataflow import BETA_LIKE, stable_devices
+from fleetlens.plans.dataflow import BETA_LIKE
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
 from fleetlens.sources import catalog as cat
@@ -60,14 +60,23 @@ def k_col() -> Column:
 
 # =========================================================== widget / component reliability
 def widget_stats(e: DataFrame, start: dt.date, end: dt.date, failed: Column) -> DataFrame:
-    """R20/R21 core for one window: configured devices vs configured devices that failed."""
-    stable = stable_devices(e, start, end)
-    w = J.semi(cat.read_events(e, start, end).where(~F.col("user_id").isin(0)), stable, "user_id")
-    cfg = w.where(F.col("event_type") == "view")
-    bad = J.semi(w.where(failed), cfg.select("user_id", "date"), ["user_id", "date"])
-    both = cfg.select("user_id", "date", F.lit(True).alias("c"), F.lit(False).alias("f")) \
-        .unionByName(bad.select("user_id", "date", F.lit(False).alias("c"), F.lit(True).alias("f")))
-    out = distinct_counts(both, "date", "user_id", {"total_count": F.col("c"), "failed_count": F.col("f")})
+    """R20/R21 core for one window: configured devices vs configured devices that failed,
+    restricted to stable (non-beta) devices of either player family.
+
+    One scan and one (device, day) aggregation of flags; the stable-device set is
+    derived from that same aggregate (its shuffle is reused), so the window's
+    events are read once instead of once per sub-query of the view.
+    """
+    w = cat.read_events(e, start, end).where(~F.col("user_id").isin(0))
+    stable_row = C.not_like("props", BETA_LIKE) & F.col("event_type").isin("signup", "purchase", "view", "click")
+    per = w.groupBy("user_id", "date").agg(
+        F.max((F.col("event_type") == "view").cast("int")).alias("cfg"),
+        F.max(F.coalesce(failed, F.lit(False)).cast("int")).alias("bad"),
+        F.max(F.coalesce(stable_row, F.lit(False)).cast("int")).alias("st"))
+    stable = per.groupBy("user_id").agg(F.max("st").alias("st")).where(F.col("st") == 1)
+    x = per.join(stable.select("user_id"), "user_id", "left_semi")
+    out = x.groupBy("date").agg(F.sum("cfg").cast("long").alias("total_count"),
+                                F.sum(F.col("cfg") * F.col("bad")).cast("long").alias("failed_count"))
     return out.where(F.col("total_count") > 0)
 
 
