@@ -78,3 +78,12 @@ def one_scan_union(df: DataFrame, sources: Mapping[str, "F.Column"], cols: Seque
     cond = reduce(lambda a, b: a | b, list(sources.values()))
     out = df.where(cond).select(*cols)
     return out.distinct() if distinct else out
+
+
+def pivot_long(df: DataFrame, name_col: str, names: Sequence[str], *, date_col: str = "date",
+               value_col: str = "value") -> DataFrame:
+    """R04 when the series are slices of one long (date, name, value) table:
+    a single pivot over it, instead of splitting it into one DataFrame per name
+    (which would replay the table's whole plan once per series)."""
+    return (df.select(date_col, name_col, F.col(value_col).cast("double").alias("__v"))
+              .groupBy(date_col).pivot(name_col, list(names)).agg(F.max("__v")))

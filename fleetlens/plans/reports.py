@@ -22,7 +22,7 @@ from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
-from fleetlens.operators.rollup import pivot_metrics, splice_rollup
+from fleetlens.operators.rollup import pivot_long, splice_rollup
 from fleetlens.plans.dataflow import BETA_LIKE
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
@@ -158,9 +158,9 @@ def r23(spark: SS, d: str) -> DataFrame:
     x = e.join(c, e.user_id == c.c_custkey).withColumn("fam", F.col("c_mktsegment"))
     cnt = distinct_counts(x, ["date", "fam"], "user_id", {"total": F.lit(True), "failed": F.col("event_type") == "error"})
     rel = cnt.where(F.col("total") > 1).withColumn("value", r6(C.safe_ratio(F.col("total") - F.col("failed"), "total")))
-    series = {f.lower(): rel.where(F.col("fam") == f) for f in SEGMENTS}
-    spine = rel.where(F.col("fam") == "BUILDING").select("date")
-    return pivot_metrics(series, spine=spine)
+    wide = pivot_long(rel.withColumn("fam", F.lower("fam")), "fam", [f.lower() for f in SEGMENTS])
+    # the driving family's dates are the spine: exactly the pivot rows where it has a value
+    return wide.where(F.col("building").isNotNull())
 
 
 @query("R24_top_errors_by_day", f"""
@@ -272,9 +272,8 @@ select t.date, {', '.join(f"max(case when r.component = '{c}' then r.Reliability
 from top t left join r on r.date = t.date group by 1""")
 def r29b(spark: SS, d: str) -> DataFrame:
     r = _component_reliability(spark, d).where(F.col("rollout_stage") == "stable")
-    spine = r.select("date").distinct().orderBy(F.col("date").desc()).limit(7)
-    return pivot_metrics({c: r.where(F.col("component") == c).select("date", F.col("Reliability").alias("value"))
-                          for c in COMPONENTS}, spine=spine)
+    wide = pivot_long(r, "component", COMPONENTS, value_col="Reliability")  # one row per date
+    return wide.orderBy(F.col("date").desc()).limit(7)  # the view's latest 7 dates (top-k is the feature)
 
 
 def _not_test(spark: SS, d: str, e: DataFrame) -> DataFrame:

@@ -259,15 +259,17 @@ def r108b(spark: SS, d: str) -> DataFrame:
     company sizes for the company-wide part plus explicit displays outside those companies."""
     r = r108(spark, d)
     disp = displays(spark, d)
-    size = disp.groupBy("companyId").agg(F.count(F.lit(1)).alias("n"))
-    comp = r.where(F.col("companyId").isNotNull()).select("presentationId", "companyId").distinct()
-    comp_n = comp.join(size, "companyId").groupBy("presentationId").agg(F.sum("n").alias("a"))
-    expl = r.where(F.col("displayId").isNotNull()).select("presentationId", "displayId").distinct() \
-        .join(disp, "displayId", "left")
-    outside = J.anti(expl, comp, ["presentationId", "companyId"]).groupBy("presentationId") \
-        .agg(F.count(F.lit(1)).alias("b"))
-    j = comp_n.join(outside, "presentationId", "full")
-    return j.select("presentationId", (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).cast("long").alias("displays"))
+    # every R108 row placed in its company: company-wide rows carry it, explicit
+    # rows get their display's company (one row per display -> plain equi-join)
+    x = r.join(disp.select("displayId", F.col("companyId").alias("dcomp")), "displayId", "left") \
+        .select("presentationId", "displayId", F.coalesce("companyId", "dcomp").alias("comp"),
+                F.col("companyId").isNotNull().alias("all"))
+    per = x.groupBy("presentationId", "comp").agg(F.max(F.col("all").cast("int")).alias("all"),
+                                                  F.count_distinct("displayId").alias("explicit"))
+    size = disp.groupBy(F.col("companyId").alias("comp")).agg(F.count(F.lit(1)).alias("n"))
+    j = per.join(size, "comp", "left")
+    reached = F.when(F.col("all") == 1, F.coalesce("n", F.lit(0))).otherwise(F.col("explicit"))
+    return j.groupBy("presentationId").agg(F.sum(reached).cast("long").alias("displays"))
 
 
 PL_AS_OF = dt.date(1998, 6, 1)
@@ -287,6 +289,12 @@ PL_SQL = """(select l_orderkey as presentationId, l_linenumber as id, l_returnfl
  cast(l_shipdate as date) - 60 as startDate, cast(l_shipdate as date) as endDate, case when l_linestatus = 'O' then true end as visibility from lineitem)"""
 
 
+def none_showing(rows: DataFrame, showing, key: str = "presentationId") -> DataFrame:
+    """Keys none of whose rows satisfies ``showing`` (NULL counts as not showing)."""
+    g = rows.groupBy(key).agg(F.max(F.coalesce(showing, F.lit(False)).cast("int")).alias("__any"))
+    return g.where(F.col("__any") == 0).select(key)
+
+
 def _showing(asof: dt.date):
     t = F.lit(asof)
     return ((F.col("visibility") == True) | F.col("visibility").isNull()) & (  # noqa: E712
@@ -302,8 +310,9 @@ select P.presentationId from {PL_SQL} P where not exists (select 1 from {PL_SQL}
 group by 1""")
 def r109(spark: SS, d: str) -> DataFrame:
     pl = placeholders(spark, d)
-    ok = pl.where(_showing(PL_AS_OF)).select("presentationId")
-    return J.anti(pl.select("presentationId"), ok, "presentationId").distinct()
+    # NOT EXISTS over the same relation == no showing row in the presentation's group:
+    # one aggregation, the placeholders are read once
+    return none_showing(pl, _showing(PL_AS_OF))
 
 
 @query("R109b_presentations_with_content_gaps", f"""
@@ -313,9 +322,9 @@ group by 1""")
 def r109b(spark: SS, d: str) -> DataFrame:
     """Gaps: no visible placeholder that plays at all times (not time-restricted)."""
     pl = placeholders(spark, d)
-    always = pl.where(((F.col("visibility") == True) | F.col("visibility").isNull())  # noqa: E712
-                      & ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()))  # noqa: E712
-    return J.anti(pl.select("presentationId"), always.select("presentationId"), "presentationId").distinct()
+    always = (((F.col("visibility") == True) | F.col("visibility").isNull())  # noqa: E712
+              & ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()))  # noqa: E712
+    return none_showing(pl, always)
 
 
 @query("R110_displays_with_white_screen", f"""

@@ -13,6 +13,7 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import distinct_counts
 from fleetlens.plans.registry import query
+from fleetlens.plans.reports_companies import none_showing
 from fleetlens.plans.reports import NOT_TEST_SQL, W7_START, _not_test, ev, k_col, q
 from fleetlens.plans.reports_uptime import LWEEK_SQL, METRICS_SQL, _metric_aggs, _metrics
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
@@ -136,7 +137,7 @@ def r109c(spark: SS, d: str) -> DataFrame:
     plays = ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()  # noqa: E712
              | ((F.col("timeDefined") == True) & (F.col("startDate").isNull() | (t >= F.col("startDate")))  # noqa: E712
                 & (F.col("endDate").isNull() | (t <= F.col("endDate")))))
-    return J.anti(it.select("presentationId"), it.where(plays).select("presentationId"), "presentationId").distinct()
+    return none_showing(it, plays)
 
 
 @query("R124d_api_call_counts_last_hour", f"""

@@ -21,7 +21,7 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.nested import allocate_cost
 from fleetlens.operators.reliability import daily_reliability, distinct_counts
-from fleetlens.operators.rollup import pivot_metrics, splice_rollup
+from fleetlens.operators.rollup import splice_rollup
 from fleetlens.plans.dataflow import ENRICHED_SQL, _enriched
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports import W3_START, W5_START, W7_START, ev, k_col, q
@@ -83,13 +83,15 @@ select c.date, c.pct as content, v.pct as viewer_crash, l.pct as licensing
 from c left join {VIEWER_CRASH_SQL} v on v.date = c.date left join {MODULE_SQL} l on l.date = c.date""")
 def r72(spark: SS, d: str) -> DataFrame:
     e = cat.read_events(ev(spark, d), W5_START, YESTERDAY)
-    content = daily_reliability(e, "user_id", F.col("event_type") == "error")
-    crash = daily_reliability(e, "user_id", (F.col("event_type") == "click") & (F.col("value") > 97))
+    # content and viewer-crash reliability share their device totals: one pass for both
+    both = distinct_counts(e, "date", "user_id", {
+        "n": F.lit(True), "content_bad": F.col("event_type") == "error",
+        "crash_bad": (F.col("event_type") == "click") & (F.col("value") > 97)})
+    both = both.select("date", r6(C.pct_ok("n", "content_bad")).alias("content"),
+                       r6(C.pct_ok("n", "crash_bad")).alias("viewer_crash"))
     lic = module_reliability(e, F.col("event_type") == "purchase", F.col("value") < 5,
                              (F.col("event_type") == "error") & (F.col("value") > 95))
-    series = {n: s.select("date", F.col("pct").alias("value")) for n, s in
-              [("content", content), ("viewer_crash", crash), ("licensing", lic)]}
-    return pivot_metrics(series, spine=content.select("date"))
+    return both.join(lic.select("date", F.col("pct").alias("licensing")), "date", "left")
 
 
 @query("R73_module_versions_from_manifest", f"""
