@@ -88,9 +88,11 @@ def join_calendar(points: DataFrame, calendar: DataFrame, point_col: str, start_
 
     With ``grain`` ('week' = Monday weeks, 'month') the periods are the calendar's
     own truncation, so the theta join becomes an equi-join on the truncated key
-    (hash join, no nested loop).  Otherwise the calendar is broadcast for a
-    range join after checking its row count; a calendar above the bound is
-    refused (pass ``grain`` so the join is an equi-join instead).
+    (hash join, no nested loop).  Otherwise the calendar's row count is checked:
+    up to ``max_broadcast_rows`` it is broadcast for the range join; beyond
+    that, each period is expanded into the days it covers (fan-out = period
+    length in days, periods are date-aligned) and joined on the point's day --
+    a shuffled equi-join whose size is bounded by the calendar, not the points.
     """
     p = F.col(point_col)
     if grain is not None:
@@ -98,11 +100,14 @@ def join_calendar(points: DataFrame, calendar: DataFrame, point_col: str, start_
         cal = calendar.withColumn("__pk", F.col(start_col).cast("date"))
         j = points.withColumn("__pk", key).join(cal, "__pk", "inner").drop("__pk")
         return j.where((p >= F.col(start_col)) & (p < F.col(end_col)))
-    n = calendar.count()  # bounded table: one small job to prove its size
-    if n > max_broadcast_rows:
-        raise ValueError(f"calendar has {n} rows; give grain= for an equi-join plan")
-    cal = F.broadcast(calendar)
-    return points.join(cal, (p >= cal[start_col]) & (p < cal[end_col]), "inner")
+    n = calendar.count()  # one small job to prove the size before broadcasting
+    if n <= max_broadcast_rows:
+        cal = F.broadcast(calendar)
+        return points.join(cal, (p >= cal[start_col]) & (p < cal[end_col]), "inner")
+    days = calendar.withColumn("__day", F.explode(F.sequence(F.col(start_col).cast("date"),
+                                                              F.date_sub(F.col(end_col).cast("date"), 1))))
+    j = points.withColumn("__day", F.to_date(p)).join(days, "__day", "inner").drop("__day")
+    return j.where((p >= F.col(start_col)) & (p < F.col(end_col)))
 
 
 # ----------------------------------------------------------------- bucketed scans
@@ -137,9 +142,11 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, *, left_ts: str = "ts
     U = L.unionByName(R).withColumn("__b", _bucket(F.col("__t"), bucket_seconds))
     w = (Window.partitionBy("__k", "__b").orderBy("__t", "__kind", "__tie")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = U.withColumn("__in", F.last("__r", ignorenulls=True).over(w)).where(F.col("__kind") == lk)
-    # carry: latest right row of any earlier bucket, per (key, bucket) of the left rows
-    summ = (R.withColumn("__b", _bucket(F.col("__t"), bucket_seconds))
+    windowed = U.withColumn("__in", F.last("__r", ignorenulls=True).over(w))
+    scanned = windowed.where(F.col("__kind") == lk)
+    # carry: latest right row of any earlier bucket.  Aggregated from the windowed
+    # rows, which are already partitioned by (key, bucket): no second read of R.
+    summ = (windowed.where(F.col("__kind") == rk)
               .groupBy("__k", "__b").agg(F.max(F.struct("__t", "__tie", "__r")).alias("__s"))
               .select("__k", "__b", F.lit(0).alias("__p"), F.col("__s.__r").alias("__r")))
     probes = (scanned.select("__k", "__b").distinct()
