@@ -137,9 +137,11 @@ def r75(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d).where(F.col("event_type") == "purchase")
     c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
     u = e.join(c, e.user_id == c.c_custkey).select("date", F.col("c_nationkey").alias("company")).distinct()
-    # each (company, day) counts for the 30 report days that end within 29 days of it: fixed 30x fan-out
-    reach = u.select("company", "date", F.explode(F.sequence(F.col("date"), F.date_add("date", 29))).alias("rd"))
-    reach = reach.where(F.col("rd").between(F.lit(W3_START), F.lit(YESTERDAY)))
+    # each (company, day) counts for the report days within 29 days after it; only the
+    # report window's days are generated (fan-out <= window length, here 3)
+    first = F.greatest(F.col("date"), F.lit(W3_START))
+    last = F.least(F.date_add("date", 29), F.lit(YESTERDAY))
+    reach = u.where(first <= last).select("company", "date", F.explode(F.sequence(first, last)).alias("rd"))
     days = u.where(F.col("date") >= F.lit(W3_START)).select(F.col("date").alias("rd")).distinct()
     x = reach.join(days, "rd")
     g = distinct_counts(x, "rd", "company", {"dau": F.col("date") == F.col("rd"), "mau": F.lit(True)})
