@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.timeutil import epoch_micros
 
-DAY_SECONDS = 86_400
 # Default bucket: one hour.  Results are exact for any width; the width only
 # trades per-task size (rows of one key in one bucket) against the per-key
 # summary length (non-empty buckets of one key over the time span).  With a
@@ -144,8 +143,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, *, left_ts: str = "ts
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     windowed = U.withColumn("__in", F.last("__r", ignorenulls=True).over(w))
     scanned = windowed.where(F.col("__kind") == lk)
-    # carry: latest right row of any earlier bucket.  Aggregated from the windowed
-    # rows, which are already partitioned by (key, bucket): no second read of R.
+    # carry: latest right row of any earlier bucket, aggregated from the windowed
+    # rows (already clustered by key and bucket, so the aggregation adds no shuffle)
     summ = (windowed.where(F.col("__kind") == rk)
               .groupBy("__k", "__b").agg(F.max(F.struct("__t", "__tie", "__r")).alias("__s"))
               .select("__k", "__b", F.lit(0).alias("__p"), F.col("__s.__r").alias("__r")))
