@@ -84,3 +84,22 @@ def top_errors(df: DataFrame, detail: Column, id_col: str, *, detail_len: int =
     d = F.substring(detail, 1, detail_len).alias("details")
     return (df.select(*extra, d, F.col(id_col).alias("__id"))
               .groupBy(*extra, "details").agg(F.count_distinct("__id").alias("display_count")))
+
+
+def interval_uptime(heartbeats: DataFrame, event_log: DataFrame, errors: DataFrame, keys: Sequence[str], *,
+                    ts_col: str = "ts", width_seconds: int = 300) -> DataFrame:
+    """R85 core: one row per (interval, *keys) seen in the heartbeats or the event
+    log (``UNION DISTINCT``), with ``up`` = no error of the same interval and keys.
+
+    ``errors`` are event-log rows already restricted to known error codes.  The
+    status join is plain equality on every key, so rows with a NULL key never
+    match an error and count as up (the reference's behaviour, Z17).  Errors are
+    pre-aggregated per interval key before the join.
+    """
+    from fleetlens.functions.timeutil import epoch_bucket
+    iv = epoch_bucket(ts_col, width_seconds).alias("interval")
+    cols = [iv, *[F.col(k) for k in keys]]
+    seen = heartbeats.select(*cols).union(event_log.select(*cols)).distinct()
+    err = errors.select(*cols).groupBy("interval", *keys).agg(F.count(F.lit(1)).alias("__errors"))
+    j = seen.join(err, ["interval", *keys], "left")
+    return j.select("interval", *keys, (F.coalesce(F.col("__errors"), F.lit(0)) == 0).alias("up"))

@@ -20,7 +20,7 @@ from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.nested import allocate_cost
-from fleetlens.operators.reliability import daily_reliability, distinct_counts
+from fleetlens.operators.reliability import daily_reliability, distinct_counts, interval_uptime
 from fleetlens.operators.rollup import splice_rollup
 from fleetlens.plans.dataflow import ENRICHED_SQL, _enriched
 from fleetlens.plans.registry import query
@@ -391,21 +391,50 @@ def r84(spark: SS, d: str) -> DataFrame:
 
 
 # =========================================================== R85-R91 endpoint summaries
-def _intervals(e: DataFrame) -> DataFrame:
-    """5-minute intervals per endpoint (and app) with an error flag (T01 buckets)."""
-    return e.withColumn("interval", TU.epoch_bucket("ts", 300))
+# Binding of the endpoint logs: heartbeats = 'view' / 'click' events, event log =
+# all events, app = the X01-cleaned app string of R87, app version = release line,
+# error definitions = the codes (k) of 'error' events with value above 10.
+APP_SQL = "(case when value > 50 then 'Widget: ' || event_type || ' ID: ' || cast(k as varchar) else event_type end)"
+CLEAN_APP_SQL = f"(case when {APP_SQL} like '%: % ID: %' then regexp_replace({APP_SQL}, ':\\s.+\\sID: ', ': ') else {APP_SQL} end)"
+
+
+def _endpoint_logs(e: DataFrame) -> DataFrame:
+    k = k_col()
+    app = F.when(F.col("value") > 50, F.concat(F.lit("Widget: "), "event_type", F.lit(" ID: "), k.cast("string"))) \
+        .otherwise(F.col("event_type"))
+    return e.withColumn("k", k).withColumn("eventApp", C.clean_up_event_app(app)) \
+        .withColumn("eventAppVersion", F.floor(F.col("k") / 10).cast("string"))
+
+
+def _uptime_rows(spark: SS, d: str) -> DataFrame:
+    e = _endpoint_logs(ev(spark, d))
+    day = cat.read_events(e, YESTERDAY, YESTERDAY)
+    defs = e.where((F.col("event_type") == "error") & (F.col("value") > 10)).select(F.col("k").alias("code")).distinct()
+    errors = day.where(F.col("event_type") == "error").join(defs, F.col("k") == defs.code, "left_semi")
+    keys = ["user_id", "eventApp", "eventAppVersion"]
+    return interval_uptime(day.where(F.col("event_type").isin("view", "click")), day, errors, keys)
+
+
+UPTIME_ROWS_SQL = f"""(with x as (select *, {CLEAN_APP_SQL} as eventApp, cast(k // 10 as varchar) as eventAppVersion,
+  to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval from {q()}),
+ d as (select * from x where date = date '{YESTERDAY}'),
+ defs as (select distinct k as code from x where event_type = 'error' and value > 10),
+ iv as (select interval, user_id, eventApp, eventAppVersion from d where event_type in ('view', 'click')
+        union select interval, user_id, eventApp, eventAppVersion from d),
+ er as (select interval, user_id, eventApp, eventAppVersion, count(*) as n from d join defs on d.k = defs.code
+        where d.event_type = 'error' group by 1, 2, 3, 4)
+ select iv.*, coalesce(er.n, 0) = 0 as up from iv left join er on iv.interval = er.interval and iv.user_id = er.user_id
+  and iv.eventApp = er.eventApp and iv.eventAppVersion = er.eventAppVersion)"""
 
 
 @query("R85_endpoint_uptime", f"""
-with i as (select user_id, to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval,
- max(case when event_type = 'error' then 1 else 0 end) as down from {q(YESTERDAY, AS_OF)} group by 1, 2),
-u as (select user_id, count(*) as intervals, count(*) filter (where down = 0) as up_intervals from i group by 1)
+with u as (select user_id, count(*) as intervals, count(*) filter (where up) as up_intervals from {UPTIME_ROWS_SQL} group by 1)
 select u.user_id, u.intervals, u.up_intervals, round(u.up_intervals / u.intervals, 6) as uptime, x.company, x.parent, x.network, x.licence
 from u left join (select * from {ENRICHED_SQL} where date = date '{YESTERDAY}') x on x.user_id = u.user_id""")
 def r85(spark: SS, d: str) -> DataFrame:
-    e = _intervals(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY))
-    i = e.groupBy("user_id", "interval").agg(F.max((F.col("event_type") == "error").cast("int")).alias("down"))
-    u = i.groupBy("user_id").agg(F.count(F.lit(1)).alias("intervals"), F.count_if(F.col("down") == 0).alias("up_intervals"))
+    """Endpoint uptime: up (interval, app, version) rows over all such rows (Z18), with dimensions."""
+    rows = _uptime_rows(spark, d)
+    u = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("intervals"), F.count_if("up").alias("up_intervals"))
     dims = _enriched(spark, d).where(F.col("date") == F.lit(YESTERDAY)).select("user_id", "company", "parent", "network",
                                                                             "licence")
     return u.join(dims, "user_id", "left").select("user_id", "intervals", "up_intervals",
@@ -414,16 +443,12 @@ def r85(spark: SS, d: str) -> DataFrame:
 
 
 @query("R85b_endpoint_app_uptime", f"""
-with i as (select user_id, event_type as app, cast(k // 10 as bigint) as app_version, to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval,
- max(case when value > 90 then 1 else 0 end) as down from {q(YESTERDAY, AS_OF)} group by 1, 2, 3, 4)
-select user_id, app, app_version, count(*) as intervals, count(*) filter (where down = 0) as up_intervals,
- round(count(*) filter (where down = 0) / count(*), 6) as uptime from i group by 1, 2, 3""")
+select user_id, eventApp, eventAppVersion, count(*) as intervals, count(*) filter (where up) as up_intervals,
+ round(count(*) filter (where up) / count(*), 6) as uptime from {UPTIME_ROWS_SQL} group by 1, 2, 3""")
 def r85b(spark: SS, d: str) -> DataFrame:
-    e = _intervals(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY)).withColumn("app_version", F.floor(k_col() / 10))
-    i = e.groupBy("user_id", F.col("event_type").alias("app"), "app_version", "interval").agg(
-        F.max((F.col("value") > 90).cast("int")).alias("down"))
-    g = i.groupBy("user_id", "app", "app_version").agg(F.count(F.lit(1)).alias("intervals"),
-                                                       F.count_if(F.col("down") == 0).alias("up_intervals"))
+    rows = _uptime_rows(spark, d)
+    g = rows.groupBy("user_id", "eventApp", "eventAppVersion").agg(
+        F.count(F.lit(1)).alias("intervals"), F.count_if("up").alias("up_intervals"))
     return g.withColumn("uptime", r6(C.safe_ratio("up_intervals", "intervals")))
 
 
@@ -436,9 +461,6 @@ def r86(spark: SS, d: str) -> DataFrame:
     return g.withColumn("usage", r6(F.col("heartbeats") / HEARTBEATS_PER_DAY))
 
 
-APP_SQL = "(case when value > 50 then 'Widget: ' || event_type || ' ID: ' || cast(k as varchar) else event_type end)"
-
-
 @query("R87_daily_errors", f"""
 select date, user_id, case when {APP_SQL} like '%: % ID: %' then regexp_replace({APP_SQL}, ':\\s.+\\sID: ', ': ') else {APP_SQL} end as eventApp,
  k as eventErrorCode, count(*) as errors from {q(YESTERDAY, AS_OF)} where event_type in ('error', 'click') group by 1, 2, 3, 4""")
