@@ -15,3 +15,6 @@ REINDEX_PER_CHANNEL_UPDATE = 5          # reindex operations per channel update
 INSTANCE_HOUR_PRICE = 0.2               # price per instance hour
 TOP_ERROR_DETAIL_LENGTH = 200           # error details are grouped by their first 200 characters
 WEEKLY_METRICS_ROWS = 1000              # newest weeks listed by the weekly metrics view
+# fixed byte widths of the log row's fixed-size fields, in the view's field order
+LOG_ROW_FIXED_BYTES = {"ts": 8, "platform": 11, "source": 25, "version": 18, "rollout_stage": 8,
+                       "display_id": 14, "company_id": 38, "level": 9, "player.version": 18}

@@ -14,6 +14,7 @@ shape; the Spark side always goes through the library operators.
 from __future__ import annotations
 
 import datetime as dt
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -427,22 +428,67 @@ def r36(spark: SS, d: str) -> DataFrame:
 
 
 PRICE_PER_100MB = K.LOG_STORAGE_PRICE_PER_100MB
+FIXED_BYTES = sum(K.LOG_ROW_FIXED_BYTES.values())
+# Binding: platform = event kind, source = payload band; the variable-size fields
+# present are the event name and its details (the other optional fields are NULL).
+SOURCE_SQL = "case when value > 50 then 'widget' else 'player' end"
 
 
-@query("R37_log_table_cost", f"""
-with kb as (select date, event_type as platform, sum(strlen(props) + strlen(event_type) + 16) / 1024 as kb from {q()} group by 1, 2),
-c as (select *, kb / 1024 / 100 * {PRICE_PER_100MB} as cost from kb)
-select date, platform, round(kb, 6) as kb, round(cost, 9) as cost, printf('%.10f', cost) as cost_text,
- round(cost / sum(cost) over (partition by date), 6) as share from c""")
+def _log_rows(e: DataFrame) -> DataFrame:
+    row_bytes = (F.lit(FIXED_BYTES) + F.octet_length("event_type")
+                 + F.octet_length(F.coalesce(F.col("props"), F.lit(""))))
+    return e.select("date", F.col("event_type").alias("platform"),
+                    F.when(F.col("value") > 50, "widget").otherwise("player").alias("source"),
+                    (F.floor(row_bytes / 1024) + 1).alias("kb"))  # whole KB per row, as DIV(bytes, 1024) + 1
+
+
+def _table_stats(e: DataFrame) -> DataFrame:
+    return _log_rows(e).groupBy("date", "platform", "source").agg(F.sum("kb").cast("long").alias("size_kb")) \
+        .withColumn("cost_per_100mb", F.lit(PRICE_PER_100MB))
+
+
+STATS_SQL = lambda d0, d1: f"""(select date, event_type as platform, {SOURCE_SQL} as source,
+ cast(sum((({FIXED_BYTES} + strlen(event_type) + strlen(coalesce(props, ''))) // 1024) + 1) as bigint) as size_kb,
+ cast({PRICE_PER_100MB} as double) as cost_per_100mb from {q(d0, d1)} group by 1, 2, 3)"""
+
+
+@query("R37b_log_table_stats", f"""
+select * from {STATS_SQL(YESTERDAY, AS_OF)} union all select * from {STATS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""")
 def r37(spark: SS, d: str) -> DataFrame:
+    """Size of yesterday's log rows per (platform, source), spliced over the stored stats."""
     e = ev(spark, d)
-    size = F.octet_length("props") + F.octet_length("event_type") + 16   # ts + value: 8 bytes each
-    kb = e.groupBy("date", F.col("event_type").alias("platform")).agg((F.sum(size) / 1024).alias("kb"))
-    c = kb.withColumn("cost", F.col("kb") / 1024 / 100 * F.lit(PRICE_PER_100MB))
-    tot = c.groupBy("date").agg(F.sum("cost").alias("__t"))  # one row per day; AQE picks the join
-    return c.join(tot, "date").select(
-        "date", "platform", r6("kb").alias("kb"), F.round("cost", 9).alias("cost"),
-        F.format_string("%.10f", "cost").alias("cost_text"), r6(F.col("cost") / F.col("__t")).alias("share"))
+    return splice_rollup(_table_stats(cat.read_events(e, YESTERDAY, YESTERDAY)),
+                         _table_stats(e.where(F.col("ts") < cat.day_start(YESTERDAY))), "date", YESTERDAY)
+
+
+# cost text: exact decimal of size_kb * price / (1024 * 100), half-up at 10 decimals, from
+# integer arithmetic (a double's binary value would make engines round ties differently)
+_UNITS = Fraction(str(PRICE_PER_100MB)) * 10 ** 10 / (1024 * 100)   # 1e-10 units per KB
+_NUM, _DEN = _UNITS.numerator, _UNITS.denominator
+COST_TEXT_SQL = (f"(cast((size_kb * {2 * _NUM} + {_DEN}) // {2 * _DEN} // 10000000000 as varchar) || '.' || "
+                 f"lpad(cast((size_kb * {2 * _NUM} + {_DEN}) // {2 * _DEN} % 10000000000 as varchar), 10, '0'))")
+
+
+def cost_text(size_kb: Column) -> Column:
+    units = F.expr(f"({size_kb._jc.toString()} * {2 * _NUM} + {_DEN}) div {2 * _DEN}")
+    return F.concat(F.expr(f"{units._jc.toString()} div 10000000000").cast("string"), F.lit("."),
+                    F.lpad((units % 10_000_000_000).cast("string"), 10, "0"))
+
+
+@query("R37_log_table_cost", f"""
+with stats as (select date, platform, source, size_kb, size_kb * cost_per_100mb / (1024 * 100) as cost from {STATS_SQL(None, AS_OF)})
+select s.date, s.platform, s.source, s.size_kb, s.cost, {COST_TEXT_SQL.replace('size_kb', 's.size_kb')} as cost_string,
+ round(s.size_kb / t.size_kb, 6) as participation_percentage
+from stats s join (select date, sum(size_kb) as size_kb from stats group by 1) t on s.date = t.date""")
+def r37b(spark: SS, d: str) -> DataFrame:
+    """Cost per (date, platform, source), its 10-decimal text and its share of the day's size."""
+    st = _table_stats(ev(spark, d))
+    st = st.withColumn("cost", F.col("size_kb") * F.col("cost_per_100mb") / (1024 * 100))
+    tot = st.groupBy("date").agg(F.sum("size_kb").alias("__t"))  # one row per day
+    return st.join(tot, "date").select(
+        "date", "platform", "source", "size_kb", "cost",  # same IEEE operations as the SQL: identical doubles
+        cost_text(F.col("size_kb")).alias("cost_string"),
+        r6(F.col("size_kb") / F.col("__t")).alias("participation_percentage"))
 
 
 # =========================================================== flagship: module content reliability
