@@ -453,12 +453,25 @@ def r85b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R86_daily_usage", f"""
-select date, user_id, event_type as app, count(*) as heartbeats, round(count(*) / {HEARTBEATS_PER_DAY}, 6) as usage
-from {q(YESTERDAY, AS_OF)} group by 1, 2, 3""")
+with x as (select *, {CLEAN_APP_SQL} as eventApp, cast(k // 10 as varchar) as eventAppVersion from {q(YESTERDAY, AS_OF)}),
+mentions as (select distinct date, user_id from x where event_type in ('view', 'click')),
+counts as (select date, user_id, eventApp, eventAppVersion, count(*) as heartbeats from x group by 1, 2, 3, 4)
+select m.date, m.user_id, c.eventApp, c.eventAppVersion, c.heartbeats, round(c.heartbeats / {HEARTBEATS_PER_DAY}, 6) as usage,
+ d.company, d.parent, d.network, d.licence
+from mentions m left join counts c on c.date = m.date and c.user_id = m.user_id
+left join (select * from {ENRICHED_SQL} where date = date '{YESTERDAY}') d on d.user_id = m.user_id""")
 def r86(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY)
-    g = e.groupBy("date", "user_id", F.col("event_type").alias("app")).agg(F.count(F.lit(1)).alias("heartbeats"))
-    return g.withColumn("usage", r6(F.col("heartbeats") / HEARTBEATS_PER_DAY))
+    """Daily usage: endpoints mentioned by viewer heartbeats, their heartbeat counts per
+    (app, version) as a share of a full day (288 five-minute heartbeats), with dimensions."""
+    day = _endpoint_logs(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY))
+    mentions = day.where(F.col("event_type").isin("view", "click")).select("date", "user_id").distinct()
+    counts = day.groupBy("date", "user_id", "eventApp", "eventAppVersion").agg(F.count(F.lit(1)).alias("heartbeats"))
+    dims = _enriched(spark, d).where(F.col("date") == F.lit(YESTERDAY)).select("user_id", "company", "parent",
+                                                                            "network", "licence")
+    u = mentions.join(counts, ["date", "user_id"], "left").join(dims, "user_id", "left")
+    return u.select("date", "user_id", "eventApp", "eventAppVersion", "heartbeats",
+                    r6(F.col("heartbeats") / HEARTBEATS_PER_DAY).alias("usage"), "company", "parent", "network",
+                    "licence")
 
 
 @query("R87_daily_errors", f"""
