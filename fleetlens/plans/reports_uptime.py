@@ -475,15 +475,18 @@ def r86(spark: SS, d: str) -> DataFrame:
 
 
 @query("R87_daily_errors", f"""
-select date, user_id, case when {APP_SQL} like '%: % ID: %' then regexp_replace({APP_SQL}, ':\\s.+\\sID: ', ': ') else {APP_SQL} end as eventApp,
- k as eventErrorCode, count(*) as errors from {q(YESTERDAY, AS_OF)} where event_type in ('error', 'click') group by 1, 2, 3, 4""")
+with x as (select *, {CLEAN_APP_SQL} as eventApp, cast(k // 10 as varchar) as eventAppVersion from {q(YESTERDAY, AS_OF)}),
+e as (select date, user_id, eventApp, eventAppVersion, k as eventErrorCode, count(*) as errorCount from x group by 1, 2, 3, 4, 5)
+select e.*, d.company, d.parent, d.network, d.licence
+from e left join (select * from {ENRICHED_SQL} where date = date '{YESTERDAY}') d on d.user_id = e.user_id""")
 def r87(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY).where(F.col("event_type").isin("error", "click")) \
-        .withColumn("k", k_col())
-    app = F.when(F.col("value") > 50, F.concat(F.lit("Widget: "), "event_type", F.lit(" ID: "), F.col("k").cast("string"))) \
-        .otherwise(F.col("event_type"))
-    return e.groupBy("date", "user_id", C.clean_up_event_app(app).alias("eventApp"), F.col("k").alias("eventErrorCode")) \
-        .agg(F.count(F.lit(1)).alias("errors"))
+    """Daily event-log counts per endpoint, cleaned app (X01), app version and code, with dimensions."""
+    day = _endpoint_logs(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY))
+    e = day.groupBy("date", "user_id", "eventApp", "eventAppVersion", F.col("k").alias("eventErrorCode")) \
+        .agg(F.count(F.lit(1)).alias("errorCount"))
+    dims = _enriched(spark, d).where(F.col("date") == F.lit(YESTERDAY)).select("user_id", "company", "parent",
+                                                                            "network", "licence")
+    return e.join(dims, "user_id", "left")
 
 
 @query("R88_daily_cost_attribution", f"""
