@@ -19,7 +19,6 @@ from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
-from fleetlens.operators.nested import allocate_cost
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, interval_uptime
 from fleetlens.operators.rollup import splice_rollup
 from fleetlens.plans.dataflow import ENRICHED_SQL, _enriched
@@ -489,20 +488,50 @@ def r87(spark: SS, d: str) -> DataFrame:
     return e.join(dims, "user_id", "left")
 
 
+# Binding of the cost inputs (yesterday): downloads = 'click' events of size
+# bytes(props) * 100; download cost pool = purchase values; stream-insert cost
+# pool = 0.01 per signup; log inserts = all events, heartbeat inserts = view/click.
+HB = "event_type in ('view', 'click')"
+
+
 @query("R88_daily_cost_attribution", f"""
-with u as (select date, user_id, sum(strlen(props)) as bytes, count(*) as rows_ from {q()} group by 1, 2),
-p as (select date, sum(value) filter (where event_type = 'purchase') as direct_pool, count(*) filter (where event_type = 'signup') * 0.01 as indirect_pool,
- sum(strlen(props)) as tb, count(*) as tr from {q()} group by 1)
-select u.date, u.user_id, round(u.bytes / p.tb * p.direct_pool, 6) as dailyDirectCost, round(u.rows_ / p.tr * p.indirect_pool, 6) as dailyIndirectCost
-from u join p on u.date = p.date""")
+with d as (select *, case when event_type = 'click' then strlen(props) * 100 end as dl from {q(YESTERDAY, AS_OF)}),
+per as (select date, user_id, sum(dl) as downloadedBytes, count(*) as logInserts, count(*) filter (where {HB}) as hbInserts
+ from d group by 1, 2),
+tot as (select sum(value) filter (where event_type = 'purchase') as totalDownloadCost, sum(dl) as totalDownloaded,
+ count(*) filter (where event_type = 'signup') * 0.01 as totalStreamInsertCost, count(*) as totalLogInserts,
+ count(*) filter (where {HB}) as totalHeartbeatInserts from d)
+select per.date, per.user_id,
+ round(coalesce(cast(per.downloadedBytes as double) * tot.totalDownloadCost / tot.totalDownloaded, 0.0), 6) as dailyDirectCost,
+ round(coalesce(cast(per.logInserts + per.hbInserts as double) * cast(tot.totalStreamInsertCost as double)
+  / (tot.totalLogInserts + tot.totalHeartbeatInserts), 0.0), 6) as dailyIndirectCost,
+ x.company, x.parent, x.network, x.licence
+from per cross join tot left join (select * from {ENRICHED_SQL} where date = date '{YESTERDAY}') x on x.user_id = per.user_id""")
 def r88(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    u = e.groupBy("date", "user_id").agg(F.sum(F.octet_length("props")).alias("bytes"), F.count(F.lit(1)).alias("rows_"))
-    pool = e.groupBy("date").agg(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("direct_pool"),
-                                 (F.count_if(F.col("event_type") == "signup") * 0.01).alias("indirect_pool"))
-    a = allocate_cost(u, "bytes", pool.select("date", "direct_pool"), "direct_pool", by=["date"], out="direct")
-    b = allocate_cost(a, "rows_", pool.select("date", "indirect_pool"), "indirect_pool", by=["date"], out="indirect")
-    return b.select("date", "user_id", r6("direct").alias("dailyDirectCost"), r6("indirect").alias("dailyIndirectCost"))
+    """Daily cost per endpoint: direct = its download bytes' share of the download
+    cost, indirect = its log and heartbeat inserts' share of the stream-insert
+    cost (0 when it has none), with dimensions.  The totals are one row.  The
+    reference's extra legacy download sources (URL-parsed storage logs) have no
+    counterpart in the test tables and are not bound."""
+    day = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY) \
+        .withColumn("dl", F.when(F.col("event_type") == "click", F.octet_length("props") * 100))
+    hb = F.col("event_type").isin("view", "click")
+    per = day.groupBy("date", "user_id").agg(F.sum("dl").alias("downloadedBytes"), F.count(F.lit(1)).alias("logInserts"),
+                                              F.count_if(hb).alias("hbInserts"))
+    tot = day.agg(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("totalDownloadCost"),
+                  F.sum("dl").alias("totalDownloaded"),
+                  (F.count_if(F.col("event_type") == "signup") * 0.01).alias("totalStreamInsertCost"),
+                  F.count(F.lit(1)).alias("totalLogInserts"), F.count_if(hb).alias("totalHeartbeatInserts"))
+    c = per.crossJoin(F.broadcast(tot))  # one row: size proven
+    direct = F.try_divide(F.col("downloadedBytes").cast("double") * F.col("totalDownloadCost"), F.col("totalDownloaded"))
+    indirect = F.try_divide((F.col("logInserts") + F.col("hbInserts")).cast("double") * F.col("totalStreamInsertCost"),
+                            F.col("totalLogInserts") + F.col("totalHeartbeatInserts"))
+    dims = _enriched(spark, d).where(F.col("date") == F.lit(YESTERDAY)).select("user_id", "company", "parent",
+                                                                            "network", "licence")
+    out = c.select("date", "user_id", r6(F.coalesce(direct, F.lit(0.0))).alias("dailyDirectCost"),
+                   r6(F.coalesce(indirect, F.lit(0.0))).alias("dailyIndirectCost"))
+    return out.join(dims, "user_id", "left").select("date", "user_id", "dailyDirectCost", "dailyIndirectCost",
+                                                    "company", "parent", "network", "licence")
 
 
 @query("R89_endpoint_uptime_view", f"""
