@@ -32,7 +32,6 @@ def _naive_forms(spark, d):
     from pyspark.sql import functions as F
 
     from fleetlens.plans.reports import COMPONENTS, ev, k_col
-    from fleetlens.plans.reports_devices import INSTALLER_CLASSES
     from fleetlens.plans.reports_uptime import PLAYER_COUNTERS
 
     def e():
@@ -46,13 +45,14 @@ def _naive_forms(spark, d):
         return reduce(lambda a, b: a.join(b, "date"), parts)
 
     def r53():
-        tot = per_date("true", "total")
-        parts = [per_date(c, n) for n, c in INSTALLER_CLASSES.items()]
-        anyc = " or ".join(f"({c})" for c in INSTALLER_CLASSES.values())
-        classified = per_date(anyc, "__c")
-        out = reduce(lambda a, b: a.join(b, "date", "left"), parts + [classified], tot)
-        return out.select("date", "total", *[F.coalesce(n, F.lit(0)).alias(n) for n in INSTALLER_CLASSES],
-                          (F.col("total") - F.coalesce("__c", F.lit(0))).alias("third_party"))
+        from fleetlens.plans.reports_devices import CONFIG_CLASSES, REQUEST_CLASSES, installer_class_rows
+        x = lambda: installer_class_rows(ev(spark, d))
+        tot = x().groupBy("date").agg(F.count_distinct("user_id").alias("total"))
+        parts = [x().where(F.col("req_cls") == n).groupBy("date").agg(F.count_distinct("user_id").alias(n))
+                 for n, _ in REQUEST_CLASSES]
+        parts += [x().where((F.col("cfg_cls") == n) & (F.col("latest_cls").isNull() | (F.col("latest_cls") == n)))
+                  .groupBy("date").agg(F.count_distinct("user_id").alias(n)) for n, _ in CONFIG_CLASSES]
+        return reduce(lambda a, b: a.join(b, "date", "left"), parts, tot)
 
     def r34():
         from fleetlens.plans.reports import W7_START

@@ -251,32 +251,68 @@ def r52(spark: SS, d: str) -> DataFrame:
                     (F.col("value") > 50).alias("offline_subscription"), (F.col("ch") == 1).alias("useChannel"))
 
 
-# Binding: installer classes -> (event kind, release/value rule) of the source rows.
-INSTALLER_CLASSES = {
-    "v3": "event_type = 'signup' and k >= 50",
-    "v2": "event_type = 'signup' and k < 50",
-    "v1": "event_type = 'purchase' and k < 30",
-    "packaged_app": "event_type = 'view' and k < 20",
-    "oem": "event_type = 'click' and value > 90",
-    "android": "event_type = 'view' and k >= 80",
-    "second_os": "event_type = 'click' and value < 10",
-}
+# Binding: installer classes.  Request-log rows (installer events and clicks) are
+# classed directly, first rule wins; configuration rows ('view') are classed by
+# their release / payload, first rule wins.
+REQUEST_CLASSES = [
+    ("v3", "event_type = 'signup' and k >= 50"),
+    ("v2", "event_type = 'signup'"),
+    ("v1", "event_type = 'purchase' and k < 30"),
+    ("second_os", "event_type = 'click' and value < 10"),
+]
+CONFIG_CLASSES = [
+    ("packaged_app", "k < 20"),
+    ("android", "k >= 80"),
+    ("oem", "value > 90"),
+]
+INSTALLER_CLASSES = [n for n, _ in REQUEST_CLASSES] + [n for n, _ in CONFIG_CLASSES]
+
+
+def _case(rules, default="null"):
+    return "case " + " ".join(f"when {c} then '{n}'" for n, c in rules) + f" else {default} end"
+
+
+REQ_CLS_SQL = _case(REQUEST_CLASSES)
+CFG_CLS_SQL = f"case when event_type = 'view' then {_case(CONFIG_CLASSES)} end"
+
+
+def installer_class_rows(e: DataFrame) -> DataFrame:
+    """(date, display, request class, config class, class of the display's latest config).
+
+    A configuration row only puts its display in its class when the display's
+    latest configuration is not of another class, so a display may be in
+    several classes (a request-log class and a config class)."""
+    x = e.withColumn("k", k_col()).withColumn("req_cls", F.expr(REQ_CLS_SQL)).withColumn("cfg_cls", F.expr(CFG_CLS_SQL))
+    latest = latest_by(x.where(F.col("event_type") == "view").select("user_id", "ts", "event_id", "cfg_cls"),
+                       "user_id", ["ts", "event_id"], ties="one").select("user_id", F.col("cfg_cls").alias("latest_cls"))
+    return x.select("date", "user_id", "req_cls", "cfg_cls").join(latest, "user_id", "left")
+
+
+def _cfg_flag(name: str) -> Column:
+    return (F.col("cfg_cls") == name) & (F.col("latest_cls").isNull() | (F.col("latest_cls") == name))
 
 
 @query("R53_installer_type_counts", f"""
+with x as (select *, {REQ_CLS_SQL} as req_cls, {CFG_CLS_SQL} as cfg_cls from {q()}),
+latest as (select user_id, cfg_cls as latest_cls from (select user_id, cfg_cls, row_number() over
+ (partition by user_id order by ts desc, event_id desc) as rn from x where event_type = 'view') where rn = 1),
+j as (select x.date, x.user_id, x.req_cls, x.cfg_cls, l.latest_cls from x left join latest l on l.user_id = x.user_id)
 select date, count(distinct user_id) as total,
- {', '.join(f"count(distinct case when {cond} then user_id end) as {name}" for name, cond in INSTALLER_CLASSES.items())},
- count(distinct user_id) - count(distinct case when {' or '.join(f'({c})' for c in INSTALLER_CLASSES.values())} then user_id end) as third_party
-from {q()} group by 1""")
+ {', '.join(f"count(distinct case when req_cls = '{n}' then user_id end) as {n}" for n, _ in REQUEST_CLASSES)},
+ {', '.join(f"count(distinct case when cfg_cls = '{n}' and (latest_cls is null or latest_cls = '{n}') then user_id end) as {n}" for n, _ in CONFIG_CLASSES)},
+ count(distinct user_id) - count(distinct case when req_cls is not null
+  or (cfg_cls is not null and (latest_cls is null or latest_cls = cfg_cls)) then user_id end) as third_party
+from j group by 1""")
 def r53(spark: SS, d: str) -> DataFrame:
-    """One scan emits the class flags of every row; one two-level aggregation
-    counts every class (classes may overlap) instead of seven scans."""
-    e = ev(spark, d).withColumn("k", k_col())
-    flags = {name: F.expr(cond) for name, cond in INSTALLER_CLASSES.items()}
-    any_class = None
-    for c in flags.values():
-        any_class = c if any_class is None else (any_class | c)
-    out = distinct_counts(e, "date", "user_id", {"total": F.lit(True), **flags, "__classified": any_class})
+    """All classes in one two-level aggregation over one pass of (display, class) rows,
+    instead of one scan per class; classes may overlap."""
+    x = installer_class_rows(ev(spark, d))
+    flags = {"total": F.lit(True)}
+    flags.update({n: F.col("req_cls") == n for n, _ in REQUEST_CLASSES})
+    flags.update({n: _cfg_flag(n) for n, _ in CONFIG_CLASSES})
+    flags["__classified"] = F.col("req_cls").isNotNull() | (
+        F.col("cfg_cls").isNotNull() & (F.col("latest_cls").isNull() | (F.col("latest_cls") == F.col("cfg_cls"))))
+    out = distinct_counts(x, "date", "user_id", flags)
     return out.withColumn("third_party", F.col("total") - F.col("__classified")).drop("__classified")
 
 
