@@ -431,29 +431,50 @@ def r57d(spark: SS, d: str) -> DataFrame:
     return per.groupBy("max_version").agg(F.count(F.lit(1)).alias("displays"))
 
 
-def _module_stats(e: DataFrame) -> DataFrame:
-    line = F.floor(k_col() / 10)
-    cur = e.withColumn("line", line)
-    cur_line = cur.agg(F.max("line").alias("__cur"))  # one row
-    x = cur.crossJoin(F.broadcast(cur_line)).where(F.col("line") == F.col("__cur"))
-    failed = (F.col("event_type") == "error") | ((F.col("event_type") == "click") & (F.col("value") > 95))
-    return daily_reliability(x, "user_id", failed, total_name="displays", failed_name="failed", ratio_name="pct")
-
-
-MODULE_STATS_SQL = lambda d0, d1: f"""(with x as (select *, k // 10 as line from {q(d0, d1)}),
- y as (select * from x where line = (select max(line) from x))
- select t.date, t.displays, coalesce(f.failed, 0) as failed, round((t.displays - coalesce(f.failed, 0)) / t.displays * 100, 6) as pct
- from (select date, count(distinct user_id) as displays from y group by 1) t left join
- (select date, count(distinct user_id) as failed from y where event_type = 'error' or (event_type = 'click' and value > 95) group by 1) f
- on t.date = f.date)"""
+def _module_stats(e: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """R58 for one window.  Bindings: installer rows = all events on the current
+    release line (scalar subquery); failure branches: (1) errors with value > 90
+    (restart / launch / certificate errors); (2) 'view' rows loading the viewer
+    (payload tag 9x) on a display-day without a viewer startup ('signup') --
+    composite-key anti join; (3) watchdog module-down ('click' with value > 95)
+    on a display-day present in the window -- composite-key semi join."""
+    w = cat.read_events(e, start, end)
+    x = w.withColumn("line", F.floor(k_col() / 10))
+    cur = x.agg(F.max("line").alias("__cur"))  # scalar subquery: one row
+    alld = x.crossJoin(F.broadcast(cur)).where((F.col("line") == F.col("__cur"))
+                                               & C.not_like(F.col("user_id").cast("string"), "0.%"))
+    keys = ["user_id", "date"]
+    b1 = alld.where((F.col("event_type") == "error") & (F.col("value") > 90)).select(*keys)
+    startups = w.where(F.col("event_type") == "signup").select(*keys)
+    b2 = J.anti(alld.where((F.col("event_type") == "view") & F.col("props").like('{"k": 9%')).select(*keys),
+                startups, keys)
+    b3 = J.semi(w.where((F.col("event_type") == "click") & (F.col("value") > 95)).select(*keys),
+                alld.select(*keys), keys)
+    rows = alld.select(*keys, F.lit(True).alias("t"), F.lit(False).alias("f")) \
+        .unionByName(b1.union(b2).union(b3).select(*keys, F.lit(False).alias("t"), F.lit(True).alias("f")))
+    out = distinct_counts(rows, "date", "user_id", {"total_count": F.col("t"), "failed_count": F.col("f")})
+    return out.where(F.col("total_count") > 0)
+
+
+MODULE_STATS_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
+ x as (select *, k // 10 as line from w),
+ alld as (select * from x where line = (select max(line) from x) and cast(user_id as varchar) not like '0.%'),
+ failed as (select date, user_id from alld where event_type = 'error' and value > 90
+  union all select a.date, a.user_id from alld a where a.event_type = 'view' and a.props like '{{"k": 9%'
+   and not exists (select 1 from w s where s.event_type = 'signup' and s.user_id = a.user_id and s.date = a.date)
+  union all select c.date, c.user_id from w c where c.event_type = 'click' and c.value > 95
+   and exists (select 1 from alld a where a.user_id = c.user_id and a.date = c.date))
+ select t.date, t.total_count, coalesce(f.failed_count, 0) as failed_count
+ from (select date, count(distinct user_id) as total_count from alld group by 1) t left join
+ (select date, count(distinct user_id) as failed_count from failed group by 1) f on t.date = f.date)"""
 
 
 @query("R58_player_module_stats", f"""
 select * from {MODULE_STATS_SQL(W3_START, AS_OF)} union all select * from {MODULE_STATS_SQL(None, W3_START)} where date < date '{W3_START}'""")
 def r58(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d)
-    fresh = _module_stats(cat.read_events(e, W3_START, YESTERDAY))
-    hist = _module_stats(e.where(F.col("ts") < cat.day_start(W3_START)))
+    fresh = _module_stats(e, W3_START, YESTERDAY)
+    hist = _module_stats(e, dt.date(2024, 1, 1), W3_START - D(days=1))
     return splice_rollup(fresh, hist, "date", W3_START)
 
 
