@@ -36,21 +36,44 @@ HEARTBEATS_PER_DAY = K.HEARTBEATS_PER_DAY
 
 
 # =========================================================== R70-R79 module reliability
-def module_reliability(e: DataFrame, module: Column, failed_module: Column, watchdog_down: Column) -> DataFrame:
-    """Per date pct of devices on the module's current release line without a
-    module error or a watchdog module-down event (union of the two failure sets)."""
-    m = e.where(module).withColumn("line", F.floor(k_col() / 10))
+def deletion_log(e: DataFrame) -> DataFrame:
+    """Deleted entities with their kind (binding as J22: yesterday's signups)."""
+    return (cat.read_events(e, YESTERDAY, YESTERDAY).where(F.col("event_type") == "signup")
+            .select("user_id", F.when(F.col("value") > 50, "Display").otherwise("Company").alias("kind")).distinct())
+
+
+def module_reliability(e: DataFrame, module: Column, failed_module: Column, watchdog_down: Column,
+                       deleted: DataFrame | None = None) -> DataFrame:
+    """Per date pct of the module's devices on its current release line without
+    a failure.  Failures = module errors of devices not deleted as displays (J22
+    left join on the deletion log) UNION watchdog module-down events naming the
+    current version (not limited to the module's own device-days, as in the view)."""
+    line = F.floor(k_col() / 10)
+    m = e.where(module).withColumn("line", line)
     cur = m.agg(F.max("line").alias("__cur"))  # scalar subquery: one row
-    onv = m.crossJoin(F.broadcast(cur)).where(F.col("line") == F.col("__cur")).drop("line", "__cur")
-    down = J.semi(e.where(watchdog_down), onv.select("user_id", "date"), ["user_id", "date"])
-    x = onv.withColumn("f", failed_module).unionByName(down.withColumn("f", F.lit(True)).select(*onv.columns, "f"))
-    return daily_reliability(x, "user_id", F.col("f"), total=module, total_name="devices", failed_name="failed")
-
-
-MODULE_SQL = f"""(with m as (select *, k // 10 as line from {q(W5_START, AS_OF)} where event_type = 'purchase'),
- onv as (select * from m where line = (select max(line) from m)),
- bad as (select user_id, date from onv where value < 5 union select e.user_id, e.date from {q(W5_START, AS_OF)} e
-  where e.event_type = 'error' and e.value > 95 and exists (select 1 from onv where onv.user_id = e.user_id and onv.date = e.date))
+    onv = m.crossJoin(F.broadcast(cur)).where(F.col("line") == F.col("__cur"))
+    errs = onv.where(failed_module)
+    if deleted is not None:
+        errs = errs.join(deleted, "user_id", "left").where(F.col("kind").isNull() | (F.col("kind") != "Display"))
+    downs = e.where(watchdog_down).withColumn("line", line).crossJoin(F.broadcast(cur)) \
+        .where(F.col("line") == F.col("__cur"))
+    keys = ["user_id", "date"]
+    rows = onv.select(*keys, F.lit(True).alias("t"), F.lit(False).alias("f")) \
+        .unionByName(errs.select(*keys).union(downs.select(*keys)).select(*keys, F.lit(False).alias("t"),
+                                                                          F.lit(True).alias("f")))
+    return daily_reliability(rows, "user_id", F.col("f"), total=F.col("t"), total_name="devices", failed_name="failed")
+
+
+MODULE_SQL = f"""(with w as (select * from {q(W5_START, AS_OF)}),
+ m as (select *, k // 10 as line from w where event_type = 'purchase'),
+ cur as (select max(line) as v from m),
+ onv as (select * from m where line = (select v from cur)),
+ del as (select distinct user_id, case when value > 50 then 'Display' else 'Company' end as kind from events
+  where event_type = 'signup' and cast(ts as date) = date '{YESTERDAY}'),
+ errs as (select onv.date, onv.user_id from onv left join del on del.user_id = onv.user_id
+  where (del.kind is null or del.kind <> 'Display') and onv.value < 5),
+ downs as (select date, user_id from w where event_type = 'error' and value > 95 and k // 10 = (select v from cur)),
+ bad as (select * from errs union select * from downs)
  select t.date, t.devices, coalesce(b.failed, 0) as failed, round((t.devices - coalesce(b.failed, 0)) / t.devices * 100, 6) as pct
  from (select date, count(distinct user_id) as devices from onv group by 1) t
  left join (select date, count(distinct user_id) as failed from bad group by 1) b on t.date = b.date)"""
@@ -58,9 +81,10 @@ MODULE_SQL = f"""(with m as (select *, k // 10 as line from {q(W5_START, AS_OF)}
 
 @query("R70_module_reliability_current_version", f"select * from {MODULE_SQL}")
 def r70(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W5_START, YESTERDAY)
+    ev_all = ev(spark, d)
+    e = cat.read_events(ev_all, W5_START, YESTERDAY)
     return module_reliability(e, F.col("event_type") == "purchase", F.col("value") < 5,
-                              (F.col("event_type") == "error") & (F.col("value") > 95))
+                              (F.col("event_type") == "error") & (F.col("value") > 95), deleted=deletion_log(ev_all))
 
 
 VIEWER_CRASH_SQL = f"""(select t.date, round((t.n - coalesce(f.n, 0)) / t.n * 100, 6) as pct from
@@ -89,7 +113,7 @@ def r72(spark: SS, d: str) -> DataFrame:
     both = both.select("date", r6(C.pct_ok("n", "content_bad")).alias("content"),
                        r6(C.pct_ok("n", "crash_bad")).alias("viewer_crash"))
     lic = module_reliability(e, F.col("event_type") == "purchase", F.col("value") < 5,
-                             (F.col("event_type") == "error") & (F.col("value") > 95))
+                             (F.col("event_type") == "error") & (F.col("value") > 95), deleted=deletion_log(ev(spark, d)))
     return both.join(lic.select("date", F.col("pct").alias("licensing")), "date", "left")
 
 
