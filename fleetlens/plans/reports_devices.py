@@ -21,6 +21,7 @@ from fleetlens.plans.registry import query
 from fleetlens.plans.reports import W3_START, W7_START, ev, k_col, q
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
 from fleetlens.sources import catalog as cat
+from fleetlens.sources.schemas import conform
 
 SS = SparkSession
 r6 = C.r
@@ -529,26 +530,56 @@ def r60b(spark: SS, d: str) -> DataFrame:
     return _cache_versions(spark, d).groupBy("cache_version").agg(F.count_distinct("user_id").alias("displays"))
 
 
-def _cache_rel(e: DataFrame) -> DataFrame:
-    up = F.col("event_type") == "view"
-    bad = (F.col("event_type") == "error") | ((F.col("event_type") == "click") & (F.col("value") > 95))
-    out = distinct_counts(e, "date", "user_id", {"cache_up": up, "cache_errors": bad})
-    return out.where(F.col("cache_up") > 0).withColumn("reliability", r6(1 - C.safe_ratio("cache_errors", "cache_up")))
-
-
-CACHE_REL_SQL = lambda d0, d1: f"""(select * from (select date, count(distinct case when event_type = 'view' then user_id end) as cache_up,
- count(distinct case when event_type = 'error' or (event_type = 'click' and value > 95) then user_id end) as cache_errors,
- round(1 - count(distinct case when event_type = 'error' or (event_type = 'click' and value > 95) then user_id end)
-  / count(distinct case when event_type = 'view' then user_id end), 6) as reliability
- from {q(d0, d1)} group by 1) where cache_up > 0)"""
+def _cache_rel(c: DataFrame, installer: DataFrame) -> DataFrame:
+    """R61 for one window: displays whose cache reported up ('view') against displays
+    with a cache error (minus excluded details) or an installer cache restart
+    (legacy comma union by name); a date needs an up report (OUTER JOIN = left)."""
+    up = c.where((F.col("event") == "view") & (F.col("display_id") != "no-displayId"))
+    cache_err = c.where((F.col("event") == "error") & (F.col("display_id") != "no-displayId")
+                        & (F.col("event_details") != '{"k": 0}') & C.not_like("event_details", '{"k": 1_}'))
+    errs = cache_err.select("display_id", "date").unionByName(installer.select("display_id", "date"))
+    rows = up.select("display_id", "date", F.lit(True).alias("t"), F.lit(False).alias("f")) \
+        .unionByName(errs.select("display_id", "date", F.lit(False).alias("t"), F.lit(True).alias("f")))
+    out = distinct_counts(rows, "date", "display_id", {"totalNumberOfDisplays": F.col("t"), "errorCount": F.col("f")})
+    out = out.where(F.col("totalNumberOfDisplays") > 0)
+    return out.select(F.col("date").alias("total_date"), "totalNumberOfDisplays", "errorCount",
+                      r6(C.safe_ratio(F.col("totalNumberOfDisplays") - F.col("errorCount"), "totalNumberOfDisplays"))
+                      .alias("Reliability"))
+
+
+CACHE_REL_SQL = lambda d0, d1: f"""(with c as (select event_type as event, props as event_details, cast(user_id as varchar) as display_id,
+  cast(cast(strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as timestamp) as date) as date from {q(d0, d1)}),
+ inst as (select cast(user_id as varchar) as display_id, date from {q(d0, d1)} where event_type = 'click' and value > 95),
+ t as (select date, count(distinct display_id) as n from c where event = 'view' and display_id != 'no-displayId' group by 1),
+ e as (select date, count(distinct display_id) as n from (select display_id, date from c where event = 'error'
+  and display_id != 'no-displayId' and event_details <> '{{"k": 0}}' and event_details not like '{{"k": 1_}}'
+  union all select display_id, date from inst) group by 1)
+ select t.date as total_date, t.n as totalNumberOfDisplays, coalesce(e.n, 0) as errorCount,
+  round((t.n - coalesce(e.n, 0)) / t.n, 6) as Reliability from t left join e on t.date = e.date)"""
 
 
 @query("R61_cache_daily_reliability", f"""
-select * from {CACHE_REL_SQL(W3_START, AS_OF)} union all select * from {CACHE_REL_SQL(None, W3_START)} where date < date '{W3_START}'""")
+select * from {CACHE_REL_SQL(YESTERDAY, AS_OF + D(days=1))} union all select * from {CACHE_REL_SQL(None, YESTERDAY)} where total_date < date '{YESTERDAY}'""")
 def r61(spark: SS, d: str) -> DataFrame:
+    """Cache reliability for yesterday and today, spliced over the stored days.  The
+    cache family keeps ``ts`` as text (schema registry); it is parsed at read."""
+    def cache(events: DataFrame) -> DataFrame:
+        c = conform(events.select(
+            F.col("event_type").alias("event"), F.col("props").alias("event_details"),
+            F.col("user_id").cast("string").alias("display_id"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts")), "cache_events_v2")
+        return c.withColumn("date", F.to_date(F.to_timestamp_ntz("ts")))
+
+    def restarts(events: DataFrame) -> DataFrame:
+        return events.where((F.col("event_type") == "click") & (F.col("value") > 95)) \
+            .select(F.col("user_id").cast("string").alias("display_id"), "date")
+
     e = ev(spark, d)
-    return splice_rollup(_cache_rel(cat.read_events(e, W3_START, YESTERDAY)),
-                         _cache_rel(e.where(F.col("ts") < cat.day_start(W3_START))), "date", W3_START)
+    # date bounds on the raw scan (pruning), before the text timestamps are parsed
+    recent, older = cat.read_events(e, YESTERDAY, AS_OF), e.where(F.col("ts") < cat.day_start(YESTERDAY))
+    fresh = _cache_rel(cache(recent), restarts(recent))
+    hist = _cache_rel(cache(older), restarts(older))
+    return splice_rollup(fresh, hist, "total_date", YESTERDAY)
 
 
 @query("R62_company_displays_mrr", f"""
