@@ -41,18 +41,21 @@ NOW = dt.datetime(2024, 1, 31)
 
 # =========================================================== R100-R101 active companies
 def activity(spark: SS, d: str) -> DataFrame:
-    """Company activity from four sources (display contact, login, subscription, purchase)."""
+    """Company activity from four sources (display contact, login, subscription,
+    purchase); company = the device's customer.  Only production, non-test
+    companies count: an existence-only join to that key set (J07, semi join)."""
     e = ev(spark, d)
-    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
     t = F.col("event_type")
     srcs = {"display_contact": t == "view", "login": t == "signup", "subscription": t == "purchase",
             "purchase": (t == "click") & (F.col("value") > 50)}
-    u = one_scan_union(e, srcs, ["user_id", "ts"], distinct=False)  # disjoint slices: UNION ALL
-    return u.join(c, u.user_id == c.c_custkey).select(F.col("c_nationkey").alias("companyId"), "ts")
+    u = one_scan_union(e, srcs, [F.col("user_id").alias("companyId"), "ts"], distinct=False)  # disjoint: UNION ALL
+    companies = tbl(spark, d, "customer", "c_custkey", "c_acctbal").where(F.col("c_acctbal") >= 0) \
+        .select(F.col("c_custkey").alias("companyId"))
+    return J.semi(u, companies, "companyId")
 
 
-ACTIVITY_SQL = """(select c.c_nationkey as companyId, a.ts from (select user_id, ts from events where event_type in ('view', 'signup', 'purchase')
- or (event_type = 'click' and value > 50)) a join customer c on c.c_custkey = a.user_id)"""
+ACTIVITY_SQL = """(select a.user_id as companyId, a.ts from (select user_id, ts from events where event_type in ('view', 'signup', 'purchase')
+ or (event_type = 'click' and value > 50)) a where a.user_id in (select c_custkey from customer where c_acctbal >= 0))"""
 
 
 @query("R100_weekly_active_companies", f"""
@@ -71,13 +74,13 @@ def r100(spark: SS, d: str) -> DataFrame:
 
 
 @query("R101_monthly_active_companies", """
-select distinct strftime(cast(date_trunc('month', ts) as date), '%b-%y') as month, cast(date_trunc('month', ts) as date) as startDate,
+select distinct strftime(cast(date_trunc('month', ts) as date) + interval 1 month - interval 1 microsecond, '%b-%y') as month, cast(date_trunc('month', ts) as date) as startDate,
  cast(date_trunc('month', ts) + interval 1 month as date) as endDate, companyId from """ + ACTIVITY_SQL + """
 where ts >= timestamp '2023-08-01'""")
 def r101(spark: SS, d: str) -> DataFrame:
     a = activity(spark, d).where(F.col("ts") >= cat.day_start("2023-08-01"))
     s, e = TU.period_bounds("ts", "MONTH")
-    return a.select(F.date_format(s, "MMM-yy").alias("month"), s.alias("startDate"), e.alias("endDate"),
+    return a.select(TU.period_label(s, "MONTH", "MMM-yy").alias("month"), s.alias("startDate"), e.alias("endDate"),
                     "companyId").distinct()
 
 
