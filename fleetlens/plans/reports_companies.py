@@ -397,22 +397,31 @@ REQ_SQL = lambda h: f"(select *, cast(nullif(regexp_extract(props, '(\\d+)', 1),
 
 
 @query("R120_load_one_minute_with_top_version", f"""
-with r as (select *, floor((epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 60000000)::bigint as idx from {REQ_SQL(10)}),
-agg as (select idx, round(sum(value), 6) as pending, cast(sum(k) as bigint) as megacycles, round(avg(value), 6) as latency, count(distinct k) as instances,
- count(distinct user_id) as displays, count(*) as requests, max(ts) as latest from r group by 1),
-v as (select idx, event_type as viewer_version, count(*) as n from r group by 1, 2),
-top as (select idx, viewer_version from (select *, rank() over (partition by idx order by n desc) as rk from v) where rk = 1)
-select agg.*, top.viewer_version from agg join top on top.idx = agg.idx""")
+with r as (select *, floor((epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 60000000)::bigint as one_minute_prior_interval_group
+ from {REQ_SQL(1)}),
+stats as (select one_minute_prior_interval_group, round(sum(coalesce(value, 0)), 6) as pending_time, max(ts) as latest_time_in_interval,
+ sum(k) / 1000 as gigacycles, round(sum(value), 6) as latency, count(distinct k) as instances,
+ count(distinct case when event_type = 'view' then user_id end) as display_count, count(*) as request_count from r group by 1),
+v as (select one_minute_prior_interval_group, cast(k // 10 as varchar) as viewer_version, count(*) as n from r where event_type = 'view' group by 1, 2),
+top as (select one_minute_prior_interval_group, viewer_version from (select *, rank() over (partition by one_minute_prior_interval_group
+ order by n desc) as rk from v) where rk = 1)
+select stats.*, top.viewer_version as noisiest_viewer from stats left join top using (one_minute_prior_interval_group)""")
 def r120(spark: SS, d: str) -> DataFrame:
-    r = _requests(spark, d, 10).withColumn("idx", TU.now_bucket("ts", NOW, 60_000_000))
-    agg = r.groupBy("idx").agg(r6(F.sum("value")).alias("pending"), F.sum("k").cast("long").alias("megacycles"),
-                               r6(F.avg("value")).alias("latency"), F.count_distinct("k").alias("instances"),
-                               F.count_distinct("user_id").alias("displays"), F.count(F.lit(1)).alias("requests"),
-                               F.max("ts").alias("latest"))
-    v = r.groupBy("idx", F.col("event_type").alias("viewer_version")).agg(F.count(F.lit(1)).alias("n"))
-    # per-interval partitions hold one row per version: bounded
-    top = v.withColumn("rk", F.rank().over(Window.partitionBy("idx").orderBy(F.col("n").desc()))).where("rk = 1")
-    return agg.join(top.select("idx", "viewer_version"), "idx")
+    """Last hour of requests per one-minute group before the evaluation time, with the
+    most frequent viewer version among display requests (ties kept, LEFT JOIN)."""
+    r = _requests(spark, d, 1).withColumn("one_minute_prior_interval_group", TU.now_bucket("ts", NOW, 60_000_000))
+    g = "one_minute_prior_interval_group"
+    stats = r.groupBy(g).agg(
+        r6(F.sum(F.coalesce("value", F.lit(0.0)))).alias("pending_time"), F.max("ts").alias("latest_time_in_interval"),
+        (F.sum("k") / 1000).alias("gigacycles"), r6(F.sum("value")).alias("latency"),
+        F.count_distinct("k").alias("instances"),
+        F.count_distinct(F.when(F.col("event_type") == "view", F.col("user_id"))).alias("display_count"),
+        F.count(F.lit(1)).alias("request_count"))
+    v = r.where(F.col("event_type") == "view").groupBy(g, F.floor(F.col("k") / 10).cast("string").alias("viewer_version")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    # per-group partitions hold one row per version: bounded
+    top = v.withColumn("rk", F.rank().over(Window.partitionBy(g).orderBy(F.col("n").desc()))).where("rk = 1")
+    return stats.join(top.select(g, F.col("viewer_version").alias("noisiest_viewer")), g, "left")
 
 
 @query("R120b_load_ten_minutes", f"""
