@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
@@ -147,3 +148,30 @@ def r124d(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d).where(F.col("ts") > TU.as_of_ts(dt.datetime(2024, 1, 31) - D(hours=1))).withColumn("k", k_col())
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("calls"), F.sum("k").cast("long").alias("cycles"),
                                     F.count_if(F.col("value") > 90).alias("loading_requests"))
+
+
+@query("R123c_core_client_noisy_display_counts", f"""
+with core as (select date, count(distinct user_id) as core_displays from {q(AS_OF - D(days=45), AS_OF)} where event_type = 'view' group by 1),
+clients as (select date, count(distinct user_id) as client_displays from (
+  select date, user_id from {q(AS_OF - D(days=45), AS_OF)} where event_type = 'click'
+  union all select date, user_id from {q(AS_OF - D(days=45), AS_OF)} where event_type = 'signup') group by 1),
+noise as (select date, count(*) as noisy_displays from (select date, user_id, count(*) as n from {q(AS_OF - D(days=45), AS_OF)}
+  where event_type = 'view' group by 1, 2 having count(*) > {K.NOISY_CALLS_PER_DAY}) group by 1)
+select core.date, core.core_displays, clients.client_displays, noise.noisy_displays
+from core left join clients on clients.date = core.date left join noise on noise.date = core.date""")
+def r123c(spark: SS, d: str) -> DataFrame:
+    """Per day over 45 days: displays calling the core (display requests), client
+    displays (two client event sources, unioned), and noisy displays (> 480
+    display requests).  One scan, one (day, display) aggregation; the view's left
+    joins give NULL for a day without clients or noisy displays (``nullif``)."""
+    e = cat.read_events(ev(spark, d), AS_OF - D(days=45), YESTERDAY)
+    view = F.col("event_type") == "view"
+    per = e.groupBy("date", "user_id").agg(
+        F.max(view.cast("int")).alias("core"), F.max(F.col("event_type").isin("click", "signup").cast("int")).alias("client"),
+        F.count_if(view).alias("requests"))
+    g = per.groupBy("date").agg(F.sum("core").cast("long").alias("core_displays"),
+                                F.sum("client").cast("long").alias("client_displays"),
+                                F.count_if(F.col("requests") > K.NOISY_CALLS_PER_DAY).alias("noisy_displays"))
+    return g.where(F.col("core_displays") > 0).select(
+        "date", "core_displays", F.nullif("client_displays", F.lit(0)).alias("client_displays"),
+        F.nullif("noisy_displays", F.lit(0)).alias("noisy_displays"))
