@@ -523,12 +523,22 @@ def r123b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R124_calls_per_display", f"""
-select date, count(*) filter (where event_type = 'view') as calls, count(distinct user_id) as displays,
- round(count(*) filter (where event_type = 'view') / count(distinct user_id), 6) as calls_per_display from {q()} group by 1""")
+select (year(ts) * 366 + dayofyear(ts))::bigint as day_of_year, month(ts)::bigint as month, day(ts)::bigint as day,
+ count(*) filter (where event_type = 'view') as viewer_calls,
+ count(distinct case when event_type = 'view' then user_id end) as display_count,
+ round(count(*) filter (where event_type = 'view') / count(distinct case when event_type = 'view' then user_id end), 6) as avg_calls_per_display
+from {q(AS_OF - D(days=91), AS_OF)} group by 1, 2, 3 having count(*) filter (where event_type = 'view') > 0""")
 def r124(spark: SS, d: str) -> DataFrame:
-    g = ev(spark, d).groupBy("date").agg(F.count_if(F.col("event_type") == "view").alias("calls"),
-                                         F.count_distinct("user_id").alias("displays"))
-    return g.withColumn("calls_per_display", r6(C.safe_ratio("calls", "displays")))
+    """Display-request calls per day over 91 days, distinct calling displays and the
+    average; the view's day key is year * 366 + day of year."""
+    e = cat.read_events(ev(spark, d), AS_OF - D(days=91), YESTERDAY)
+    view = F.col("event_type") == "view"
+    keys = [(F.year("ts") * 366 + F.dayofyear("ts")).cast("long").alias("day_of_year"),
+            F.month("ts").cast("long").alias("month"), F.dayofmonth("ts").cast("long").alias("day")]
+    g = e.groupBy(*keys).agg(F.count_if(view).alias("viewer_calls"),
+                             F.count_distinct(F.when(view, F.col("user_id"))).alias("display_count"))
+    return g.where(F.col("viewer_calls") > 0).withColumn(
+        "avg_calls_per_display", r6(C.safe_ratio("viewer_calls", "display_count")))
 
 
 @query("R124b_noisy_displays_today", f"""
