@@ -150,22 +150,20 @@ def r104(spark: SS, d: str) -> DataFrame:
                     F.datediff("first_purchase", "signup_date").cast("long").alias("days_to_purchase"))
 
 
+# Binding: registration = 'signup', company creation = 'purchase', the one host = tags below 90.
 @query("R105_signups_daily", f"""
-select e.date, count(distinct case when e.event_type = 'signup' then e.user_id end) as users_registered,
- count(distinct case when e.event_type = 'signup' then c.c_nationkey end) as companies_created,
- count(*) filter (where e.event_type = 'click') as host_events
-from {q(AS_OF - D(days=365), AS_OF)} e left join customer c on c.c_custkey = e.user_id group by 1""")
+select date as date_ts, sum(case when event_type = 'signup' then 1 else 0 end)::bigint as cnt_user_registered,
+ sum(case when event_type = 'purchase' then 1 else 0 end)::bigint as cnt_company_created, count(event_type) as total
+from {q(AS_OF - D(days=366), AS_OF + D(days=1))} where event_type in ('signup', 'purchase') and k < 90 group by 1""")
 def r105(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), AS_OF - D(days=365), YESTERDAY)
-    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
-    x = e.join(c, e.user_id == c.c_custkey, "left")
-    su = F.col("event_type") == "signup"
-    a = distinct_counts(x, "date", "user_id", {"users_registered": su})
-    b = distinct_counts(x, "date", "c_nationkey", {"companies_created": su})
-    h = x.groupBy("date").agg(F.count_if(F.col("event_type") == "click").alias("host_events"))
-    return h.join(a, "date", "left").join(b, "date", "left").select(
-        "date", F.coalesce("users_registered", F.lit(0)).alias("users_registered"),
-        F.coalesce("companies_created", F.lit(0)).alias("companies_created"), "host_events")
+    """Sign-up events per day over the last year for one host: registrations, company
+    creations and both together (event counts, not distinct users)."""
+    e = cat.read_events(ev(spark, d), AS_OF - D(days=366), AS_OF)
+    e = e.where(F.col("event_type").isin("signup", "purchase") & (k_col() < 90))
+    return e.groupBy(F.col("date").alias("date_ts")).agg(
+        F.sum(F.when(F.col("event_type") == "signup", 1).otherwise(0)).cast("long").alias("cnt_user_registered"),
+        F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).cast("long").alias("cnt_company_created"),
+        F.count("event_type").alias("total"))
 
 
 @query("R106_subscription_changes", """
