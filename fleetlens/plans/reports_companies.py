@@ -25,7 +25,7 @@ from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.nested import snapshot_diff
-from fleetlens.operators.reliability import distinct_counts, funnel
+from fleetlens.operators.reliability import funnel
 from fleetlens.operators.rollup import one_scan_union, splice_rollup
 from fleetlens.plans.dataflow import r08
 from fleetlens.plans.registry import query
