@@ -55,16 +55,17 @@ def _naive_forms(spark, d):
         return reduce(lambda a, b: a.join(b, "date", "left"), parts, tot)
 
     def r34():
-        from fleetlens.plans.reports import W7_START
-        from fleetlens.plans.tables import YESTERDAY
+        from fleetlens.plans.reports import SCHEDULE_ERROR_SQL, W8_START
+        from fleetlens.plans.tables import AS_OF
         from fleetlens.sources import catalog as cat
 
         def one(cond, name):
-            return cat.read_events(e(), W7_START, YESTERDAY).where(F.expr(cond)) \
+            return cat.read_events(e(), W8_START, AS_OF).where(F.expr(cond)) \
                 .agg(F.count_distinct("user_id").alias(name))
-        parts = [one("true", "active_schedules"), one("event_type = 'error'", "failing_schedules")]
+        parts = [one("true", "activeSharedSchedules"), one(SCHEDULE_ERROR_SQL, "sharedScheduleErrors")]
         for c in COMPONENTS:
-            parts += [one(f"event_type = '{c}'", f"{c}_usage"), one(f"event_type = '{c}' and value > 90", f"{c}_errors")]
+            parts += [one(f"event_type = '{c}'", f"{c}Usage"),
+                      one(f"event_type = '{c}' and {SCHEDULE_ERROR_SQL}", f"{c}Errors")]
         return reduce(lambda a, b: a.crossJoin(b), parts)
 
     def r122():

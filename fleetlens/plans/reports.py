@@ -369,24 +369,38 @@ def r33b(spark: SS, d: str) -> DataFrame:
     return x.groupBy("date", "component_type").agg(*_uptime_aggs())
 
 
+SCHEDULE_ERROR_SQL = "value > 90"   # binding: an error row of a widget table
+W8_START = AS_OF - D(days=7)         # suffixes from 7 days ago through today
+
+
+def _uptime(usage: str, errors: str) -> Column:
+    return F.when(F.col(usage) > 0, r6((F.col(usage) - F.col(errors)) / F.col(usage)))
+
+
 @query("R34_shared_schedule_uptime_wide", f"""
-with x as (select * from {q(W7_START, AS_OF)})
-select count(distinct user_id) as active_schedules,
- count(distinct case when event_type = 'error' then user_id end) as failing_schedules,
- {', '.join(f"count(distinct case when event_type = '{t}' then user_id end) as {t}_usage, count(distinct case when event_type = '{t}' and value > 90 then user_id end) as {t}_errors, round(1 - count(distinct case when event_type = '{t}' and value > 90 then user_id end) / nullif(count(distinct case when event_type = '{t}' then user_id end), 0), 6) as {t}_uptime" for t in COMPONENTS)}
-from x""")
+with x as (select * from {q(W8_START, AS_OF + D(days=1))} where user_id is not null),
+a as (select count(distinct user_id) as activeSharedSchedules,
+ count(distinct case when {SCHEDULE_ERROR_SQL} then user_id end) as sharedScheduleErrors,
+ {', '.join(f"count(distinct case when event_type = '{t}' then user_id end) as {t}Usage, count(distinct case when event_type = '{t}' and {SCHEDULE_ERROR_SQL} then user_id end) as {t}Errors" for t in COMPONENTS)}
+ from x)
+select case when activeSharedSchedules > 0 then round((activeSharedSchedules - sharedScheduleErrors) / activeSharedSchedules, 6) end as sharedScheduleUptime,
+ {', '.join(f"case when {t}Usage > 0 then round(({t}Usage - {t}Errors) / {t}Usage, 6) end as {t}Uptime, {t}Usage, {t}Errors" for t in COMPONENTS)}
+from a""")
 def r34(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY).withColumn("all", F.lit(1))
-    t = F.col("event_type")
-    flags = {"active_schedules": F.lit(True), "failing_schedules": t == "error"}
+    """Shared-schedule KPI row over the widget tables (one per event kind): distinct
+    schedules using / failing each, the union of all as the overall figures, uptimes.
+    The view's 28 scans (instances and errors per table) are one scan here, and
+    the unions distinct are distinct counts over the same rows."""
+    e = cat.read_events(ev(spark, d), W8_START, AS_OF).where(F.col("user_id").isNotNull()).withColumn("all", F.lit(1))
+    t, err = F.col("event_type"), F.expr(SCHEDULE_ERROR_SQL)
+    flags = {"activeSharedSchedules": F.lit(True), "sharedScheduleErrors": err}
     for c in COMPONENTS:
-        flags[f"{c}_usage"] = t == c
-        flags[f"{c}_errors"] = (t == c) & (F.col("value") > 90)
+        flags[f"{c}Usage"] = t == c
+        flags[f"{c}Errors"] = (t == c) & err
     wide = distinct_counts(e, "all", "user_id", flags)  # one scan, one row
-    out = [F.col("active_schedules"), F.col("failing_schedules")]
+    out = [_uptime("activeSharedSchedules", "sharedScheduleErrors").alias("sharedScheduleUptime")]
     for c in COMPONENTS:
-        out += [F.col(f"{c}_usage"), F.col(f"{c}_errors"),
-                r6(1 - C.safe_ratio(f"{c}_errors", f"{c}_usage")).alias(f"{c}_uptime")]
+        out += [_uptime(f"{c}Usage", f"{c}Errors").alias(f"{c}Uptime"), F.col(f"{c}Usage"), F.col(f"{c}Errors")]
     return wide.select(*out)
 
 
