@@ -231,17 +231,40 @@ def r77(spark: SS, d: str) -> DataFrame:
 
 
 UNGRACEFUL = "(event_type = 'signup' and value >= 30)"
+# Binding (R78): ungraceful startups = signups whose payload is not the graceful tag
+# band 1x, plus watchdog restarts (errors above 95); installer version text = '20' + 2-digit k.
+RESTARTS_SQL = "((event_type = 'signup' and props not like '%\"k\": 1_}') or (event_type = 'error' and value > 95))"
+INSTALLER_VERSION_SQL = "'20' || lpad(cast(k as varchar), 2, '0')"
+
+
+def _multi_unreliable(e: DataFrame) -> DataFrame:
+    x = e.withColumn("k", k_col())
+    restarts = (((F.col("event_type") == "signup") & C.not_like("props", '%"k": 1_}'))
+                | ((F.col("event_type") == "error") & (F.col("value") > 95)))
+    installer_v3 = F.col("event_type").isin("signup", "purchase") & \
+        (F.concat(F.lit("20"), F.lpad(F.col("k").cast("string"), 2, "0")) > F.lit("2015"))  # text compare
+    per = x.where(F.col("user_id").isNotNull()).groupBy("date", "user_id").agg(
+        F.count_if(restarts).alias("startupCount"), F.max(installer_v3.cast("int")).alias("v3"))
+    return per.where((F.col("v3") == 1) & (F.col("startupCount") > 2)).groupBy(F.col("date").alias("ddate")) \
+        .agg(F.count(F.lit(1)).alias("ungracefulMultiStartRecentDisplayCount"))
+
+
+MULTI_SQL = lambda d0, d1: f"""(with x as (select * from {q(d0, d1)} where user_id is not null),
+ s as (select date, user_id, count(*) as startupCount from x where {RESTARTS_SQL} group by 1, 2),
+ v as (select distinct date, user_id from x where event_type in ('signup', 'purchase') and {INSTALLER_VERSION_SQL} > '2015')
+ select s.date as ddate, count(distinct s.user_id) as ungracefulMultiStartRecentDisplayCount
+ from s left join v on v.date = s.date and v.user_id = s.user_id where v.date is not null and s.startupCount > 2 group by 1)"""
 
 
 @query("R78_multiple_unreliable_starts", f"""
-with per as (select date, user_id, count(*) filter (where {UNGRACEFUL}) as ungraceful,
- max(case when event_type = 'signup' and k >= 50 then 1 else 0 end) as v3 from {q()} group by 1, 2)
-select date, count(*) as displays from per where ungraceful > 2 and v3 = 1 group by 1""")
+select * from {MULTI_SQL(W3_START, AS_OF)} union all select * from {MULTI_SQL(None, W3_START)} where ddate < date '{W3_START}'""")
 def r78(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d).withColumn("k", k_col())
-    per = e.groupBy("date", "user_id").agg(F.count_if(F.expr(UNGRACEFUL)).alias("ungraceful"),
-                                           F.max(F.expr("event_type = 'signup' and k >= 50").cast("int")).alias("v3"))
-    return per.where((F.col("ungraceful") > 2) & (F.col("v3") == 1)).groupBy("date").agg(F.count(F.lit(1)).alias("displays"))
+    """Displays per day with more than two ungraceful startups (two event families)
+    that also ran a v3 installer that day; last 3 days spliced over history.  One
+    (day, display) aggregation instead of the two scans and the left join."""
+    e = ev(spark, d)
+    return splice_rollup(_multi_unreliable(cat.read_events(e, W3_START, YESTERDAY)),
+                         _multi_unreliable(e.where(F.col("ts") < cat.day_start(W3_START))), "ddate", W3_START)
 
 
 @query("R78b_consistently_ungraceful_displays", f"""
