@@ -57,8 +57,8 @@ def r35b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R76c_weekly_metrics_fixed_fleet", f"""
-select year(e.ts)::bigint as year, {LWEEK_SQL.replace('ts', 'e.ts')} as week, {METRICS_SQL.replace('user_id', 'e.user_id').replace('value', 'e.value').replace('avg(k)', 'avg(e.k)')}
-from {q()} e where e.user_id in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by 1, 2""")
+select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL}
+from {q()} where user_id in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by 1, 2""")
 def r76c(spark: SS, d: str) -> DataFrame:
     fleet = tbl(spark, d, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment") == "BUILDING") \
         .select(F.col("c_custkey").alias("user_id"))

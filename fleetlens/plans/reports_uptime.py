@@ -172,17 +172,21 @@ def r75(spark: SS, d: str) -> DataFrame:
 
 
 def _metrics(e: DataFrame) -> DataFrame:
-    return e.withColumn("year", F.year("ts").cast("long")).withColumn("week", TU.legacy_week("ts")) \
-        .withColumn("cpu", F.col("value")).withColumn("memory", k_col().cast("double")) \
-        .withColumn("free_disk", F.col("value") / 10)
+    """System metrics binding: cpu_usage = value / 100, memory_usage = k / 100 (fractions),
+    free_disk = value * 1024 (MB); rows missing a metric are dropped as in the view."""
+    m = e.withColumn("year", F.year("ts").cast("long")).withColumn("week", TU.legacy_week("ts")) \
+        .withColumn("cpu_usage", F.col("value") / 100).withColumn("memory_usage", k_col() / 100) \
+        .withColumn("free_disk", F.col("value") * 1024)
+    return m.where(F.col("cpu_usage").isNotNull() & F.col("memory_usage").isNotNull() & F.col("free_disk").isNotNull())
 
 
 def _metric_aggs() -> list[Column]:
-    return [F.count_distinct("user_id").alias("displays"), F.round(F.avg("cpu"), 2).alias("cpu"),
-            F.round(F.avg("memory"), 2).alias("memory"), F.round(F.avg("free_disk"), 2).alias("free_disk")]
+    return [F.count_distinct("user_id").alias("count"), F.round(F.avg("cpu_usage") * 100).alias("avgCPUUsage"),
+            F.round(F.avg("memory_usage") * 100).alias("avgMemUsage"), F.round(F.avg("free_disk") / 1024).alias("freeDiskGB")]
 
 
-METRICS_SQL = "count(distinct user_id) as displays, round(avg(value), 2) as cpu, round(avg(k), 2) as memory, round(avg(value / 10), 2) as free_disk"
+METRICS_SQL = ("count(distinct user_id) as count, round(avg(value / 100) * 100) as avgCPUUsage, "
+               "round(avg(k / 100) * 100) as avgMemUsage, round(avg(value * 1024) / 1024) as freeDiskGB")
 LWEEK_SQL = "(floor((dayofyear(ts) + dayofweek(date_trunc('year', ts)) + 1 - 2) / 7) + 1)::bigint"
 
 
@@ -288,16 +292,30 @@ def r78b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R79_restart_reliability_12_day_periods", f"""
-select floor(datediff('day', date, date '{AS_OF}') / 12)::bigint as period, count(*) filter (where event_type = 'purchase') as restarts,
- count(distinct user_id) as displays, round(count(*) filter (where event_type = 'purchase') / count(distinct user_id), 6) as per_display,
- cast(date '{AS_OF}' - interval (12 * floor(datediff('day', date, date '{AS_OF}') / 12)::bigint) day as date) as period_date
-from {q(AS_OF - D(days=365), AS_OF)} group by 1, 5""")
+with u as (select event_type as successful_restart, null::bigint as display_id,
+  floor(datediff('day', date, date '{AS_OF}') / 12)::bigint as periods_ago from {q(AS_OF - D(days=365), AS_OF)}
+  where event_type = 'signup' and value >= 10 and value < 30
+ union all select null, user_id, floor(datediff('day', date, date '{AS_OF}') / 12)::bigint from {q(AS_OF - D(days=365), AS_OF)}
+  where event_type = 'view')
+select count(successful_restart) as successful_restart_count, count(distinct display_id) as display_count,
+ round(count(successful_restart) / count(distinct display_id), 6) as reliable_percentage,
+ timestamp '{AS_OF}' - to_days(12 * periods_ago) as period
+from u group by periods_ago""")
 def r79(spark: SS, d: str) -> DataFrame:
+    """Restart reliability per 12-day period over a year: successful restarts (startups
+    from restart) against distinct displays calling the core, from the two sources
+    unioned by name (legacy comma union)."""
     e = cat.read_events(ev(spark, d), AS_OF - D(days=365), YESTERDAY)
-    g = e.groupBy(TU.day_period("ts", AS_OF, 12).alias("period")).agg(
-        F.count_if(F.col("event_type") == "purchase").alias("restarts"), F.count_distinct("user_id").alias("displays"))
-    return g.select("period", "restarts", "displays", r6(C.safe_ratio("restarts", "displays")).alias("per_display"),
-                    F.date_sub(TU.as_of_date(AS_OF), (F.col("period") * 12).cast("int")).alias("period_date"))
+    periods = TU.day_period("ts", AS_OF, 12).alias("periods_ago")
+    restarts = e.where((F.col("event_type") == "signup") & (F.col("value") >= 10) & (F.col("value") < 30)) \
+        .select(F.col("event_type").alias("successful_restart"), periods)
+    calls = e.where(F.col("event_type") == "view").select(F.col("user_id").alias("display_id"), periods)
+    u = restarts.unionByName(calls, allowMissingColumns=True)
+    g = u.groupBy("periods_ago").agg(F.count("successful_restart").alias("successful_restart_count"),
+                                     F.count_distinct("display_id").alias("display_count"))
+    return g.select("successful_restart_count", "display_count",
+                    r6(C.safe_ratio("successful_restart_count", "display_count")).alias("reliable_percentage"),
+                    F.timestamp_add("DAY", -12 * F.col("periods_ago"), TU.as_of_ts(AS_OF)).alias("period"))
 
 
 # =========================================================== R80-R84 uptime
