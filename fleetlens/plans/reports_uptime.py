@@ -21,7 +21,7 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, interval_uptime
 from fleetlens.operators.rollup import splice_rollup
-from fleetlens.plans.dataflow import ENRICHED_SQL, _enriched
+from fleetlens.plans.dataflow import BETA_LIKE, ENRICHED_SQL, _enriched
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports import W3_START, W5_START, W7_START, ev, k_col, q
 from fleetlens.plans.reports_devices import OS_SQL, os_of
@@ -127,18 +127,34 @@ def r73(spark: SS, d: str) -> DataFrame:
     return manifest.select(F.explode("modules").alias("m")).select("m.name", "m.version")
 
 
-def _update_freq(e: DataFrame) -> DataFrame:
-    g = e.groupBy("date").agg(F.count_if(F.col("event_type") == "purchase").alias("updates"),
-                              F.count_distinct("user_id").alias("displays"),
-                              F.count_distinct(F.when(F.col("event_type") == "purchase", F.col("user_id"))).alias("updated"))
-    return g.select("date", "updates", "displays", r6(C.safe_ratio("updates", "displays")).alias("updates_per_display"),
-                    r6(C.safe_ratio("updated", "displays")).alias("share_with_update"))
-
-
-UPD_SQL = lambda d0, d1: f"""(select date, count(*) filter (where event_type = 'purchase') as updates, count(distinct user_id) as displays,
- round(count(*) filter (where event_type = 'purchase') / count(distinct user_id), 6) as updates_per_display,
- round(count(distinct case when event_type = 'purchase' then user_id end) / count(distinct user_id), 6) as share_with_update
- from {q(d0, d1)} group by 1)"""
+# Binding (R74): installer family = signup / purchase, player family = view / click
+# (both non-beta), local-storage events = errors; an update event = value above 75.
+UPDATE_SQL = "value > 75"
+
+
+def _update_freq(w: DataFrame) -> DataFrame:
+    """Content updates per display and day: update events of the two player families
+    and of local storage (for displays seen by either family), over the displays
+    seen by the families; days need both (inner join)."""
+    nonbeta = C.not_like("props", BETA_LIKE)
+    ent = w.where(nonbeta & F.col("event_type").isin("signup", "purchase", "view", "click"))
+    local = J.semi(w.where(F.col("event_type") == "error"), ent.select("user_id").distinct(), "user_id")
+    upd = ent.select("date", "value").unionByName(local.select("date", "value")).where(F.expr(UPDATE_SQL))
+    total = upd.groupBy("date").agg(F.count(F.lit(1)).alias("total_updates"))
+    disp = ent.groupBy("date").agg(F.count_distinct("user_id").alias("display_count"))
+    j = total.join(disp, "date")
+    return j.select("date", "total_updates", "display_count",
+                    r6(C.safe_ratio("total_updates", "display_count")).alias("updates_per_display"))
+
+
+UPD_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
+ ent as (select * from w where props not like '{BETA_LIKE}' and event_type in ('signup', 'purchase', 'view', 'click')),
+ local as (select * from w where event_type = 'error' and user_id in (select user_id from ent)),
+ t as (select date, count(*) as total_updates from (select date, value from ent union all select date, value from local)
+  where {UPDATE_SQL} group by 1),
+ dsp as (select date, count(distinct user_id) as display_count from ent group by 1)
+ select t.date, t.total_updates, dsp.display_count, round(t.total_updates / dsp.display_count, 6) as updates_per_display
+ from t join dsp on t.date = dsp.date)"""
 
 
 @query("R74_content_update_frequency", f"""
