@@ -132,16 +132,23 @@ def r73(spark: SS, d: str) -> DataFrame:
 UPDATE_SQL = "value > 75"
 
 
-def _update_freq(w: DataFrame) -> DataFrame:
+def _update_freq(w: DataFrame, *, displays: bool = False) -> DataFrame:
     """Content updates per display and day: update events of the two player families
     and of local storage (for displays seen by either family), over the displays
-    seen by the families; days need both (inner join)."""
+    seen by the families; days need both (inner join).  ``displays`` counts the
+    distinct updated displays instead of the update events (second view)."""
     nonbeta = C.not_like("props", BETA_LIKE)
     ent = w.where(nonbeta & F.col("event_type").isin("signup", "purchase", "view", "click"))
     local = J.semi(w.where(F.col("event_type") == "error"), ent.select("user_id").distinct(), "user_id")
-    upd = ent.select("date", "value").unionByName(local.select("date", "value")).where(F.expr(UPDATE_SQL))
-    total = upd.groupBy("date").agg(F.count(F.lit(1)).alias("total_updates"))
+    upd = ent.select("date", "user_id", "value").unionByName(local.select("date", "user_id", "value")) \
+        .where(F.expr(UPDATE_SQL))
     disp = ent.groupBy("date").agg(F.count_distinct("user_id").alias("display_count"))
+    if displays:
+        total = upd.groupBy("date").agg(F.count_distinct("user_id").alias("updated_count"))
+        return total.join(disp, "date").select(
+            "date", "updated_count", "display_count",
+            r6(C.safe_ratio("updated_count", "display_count")).alias("displays_with_update_per_day"))
+    total = upd.groupBy("date").agg(F.count(F.lit(1)).alias("total_updates"))
     j = total.join(disp, "date")
     return j.select("date", "total_updates", "display_count",
                     r6(C.safe_ratio("total_updates", "display_count")).alias("updates_per_display"))
@@ -165,6 +172,24 @@ def r74(spark: SS, d: str) -> DataFrame:
                          _update_freq(e.where(F.col("ts") < cat.day_start(W3_START))), "date", W3_START)
 
 
+UPD_DISPLAYS_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
+ ent as (select * from w where props not like '{BETA_LIKE}' and event_type in ('signup', 'purchase', 'view', 'click')),
+ local as (select * from w where event_type = 'error' and user_id in (select user_id from ent)),
+ t as (select date, count(distinct user_id) as updated_count from (select date, user_id, value from ent
+  union all select date, user_id, value from local) where {UPDATE_SQL} group by 1),
+ dsp as (select date, count(distinct user_id) as display_count from ent group by 1)
+ select t.date, t.updated_count, dsp.display_count, round(t.updated_count / dsp.display_count, 6) as displays_with_update_per_day
+ from t join dsp on t.date = dsp.date)"""
+
+
+@query("R74b_content_displays_with_update", f"""
+select * from {UPD_DISPLAYS_SQL(W3_START, AS_OF)} union all select * from {UPD_DISPLAYS_SQL(None, W3_START)} where date < date '{W3_START}'""")
+def r74b(spark: SS, d: str) -> DataFrame:
+    e = ev(spark, d)
+    return splice_rollup(_update_freq(cat.read_events(e, W3_START, YESTERDAY), displays=True),
+                         _update_freq(e.where(F.col("ts") < cat.day_start(W3_START)), displays=True), "date", W3_START)
+
+
 @query("R75_daily_monthly_active_ratio", f"""
 with u as (select distinct e.date, c.c_nationkey as company from {q()} e join customer c on c.c_custkey = e.user_id
  where e.event_type = 'purchase'),
