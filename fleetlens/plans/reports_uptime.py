@@ -367,38 +367,51 @@ def r80(spark: SS, d: str) -> DataFrame:
 
 
 def uptime_with_whitescreen(e: DataFrame) -> DataFrame:
-    """Per uptime sample 0/1 showing, connected and white screen (scheduled only)."""
-    s = e.where(F.col("event_type").isin("view", "click")).select("event_id", "user_id", "ts", "date", "value",
-                                                                  k_col().alias("k"))
-    errs = e.where(F.col("event_type") == "error").select("user_id", "ts")
-    n = J.lookback_count(s, errs, "user_id", LOOKBACK_S, name="__ws")
+    """Scheduled uptime samples of the past 7 days with 0/1 showing, connected
+    and white screen.  White screens come from two sources (union all); the
+    lookback left join's fan-out is kept (Z15): a sample appears once per white
+    screen in its window -- reproduced from the match count, never from pairs."""
+    w = cat.read_partition_time(e, AS_OF - D(days=7), AS_OF)
+    s = w.where(F.col("event_type").isin("view", "click") & (k_col() < 80)) \
+        .select("event_id", "user_id", "ts", "date", "value")
+    ws = w.where((F.col("event_type") == "error") & (F.col("value") > 50)).select("user_id", "ts") \
+        .unionByName(w.where((F.col("event_type") == "click") & (F.col("value") < 5)).select("user_id", "ts"))
+    n = J.expand_matches(J.lookback_count(s, ws, "user_id", LOOKBACK_S, name="__ws"), "__ws")
     return n.select("event_id", "user_id", "ts", "date",
                     (F.col("value") > 20).cast("int").alias("showingContent"),
                     (F.col("value") < 95).cast("int").alias("connectedToMS"),
-                    ((F.col("k") < 80) & (F.col("__ws") > 0)).cast("int").alias("whitescreenDetected"))
+                    (F.col("__ws") > 0).cast("int").alias("whitescreenDetected"))
 
 
-UPTIME_WS_SQL = f"""(select s.event_id, s.user_id, s.ts, s.date, (s.value > 20)::int as showingContent, (s.value < 95)::int as connectedToMS,
- (s.k < 80 and exists (select 1 from events e where e.event_type = 'error' and e.user_id = s.user_id and e.ts <= s.ts
-  and e.ts > s.ts - interval 6 hour))::int as whitescreenDetected
- from {q()} s where s.event_type in ('view', 'click'))"""
+UPTIME_WS_SQL = f"""(with w as (select * from {q(AS_OF - D(days=7), AS_OF)}),
+ s as (select * from w where event_type in ('view', 'click') and k < 80),
+ ws as (select user_id, ts from w where event_type = 'error' and value > 50
+        union all select user_id, ts from w where event_type = 'click' and value < 5)
+ select s.event_id, s.user_id, s.ts, s.date, (s.value > 20)::int as showingContent, (s.value < 95)::int as connectedToMS,
+  case when ws.user_id is not null then 1 else 0 end as whitescreenDetected
+ from s left join ws on ws.ts <= s.ts and ws.ts > s.ts - interval 6 hour and ws.user_id = s.user_id)"""
 
 
-@query("R81_uptime_with_whitescreen", f"select * from {UPTIME_WS_SQL}")
+@query("R81_uptime_with_whitescreen", f"select ts, user_id as display_id, showingContent, connectedToMS, whitescreenDetected from {UPTIME_WS_SQL}")
 def r81(spark: SS, d: str) -> DataFrame:
-    return uptime_with_whitescreen(ev(spark, d))
+    u = uptime_with_whitescreen(ev(spark, d))
+    return u.select("ts", F.col("user_id").alias("display_id"), "showingContent", "connectedToMS", "whitescreenDetected")
 
 
 @query("R81b_average_uptime_pct", f"""
-select date, round(avg(showingContent) * 100, 6) as showing_pct, round(avg(connectedToMS) * 100, 6) as connected_pct,
- round(avg(case when showingContent = 1 and whitescreenDetected = 0 then 1 else 0 end) * 100, 6) as uptime_pct
+select date, round(sum(case when showingContent = 1 and connectedToMS = 1 and whitescreenDetected = 0 then 1 else 0 end) / count(ts), 6) as average_uptime_pct,
+ round(sum(showingContent) / count(ts), 6) as rendererPct, round(sum(connectedToMS) / count(ts), 6) as networkPct,
+ round(1 - sum(whitescreenDetected) / count(ts), 6) as whitescreenPct
 from {UPTIME_WS_SQL} group by 1""")
 def r81b(spark: SS, d: str) -> DataFrame:
+    """Per day over the (fanned-out) samples: uptime, renderer, network and white-screen-free shares."""
     u = uptime_with_whitescreen(ev(spark, d))
-    ok = ((F.col("showingContent") == 1) & (F.col("whitescreenDetected") == 0)).cast("int")
-    return u.groupBy("date").agg(r6(F.avg("showingContent") * 100).alias("showing_pct"),
-                                 r6(F.avg("connectedToMS") * 100).alias("connected_pct"),
-                                 r6(F.avg(ok) * 100).alias("uptime_pct"))
+    ok = ((F.col("showingContent") == 1) & (F.col("connectedToMS") == 1) & (F.col("whitescreenDetected") == 0)).cast("int")
+    n = F.count("ts")
+    return u.groupBy("date").agg(r6(F.sum(ok) / n).alias("average_uptime_pct"),
+                                 r6(F.sum("showingContent") / n).alias("rendererPct"),
+                                 r6(F.sum("connectedToMS") / n).alias("networkPct"),
+                                 r6(1 - F.sum("whitescreenDetected") / n).alias("whitescreenPct"))
 
 
 DISPLAY_UPTIME_SQL = f"""(select date, user_id, count(*) as samples,
