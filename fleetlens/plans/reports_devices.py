@@ -372,16 +372,30 @@ def r55(spark: SS, d: str) -> DataFrame:
                                                F.round("secs", 3).alias("avg_install_secs"))
 
 
-def _install_funnel(e: DataFrame) -> DataFrame:
-    starts = e.where(F.col("event_type") == "signup").select("user_id", "date")
-    done = J.semi(e.where(F.col("event_type") == "purchase").select("user_id", "date"), starts, ["user_id", "date"])
-    both = starts.withColumn("s", F.lit(True)).unionByName(done.withColumn("s", F.lit(False)))
-    return distinct_counts(both, "date", "user_id", {"started": F.col("s"), "completed": ~F.col("s")})
-
-
-FUNNEL_SQL = lambda d0, d1: f"""(select s.date, count(distinct s.user_id) as started, count(distinct c.user_id) as completed
- from (select distinct user_id, date from {q(d0, d1)} where event_type = 'signup') s left join
- (select distinct user_id, date from {q(d0, d1)} where event_type = 'purchase') c on c.user_id = s.user_id and c.date = s.date group by 1)"""
+def _install_funnel(w: DataFrame) -> DataFrame:
+    """R56 for one window: displays beginning an install ('signup') and, of those
+    display-days, the ones completing it ('purchase'), both on the current
+    installer release line (scalar subquery).  Completions stay NULL on a day
+    without any (left join).  The view's temporary-id filter (ids like '0.%')
+    has no counterpart on integer device ids and is not bound."""
+    x = w.where(F.col("event_type").isin("signup", "purchase")).withColumn("line", F.floor(k_col() / 10))
+    cur = x.where(F.col("event_type") == "signup").agg(F.max("line").alias("__cur"))  # one row
+    onv = x.crossJoin(F.broadcast(cur)).where(F.col("line") == F.col("__cur"))
+    keys = ["user_id", "date"]
+    starts = onv.where(F.col("event_type") == "signup").select(*keys)
+    done = J.semi(onv.where(F.col("event_type") == "purchase").select(*keys), starts, keys)
+    rows = starts.withColumn("s", F.lit(True)).unionByName(done.withColumn("s", F.lit(False)))
+    c = distinct_counts(rows, "date", "user_id", {"starts": F.col("s"), "completions": ~F.col("s")})
+    return c.where(F.col("starts") > 0).select("date", "starts", F.nullif("completions", F.lit(0)).alias("completions"))
+
+
+FUNNEL_SQL = lambda d0, d1: f"""(with x as (select *, k // 10 as line from {q(d0, d1)} where event_type in ('signup', 'purchase')),
+ onv as (select * from x where line = (select max(line) from x where event_type = 'signup')),
+ s as (select distinct user_id, date from onv where event_type = 'signup'),
+ a as (select date, count(distinct user_id) as starts from s group by 1),
+ b as (select c.date, count(distinct c.user_id) as completions from onv c where c.event_type = 'purchase'
+       and exists (select 1 from s where s.user_id = c.user_id and s.date = c.date) group by 1)
+ select a.date, a.starts, b.completions from a left join b on a.date = b.date)"""
 
 
 @query("R56_install_funnel", f"""
