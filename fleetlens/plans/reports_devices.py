@@ -351,25 +351,40 @@ def r54b(spark: SS, d: str) -> DataFrame:
     return tot.join(w, "date").select("date", "total", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cats])
 
 
+# Binding (R55): installer download = 'click' with value > 50; started / beginning
+# install = 'signup'; install complete = 'purchase'.
 @query("R55_installer_metrics", f"""
-with se as (select event_id, user_id, ts, date, event_type from {q()} where event_type in ('signup', 'purchase')),
+with dl as (select date, count(*) as download_count from {q(AS_OF - D(days=366), AS_OF)}
+  where event_type = 'click' and value > 50 group by 1),
+se as (select event_id, user_id, ts, date, event_type from {q(AS_OF - D(days=31), AS_OF)} where event_type in ('signup', 'purchase')),
 n as (select *, lead(event_type) over w as nt, lead(ts) over w as nts from se window w as (partition by user_id order by ts, event_id)),
-dur as (select date, avg((epoch_us(nts) - epoch_us(ts)) / 1e6) as secs from n where event_type = 'signup' and nt = 'purchase' group by 1),
-sc as (select date, count(*) filter (where event_type = 'signup') as starts, count(*) filter (where event_type = 'purchase') as completions,
- count(*) filter (where event_type = 'click' and value > 50) as downloads from {q()} group by 1)
-select sc.date, sc.downloads, sc.starts, sc.completions, round(dur.secs, 3) as avg_install_secs from sc left join dur on sc.date = dur.date""")
+dur as (select date, avg(case when event_type = 'signup' and nt = 'purchase' then (epoch_us(nts) - epoch_us(ts)) / 1e6 end) as d
+  from n group by 1),
+st as (select date, count(distinct user_id) as starts from {q(AS_OF - D(days=366), AS_OF)} where event_type = 'signup' group by 1),
+co as (select date, count(distinct user_id) as completions from {q(AS_OF - D(days=366), AS_OF)} where event_type = 'purchase' group by 1),
+sc as (select st.date, st.starts, co.completions from st left join co on co.date = st.date)
+select dl.date, dl.download_count, round(dur.d, 6) as avg_duration_seconds, sc.starts, sc.completions
+from dl left join dur on dur.date = dl.date left join sc on sc.date = dl.date""")
 def r55(spark: SS, d: str) -> DataFrame:
+    """Installer metrics per day: downloads, mean install duration (start to the
+    display's next event when that is a completion), displays starting and
+    completing installs; all left-joined onto the download days."""
     e = ev(spark, d)
-    se = e.where(F.col("event_type").isin("signup", "purchase")).select("event_id", "user_id", "ts", "date", "event_type")
+    year = cat.read_events(e, AS_OF - D(days=366), YESTERDAY)
+    dl = year.where((F.col("event_type") == "click") & (F.col("value") > 50)).groupBy("date") \
+        .agg(F.count(F.lit(1)).alias("download_count"))
+    se = cat.read_events(e, AS_OF - D(days=31), YESTERDAY).where(F.col("event_type").isin("signup", "purchase")) \
+        .select("event_id", "user_id", "ts", "date", "event_type")
     n = J.next_event(se, "user_id", ts="ts", tie="event_id", cols=["event_type"])
     from fleetlens.functions.timeutil import micros_between
-    dur = n.where((F.col("event_type") == "signup") & (F.col("next_event_type") == "purchase")) \
-        .groupBy("date").agg(F.avg(micros_between("next_ts", "ts") / 1e6).alias("secs"))
-    sc = e.groupBy("date").agg(F.count_if(F.col("event_type") == "signup").alias("starts"),
-                               F.count_if(F.col("event_type") == "purchase").alias("completions"),
-                               F.count_if((F.col("event_type") == "click") & (F.col("value") > 50)).alias("downloads"))
-    return sc.join(dur, "date", "left").select("date", "downloads", "starts", "completions",
-                                               F.round("secs", 3).alias("avg_install_secs"))
+    secs = F.when((F.col("event_type") == "signup") & (F.col("next_event_type") == "purchase"),
+                  micros_between("next_ts", "ts") / 1e6)
+    dur = n.groupBy("date").agg(r6(F.avg(secs)).alias("avg_duration_seconds"))
+    sc = distinct_counts(year, "date", "user_id", {"starts": F.col("event_type") == "signup",
+                                                   "completions": F.col("event_type") == "purchase"})
+    sc = sc.where(F.col("starts") > 0).select("date", "starts", F.nullif("completions", F.lit(0)).alias("completions"))
+    return dl.join(dur, "date", "left").join(sc, "date", "left") \
+        .select("date", "download_count", "avg_duration_seconds", "starts", "completions")
 
 
 def _install_funnel(w: DataFrame) -> DataFrame:
