@@ -422,21 +422,39 @@ def r56(spark: SS, d: str) -> DataFrame:
     return splice_rollup(fresh, hist, "date", W3_START)
 
 
-@query("R57_installer_errors", f"""
-select ts, user_id as display_id, props as event_details from {q(W3_START, AS_OF)} where event_type = 'error' order by ts desc""")
+def installer_events(spark: SS, d: str, day: dt.date) -> DataFrame:
+    """The installer event table of one day, conformed to its registered schema.
+    Binding: installer rows = signup / purchase / error; 'all closed' = purchase;
+    installer version text = '20' + two-digit k.  The views' "today" is the last
+    day with data (the day before the evaluation date)."""
+    e = cat.read_events(tbl(spark, d, "events"), day, day).where(F.col("event_type").isin("signup", "purchase", "error"))
+    x = e.select(F.col("event_type").alias("event"), F.col("props").alias("event_details"),
+                 F.col("user_id").cast("string").alias("display_id"),
+                 F.concat(F.lit("20"), F.lpad(k_col().cast("string"), 2, "0")).alias("installer_version"), "ts")
+    return conform(x, "installer_events")
+
+
+INSTALLER_SQL = f"""(select event_type as event, props as event_details, cast(user_id as varchar) as display_id, null::varchar as ip,
+ null::varchar as os, '20' || lpad(cast(k as varchar), 2, '0') as installer_version, ts from {q(YESTERDAY, AS_OF)}
+ where event_type in ('signup', 'purchase', 'error'))"""
+
+
+@query("R57_installer_errors", f"select * from {INSTALLER_SQL} where event = 'error' order by ts desc")
 def r57(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W3_START, YESTERDAY).where(F.col("event_type") == "error")
-    return e.select("ts", F.col("user_id").alias("display_id"), F.col("props").alias("event_details")) \
-        .orderBy(F.col("ts").desc())
+    i = installer_events(spark, d, YESTERDAY)
+    return i.where(F.col("event") == "error").orderBy(F.col("ts").desc())
 
 
 @query("R57b_unfinished_runs", f"""
-select event_id, user_id from {q(W3_START, AS_OF)} where event_type = 'signup'
-and user_id not in (select user_id from {q(W3_START, AS_OF)} where event_type = 'purchase')""")
+select display_id, ts, event, installer_version, os, ip, event_details from {INSTALLER_SQL}
+where display_id is not null and display_id not in (select display_id from {INSTALLER_SQL} where event = 'purchase')""")
 def r57b(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W3_START, YESTERDAY)
-    closed = e.where(F.col("event_type") == "purchase").select("user_id")
-    return J.not_in(e.where(F.col("event_type") == "signup").select("event_id", "user_id"), closed, "user_id")
+    """Installer rows of displays that never logged 'all closed' that day (NOT IN, null-aware)."""
+    i = installer_events(spark, d, YESTERDAY)
+    closed = i.where(F.col("event") == "purchase").select("display_id")
+    rows = i.where(F.col("display_id").isNotNull())
+    return J.not_in(rows, closed, "display_id").select("display_id", "ts", "event", "installer_version", "os", "ip",
+                                                        "event_details")
 
 
 @query("R57c_combined_event_listing", f"""
@@ -455,10 +473,12 @@ def r57c(spark: SS, d: str) -> DataFrame:
 
 
 @query("R57d_version_counts", f"""
-select max_version, count(*) as displays from (select user_id, max(k) as max_version from {q()} where event_type = 'signup' group by 1) group by 1""")
+select installer_version, count(installer_version) as count from
+ (select max(installer_version) as installer_version, display_id from {INSTALLER_SQL} group by display_id) group by 1""")
 def r57d(spark: SS, d: str) -> DataFrame:
-    per = ev(spark, d).where(F.col("event_type") == "signup").groupBy("user_id").agg(F.max(k_col()).alias("max_version"))
-    return per.groupBy("max_version").agg(F.count(F.lit(1)).alias("displays"))
+    """Displays per installer version, each display at its highest version text."""
+    per = installer_events(spark, d, YESTERDAY).groupBy("display_id").agg(F.max("installer_version").alias("installer_version"))
+    return per.groupBy("installer_version").agg(F.count("installer_version").alias("count"))
 
 
 def _module_stats(e: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
