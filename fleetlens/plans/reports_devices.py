@@ -191,18 +191,38 @@ LATEST_CFG_SQL = f"""(select user_id, arg_max(value, (ts, event_id)) as value, a
  from {q()} where event_type = 'view' group by 1)"""
 
 
+# Binding (R45): product of a configuration = 'pro' + its release tag; the recommended
+# products are a literal relation built by rule (tags 50-99).
+RECOMMENDED_PRODUCTS = [f"pro{k}" for k in range(50, 100)]
+
+
 @query("R45_recommended_player_pct", f"""
-with act as (select distinct user_id from {q(W7_START, AS_OF)}),
-cfg as {LATEST_CFG_SQL}
-select count(*) as total, count(*) filter (where cfg.k >= 50) as recommended,
- round(100.0 * count(*) filter (where cfg.k >= 50) / count(*), 6) as pct, timestamp '2024-01-31 06:00:00' as ts
-from act left join cfg on act.user_id = cfg.user_id""")
+with seg as (select c_custkey as user_id from customer where c_mktsegment = '{SEGMENT}' and c_acctbal >= 0),
+running as (select distinct user_id from {q(W7_START, AS_OF)} where event_type in ('signup', 'purchase', 'view', 'click')
+  and user_id in (select user_id from seg)),
+rec as (select 'pro' || cast(range as varchar) as productname from range(50, 100)),
+cfg as (select user_id, 'pro' || cast(k as varchar) as product_name from (select *, row_number() over
+  (partition by user_id order by ts desc, event_id desc) as rn from {q()} where event_type = 'view') where rn = 1),
+recommended as (select user_id from running where user_id in (select user_id from cfg where product_name in (select productname from rec)))
+select (select count(*) from running) as total_k12_displays, (select count(*) from recommended) as recommended_k12_displays,
+ round(100.0 * (select count(*) from recommended) / nullif((select count(*) from running), 0), 6) as pct,
+ timestamp '2024-01-31 06:00:00' as ts""")
 def r45(spark: SS, d: str) -> DataFrame:
+    """Share of the segment's recently running displays whose latest configuration is a
+    recommended product (literal relation, semi join), stamped with the run time (S11)."""
     e = ev(spark, d)
-    act = cat.read_events(e, W7_START, YESTERDAY).select("user_id").distinct()
-    j = act.join(latest_config(e), "user_id", "left")
-    kpi = j.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("k") >= 50).alias("recommended"))
-    return kpi.select("total", "recommended", r6(C.safe_ratio("recommended", "total", 100.0)).alias("pct"),
+    seg = tbl(spark, d, "customer", "c_custkey", "c_mktsegment", "c_acctbal") \
+        .where((F.col("c_mktsegment") == SEGMENT) & (F.col("c_acctbal") >= 0)).select(F.col("c_custkey").alias("user_id"))
+    families = {"installer": F.col("event_type").isin("signup", "purchase"), "player": F.col("event_type").isin("view", "click")}
+    running = J.semi(one_scan_union(cat.read_events(e, W7_START, YESTERDAY), families, ["user_id"]), seg, "user_id")
+    rec = spark.createDataFrame([(p,) for p in RECOMMENDED_PRODUCTS], "product_name string")
+    cfg = latest_config(e).select("user_id", F.concat(F.lit("pro"), F.col("k").cast("string")).alias("product_name"))
+    on_rec = cfg.join(F.broadcast(rec), "product_name", "left_semi")  # literal relation: 50 rows
+    recommended = J.semi(running, on_rec, "user_id")
+    kpi = running.agg(F.count(F.lit(1)).alias("total_k12_displays")).crossJoin(
+        recommended.agg(F.count(F.lit(1)).alias("recommended_k12_displays")))  # one row each
+    return kpi.select("total_k12_displays", "recommended_k12_displays",
+                      r6(C.safe_ratio("recommended_k12_displays", "total_k12_displays", 100.0)).alias("pct"),
                       F.lit(dt.datetime(2024, 1, 31, 6)).cast("timestamp_ntz").alias("ts"))
 
 
