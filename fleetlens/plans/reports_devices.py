@@ -651,19 +651,41 @@ def r61(spark: SS, d: str) -> DataFrame:
     return splice_rollup(fresh, hist, "total_date", YESTERDAY)
 
 
+# Binding (R62): recurring revenue = open orders ('O') of the evaluation month number
+# (the view compares the month only); licensed = latest configuration value > 50;
+# connected uptime sample = view / click with value < 95.
 @query("R62_company_displays_mrr", f"""
-with last as (select user_id, max(ts) as last_connected from {q()} group by 1),
-rev as (select o_custkey, sum(o_totalprice) as mrr from orders where o_orderstatus = 'F' group by 1)
-select c.c_custkey as company_id, c.c_mktsegment as industry, l.user_id as display_id, {OS_SQL} as os,
- c.c_acctbal > 0 as licensed, round(coalesce(rev.mrr, 0), 6) as mrr, l.last_connected
-from last l join customer c on c.c_custkey = l.user_id left join rev on rev.o_custkey = c.c_custkey""")
+with mrr as (select o_custkey as companyId, sum(o_totalprice) as mrr from orders where o_orderstatus = 'O'
+  and month(o_orderdate) = {AS_OF.month} group by 1),
+co as (select c.c_custkey as companyId, c.c_name as companyName, c.c_mktsegment as companyIndustry,
+  coalesce(m.mrr, 0) as companyMRR from customer c left join mrr m on m.companyId = c.c_custkey where c.c_acctbal >= 0),
+cfg as {LATEST_CFG_SQL},
+dd as (select distinct user_id from events),
+cd as (select co.companyName, co.companyId, co.companyIndustry, dd.user_id as displayId, co.companyMRR,
+  case co.companyIndustry {' '.join(f"when '{k}' then '{v}'" for k, v in OS_BY_INDUSTRY.items())} end as os, cfg.value > 50 as licensed
+  from dd left join co on co.companyId = dd.user_id left join cfg on cfg.user_id = dd.user_id where cfg.user_id is not null)
+select cd.companyName, cd.companyId, cd.companyIndustry, cd.displayId, round(cd.companyMRR, 2) as companyMRR, cd.os, cd.licensed,
+ max(e.ts) as lastActiveDate
+from cd left join events e on e.user_id = cd.displayId where e.event_type in ('view', 'click') and e.value < 95
+group by 1, 2, 3, 4, 5, 6, 7""")
 def r62(spark: SS, d: str) -> DataFrame:
-    last = ev(spark, d).groupBy("user_id").agg(F.max("ts").alias("last_connected"))
-    rev = tbl(spark, d, "orders", "o_custkey", "o_totalprice", "o_orderstatus").where(F.col("o_orderstatus") == "F") \
-        .groupBy("o_custkey").agg(F.sum("o_totalprice").alias("mrr"))
-    c = tbl(spark, d, "customer", "c_custkey", "c_mktsegment", "c_acctbal")
-    j = last.join(c, last.user_id == c.c_custkey).join(rev, F.col("c_custkey") == rev.o_custkey, "left")
-    return j.select(F.col("c_custkey").alias("company_id"), F.col("c_mktsegment").alias("industry"),
-                    F.col("user_id").alias("display_id"), os_of(F.col("c_mktsegment")).alias("os"),
-                    (F.col("c_acctbal") > 0).alias("licensed"), r6(F.coalesce("mrr", F.lit(0.0))).alias("mrr"),
-                    "last_connected")
+    """Displays with their company, industry, recurring revenue (0 without), OS,
+    licensed flag and last connected sample; displays without a configuration or
+    without a connected sample drop out, as in the view."""
+    e = ev(spark, d)
+    o = tbl(spark, d, "orders", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    mrr = o.where((F.col("o_orderstatus") == "O") & (F.month("o_orderdate") == AS_OF.month)) \
+        .groupBy(F.col("o_custkey").alias("companyId")).agg(F.sum("o_totalprice").alias("mrr"))
+    co = tbl(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_acctbal").where(F.col("c_acctbal") >= 0) \
+        .select(F.col("c_custkey").alias("companyId"), F.col("c_name").alias("companyName"),
+                F.col("c_mktsegment").alias("companyIndustry"))
+    co = co.join(mrr, "companyId", "left").withColumn("companyMRR", F.coalesce("mrr", F.lit(0.0))).drop("mrr")
+    cfg = latest_config(e).select("user_id", (F.col("value") > 50).alias("licensed"))
+    displays = e.select(F.col("user_id").alias("displayId")).distinct()
+    cd = displays.join(co, displays.displayId == co.companyId, "left") \
+        .join(cfg, F.col("displayId") == cfg.user_id, "inner").drop("user_id")
+    last = e.where(F.col("event_type").isin("view", "click") & (F.col("value") < 95)) \
+        .groupBy(F.col("user_id").alias("displayId")).agg(F.max("ts").alias("lastActiveDate"))
+    return cd.join(last, "displayId", "inner").select(
+        "companyName", "companyId", "companyIndustry", "displayId", F.round("companyMRR", 2).alias("companyMRR"),
+        os_of(F.col("companyIndustry")).alias("os"), "licensed", "lastActiveDate")
