@@ -579,14 +579,28 @@ def r59b(spark: SS, d: str) -> DataFrame:
     return _unsupported(spark, d).select(F.col("user_id").alias("display_id"), F.col("c_name").alias("display_name"), "os")
 
 
-CACHE_SQL = f"""(select a.user_id, cfg.k as cache_version from (select distinct user_id from {q(YESTERDAY, AS_OF)}) a
- left join {LATEST_CFG_SQL} cfg on cfg.user_id = a.user_id)"""
+# Binding (R60): active today = display requests, component requests and player updates
+# ('view', 'click', 'purchase') of the last day, under one alias (Z02: the view's
+# branches alias the id differently; the evident intent is a common alias);
+# cache events = configuration rows, version = k.
+CACHE_SQL = f"""(with active as (select distinct user_id as display_id from {q(YESTERDAY, AS_OF)}
+  where event_type in ('view', 'click', 'purchase') and user_id is not null),
+ c as (select user_id, ts, k from {q()} where event_type = 'view'),
+ latest as (select distinct c.user_id, c.k as cache_version from c
+  join (select user_id, max(ts) as m from c group by 1) l on l.user_id = c.user_id and l.m = c.ts)
+ select distinct a.display_id, latest.cache_version from active a left join latest on latest.user_id = a.display_id)"""
 
 
 def _cache_versions(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d)
-    active = cat.read_events(e, YESTERDAY, YESTERDAY).select("user_id").distinct()
-    return active.join(latest_config(e).select("user_id", F.col("k").alias("cache_version")), "user_id", "left")
+    srcs = {"display": F.col("event_type") == "view", "components": F.col("event_type") == "click",
+            "update": F.col("event_type") == "purchase"}
+    active = one_scan_union(cat.read_events(e, YESTERDAY, YESTERDAY).where(F.col("user_id").isNotNull()), srcs,
+                            [F.col("user_id").alias("display_id")])
+    cache = e.where(F.col("event_type") == "view").select("user_id", "ts", k_col().alias("cache_version"))
+    latest = latest_by(cache, "user_id", "ts", ties="keep").select(F.col("user_id").alias("display_id"),
+                                                                   "cache_version").distinct()
+    return active.join(latest, "display_id", "left").distinct()
 
 
 @query("R60_cache_version_per_display", f"select * from {CACHE_SQL}")
@@ -594,9 +608,9 @@ def r60(spark: SS, d: str) -> DataFrame:
     return _cache_versions(spark, d)
 
 
-@query("R60b_cache_version_histogram", f"select cache_version, count(distinct user_id) as displays from {CACHE_SQL} group by 1")
+@query("R60b_cache_version_histogram", f"select cache_version, count(distinct display_id) as displays from {CACHE_SQL} group by 1")
 def r60b(spark: SS, d: str) -> DataFrame:
-    return _cache_versions(spark, d).groupBy("cache_version").agg(F.count_distinct("user_id").alias("displays"))
+    return _cache_versions(spark, d).groupBy("cache_version").agg(F.count_distinct("display_id").alias("displays"))
 
 
 def _cache_rel(c: DataFrame, installer: DataFrame) -> DataFrame:
