@@ -239,18 +239,33 @@ def r50(spark: SS, d: str) -> DataFrame:
     return one_scan_union(e, srcs, [F.col("user_id").alias("display_id"), "date"])
 
 
+# Binding (R51): a display is created at its first signup; non-test companies only and
+# not the house company (customer 0); the creation window is the 30 days of data
+# (the view's 5 days would contain no creation here).
+HOUSE_COMPANY = 0
+
+
 @query("R51_display_activation", f"""
-with created as (select user_id, min(date) as cdate from {q()} where event_type = 'signup' group by 1)
-select cdate as date, count(*) as added, count(*) filter (where exists (select 1 from {q()} v where v.event_type = 'view'
- and v.user_id = created.user_id and v.date = created.cdate)) as active_same_day
-from created where cdate >= date '{W30_START}' group by 1""")
+with added as (select user_id, min(date) as date from {q()} where event_type = 'signup' group by 1),
+recent as (select * from added where date >= date '{W30_START}' and date <= date '{AS_OF}'
+  and user_id in (select c_custkey from customer where c_acctbal >= 0 and c_custkey <> {HOUSE_COMPANY})),
+active as (select distinct user_id, date from {q(W30_START, AS_OF)} where event_type = 'view')
+select a.date, a.added, b.active from (select date, count(distinct user_id) as added from recent group by 1) a
+left join (select r.date, count(distinct r.user_id) as active from recent r
+  where r.user_id in (select user_id from active where active.date = r.date) group by 1) b on a.date = b.date""")
 def r51(spark: SS, d: str) -> DataFrame:
+    """Displays added per creation day and, of those, the ones with a configuration that
+    same day (correlated IN on the day -> semi join on (display, day))."""
     e = ev(spark, d)
-    created = e.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.min("date").alias("date")) \
-        .where(F.col("date") >= F.lit(W30_START))
-    active = J.semi(created, e.where(F.col("event_type") == "view"), ["user_id", "date"]).withColumn("a", F.lit(True))
-    x = created.join(active.select("user_id", "a"), "user_id", "left")
-    return x.groupBy("date").agg(F.count(F.lit(1)).alias("added"), F.count_if(F.col("a")).alias("active_same_day"))
+    companies = tbl(spark, d, "customer", "c_custkey", "c_acctbal") \
+        .where((F.col("c_acctbal") >= 0) & (F.col("c_custkey") != HOUSE_COMPANY)).select(F.col("c_custkey").alias("user_id"))
+    added = e.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.min("date").alias("date"))
+    recent = J.semi(added.where(F.col("date").between(F.lit(W30_START), F.lit(AS_OF))), companies, "user_id")
+    active = cat.read_events(e, W30_START, YESTERDAY).where(F.col("event_type") == "view").select("user_id", "date")
+    act = J.semi(recent, active, ["user_id", "date"])
+    rows = recent.withColumn("a", F.lit(False)).unionByName(act.withColumn("a", F.lit(True)))
+    c = distinct_counts(rows, "date", "user_id", {"added": ~F.col("a"), "active": F.col("a")})
+    return c.where(F.col("added") > 0).select("date", "added", F.nullif("active", F.lit(0)).alias("active"))
 
 
 @query("R52_display_info_rollup", f"""
