@@ -227,16 +227,41 @@ def r45(spark: SS, d: str) -> DataFrame:
 
 
 # =========================================================== R50-R62 devices
+# Binding (R50): request log = every event (display id only on display requests, 'view');
+# viewer events = 'click'; installer events = 'signup' / 'purchase'.
 @query("R50_active_displays", f"""
-select user_id as display_id, date from {q(W7_START, AS_OF)} where event_type in ('signup', 'purchase')
-union select user_id, date from {q(W7_START, AS_OF)} where event_type in ('view', 'click')
-union select user_id, date from {q(W7_START, AS_OF)} where event_type = 'error' and value > 50""")
+select display_id, date from (
+ select case when event_type = 'view' then user_id end as display_id, date from {q(AS_OF - D(days=5), AS_OF + D(days=1))}
+ union select user_id, date from {q(AS_OF - D(days=5), AS_OF + D(days=1))} where event_type = 'click'
+ union select user_id, date from {q(AS_OF - D(days=5), AS_OF + D(days=1))} where event_type in ('signup', 'purchase'))
+group by display_id, date""")
 def r50(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY)
-    srcs = {"installer": F.col("event_type").isin("signup", "purchase"),
-            "player": F.col("event_type").isin("view", "click"),
-            "heartbeat": (F.col("event_type") == "error") & (F.col("value") > 50)}
-    return one_scan_union(e, srcs, [F.col("user_id").alias("display_id"), "date"])
+    """Recently running displays: (display, day) pairs of three overlapping sources,
+    UNION DISTINCT, over the last 5 days and today.  One scan: each row emits the
+    ids of the branches it belongs to (the request-log branch emits NULL for
+    non-display requests, as the view's extraction does), then one distinct."""
+    e = cat.read_events(ev(spark, d), AS_OF - D(days=5), AS_OF)
+    t = F.col("event_type")
+    branches = F.array(
+        F.struct(F.lit(True).alias("emit"), F.when(t == "view", F.col("user_id")).alias("id")),
+        F.struct((t == "click").alias("emit"), F.col("user_id").alias("id")),
+        F.struct(t.isin("signup", "purchase").alias("emit"), F.col("user_id").alias("id")))
+    x = e.select("date", F.explode(F.filter(branches, lambda b: b["emit"])).alias("b"))
+    return x.select(F.col("b.id").alias("display_id"), "date").distinct()
+
+
+@query("R50b_active_displays_union_all", f"""
+select user_id as displayID from {q(AS_OF - D(days=4), AS_OF)} where event_type in ('signup', 'purchase')
+union all select user_id from events where ts between timestamp '{AS_OF - D(days=4)}' and timestamp '{AS_OF}'
+ and event_type in ('view', 'click')""")
+def r50b(spark: SS, d: str) -> DataFrame:
+    """Active display ids of the last 4 days from the installer family and the second-OS
+    player family (closed range to today's midnight), UNION ALL: one row per event."""
+    e = tbl(spark, d, "events")
+    inst = cat.read_events(e, AS_OF - D(days=4), YESTERDAY).where(F.col("event_type").isin("signup", "purchase"))
+    chrome = cat.read_ts_between(e, dt.datetime.combine(AS_OF - D(days=4), dt.time()), dt.datetime.combine(AS_OF, dt.time())) \
+        .where(F.col("event_type").isin("view", "click"))
+    return inst.select(F.col("user_id").alias("displayID")).union(chrome.select(F.col("user_id").alias("displayID")))
 
 
 # Binding (R51): a display is created at its first signup; non-test companies only and
