@@ -42,46 +42,57 @@ def os_of(seg: Column) -> Column:
     return out
 
 
-def templates(e: DataFrame) -> DataFrame:
-    """Template loads: configuration events, preview devices and two simple templates excluded."""
-    return e.where((F.col("event_type") == "view") & ~F.col("user_id").isin(0)) \
-        .withColumn("template_id", k_col()).where(~F.col("template_id").isin(1, 2))
+def templates(e: DataFrame, *, exclude_simple: bool = True) -> DataFrame:
+    """Template loads: configuration events of real devices (the preview sentinel
+    excluded) with their template; optionally without the two simple templates."""
+    t = e.where((F.col("event_type") == "view") & ~F.col("user_id").isin(0)).withColumn("template_id", k_col()) \
+        .withColumn("template_name", F.concat(F.lit("template-"), F.col("template_id").cast("string")))
+    return t.where(~F.col("template_id").isin(1, 2)) if exclude_simple else t
 
 
 TPL_SQL = "event_type = 'view' and user_id not in (0) and k not in (1, 2)"
+LOAD_SQL = "event_type = 'view' and user_id not in (0)"
+
+
+def _customers(spark: SS, d: str) -> DataFrame:
+    return tbl(spark, d, "customer", F.col("c_custkey").alias("user_id"))
 
 
-# =========================================================== R40-R45
 @query("R40_template_usage_on_date", f"""
-select k as template_id, count(distinct user_id) as displays from {q(YESTERDAY, AS_OF)} where {TPL_SQL} group by 1""")
+select count(distinct user_id) as numberOfDisplays, 'template-' || cast(k as varchar) as template_name
+from {q(YESTERDAY, AS_OF)} where {LOAD_SQL} group by 2""")
 def r40(spark: SS, d: str) -> DataFrame:
-    t = templates(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY))
-    return t.groupBy("template_id").agg(F.count_distinct("user_id").alias("displays"))
+    t = templates(cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY), exclude_simple=False)
+    return t.groupBy("template_name").agg(F.count_distinct("user_id").alias("numberOfDisplays"))
 
 
 @query("R40b_template_usage_by_company", f"""
-with t as (select e.k as template_id, e.user_id, c.c_nationkey as company_id from {q(W30_START, AS_OF)} e
- join customer c on c.c_custkey = e.user_id where {TPL_SQL.replace('user_id', 'e.user_id')})
-select t.template_id, t.company_id, n.n_name as company_name, count(distinct t.user_id) as displays
-from t join nation n on n.n_nationkey = t.company_id group by 1, 2, 3""")
+select count(distinct c.c_custkey) as numberOfCompanies, t.template_name from
+ (select user_id, 'template-' || cast(k as varchar) as template_name from {q(W30_START, AS_OF + D(days=1))} where {LOAD_SQL} group by 1, 2) t
+ join customer c on c.c_custkey = t.user_id group by 2""")
 def r40b(spark: SS, d: str) -> DataFrame:
-    t = templates(cat.read_events(ev(spark, d), W30_START, YESTERDAY))
-    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
-    n = tbl(spark, d, "nation", "n_nationkey", "n_name")  # fixed 25 rows
-    per = (t.join(c, t.user_id == c.c_custkey).groupBy("template_id", F.col("c_nationkey").alias("company_id"))
-            .agg(F.count_distinct("user_id").alias("displays")))
-    return per.join(F.broadcast(n), per.company_id == n.n_nationkey) \
-        .select("template_id", "company_id", F.col("n_name").alias("company_name"), "displays")
+    """Companies (through the displays' companies, inner join) per template over 30 days."""
+    t = templates(cat.read_events(ev(spark, d), W30_START, AS_OF), exclude_simple=False) \
+        .select("user_id", "template_name").distinct()
+    return J.semi(t, _customers(spark, d), "user_id").groupBy("template_name") \
+        .agg(F.count_distinct("user_id").alias("numberOfCompanies"))
 
 
 @query("R40c_template_companies_total", f"""
-select count(distinct c.c_nationkey) as companies, count(distinct e.user_id) as displays
-from {q(W30_START, AS_OF)} e join customer c on c.c_custkey = e.user_id where {TPL_SQL.replace('user_id', 'e.user_id')}""")
+select count(distinct c.c_custkey) as numberOfCompanies from
+ (select user_id from {q(W30_START, AS_OF + D(days=1))} where {TPL_SQL} group by 1) t join customer c on c.c_custkey = t.user_id""")
 def r40c(spark: SS, d: str) -> DataFrame:
-    t = templates(cat.read_events(ev(spark, d), W30_START, YESTERDAY))
-    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
-    return t.join(c, t.user_id == c.c_custkey).agg(F.count_distinct("c_nationkey").alias("companies"),
-                                                   F.count_distinct("user_id").alias("displays"))
+    t = templates(cat.read_events(ev(spark, d), W30_START, AS_OF)).select("user_id").distinct()
+    return J.semi(t, _customers(spark, d), "user_id").agg(F.count_distinct("user_id").alias("numberOfCompanies"))
+
+
+@query("R40d_template_usage_monthly", f"""
+select count(distinct user_id) as numberOfDisplays, 'template-' || cast(k as varchar) as template_name, strftime(ts, '%b-%y') as date
+from {q(AS_OF - D(days=366), AS_OF + D(days=1))} where {LOAD_SQL} group by 2, 3""")
+def r40d(spark: SS, d: str) -> DataFrame:
+    t = templates(cat.read_events(ev(spark, d), AS_OF - D(days=366), AS_OF), exclude_simple=False)
+    return t.groupBy("template_name", F.date_format("ts", "MMM-yy").alias("date")) \
+        .agg(F.count_distinct("user_id").alias("numberOfDisplays"))
 
 
 def _tpl_rows(spark: SS, d: str, start: dt.date, end: dt.date) -> DataFrame:
