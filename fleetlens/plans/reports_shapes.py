@@ -12,11 +12,12 @@ from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
-from fleetlens.operators.reliability import distinct_counts
+from fleetlens.operators.reliability import distinct_counts, interval_uptime
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports_companies import none_showing
 from fleetlens.plans.reports import NOT_TEST_SQL, W7_START, _not_test, ev, k_col, q
-from fleetlens.plans.reports_uptime import LWEEK_SQL, METRICS_SQL, _metric_aggs, _metrics
+from fleetlens.plans.reports_uptime import (CLEAN_APP_SQL, LWEEK_SQL, METRICS_SQL, _endpoint_logs, _metric_aggs,
+                                             _metrics)
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
 from fleetlens.sources import catalog as cat
 
@@ -67,12 +68,31 @@ def r76c(spark: SS, d: str) -> DataFrame:
 
 
 @query("R89c_endpoint_app_uptime_view", f"""
-select distinct date, user_id, event_type as app, round(avg(case when value > 90 then 0 else 1 end), 6) as uptime
-from {q(AS_OF - D(days=30), AS_OF)} where event_type is not null group by 1, 2, 3""")
+with x as (select *, {CLEAN_APP_SQL} as eventApp, cast(k // 10 as varchar) as eventAppVersion,
+  to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval from {q()}),
+ d as (select * from x where date between date '{AS_OF - D(days=30)}' and date '{YESTERDAY}'),
+ defs as (select distinct k as code from x where event_type = 'error' and value > 10),
+ iv as (select interval, user_id, eventApp, eventAppVersion from d where event_type in ('view', 'click')
+        union select interval, user_id, eventApp, eventAppVersion from d),
+ er as (select interval, user_id, eventApp, eventAppVersion, count(*) as n from d join defs on d.k = defs.code
+        where d.event_type = 'error' group by 1, 2, 3, 4),
+ r as (select iv.*, coalesce(er.n, 0) = 0 as up from iv left join er on iv.interval = er.interval and iv.user_id = er.user_id
+  and iv.eventApp = er.eventApp and iv.eventAppVersion = er.eventAppVersion)
+select distinct cast(interval as date) as date, user_id as endpointId, eventApp, eventAppVersion,
+ round(count(*) filter (where up) / count(*), 6) as uptimePercentage
+from r where eventApp is not null group by 1, 2, 3, 4""")
 def r89c(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), AS_OF - D(days=30), YESTERDAY).where(F.col("event_type").isNotNull())
-    return e.groupBy("date", "user_id", F.col("event_type").alias("app")) \
-        .agg(r6(F.avg(F.when(F.col("value") > 90, 0).otherwise(1))).alias("uptime")).distinct()
+    """The app-level rows of the daily uptime table (eventApp present) over 30 days."""
+    e = _endpoint_logs(ev(spark, d))
+    w = cat.read_events(e, AS_OF - D(days=30), YESTERDAY)
+    defs = e.where((F.col("event_type") == "error") & (F.col("value") > 10)).select(F.col("k").alias("code")).distinct()
+    errors = w.where(F.col("event_type") == "error").join(defs, F.col("k") == defs.code, "left_semi")
+    rows = interval_uptime(w.where(F.col("event_type").isin("view", "click")), w, errors,
+                           ["user_id", "eventApp", "eventAppVersion"])
+    g = rows.where(F.col("eventApp").isNotNull()).groupBy(
+        F.to_date("interval").alias("date"), F.col("user_id").alias("endpointId"), "eventApp", "eventAppVersion") \
+        .agg(r6(F.count_if("up") / F.count(F.lit(1))).alias("uptimePercentage"))
+    return g.distinct()
 
 
 @query("R102c_display_creation_ratio", f"""

@@ -653,30 +653,74 @@ def r88(spark: SS, d: str) -> DataFrame:
                                                     "company", "parent", "network", "licence")
 
 
+def _daily_uptime_all(spark: SS, d: str, start: dt.date, end: dt.date) -> DataFrame:
+    """The dailyUptime table over a date range: the R85 interval model per day."""
+    e = _endpoint_logs(ev(spark, d))
+    w = cat.read_events(e, start, end)
+    defs = e.where((F.col("event_type") == "error") & (F.col("value") > 10)).select(F.col("k").alias("code")).distinct()
+    errors = w.where(F.col("event_type") == "error").join(defs, F.col("k") == defs.code, "left_semi")
+    rows = interval_uptime(w.where(F.col("event_type").isin("view", "click")), w, errors,
+                           ["user_id", "eventApp", "eventAppVersion"])
+    per = rows.groupBy(F.to_date("interval").alias("date"), "user_id").agg(
+        F.count(F.lit(1)).alias("intervals"), F.count_if("up").alias("up_intervals"))
+    return per.withColumn("uptimePercentage", r6(C.safe_ratio("up_intervals", "intervals")))
+
+
+def _enriched_dims(spark: SS, d: str) -> DataFrame:
+    return _enriched(spark, d).select("date", "user_id", "company", "parent", "network")
+
+
+UPTIME_ALL_SQL = f"""(with x as (select *, {CLEAN_APP_SQL} as eventApp, cast(k // 10 as varchar) as eventAppVersion,
+  to_timestamp((floor(epoch(ts))::bigint // 300) * 300)::timestamp as interval from {q()}),
+ d as (select * from x where date between date '{AS_OF - D(days=30)}' and date '{YESTERDAY}'),
+ defs as (select distinct k as code from x where event_type = 'error' and value > 10),
+ iv as (select interval, user_id, eventApp, eventAppVersion from d where event_type in ('view', 'click')
+        union select interval, user_id, eventApp, eventAppVersion from d),
+ er as (select interval, user_id, eventApp, eventAppVersion, count(*) as n from d join defs on d.k = defs.code
+        where d.event_type = 'error' group by 1, 2, 3, 4),
+ r as (select iv.*, coalesce(er.n, 0) = 0 as up from iv left join er on iv.interval = er.interval and iv.user_id = er.user_id
+  and iv.eventApp = er.eventApp and iv.eventAppVersion = er.eventAppVersion)
+ select cast(interval as date) as date, user_id, count(*) as intervals, count(*) filter (where up) as up_intervals,
+  round(count(*) filter (where up) / count(*), 6) as uptimePercentage from r group by 1, 2)"""
+
+
 @query("R89_endpoint_uptime_view", f"""
-select distinct date, user_id, round(avg(case when event_type = 'error' then 0 else 1 end), 6) as uptime
-from {q(AS_OF - D(days=30), AS_OF)} group by 1, 2""")
+select distinct u.date, u.user_id as endpointId, x.company as companyName, x.parent as parentCompanyName,
+ x.network as networkCompanyName, u.uptimePercentage
+from {UPTIME_ALL_SQL} u join {ENRICHED_SQL} x on x.user_id = u.user_id and x.date = u.date where x.company is not null""")
 def r89(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), AS_OF - D(days=30), YESTERDAY)
-    return e.groupBy("date", "user_id").agg(r6(F.avg(F.when(F.col("event_type") == "error", 0).otherwise(1))).alias("uptime")) \
-        .distinct()
+    """The endpoint uptime view over the last 30 days of the daily uptime table
+    (endpoint level, known company), read distinct as the view does."""
+    u = _daily_uptime_all(spark, d, AS_OF - D(days=30), YESTERDAY)
+    x = _enriched_dims(spark, d).where(F.col("company").isNotNull())
+    return u.join(x, ["date", "user_id"]).select(
+        "date", F.col("user_id").alias("endpointId"), F.col("company").alias("companyName"),
+        F.col("parent").alias("parentCompanyName"), F.col("network").alias("networkCompanyName"), "uptimePercentage").distinct()
 
 
 @query("R89b_downtime_causes", f"""
-with defs as (select distinct k as code, 'code ' || cast(k as varchar) as message, k < 50 as isRelatedToUptime from {q()}),
-errs as (select k as code, count(*) as errors, count(distinct user_id) as endpoints from {q(AS_OF - D(days=30), AS_OF)}
- where event_type = 'error' group by 1)
-select errs.code, defs.message, errs.errors, errs.endpoints from errs join defs on defs.code = errs.code where defs.isRelatedToUptime""")
+with x as (select *, {CLEAN_APP_SQL} as eventApp from {q(AS_OF - D(days=30), AS_OF)}),
+e as (select date, user_id, k as eventErrorCode, count(*) as errorCount from x group by 1, 2, 3),
+defs as (select distinct k as code, 'code ' || cast(k as varchar) as message, k < 50 as isRelatedToUptime from {q()}),
+ee as (select e.date, e.user_id, e.eventErrorCode, sum(e.errorCount) as errorCount from e join {ENRICHED_SQL} d
+  on d.user_id = e.user_id and d.date = e.date where d.company is not null group by 1, 2, 3)
+select distinct ee.date, ee.user_id as endpointId, ee.eventErrorCode, defs.message, cast(ee.errorCount as bigint) as errorCount
+from ee join defs on defs.code = ee.eventErrorCode where defs.isRelatedToUptime""")
 def r89b(spark: SS, d: str) -> DataFrame:
+    """Downtime causes: the daily error table (event-log counts per endpoint and code)
+    of the last 30 days for endpoints with a known company, joined to the error
+    definitions related to uptime."""
     e = ev(spark, d).withColumn("k", k_col())
-    # error definitions: one row per code (bounded code catalogue)
-    defs = e.select(F.col("k").alias("code"), F.concat(F.lit("code "), F.col("k").cast("string")).alias("message"),
+    daily = cat.read_events(e, AS_OF - D(days=30), YESTERDAY).groupBy("date", "user_id", F.col("k").alias("eventErrorCode")) \
+        .agg(F.count(F.lit(1)).alias("errorCount"))
+    known = _enriched_dims(spark, d).where(F.col("company").isNotNull()).select("date", "user_id")
+    ee = J.semi(daily, known, ["date", "user_id"]).groupBy("date", "user_id", "eventErrorCode") \
+        .agg(F.sum("errorCount").cast("long").alias("errorCount"))
+    # error definitions: one row per code (bounded code catalogue); no broadcast hint, AQE decides
+    defs = e.select(F.col("k").alias("eventErrorCode"), F.concat(F.lit("code "), F.col("k").cast("string")).alias("message"),
                     (F.col("k") < 50).alias("isRelatedToUptime")).distinct()
-    errs = cat.read_events(e, AS_OF - D(days=30), YESTERDAY).where(F.col("event_type") == "error") \
-        .groupBy(F.col("k").alias("code")).agg(F.count(F.lit(1)).alias("errors"), F.count_distinct("user_id").alias("endpoints"))
-    # the code catalogue has no proven size bound: no hint, AQE picks the join at run time
-    return (errs.join(defs, "code")
-            .where(F.col("isRelatedToUptime")).select("code", "message", "errors", "endpoints"))
+    return ee.join(defs, "eventErrorCode").where(F.col("isRelatedToUptime")).select(
+        "date", F.col("user_id").alias("endpointId"), "eventErrorCode", "message", "errorCount").distinct()
 
 
 LI_D0, LI_D1 = dt.date(1998, 10, 1), dt.date(1998, 11, 30)
