@@ -757,7 +757,11 @@ def r90b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R91_template_usage_by_display", f"""
-select distinct date, user_id as displayId, substr(props, 7, 2) as templateId from {q(W7_START, AS_OF)} where event_type = 'view'""")
+with x as (select *, {CLEAN_APP_SQL} as eventApp from {q(AS_OF - D(days=7), AS_OF)})
+select distinct date, user_id as displayId, substr(eventApp, 9) as templateId from x where eventApp like 'Widget: %'""")
 def r91(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W7_START, YESTERDAY).where(F.col("event_type") == "view")
-    return e.select("date", F.col("user_id").alias("displayId"), F.substring("props", 7, 2).alias("templateId")).distinct()
+    """Templates shown per display and day over 7 days, cut from the cleaned app name of
+    the usage rows (binding: app names 'Widget: <id>' instead of 'HTML Template: <id>')."""
+    u = _endpoint_logs(cat.read_events(ev(spark, d), AS_OF - D(days=7), YESTERDAY))
+    return u.where(F.col("eventApp").like("Widget: %")).select(
+        "date", F.col("user_id").alias("displayId"), F.expr("substr(eventApp, 9)").alias("templateId")).distinct()
