@@ -723,37 +723,91 @@ def r89b(spark: SS, d: str) -> DataFrame:
         "date", F.col("user_id").alias("endpointId"), "eventErrorCode", "message", "errorCount").distinct()
 
 
+# Binding (R90): billing export = line items shipped 1998-10-01 .. 1998-11-30, their
+# ship day mapped onto the event period (1998-10-01 -> 2024-01-01), cost =
+# extended price x discount, project = return flag, service = line status, SKU =
+# supplier; endpoint-infrastructure projects = a literal relation ('A', 'N').
 LI_D0, LI_D1 = dt.date(1998, 10, 1), dt.date(1998, 11, 30)
+BILL_BASE = dt.date(2024, 1, 1)
+INFRA_PROJECTS = ["A", "N"]
 
 
-@query("R90_cost_last_60_days", f"""
-select cast(l_shipdate as date) as date, l_returnflag as project, l_linestatus as service, cast(l_suppkey as varchar) as sku,
- round(sum(l_extendedprice * l_discount), 6) as cost from lineitem
-where l_shipdate >= timestamp '{LI_D0}' and l_shipdate < timestamp '{LI_D1 + D(days=1)}' group by 1, 2, 3, 4""")
-def r90(spark: SS, d: str) -> DataFrame:
+def billing_export(spark: SS, d: str) -> DataFrame:
     li = cat.read_events(tbl(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_linestatus", "l_suppkey",
                              "l_extendedprice", "l_discount"), LI_D0, LI_D1, ts_col="l_shipdate")
-    return li.groupBy(F.to_date("l_shipdate").alias("date"), F.col("l_returnflag").alias("project"),
-                      F.col("l_linestatus").alias("service"), F.col("l_suppkey").cast("string").alias("sku")) \
-        .agg(r6(F.sum(F.col("l_extendedprice") * F.col("l_discount"))).alias("cost"))
+    day = F.date_add(F.lit(BILL_BASE), F.datediff(F.to_date("l_shipdate"), F.lit(LI_D0)))
+    return li.select(day.alias("date"), F.col("l_returnflag").alias("projectId"), F.col("l_linestatus").alias("service"),
+                     F.col("l_suppkey").cast("string").alias("SKU"),
+                     (F.col("l_extendedprice") * F.col("l_discount")).alias("cost"))
+
+
+BILLING_SQL = f"""(select cast(date '{BILL_BASE}' + cast(datediff('day', date '{LI_D0}', cast(l_shipdate as date)) as integer) as date) as date,
+ l_returnflag as projectId, l_linestatus as service, cast(l_suppkey as varchar) as SKU, l_extendedprice * l_discount as cost
+ from lineitem where l_shipdate >= timestamp '{LI_D0}' and l_shipdate < timestamp '{LI_D1 + D(days=1)}')"""
+INFRA_SQL = f"""(select date, projectId, service, SKU, sum(cost) as dailyCost from {BILLING_SQL}
+ where projectId in (select * from (values {', '.join(f"('{p}')" for p in INFRA_PROJECTS)}))
+ and date between date '{AS_OF - D(days=60)}' and date '{AS_OF}' and date <= date '{YESTERDAY}' group by 1, 2, 3, 4)"""
+
+
+def _infra_costs(spark: SS, d: str) -> DataFrame:
+    b = billing_export(spark, d)
+    infra = spark.createDataFrame([(p,) for p in INFRA_PROJECTS], "projectId string")  # literal relation
+    b = b.join(F.broadcast(infra), "projectId", "left_semi") \
+        .where(F.col("date").between(F.lit(AS_OF - D(days=60)), F.lit(YESTERDAY)))
+    return b.groupBy("date", "projectId", "service", "SKU").agg(F.sum("cost").alias("dailyCost"))
+
+
+@query("R90_cost_last_60_days", f"select date, projectId, service, SKU, round(dailyCost, 6) as dailyCost from {INFRA_SQL}")
+def r90(spark: SS, d: str) -> DataFrame:
+    """Infrastructure cost per day, project, service and SKU over 60 days (projects
+    restricted to the endpoint-infrastructure ones)."""
+    return _infra_costs(spark, d).withColumn("dailyCost", r6("dailyCost"))
+
+
+def _daily_costs(e: DataFrame) -> DataFrame:
+    """The R88 cost model for every day of ``e`` (per-day totals)."""
+    x = e.withColumn("dl", F.when(F.col("event_type") == "click", F.octet_length("props") * 100))
+    hb = F.col("event_type").isin("view", "click")
+    per = x.groupBy("date", "user_id").agg(F.sum("dl").alias("downloadedBytes"), F.count(F.lit(1)).alias("logInserts"),
+                                            F.count_if(hb).alias("hbInserts"))
+    tot = x.groupBy("date").agg(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("tdc"),
+                                F.sum("dl").alias("tdl"), (F.count_if(F.col("event_type") == "signup") * 0.01).alias("tsc"),
+                                F.count(F.lit(1)).alias("tli"), F.count_if(hb).alias("thb"))
+    c = per.join(tot, "date")  # one row per day on the right
+    direct = F.try_divide(F.col("downloadedBytes").cast("double") * F.col("tdc"), F.col("tdl"))
+    indirect = F.try_divide((F.col("logInserts") + F.col("hbInserts")).cast("double") * F.col("tsc"), F.col("tli") + F.col("thb"))
+    return c.select("date", "user_id", F.coalesce(direct, F.lit(0.0)).alias("downloadCost"),
+                    F.coalesce(indirect, F.lit(0.0)).alias("loggingCost"))
 
 
 @query("R90b_infrastructure_cost_per_endpoint", f"""
-with infra as (select sum(l_extendedprice * l_discount) as total from lineitem where l_shipdate >= timestamp '{LI_D0}' and l_shipdate < timestamp '{LI_D1 + D(days=1)}'),
-ep as (select user_id, sum(value) filter (where event_type = 'purchase') as download_cost, sum(strlen(props)) / 1e6 as logging_cost from events group by 1)
-select ep.user_id, round(infra.total / (select count(distinct user_id) from events), 6) as infra_cost,
- round(coalesce(ep.download_cost, 0), 6) as download_cost, round(ep.logging_cost, 6) as logging_cost from ep, infra""")
+with x as (select *, case when event_type = 'click' then strlen(props) * 100 end as dl from {q(AS_OF - D(days=60), AS_OF)}),
+per as (select date, user_id, sum(dl) as downloadedBytes, count(*) as logInserts, count(*) filter (where {HB}) as hbInserts
+ from x group by 1, 2),
+tot as (select date, sum(value) filter (where event_type = 'purchase') as tdc, sum(dl) as tdl,
+ count(*) filter (where event_type = 'signup') * 0.01 as tsc, count(*) as tli, count(*) filter (where {HB}) as thb from x group by 1),
+cost as (select per.date, per.user_id, coalesce(cast(per.downloadedBytes as double) * tot.tdc / tot.tdl, 0.0) as downloadCost,
+ coalesce(cast(per.logInserts + per.hbInserts as double) * cast(tot.tsc as double) / (tot.tli + tot.thb), 0.0) as loggingCost
+ from per join tot on tot.date = per.date),
+infra as (select date, sum(dailyCost) as total from {INFRA_SQL} group by 1),
+usage as (select distinct date, user_id from x where {HB}),
+ipe as (select i.date, i.total / count(distinct u.user_id) as infrastuctureCost from infra i join usage u on u.date = i.date
+ group by i.date, i.total)
+select cost.date, cost.user_id as endpointId, d.company as companyName, round(cost.downloadCost, 6) as downloadCost,
+ round(cost.loggingCost, 6) as loggingCost, round(ipe.infrastuctureCost, 6) as infrastuctureCost
+from cost join ipe on ipe.date = cost.date left join {ENRICHED_SQL} d on d.user_id = cost.user_id and d.date = cost.date""")
 def r90b(spark: SS, d: str) -> DataFrame:
-    li = cat.read_events(tbl(spark, d, "lineitem", "l_shipdate", "l_extendedprice", "l_discount"), LI_D0, LI_D1,
-                         ts_col="l_shipdate")
-    e = tbl(spark, d, "events")
-    infra = li.agg(F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("total")).crossJoin(
-        e.agg(F.count_distinct("user_id").alias("n")))  # one row
-    ep = e.groupBy("user_id").agg(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("download_cost"),
-                                  (F.sum(F.octet_length("props")) / 1e6).alias("logging_cost"))
-    return ep.crossJoin(F.broadcast(infra)).select(
-        "user_id", r6(F.col("total") / F.col("n")).alias("infra_cost"),
-        r6(F.coalesce("download_cost", F.lit(0.0))).alias("download_cost"), r6("logging_cost").alias("logging_cost"))
+    """Daily endpoint cost over 60 days: download and logging cost shares plus the day's
+    infrastructure cost divided by the day's usage endpoints (inner join on day)."""
+    e = cat.read_events(ev(spark, d), AS_OF - D(days=60), YESTERDAY)
+    cost = _daily_costs(e)
+    infra = _infra_costs(spark, d).groupBy("date").agg(F.sum("dailyCost").alias("total"))
+    usage = e.where(F.col("event_type").isin("view", "click")).groupBy("date").agg(F.count_distinct("user_id").alias("n"))
+    ipe = infra.join(usage, "date").select("date", (F.col("total") / F.col("n")).alias("infrastuctureCost"))
+    dims = _enriched(spark, d).select("date", "user_id", F.col("company").alias("companyName"))
+    j = cost.join(ipe, "date").join(dims, ["date", "user_id"], "left")
+    return j.select("date", F.col("user_id").alias("endpointId"), "companyName", r6("downloadCost").alias("downloadCost"),
+                    r6("loggingCost").alias("loggingCost"), r6("infrastuctureCost").alias("infrastuctureCost"))
 
 
 @query("R91_template_usage_by_display", f"""
