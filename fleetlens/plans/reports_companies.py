@@ -29,6 +29,7 @@ from fleetlens.operators.reliability import funnel
 from fleetlens.operators.rollup import one_scan_union, splice_rollup
 from fleetlens.plans.dataflow import r08
 from fleetlens.plans.registry import query
+from fleetlens.plans.reports_uptime import BILLING_SQL, billing_export
 from fleetlens.plans.reports import W3_START, W7_START, ev, k_col, q
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
 from fleetlens.sources import catalog as cat
@@ -346,34 +347,39 @@ def r110(spark: SS, d: str) -> DataFrame:
 
 
 # =========================================================== R111-R112 billing / storage
-BILL_D0, BILL_D1 = dt.date(1998, 10, 1), dt.date(1998, 10, 31)
+# Binding (R111): the billing export of R90; the project list = the three return flags.
 PROJECTS = ["A", "N", "R"]
+COST_BY_PROJECT_SQL = f"""(select projectId as project_id, date, sum(cost) as total_cost from {BILLING_SQL}
+ where projectId in ({', '.join(f"'{p}'" for p in PROJECTS)}) group by 1, 2)"""
 
 
-def _bill(spark: SS, d: str) -> DataFrame:
-    li = cat.read_events(tbl(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_suppkey", "l_extendedprice", "l_discount"),
-                         BILL_D0, BILL_D1, ts_col="l_shipdate")
-    return li.select(F.to_date("l_shipdate").alias("date"), F.col("l_returnflag").alias("project"), "l_suppkey",
-                     (F.col("l_extendedprice") * F.col("l_discount")).alias("cost"))
+def _cost_by_project(spark: SS, d: str) -> DataFrame:
+    b = billing_export(spark, d).where(F.col("projectId").isin(*PROJECTS))
+    return b.groupBy(F.col("projectId").alias("project_id"), "date").agg(F.sum("cost").alias("total_cost"))
 
 
-BILL_SQL = f"""(select cast(l_shipdate as date) as date, l_returnflag as project, l_suppkey, l_extendedprice * l_discount as cost from lineitem
- where l_shipdate >= timestamp '{BILL_D0}' and l_shipdate < timestamp '{BILL_D1 + D(days=1)}')"""
-
-
-@query("R111_cost_by_date_and_project", f"select project, date, round(sum(cost), 6) as cost from {BILL_SQL} group by 1, 2")
+@query("R111_cost_by_date_and_project", f"select project_id, date, round(total_cost, 6) as total_cost from {COST_BY_PROJECT_SQL}")
 def r111(spark: SS, d: str) -> DataFrame:
-    return _bill(spark, d).groupBy("project", "date").agg(r6(F.sum("cost")).alias("cost"))
+    return _cost_by_project(spark, d).withColumn("total_cost", r6("total_cost"))
 
 
 @query("R111b_project_cost_columns", f"""
-select date, {', '.join(f"round(sum(cost) filter (where project = '{p}'), 6) as project_{p}" for p in PROJECTS)},
- round(sum(cost), 6) as total, count(distinct l_suppkey) as displays from {BILL_SQL} group by 1""")
+with c as {COST_BY_PROJECT_SQL},
+counts as (select date, count(distinct user_id) as total_display_count from {q()} group by 1)
+select d.date, counts.total_display_count, round(sum(c.total_cost), 6) as total_cost,
+ {', '.join(f"round(max(case when c.project_id = '{p}' then c.total_cost end), 6) as cost_{p}" for p in PROJECTS)}
+from (select distinct date from c) d join c on c.date = d.date left join counts on counts.date = d.date
+where d.date < date '{YESTERDAY}' group by 1, 2""")
 def r111b(spark: SS, d: str) -> DataFrame:
-    b = _bill(spark, d)
-    wide = b.groupBy("date").pivot("project", PROJECTS).agg(F.sum("cost"))
-    tot = b.groupBy("date").agg(r6(F.sum("cost")).alias("total"), F.count_distinct("l_suppkey").alias("displays"))
-    return wide.join(tot, "date").select("date", *[r6(p).alias(f"project_{p}") for p in PROJECTS], "total", "displays")
+    """Per day: the day's display count (installer-type total), the total cost and one
+    column per project (pivot of the long table), days before yesterday."""
+    c = _cost_by_project(spark, d).where(F.col("date") < F.lit(YESTERDAY))
+    wide = c.groupBy("date").pivot("project_id", PROJECTS).agg(F.max("total_cost"))
+    tot = c.groupBy("date").agg(F.sum("total_cost").alias("total_cost"))
+    counts = ev(spark, d).groupBy("date").agg(F.count_distinct("user_id").alias("total_display_count"))
+    j = tot.join(wide, "date").join(counts, "date", "left")
+    return j.select("date", "total_display_count", r6("total_cost").alias("total_cost"),
+                    *[r6(p).alias(f"cost_{p}") for p in PROJECTS])
 
 
 @query("R112_storage_bandwidth", f"""
