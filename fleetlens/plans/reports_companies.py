@@ -382,13 +382,57 @@ def r111b(spark: SS, d: str) -> DataFrame:
                     *[r6(p).alias(f"cost_{p}") for p in PROJECTS])
 
 
+# Binding (R112): storage access log = events with time_micros = epoch micros of ts,
+# sc_bytes = bytes(payload) x 100, bucket = installer bucket for signup / purchase,
+# referer carries 'type=sharedschedule' when value > 50.
+def storage_log(spark: SS, d: str) -> DataFrame:
+    e = tbl(spark, d, "events")
+    return e.select("ts", TU.epoch_micros("ts").alias("time_micros"), (F.octet_length("props") * 100).alias("sc_bytes"),
+                    F.when(F.col("event_type").isin("signup", "purchase"), "install-versions").otherwise("storage")
+                    .alias("cs_bucket"),
+                    F.concat(F.lit("https://apps/?"), F.when(F.col("value") > 50, "type=sharedschedule").otherwise("type=other"))
+                    .alias("cs_referer"))
+
+
+STORAGE_SQL = """(select ts, epoch_us(ts) as time_micros, strlen(props) * 100 as sc_bytes,
+ case when event_type in ('signup', 'purchase') then 'install-versions' else 'storage' end as cs_bucket,
+ 'https://apps/?' || case when value > 50 then 'type=sharedschedule' else 'type=other' end as cs_referer from events)"""
+NOW_90 = dt.datetime.combine(AS_OF - D(days=90), dt.time())
+
+
+def _since(log: DataFrame, start: dt.datetime) -> DataFrame:
+    """``time_micros > start`` on the integer column (converted once, Z24), plus the
+    ts bound so the scan prunes row groups."""
+    return log.where((F.col("ts") > TU.as_of_ts(start)) & (F.col("time_micros") > F.lit(int(start.replace(
+        tzinfo=dt.timezone.utc).timestamp() * 1_000_000))))
+
+
 @query("R112_storage_bandwidth", f"""
-select cast(make_timestamp(epoch_us(ts)) as date) as date, event_type as bucket, cast(sum(strlen(props) * 100) as bigint) as bytes_sent, count(*) as requests
-from {q(W7_START, AS_OF)} group by 1, 2""")
+select cast(make_timestamp(time_micros) as date) as date, cast(sum(sc_bytes) as bigint) as bandwidth, count(*) as requests
+from {STORAGE_SQL} where time_micros > epoch_us(timestamp '{NOW_90}') group by 1""")
 def r112(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(tbl(spark, d, "events"), W7_START, YESTERDAY).withColumn("time_micros", TU.epoch_micros("ts"))
-    return e.groupBy(F.to_date(TU.from_epoch_micros("time_micros")).alias("date"), F.col("event_type").alias("bucket")) \
-        .agg(F.sum(F.octet_length("props") * 100).cast("long").alias("bytes_sent"), F.count(F.lit(1)).alias("requests"))
+    log = _since(storage_log(spark, d), NOW_90)
+    return log.groupBy(F.to_date(TU.from_epoch_micros("time_micros")).alias("date")) \
+        .agg(F.sum("sc_bytes").cast("long").alias("bandwidth"), F.count(F.lit(1)).alias("requests"))
+
+
+@query("R112b_installer_storage_by_referer", f"""
+select cast(make_timestamp(time_micros) as date) as date, cast(sum(sc_bytes) as bigint) as bandwidth
+from {STORAGE_SQL} where time_micros > epoch_us(timestamp '{NOW_90}') and cs_bucket = 'install-versions' group by 1""")
+def r112b(spark: SS, d: str) -> DataFrame:
+    log = _since(storage_log(spark, d), NOW_90).where(F.col("cs_bucket") == "install-versions")
+    return log.groupBy(F.to_date(TU.from_epoch_micros("time_micros")).alias("date")) \
+        .agg(F.sum("sc_bytes").cast("long").alias("bandwidth"))
+
+
+@query("R112c_shared_schedule_storage", f"""
+select cast(make_timestamp(time_micros) as date) as date, cast(sum(sc_bytes) as bigint) as bandwidth, count(*) as requests
+from {STORAGE_SQL} where cast(ts as date) between date '{AS_OF - D(days=7)}' and date '{AS_OF}'
+ and cs_referer like '%type=sharedschedule%' group by 1""")
+def r112c(spark: SS, d: str) -> DataFrame:
+    log = cat.read_events(storage_log(spark, d), AS_OF - D(days=7), AS_OF).where(F.col("cs_referer").like("%type=sharedschedule%"))
+    return log.groupBy(F.to_date(TU.from_epoch_micros("time_micros")).alias("date")) \
+        .agg(F.sum("sc_bytes").cast("long").alias("bandwidth"), F.count(F.lit(1)).alias("requests"))
 
 
 # =========================================================== R120-R125 request log

@@ -113,16 +113,6 @@ def r102c(spark: SS, d: str) -> DataFrame:
     return k.select("new_companies", "with_display", r6(C.safe_ratio("with_display", "new_companies")).alias("ratio"))
 
 
-@query("R112b_installer_storage_by_referer", f"""
-select date, case when value > 50 then 'client' else 'direct' end as referer, cast(sum(strlen(props) * 100) as bigint) as bytes_sent, count(*) as requests
-from {q(AS_OF - D(days=90), AS_OF)} where event_type in ('signup', 'purchase') group by 1, 2""")
-def r112b(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), AS_OF - D(days=90), YESTERDAY).where(F.col("event_type").isin("signup", "purchase"))
-    ref = F.when(F.col("value") > 50, "client").otherwise("direct")
-    return e.groupBy("date", ref.alias("referer")).agg(F.sum(F.octet_length("props") * 100).cast("long").alias("bytes_sent"),
-                                                       F.count(F.lit(1)).alias("requests"))
-
-
 def placeholder_items(spark: SS, d: str) -> DataFrame:
     """Presentations (orders) -> placeholders (line items) -> widget items: two
     items per placeholder, nested as array<struct<..., items array<struct>>>."""
