@@ -38,6 +38,7 @@ SS = SparkSession
 r6 = C.r
 D = dt.timedelta
 NOW = dt.datetime(2024, 1, 31)
+W30_START = AS_OF - D(days=30)
 
 
 # =========================================================== R100-R101 active companies
@@ -94,30 +95,59 @@ def r101b(spark: SS, d: str) -> DataFrame:
 
 
 # =========================================================== R102-R107
+NONTEST_SQL = "(select c_custkey from customer where c_acctbal >= 0)"
+
+
+def _nontest_companies(spark: SS, d: str) -> DataFrame:
+    return tbl(spark, d, "customer", "c_custkey", "c_acctbal").where(F.col("c_acctbal") >= 0) \
+        .select(F.col("c_custkey").alias("user_id"))
+
+
 @query("R102_todays_displays", f"""
-select e.user_id as display_id, c.c_nationkey as company_id, max(e.ts) as last_connection, count(*) as connections
-from {q(YESTERDAY, AS_OF)} e left join customer c on c.c_custkey = e.user_id group by 1, 2""")
+select user_id as displayId, user_id as companyId, max(ts) as lastConnectionTime, count(ts) as numberOfConnections
+from {q(YESTERDAY, AS_OF)} where event_type = 'view' and user_id in {NONTEST_SQL} group by 1, 2""")
 def r102(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY)
-    c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
-    return e.join(c, e.user_id == c.c_custkey, "left").groupBy(F.col("user_id").alias("display_id"),
-                                                              F.col("c_nationkey").alias("company_id")) \
-        .agg(F.max("ts").alias("last_connection"), F.count(F.lit(1)).alias("connections"))
+    """Today's connecting displays (display requests of the last day) of non-test
+    companies (existence join), with last connection and number of connections."""
+    e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY).where(F.col("event_type") == "view")
+    x = J.semi(e, _nontest_companies(spark, d), "user_id")
+    return x.groupBy(F.col("user_id").alias("displayId"), F.col("user_id").alias("companyId")) \
+        .agg(F.max("ts").alias("lastConnectionTime"), F.count("ts").alias("numberOfConnections"))
 
 
+# Binding (R102b): company creation = first signup, first payment = first purchase;
+# window = the 30 days of data (the view's 2 days would hold no creation here).
 @query("R102b_activation_conversion_kpi", f"""
-with s as (select distinct user_id from {q()} where event_type = 'signup')
-select count(*) as signed_up,
- round(count(*) filter (where user_id in (select user_id from {q()} where event_type = 'view')) / count(*), 6) as activation,
- round(count(*) filter (where user_id in (select user_id from {q()} where event_type = 'purchase')) / count(*), 6) as conversion from s""")
+with firsts as (select user_id, min(date) filter (where event_type = 'signup') as created,
+  min(date) filter (where event_type = 'purchase') as first_paid from {q()} group by 1),
+conn as (select distinct user_id from {q(W30_START, AS_OF)} where event_type = 'view' and user_id in {NONTEST_SQL}),
+created as (select user_id from firsts where created >= date '{W30_START}' and created < date '{AS_OF}'),
+u as (select count(distinct created.user_id) as totalCreated, count(distinct conn.user_id) as totalActivatedDisplays
+  from created left join conn on conn.user_id = created.user_id),
+p as (select count(distinct user_id) as madeFirstPurchase from firsts where first_paid >= date '{W30_START}' and first_paid < date '{AS_OF}'),
+t as (select count(distinct user_id) as total from conn)
+select u.totalActivatedDisplays as activatedDisplays, coalesce(p.madeFirstPurchase, 0) as madeFirstPurchase, u.totalCreated,
+ round(u.totalActivatedDisplays / u.totalCreated, 6) as activationRatio, round(coalesce(p.madeFirstPurchase, 0) / t.total, 6) as customerConversionRatio
+from u, p, t""")
 def r102b(spark: SS, d: str) -> DataFrame:
+    """Activation and conversion KPI row: companies created in the window, those whose
+    display connected, companies paying for the first time, and the two ratios.
+    Each part is a one-row aggregate; they are cross joined (size proven)."""
     e = ev(spark, d)
-    per = e.groupBy("user_id").agg(F.max((F.col("event_type") == "signup").cast("int")).alias("s"),
-                                   F.max((F.col("event_type") == "view").cast("int")).alias("v"),
-                                   F.max((F.col("event_type") == "purchase").cast("int")).alias("p")).where("s = 1")
-    k = per.agg(F.count(F.lit(1)).alias("signed_up"), F.sum("v").alias("v"), F.sum("p").alias("p"))
-    return k.select("signed_up", r6(C.safe_ratio("v", "signed_up")).alias("activation"),
-                    r6(C.safe_ratio("p", "signed_up")).alias("conversion"))
+    firsts = e.groupBy("user_id").agg(F.min(F.when(F.col("event_type") == "signup", F.col("date"))).alias("created"),
+                                      F.min(F.when(F.col("event_type") == "purchase", F.col("date"))).alias("first_paid"))
+    in_win = lambda c: (F.col(c) >= F.lit(W30_START)) & (F.col(c) < F.lit(AS_OF))
+    conn = J.semi(cat.read_events(e, W30_START, YESTERDAY).where(F.col("event_type") == "view").select("user_id").distinct(),
+                  _nontest_companies(spark, d), "user_id")
+    created = firsts.where(in_win("created")).select("user_id")
+    u = created.join(conn.withColumn("c", F.lit(True)), "user_id", "left").agg(
+        F.count(F.lit(1)).alias("totalCreated"), F.count_if(F.col("c").isNotNull()).alias("activatedDisplays"))
+    p = firsts.where(in_win("first_paid")).agg(F.count(F.lit(1)).alias("madeFirstPurchase"))
+    t = conn.agg(F.count(F.lit(1)).alias("total"))
+    k = u.crossJoin(p).crossJoin(t)
+    return k.select("activatedDisplays", "madeFirstPurchase", "totalCreated",
+                    r6(C.safe_ratio("activatedDisplays", "totalCreated")).alias("activationRatio"),
+                    r6(C.safe_ratio("madeFirstPurchase", "total")).alias("customerConversionRatio"))
 
 
 @query("R103_registration_funnel_weekly", f"""
