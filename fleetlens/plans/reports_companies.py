@@ -197,19 +197,32 @@ def r105(spark: SS, d: str) -> DataFrame:
         F.count("event_type").alias("total"))
 
 
+# Binding (R106): subscription snapshots = orders per month (collectionDate), company
+# = customer, subscription = order priority; name = priority, status = the latest
+# order status, start / renewal = first / last order date, amount = total price.
 @query("R106_subscription_changes", """
 with s as (select cast(date_trunc('month', o_orderdate) as date) as collectionDate, o_custkey as companyId,
- arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status, round(sum(o_totalprice), 2) as amount from orders group by 1, 2),
+ o_orderpriority as subscriptionId, o_orderpriority as name, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as status,
+ min(o_orderdate) as startDate, max(o_orderdate) as renewalDate, round(sum(o_totalprice), 2) as amount from orders group by 1, 2, 3),
 d1 as (select max(collectionDate) as d from s), d0 as (select max(collectionDate) as d from s where collectionDate < (select d from d1)),
 cur as (select * from s where collectionDate = (select d from d1)), prev as (select * from s where collectionDate = (select d from d0))
-select cur.companyId, cur.status, cur.amount from cur left join prev on cur.companyId = prev.companyId
-where prev.companyId is null or cur.status is distinct from prev.status or cur.amount is distinct from prev.amount""")
+select cur.companyId, cur.subscriptionId, cur.name, cur.status, cur.startDate, cur.renewalDate, cur.amount
+from cur left join prev on cur.companyId = prev.companyId and cur.subscriptionId = prev.subscriptionId
+where prev.companyId is null or cur.name is distinct from prev.name or cur.status is distinct from prev.status
+ or cur.startDate is distinct from prev.startDate or cur.renewalDate is distinct from prev.renewalDate
+ or cur.amount is distinct from prev.amount""")
 def r106(spark: SS, d: str) -> DataFrame:
-    o = tbl(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    s = o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("collectionDate"), F.col("o_custkey").alias("companyId")) \
-        .agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("status"),
+    """Subscriptions of the latest snapshot that are new or changed against the
+    previous snapshot (keys company + subscription; NULL-safe comparison)."""
+    o = tbl(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    s = o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("collectionDate"), F.col("o_custkey").alias("companyId"),
+                  F.col("o_orderpriority").alias("subscriptionId")) \
+        .agg(F.first("o_orderpriority").alias("name"),
+             F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("status"),
+             F.min("o_orderdate").alias("startDate"), F.max("o_orderdate").alias("renewalDate"),
              F.round(F.sum("o_totalprice"), 2).alias("amount"))
-    return snapshot_diff(s, "collectionDate", ["companyId"], ["status", "amount"])
+    return snapshot_diff(s, "collectionDate", ["companyId", "subscriptionId"],
+                         ["name", "status", "startDate", "renewalDate", "amount"])
 
 
 @query("R107_licensed_displays_active_plans", """
