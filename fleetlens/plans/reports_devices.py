@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
-from fleetlens.operators.latest import latest_by
+from fleetlens.operators.latest import latest_by, production
 from fleetlens.operators.reliability import distinct_counts
 from fleetlens.operators.rollup import one_scan_union, splice_rollup
 from fleetlens.plans.registry import query
@@ -178,18 +178,51 @@ def r43(spark: SS, d: str) -> DataFrame:
     return j.groupBy("date").agg(F.count_distinct("c_custkey").alias("companies"))
 
 
-@query("R44_segment_entity_list", """
-with cur as (select * from orders where (o_custkey, o_orderkey) in (select o_custkey, max(o_orderkey) from orders group by 1))
-select c.c_custkey, c.c_name, cur.o_orderstatus as status, cur.o_orderdate as creationDate
-from customer c join cur on cur.o_custkey = c.c_custkey
-where c.c_mktsegment in ('BUILDING', 'FURNITURE') and cur.o_orderstatus <> 'P' and c.c_acctbal >= 0""")
+# Binding (R44): company change log = orders per customer (latest = max order key),
+# production = priority other than '5-LOW', test = latest status 'P'; industry =
+# the customer's segment; the three "education" industries = BUILDING, FURNITURE,
+# MACHINERY.  Display change log = events per device (latest = max (ts, id)):
+# status = latest event kind, name = 'display-<id>', creation = first signup day.
+K12_INDUSTRIES = ["BUILDING", "FURNITURE", "MACHINERY"]
+PROD_COMPANIES_SQL = """(select o_custkey as companyId from orders where o_orderpriority <> '5-LOW'
+ and (o_custkey, o_orderkey) in (select o_custkey, max(o_orderkey) from orders where o_orderpriority <> '5-LOW' group by 1)
+ and o_orderstatus <> 'P')"""
+
+
+def production_companies(spark: SS, d: str, industries: list[str]) -> DataFrame:
+    o = tbl(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    cur = production(o, "o_custkey", "o_orderkey", pre=F.col("o_orderpriority") != "5-LOW",
+                     post=F.col("o_orderstatus") != "P", ties="one")
+    seg = tbl(spark, d, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment").isin(*industries)) \
+        .select(F.col("c_custkey").alias("companyId"))
+    return J.semi(cur.select(F.col("o_custkey").alias("companyId")), seg, "companyId")
+
+
+@query("R44_segment_entity_list", f"""
+select companyId from {PROD_COMPANIES_SQL} where companyId in (select c_custkey from customer where c_mktsegment = '{SEGMENT}')""")
 def r44(spark: SS, d: str) -> DataFrame:
-    o = tbl(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    cur = latest_by(o, "o_custkey", "o_orderkey", ties="one").where(F.col("o_orderstatus") != "P")
-    c = tbl(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment", "c_acctbal") \
-        .where(F.col("c_mktsegment").isin("BUILDING", "FURNITURE") & (F.col("c_acctbal") >= 0))
-    return c.join(cur, c.c_custkey == cur.o_custkey).select(
-        "c_custkey", "c_name", F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("creationDate"))
+    """Segment companies: latest production, non-test companies of the industry."""
+    return production_companies(spark, d, [SEGMENT])
+
+
+@query("R44b_segment_displays", f"""
+with latest as (select user_id as displayId, arg_max(event_type, (ts, event_id)) as status from events group by 1),
+created as (select user_id as displayId, min(cast(ts as date)) as creationDate from events where event_type = 'signup' group by 1)
+select l.displayId, l.displayId as companyId, 'display-' || cast(l.displayId as varchar) as name, c.creationDate, l.status
+from latest l left join created c on c.displayId = l.displayId
+where l.displayId in (select companyId from {PROD_COMPANIES_SQL}
+ where companyId in (select c_custkey from customer where c_mktsegment in ({', '.join(f"'{i}'" for i in K12_INDUSTRIES)})))""")
+def r44b(spark: SS, d: str) -> DataFrame:
+    """Latest production displays of the education-industry companies."""
+    e = ev(spark, d)
+    latest = latest_by(e.select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], ties="one") \
+        .select(F.col("user_id").alias("displayId"), F.col("event_type").alias("status"))
+    created = e.where(F.col("event_type") == "signup").groupBy(F.col("user_id").alias("displayId")) \
+        .agg(F.min("date").alias("creationDate"))
+    k12 = production_companies(spark, d, K12_INDUSTRIES).select(F.col("companyId").alias("displayId"))
+    x = J.semi(latest, k12, "displayId").join(created, "displayId", "left")
+    return x.select("displayId", F.col("displayId").alias("companyId"),
+                    F.concat(F.lit("display-"), F.col("displayId").cast("string")).alias("name"), "creationDate", "status")
 
 
 def latest_config(e: DataFrame) -> DataFrame:
