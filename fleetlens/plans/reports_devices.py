@@ -162,20 +162,35 @@ def r42(spark: SS, d: str) -> DataFrame:
     return splice_rollup(fresh, hist, "date", W3_START)
 
 
+def PROD_COMPANIES_SQL_FN(segment: str) -> str:
+    return ("(select o_custkey as companyId from orders where o_orderpriority <> '5-LOW' and (o_custkey, o_orderkey) in "
+            "(select o_custkey, max(o_orderkey) from orders where o_orderpriority <> '5-LOW' group by 1) and o_orderstatus <> 'P' "
+            f"and o_custkey in (select c_custkey from customer where c_mktsegment = '{segment}'))")
+
+
 @query("R43_recommended_templates_in_segment", f"""
-with rec as (select k as template_id, min(date) as valid_from, max(date) as valid_to from {q()} where event_type = 'purchase' group by 1)
-select e.date, count(distinct c.c_custkey) as companies from {q()} e join customer c on c.c_custkey = e.user_id
-join rec on rec.template_id = e.k and e.date between rec.valid_from and rec.valid_to
-where e.event_type = 'view' and c.c_mktsegment = '{SEGMENT}' group by 1""")
+with rec as (select k as template, min(date) as start_date, max(date) as end_date from {q()} where event_type = 'purchase' group by 1),
+x as (select date, user_id as company_id, k, event_type from {q()} where user_id not in (0)
+  and user_id in (select companyId from {PROD_COMPANIES_SQL_FN('BUILDING')})
+  and (event_type = 'view' or (event_type = 'click' and (case when k < 50 then 'stable' else 'beta' end) in ('beta', 'stable')))),
+y as (select x.date, x.company_id from x join rec on rec.template = x.k and x.date between rec.start_date and rec.end_date)
+select date, count(distinct company_id) as number_of_companies from y group by 1""")
 def r43(spark: SS, d: str) -> DataFrame:
+    """Segment companies per day that used a template recommended on that day: legacy
+    template loads ('view') and content events ('click', rollout stage beta or
+    stable), union all; companies restricted to the production segment companies."""
     e = ev(spark, d).withColumn("template_id", k_col())
-    # validity table: one row per template (bounded by the template catalogue)
+    # recommended templates with their validity period: one row per template (bounded catalogue)
     rec = e.where(F.col("event_type") == "purchase").groupBy("template_id").agg(
-        F.min("date").alias("valid_from"), F.max("date").alias("valid_to"))
-    seg = tbl(spark, d, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment") == SEGMENT)
-    v = e.where(F.col("event_type") == "view").join(seg, e.user_id == seg.c_custkey)
-    j = v.join(rec, "template_id").where(F.col("date").between(F.col("valid_from"), F.col("valid_to")))
-    return j.groupBy("date").agg(F.count_distinct("c_custkey").alias("companies"))
+        F.min("date").alias("start_date"), F.max("date").alias("end_date"))
+    k12 = production_companies(spark, d, [SEGMENT]).select(F.col("companyId").alias("user_id"))
+    stage = F.when(F.col("template_id") < 50, "stable").otherwise("beta")
+    legacy = e.where((F.col("event_type") == "view") & ~F.col("user_id").isin(0))
+    html = e.where((F.col("event_type") == "click") & stage.isin("beta", "stable") & ~F.col("user_id").isin(0))
+    used = J.semi(legacy.select("date", "user_id", "template_id").unionByName(html.select("date", "user_id", "template_id")),
+                  k12, "user_id")
+    j = used.join(rec, "template_id").where(F.col("date").between(F.col("start_date"), F.col("end_date")))
+    return j.groupBy("date").agg(F.count_distinct("user_id").alias("number_of_companies"))
 
 
 # Binding (R44): company change log = orders per customer (latest = max order key),
