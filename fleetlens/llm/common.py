@@ -14,8 +14,21 @@ from fleetlens.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster whose machines do not share that path installs the package or names it
+    in --py-files; the entry is then unused.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:

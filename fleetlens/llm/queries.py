@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import mixing, sharding
-from fleetlens.llm.common import table
+from fleetlens.llm import language, mixing, quality, sharding, topk
+from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
 # ------------------------------------------------------------------ 1: sharding
@@ -76,3 +76,46 @@ FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 def op10_mixing(spark, sf_dir):
     """Words that the mix takes of every document, against its source's target."""
     return mixing.taken(mixing.thin_documents(table(spark, sf_dir, "documents")), block=256)
+
+
+# ------------------------------------------------------------------ 9: exact top-k
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op9_topk", _TOPK_SQL)
+def op9_topk(spark, sf_dir):
+    """The 5 best partners of every 50th vector among all vectors."""
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+# ------------------------------------------------------------------ 8: language identification
+@query("op8_language")
+def op8_language(spark, sf_dir):
+    """Predicted language of every document; learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = id_crc(F.col("doc_id")) % 4 == 2
+    model = language.fit(docs.where(~held))
+    return (language.predict(docs.select("doc_id", held.alias("held_out"), "text"), model)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+# ------------------------------------------------------------------ 6: quality
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """Quality score of every document; learned from the labels of three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = id_crc(F.col("doc_id")) % 4 == 2
+    return (quality.classify(docs, table(spark, sf_dir, "labels"), ~held, "quality", threshold=0.7)
+            .select("doc_id", (~F.col("learnt_from")).alias("held_out"), "score", "predicted"))
