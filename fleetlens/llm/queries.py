@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import language, mixing, quality, sharding, topk
+from fleetlens.llm import language, mixing, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -119,3 +119,14 @@ def op6_quality(spark, sf_dir):
     held = id_crc(F.col("doc_id")) % 4 == 2
     return (quality.classify(docs, table(spark, sf_dir, "labels"), ~held, "quality", threshold=0.7)
             .select("doc_id", (~F.col("learnt_from")).alias("held_out"), "score", "predicted"))
+
+
+# ------------------------------------------------------------------ 5: toxicity
+@query("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    """Toxicity score of every document; learned from the labels of four fifths of them."""
+    def may_learn(c):
+        return id_crc(F.col(c)) % 5 != 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.classify(docs, table(spark, sf_dir, "labels"), may_learn, "toxic")
+    return out.select("doc_id", (~may_learn("doc_id")).alias("held_out"), "score", "predicted")
