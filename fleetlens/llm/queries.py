@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import language, mixing, quality, sharding, topk, toxicity
+from fleetlens.llm import decontaminate, language, mixing, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -130,3 +130,11 @@ def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.classify(docs, table(spark, sf_dir, "labels"), may_learn, "toxic")
     return out.select("doc_id", (~may_learn("doc_id")).alias("held_out"), "score", "predicted")
+
+
+# ------------------------------------------------------------------ 3: benchmark decontamination
+@query("op3_decontamination")
+def op3_decontamination(spark, sf_dir):
+    """Documents in which a benchmark item occurs with at most a tenth of its characters edited."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find(docs, table(spark, sf_dir, "benchmark"), rate=0.1)
