@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.session import checkpoint_dir
@@ -63,3 +63,18 @@ def id_crc(doc_id: Column) -> Column:
 def digest60(key: Column) -> Column:
     """First 60 bits of MD5 as a non-negative long; the same number in any SQL engine."""
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def first_by_hash(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+    """At most ``per_label`` rows of each label: a bounded sample that does not depend on the partitioning.
+
+    Rows are thinned by hashed key to about twice the bound before any are ranked, so
+    no task gets all rows of a frequent label.  ``rows`` should hold no long columns.
+    """
+    n = rows.groupBy(label).agg(F.count("*").alias("__n")).withColumnRenamed(label, "__label")
+    u = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    near = (rows.join(n, F.col(label) == F.col("__label")).withColumn("__u", u)
+            .where(F.col("__u") * F.col("__n") < 2.0 * per_label + 50))
+    first = Window.partitionBy(label).orderBy("__u", key)
+    return (near.withColumn("__rank", F.row_number().over(first)).where(F.col("__rank") <= per_label)
+            .select(*rows.columns))

@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import first_by_hash
 from fleetlens.llm.learn import ftrl, softmax, temperature
 from fleetlens.llm.texts import codes, letters, pieces, runs
 
@@ -91,12 +92,14 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return df, n
 
 
-def bounded_sample(rows: DataFrame, label: str, order: Column, per_label: int, max_chars: int = 20_000) -> list:
-    """At most ``per_label`` rows of each label, first by a hash of their id; texts of up to ``max_chars`` only."""
-    first = Window.partitionBy(label).orderBy(order, "__text")
-    few = (rows.where(F.length("__text") <= max_chars).withColumn("__rank", F.row_number().over(first))
-           .where(F.col("__rank") <= per_label))
-    return sorted(few.drop("__rank").collect(), key=lambda r: tuple(str(v) for v in r))
+def bounded_sample(rows: DataFrame, per_label: int, max_chars: int = 20_000) -> list:
+    """At most ``per_label`` rows (__id, __lang, __text) of each language; texts of up to ``max_chars`` only."""
+    short = rows.where((F.length("__text") <= max_chars) & F.col("__id").isNotNull())
+    few = first_by_hash(short.select("__id", "__lang"), "__lang", "__id", per_label)
+    few = few.distinct().withColumnsRenamed({"__id": "__i", "__lang": "__l"})  # bounded: per_label rows a language
+    got = (short.join(F.broadcast(few), (F.col("__id") == F.col("__i")) & (F.col("__lang") == F.col("__l")))
+           .select("__id", "__lang", "__text").dropDuplicates(["__id", "__lang"]))
+    return sorted(got.collect(), key=lambda r: (r["__id"][::-1], r["__lang"]))
 
 
 @dataclass
@@ -138,7 +141,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
                        docs[doc_id].cast("string").alias("__id")).where("__text is not null and __lang is not null")
     df, n = document_frequencies(rows, "__text")
     idf = np.log((1.0 + n) / (1.0 + df)) + 0.1
-    sample = bounded_sample(rows, "__lang", F.md5(F.coalesce("__id", F.lit("")).cast("binary")), per_language)
+    sample = bounded_sample(rows, per_language)
     classes = sorted({r["__lang"] for r in sample})[:max_languages]
     if not classes:
         return LanguageModel([], np.zeros((DIMS, 1)), 1.0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontaminate, language, mixing, quality, sharding, topk, toxicity
+from fleetlens.llm import decontaminate, language, licenses, mixing, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -138,3 +138,16 @@ def op3_decontamination(spark, sf_dir):
     """Documents in which a benchmark item occurs with at most a tenth of its characters edited."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find(docs, table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
+# ------------------------------------------------------------------ 4: licences
+@query("op4_licenses")
+def op4_licenses(spark, sf_dir):
+    """Licence family of every document: its best confirmed notice, else ``none``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs)
+    sure = F.filter("notices", lambda n: n["confirmed"])
+    best = F.array_max(F.transform(sure, lambda n: F.struct(n["similarity"], n["score"], n["family"].alias("family"))))
+    return found.select("doc_id", F.coalesce(best["family"], F.lit("none")).alias("family"),
+                        F.coalesce(best["score"], F.lit(0.0)).alias("score"),
+                        F.size("notices").alias("n_notices"), F.size(sure).alias("n_confirmed"))

@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import first_by_hash
 from fleetlens.llm.learn import sigmoid
 
 BITS = 16
@@ -243,8 +244,7 @@ def sample(docs: DataFrame, labels: DataFrame, may_learn, label: str, doc_id: st
     """At most ``per_label`` labelled rows of each label (texts of up to ``max_chars``), by hashed id."""
     y = (labels.select(labels[doc_id].alias("__lid"), labels[label].cast("int").alias("y"))
          .where("__lid is not null and y in (0, 1)").groupBy("__lid").agg(F.max("y").alias("y")).where(may_learn("__lid")))
-    first = Window.partitionBy("y").orderBy(F.md5(F.col("__lid").cast("string").cast("binary")))
-    few = y.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= per_label).drop("__r")
+    few = first_by_hash(y, "y", "__lid", per_label)
     d = docs.select(docs[doc_id].alias("__id"), docs[text].alias("__text")).where(F.length("__text") <= max_chars)
     rows = d.join(F.broadcast(few), F.col("__id") == F.col("__lid")).select("__id", "y", "__text").dropDuplicates(["__id"])
     return sorted(rows.collect(), key=lambda r: (str(r["__id"])[::-1], r["__text"]))
