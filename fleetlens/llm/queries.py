@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontaminate, language, licenses, mixing, quality, sharding, topk, toxicity
+from fleetlens.llm import decontaminate, language, licenses, mixing, neardup, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -151,3 +151,10 @@ def op4_licenses(spark, sf_dir):
     return found.select("doc_id", F.coalesce(best["family"], F.lit("none")).alias("family"),
                         F.coalesce(best["score"], F.lit(0.0)).alias("score"),
                         F.size("notices").alias("n_notices"), F.size(sure).alias("n_confirmed"))
+
+
+# ------------------------------------------------------------------ 7: n-gram Jaccard join
+@query("op7_neardup")
+def op7_neardup(spark, sf_dir):
+    """Near-copy class and number of links of every document (five-word shingles, Jaccard >= 0.8)."""
+    return neardup.join_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
