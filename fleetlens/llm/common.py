@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,25 +33,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only a session without
-    one that runs in a single JVM (tests, a laptop) gets a folder of its own.
+    Only a session without one that runs in a single JVM (tests, a laptop) gets a folder of its own.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
     if spark.conf.get("spark.checkpoint.dir", None):
-        where = checkpoint_dir(spark)
-    elif sc.master.startswith("local[") or sc.master == "local":
-        where = checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints"))
-    else:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        return checkpoint_dir(spark)
+    master = spark.sparkContext.master
+    if master.startswith("local[") or master == "local":
+        return checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints"))
+    raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage there."""
+    sc = df.sparkSession.sparkContext
+    where = shared_folder(df.sparkSession)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(where)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def keep_rows(docs: DataFrame, text: str, make) -> DataFrame:
+    """Rows of ``docs`` whose text passes; ``make()`` gives a task its function from texts (or None) to booleans.
+
+    All columns stay as they are (Arrow batches are filtered, never converted); no shuffle.
+    """
+    def run(batches):
+        test = make()
+        for b in batches:
+            yield b.filter(pa.array([bool(x) for x in test(b.column(text).to_pylist())], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text (NULL: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

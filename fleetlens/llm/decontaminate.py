@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.common import keep_rows
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -238,16 +240,14 @@ def _finder(shared):
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **params) -> DataFrame:
     """``docs`` without the documents in which a benchmark item occurs; all columns kept, no shuffle."""
-    out = docs
     for block in blocks(benchmark, **params):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        out = out.mapInPandas(_dropper(shared, text), docs.schema)
-    return out
+        docs = keep_rows(docs, text, _without(shared))
+    return docs
 
 
-def _dropper(shared, text: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _without(shared):
+    def make():
         m = shared.value.matcher()
-        for b in batches:
-            yield b[[not (isinstance(t, str) and m.hits(normal(t))) for t in b[text]]]
-    return run
+        return lambda texts: [not (t and m.hits(normal(t))) for t in texts]
+    return make

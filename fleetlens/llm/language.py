@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import first_by_hash
+from fleetlens.llm.common import first_by_hash, keep_rows
 from fleetlens.llm.learn import ftrl, softmax, temperature
 from fleetlens.llm.texts import codes, letters, pieces, runs
 
@@ -189,3 +189,23 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most DIMS x max_languages numbers
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
     return d.mapInPandas(predict_batches(shared, (text, out, score)), f"{schema}, `{out}` string, `{score}` double")
+
+
+def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.4) -> DataFrame:
+    """``docs`` without those of no identifiable language: no letter, or a confidence below ``least``.
+
+    A model that knows no language rejects only texts without a letter.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        m: LanguageModel = shared.value
+
+        def test(texts: list[str | None]) -> list[bool]:
+            out: list[bool] = []
+            for part in runs([t or "" for t in texts]):
+                p, some = m.scores(part)
+                out += (some & ((p.max(1) >= least) | (not m.classes))).tolist()
+            return out
+        return test
+    return keep_rows(docs, text, make)

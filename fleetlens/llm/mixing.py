@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import cut, digest60, n_words
+from fleetlens.llm.common import WORD, cut, digest60, n_words
 
 #: The points live in [0, 2^31); the multiplier is 2^31 / golden ratio, made odd.
 POINTS = 2_147_483_648
@@ -170,3 +170,32 @@ def thin_documents(docs: DataFrame, tag: Column | None = None) -> DataFrame:
     short = F.coalesce(docs["n_chars"].cast("string"), F.lit("")) if "n_chars" in docs.columns else F.lit("")
     return docs.select(docs["source"].alias("source"), docs["doc_id"].alias("doc_id"),
                        n_words(docs["text"]).alias("size"), (short if tag is None else tag).alias("tag"))
+
+
+def apply(docs: DataFrame, **params) -> DataFrame:
+    """``docs`` as the mix reads them: a row for each reading of a document, columns unchanged.
+
+    Needs columns doc_id, text and source.  A document that lies across its source's
+    end is cut to the words taken (joined by single blanks), with n_chars set anew.
+    Rows that agree in doc_id, source and text share their readings evenly.
+    Documents without words are not read.
+    """
+    tag = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
+    pieces, every = mix(thin_documents(docs, tag), **params)
+    per_row = pieces.groupBy("source", "doc_id", "tag", "start", "epoch", "size").agg(F.sum("words").alias("words"))
+    copies = every.groupBy("source", "doc_id", "tag").agg(F.count("*").alias("rows"))
+    same = (F.col("p.source").eqNullSafe(F.col("c.source")) & F.col("p.doc_id").eqNullSafe(F.col("c.doc_id"))
+            & (F.col("p.tag") == F.col("c.tag")))
+    read = (per_row.groupBy("source", "doc_id", "tag", "epoch", "size").agg(F.sum("words").alias("words")).alias("p")
+            .join(copies.alias("c"), same)
+            .select(F.col("p.source").alias("__source"), F.col("p.doc_id").alias("__id"), F.col("p.tag").alias("__tag"),
+                    F.col("size").alias("__size"), F.ceil(F.col("words") / F.col("rows")).alias("__words")))
+    d = docs.withColumn("__t", tag)
+    out = d.join(read, d["source"].eqNullSafe(F.col("__source")) & d["doc_id"].eqNullSafe(F.col("__id"))
+                 & (F.col("__t") == F.col("__tag")))
+    part = F.col("__words") < F.col("__size")
+    short = F.array_join(F.slice(F.regexp_extract_all(d["text"], F.lit(WORD), F.lit(0)), 1, F.col("__words").cast("int")), " ")
+    out = out.withColumn("text", F.when(part, short).otherwise(d["text"]))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(part, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

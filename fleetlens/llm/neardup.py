@@ -22,9 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlens.llm.common import cut
 from fleetlens.llm.components import components
@@ -379,3 +381,33 @@ def join_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **p
     alone = rows.where("key is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"),
                                              F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_texts"))
     return out.unionByName(alone)
+
+
+def _key_column(text: str, gram: int):
+    def run(batches):
+        words = _Words()
+        for b in batches:
+            keys: list[bytes | None] = []
+            for part in runs([t or "" for t in b.column(text).to_pylist()], docs=64):
+                keys += [text_key(s) if len(s) else None for s in shingles(part, words, gram)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=[*b.schema.names, "__key"])
+    return run
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **params) -> DataFrame:
+    """``docs`` with one document of each near-copy class: that of the least doc_id (rows without one last).
+
+    All columns stay.  Repeated rows of the kept id and text give one row; documents
+    without a word have no class and all stay.
+    """
+    rows, texts = texts_and_classes(docs, doc_id, text, **params)
+    first = (rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least"))
+             .join(texts.select("key", "root"), "key").groupBy("root")
+             .agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key")).alias("s"))
+             .select(F.col("s.least").alias("__kept_id"), F.col("s.key").alias("__kept_key")))
+    schema = T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())])
+    keyed = docs.mapInArrow(_key_column(text, GRAM), schema)
+    some = (keyed.where("__key is not null")
+            .join(first, (F.col("__key") == F.col("__kept_key")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
+            .dropDuplicates(["__key", doc_id]))
+    return some.unionByName(keyed.where("__key is null")).drop("__key")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontaminate, language, licenses, mixing, neardup, quality, sharding, topk, toxicity
+from fleetlens.llm import decontaminate, language, licenses, lm, mixing, neardup, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -158,3 +158,11 @@ def op4_licenses(spark, sf_dir):
 def op7_neardup(spark, sf_dir):
     """Near-copy class and number of links of every document (five-word shingles, Jaccard >= 0.8)."""
     return neardup.join_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ------------------------------------------------------------------ 2: language-model scores
+@query("op2_lm_score")
+def op2_lm_score(spark, sf_dir):
+    """Context-mixing log10 probability of every document; learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, id_crc(F.col("doc_id")) % 7 != 2)
