@@ -68,7 +68,8 @@ class LicenseModel:
         c = [(self.vocabulary[g], n) for g, n in grams(words).items() if g in self.vocabulary]
         at = np.array([i for i, _ in c] + [len(self.vocabulary)], int)
         x = np.array([n for _, n in c] + [0.0], float)
-        x = np.minimum(x, 3) / max(4.0, len(words)) ** 0.5
+        x = np.minimum(x, 3)
+        x /= max(4.0, x.sum()) ** 0.5  # words that no notice holds do not dilute it
         x[-1] = 1.0
         return at, x
 
@@ -123,8 +124,8 @@ def train(background: list[str], seed: int = 11, copies: int = 40) -> LicenseMod
             for _ in range(copies):
                 w = words_of(_vary(t, rng))
                 if plain and rng.random() < 0.4:  # a notice within other words
-                    p = plain[rng.integers(len(plain))]
-                    w = p[:rng.integers(0, 12)] + w + p[-int(rng.integers(1, 12)):]
+                    p = plain[rng.integers(len(plain))] * WIDE
+                    w = p[:rng.integers(0, WIDE // 2)] + w + p[:rng.integers(0, WIDE // 2)]
                 rows.append(model.features(w))
                 y.append(k)
     single = sorted(g for g in vocabulary if " " not in g)
