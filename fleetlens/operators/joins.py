@@ -82,16 +82,15 @@ def not_in(left: DataFrame, right: DataFrame, left_col: str, right_col: str | No
 
 # ----------------------------------------------------------------- J17 calendar
 def join_calendar(points: DataFrame, calendar: DataFrame, point_col: str, start_col: str, end_col: str,
-                  *, grain: str | None = None, max_broadcast_rows: int = 100_000) -> DataFrame:
+                  *, grain: str | None = None) -> DataFrame:
     """Attach every period ``[start, end)`` containing the point.
 
     With ``grain`` ('week' = Monday weeks, 'month') the periods are the calendar's
     own truncation, so the theta join becomes an equi-join on the truncated key
-    (hash join, no nested loop).  Otherwise the calendar's row count is checked:
-    up to ``max_broadcast_rows`` it is broadcast for the range join; beyond
-    that, each period is expanded into the days it covers (fan-out = period
-    length in days, periods are date-aligned) and joined on the point's day --
-    a shuffled equi-join whose size is bounded by the calendar, not the points.
+    (hash join, no nested loop).  Otherwise each period is expanded into the days
+    it touches (from its start's day to the day of its last instant; the fan-out
+    is the period's length in days) and joined on the point's day, then the exact
+    bounds decide.  It is an equi-join at every size; AQE picks its strategy.
     """
     p = F.col(point_col)
     if grain is not None:
@@ -99,12 +98,9 @@ def join_calendar(points: DataFrame, calendar: DataFrame, point_col: str, start_
         cal = calendar.withColumn("__pk", F.col(start_col).cast("date"))
         j = points.withColumn("__pk", key).join(cal, "__pk", "inner").drop("__pk")
         return j.where((p >= F.col(start_col)) & (p < F.col(end_col)))
-    n = calendar.count()  # one small job to prove the size before broadcasting
-    if n <= max_broadcast_rows:
-        cal = F.broadcast(calendar)
-        return points.join(cal, (p >= cal[start_col]) & (p < cal[end_col]), "inner")
-    days = calendar.withColumn("__day", F.explode(F.sequence(F.col(start_col).cast("date"),
-                                                              F.date_sub(F.col(end_col).cast("date"), 1))))
+    last = F.to_date(F.col(end_col).cast("timestamp_ntz") - F.expr("interval 1 microsecond"))
+    days = (calendar.where(F.col(start_col) < F.col(end_col))
+            .withColumn("__day", F.explode(F.sequence(F.to_date(start_col), last))))
     j = points.withColumn("__day", F.to_date(p)).join(days, "__day", "inner").drop("__day")
     return j.where((p >= F.col(start_col)) & (p < F.col(end_col)))
 
@@ -129,7 +125,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, *, left_ts: str = "ts
     tie_col = F.col(tie) if tie else F.lit(0)
     # kind orders rows at equal ts: strict -> left first (right at same ts not visible)
     lk, rk = (0, 1) if strict else (1, 0)
-    L = left.select(F.col(key).alias("__k"), F.col(left_ts).alias("__t"), F.lit(lk).alias("__kind"),
+    nowhere = [F.lit(None).cast(right.schema[c].dataType).alias(prefix + c) for c in rsel]
+    keyless = left.where(F.col(key).isNull()).select(*lcols, *nowhere)  # NULL keys match nothing: no window for them
+    L = left.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(left_ts).alias("__t"), F.lit(lk).alias("__kind"),
                     F.lit(None).cast("long").alias("__tie"),
                     F.struct(*[F.col(c) for c in lcols]).alias("__l"),
                     F.lit(None).cast(right.select(F.struct(*rsel)).schema[0].dataType).alias("__r"))
@@ -159,7 +157,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, *, left_ts: str = "ts
     j = scanned.join(carry, ["__k", "__b"], "left")
     best = F.coalesce(F.col("__in"), F.col("__c"))
     return j.select(*[F.col("__l")[c].alias(c) for c in lcols],
-                    *[best[c].alias(prefix + c) for c in rsel])
+                    *[best[c].alias(prefix + c) for c in rsel]).unionByName(keyless)
 
 
 def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds: int, *,
@@ -181,7 +179,8 @@ def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds:
     lcols = left.columns
     win_us = window_seconds * 1_000_000
     bsz = bucket_seconds * 1_000_000
-    L = left.select(F.col(key).alias("__k"), epoch_micros(F.col(left_ts)).alias("__t"), F.lit(0).alias("__w"),
+    keyless = left.where(F.col(key).isNull()).select(*lcols, F.lit(0).cast("long").alias(name))  # they match nothing
+    L = left.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), epoch_micros(F.col(left_ts)).alias("__t"), F.lit(0).alias("__w"),
                     F.struct(*[F.col(c) for c in lcols]).alias("__l"))
     L = L.withColumn("__b", F.floor(F.col("__t") / bsz).cast("long"))
     rt = epoch_micros(F.col(right_ts))
@@ -195,8 +194,7 @@ def lookback_count(left: DataFrame, right: DataFrame, key: str, window_seconds:
     w = (Window.partitionBy("__k", "__b").orderBy("__t")
          .rangeBetween(-(win_us - 1), Window.currentRow))   # (ts - window, ts], ties included
     counted = U.withColumn("__n", F.sum("__w").over(w)).where(F.col("__l").isNotNull())
-    n = F.when(F.col("__k").isNull(), F.lit(0)).otherwise(F.col("__n"))
-    return counted.select(*[F.col("__l")[c].alias(c) for c in lcols], n.cast("long").alias(name))
+    return counted.select(*[F.col("__l")[c].alias(c) for c in lcols], F.col("__n").cast("long").alias(name)).unionByName(keyless)
 
 
 def expand_matches(df: DataFrame, count_col: str) -> DataFrame:
@@ -214,7 +212,8 @@ def next_event(df: DataFrame, key: str, *, ts: str = "ts", tie: str | None = Non
     first row of the next non-empty bucket of that key."""
     order = [ts] + ([tie] if tie else [])
     payload = list(dict.fromkeys(order + list(cols)))
-    b = _bucket(F.col(ts), bucket_seconds)
+    # rows without a time come first, as in the window's ascending order
+    b = F.coalesce(_bucket(F.col(ts), bucket_seconds), F.lit(-(1 << 62)).cast("long"))
     # NULL keys form one group, as in PARTITION BY: join on (is-null flag, non-null stand-in)
     kt = df.schema[key].dataType.simpleString()
     stand_in = F.lit("") if kt == "string" else F.lit(0).cast(kt)

@@ -60,19 +60,23 @@ class Catalog:
 
 
 # --------------------------------------------------------------------------- S01-S06
-def read_events(df: DataFrame, start: DateLike, end: DateLike, *, ts_col: str = "ts",
+def read_events(df: DataFrame, start: DateLike | None, end: DateLike, *, ts_col: str = "ts",
                 date_col: str = "event_date", half_open: bool = False) -> DataFrame:
-    """Rows whose day lies in [start, end] (or [start, end) if half_open).
+    """Rows whose day lies in [start, end] (or [start, end) if half_open); no lower bound if start is None.
 
     On a table partitioned by ``date_col`` the predicate on it prunes partitions;
     the ``ts`` range prunes row groups either way.
     """
-    d0, d1 = as_date(start), as_date(end)
+    d0, d1 = None if start is None else as_date(start), as_date(end)
     stop = d1 if half_open else d1 + dt.timedelta(days=1)
-    cond = (F.col(ts_col) >= day_start(d0)) & (F.col(ts_col) < day_start(stop))
+    cond = F.col(ts_col) < day_start(stop)
+    if d0 is not None:
+        cond = (F.col(ts_col) >= day_start(d0)) & cond
     if date_col in df.columns:
         last = stop - dt.timedelta(days=1)
-        cond = cond & F.col(date_col).between(F.lit(d0), F.lit(last))
+        cond = cond & (F.col(date_col) <= F.lit(last))
+        if d0 is not None:
+            cond = cond & (F.col(date_col) >= F.lit(d0))
     return df.where(cond)
 
 

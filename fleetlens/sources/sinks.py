@@ -22,7 +22,8 @@ def write_partitions(df: DataFrame, path: str, partition_col: str = "date",
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if columns is not None:  # explicit column list of INSERT INTO t(cols)
         df = df.select(*columns)
-    (df.repartition(partition_col)  # one writer per day: few, large files
+    # whole days to a writer where they are small; AQE splits a day above the advisory partition size
+    (df.hint("rebalance", partition_col)
        .write.mode("overwrite").partitionBy(partition_col).parquet(path))
 
 

@@ -277,13 +277,12 @@ def test_first_n_per_key_hot_key_matches_brute_force(spark):
     assert got == sorted(exp)
 
 
-@pytest.mark.parametrize("max_rows", [100_000, 0])
-def test_join_calendar_broadcast_and_fallback_agree(spark, max_rows):
+def test_join_calendar_of_overlapping_periods(spark):
     pts = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i)) for i in range(200)],
                                 "id long, t timestamp_ntz")
     cal = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(days=d), dt.date(2024, 1, 1) + dt.timedelta(days=d + 10))
                                  for d in range(0, 60, 5)], "s date, e date")  # overlapping 10-day periods
-    got = rows(J.join_calendar(pts, cal, "t", "s", "e", max_broadcast_rows=max_rows), "id", "s")
+    got = rows(J.join_calendar(pts, cal, "t", "s", "e"), "id", "s")
     exp = sorted((i, s) for i, t in [(r["id"], r["t"]) for r in pts.collect()]
                  for s, e in [(r["s"], r["e"]) for r in cal.collect()]
                  if dt.datetime.combine(s, dt.time()) <= t < dt.datetime.combine(e, dt.time()))
