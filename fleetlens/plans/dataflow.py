@@ -40,14 +40,14 @@ def _daily_error_users(e: DataFrame) -> DataFrame:
                   F.count_distinct(F.when(F.col("event_type") == "error", F.col("user_id"))).alias("errors")))
 
 
-@query("R02_splice_rollup", """
+@query("R02_splice_rollup", f"""
 with fresh as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
-  where ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31' group by 1),
+  where ts >= timestamp '{CUTOFF}' and ts < timestamp '{AS_OF}' group by 1),
 hist as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
-  where ts < timestamp '2024-01-28' group by 1)
-select * from fresh union all select * from hist where date < date '2024-01-28'""")
+  where ts < timestamp '{CUTOFF}' group by 1)
+select * from fresh union all select * from hist where date < date '{CUTOFF}'""")
 def r02(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d)
     fresh = _daily_error_users(cat.read_events(e, CUTOFF, YESTERDAY))
@@ -192,10 +192,10 @@ def stable_devices(e: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return one_scan_union(w, families, ["user_id"])
 
 
-STABLE_SQL = """(select user_id from events where ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31'
- and props not like '%"k": 1_}' and event_type in ('signup', 'purchase')
- union select user_id from events where ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31'
- and props not like '%"k": 1_}' and event_type in ('view', 'click'))"""
+STABLE_SQL = f"""(select user_id from events where ts >= timestamp '{CUTOFF}' and ts < timestamp '{AS_OF}'
+ and props not like '%"k": 1_}}' and event_type in ('signup', 'purchase')
+ union select user_id from events where ts >= timestamp '{CUTOFF}' and ts < timestamp '{AS_OF}'
+ and props not like '%"k": 1_}}' and event_type in ('view', 'click'))"""
 
 
 @query("R10_stable_devices", f"select user_id from {STABLE_SQL}")
@@ -247,9 +247,9 @@ def r13(spark: SS, d: str) -> DataFrame:
                   steps=["view", "click", "purchase"])
 
 
-@query("R14_top_errors", """
+@query("R14_top_errors", f"""
 select substr(props, 1, 200) as details, count(distinct user_id) as display_count from events
-where event_type = 'error' and cast(ts as date) = date '2024-01-30' group by 1""")
+where event_type = 'error' and cast(ts as date) = date '{YESTERDAY}' group by 1""")
 def r14(spark: SS, d: str) -> DataFrame:
     e = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY).where(F.col("event_type") == "error")
     return top_errors(e, F.col("props"), "user_id").orderBy(F.col("display_count").desc(), "details")
@@ -285,14 +285,14 @@ def r16(spark: SS, d: str) -> DataFrame:
     return snapshot_diff(_snapshots(ev(spark, d)), "collectionDate", ["user_id"], ["status", "amount"])
 
 
-@query("T06_late_data_reread", """
+@query("T06_late_data_reread", f"""
 with fresh as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
-  where ts >= timestamp '2024-01-30' and ts < timestamp '2024-01-31' group by 1),
+  where ts >= timestamp '{YESTERDAY}' and ts < timestamp '{AS_OF}' group by 1),
 hist as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
-  where ts < timestamp '2024-01-30' group by 1)
-select * from fresh union all select * from hist where date < date '2024-01-30'""")
+  where ts < timestamp '{YESTERDAY}' group by 1)
+select * from fresh union all select * from hist where date < date '{YESTERDAY}'""")
 def t06(spark: SS, d: str) -> DataFrame:
     """Recompute the last N = 1 day (late events included) and splice it over the rollup."""
     e = ev(spark, d)

@@ -7,6 +7,10 @@ Parquet files (views named after the tables); the column names match.
 
 from __future__ import annotations
 
+import datetime as dt
+import importlib
+import sys
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +42,44 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+PLAN_MODULES = ("tables", "registry", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
+                "reports_companies", "reports_shapes")
+_LOCK = threading.Lock()
+_AT: dict[dt.date, tuple[dict[str, Job], dict[str, str]]] = {}
+
+
+def jobs(as_of: dt.date) -> tuple[dict[str, Job], dict[str, str]]:
+    """(queries, oracles) of every job as of another evaluation date.
+
+    All windows, cut-offs and oracle texts of the plan modules follow from
+    ``tables.AS_OF``.  A set for another date is a second instance of these
+    modules made with that date; the default set is left alone.
+    """
+    from fleetlens import plans
+    from fleetlens.plans import tables
+    load_all()
+    if as_of == tables.AS_OF:
+        return QUERIES, ORACLE
+    with _LOCK:
+        if as_of not in _AT:
+            names = [f"{plans.__name__}.{m}" for m in PLAN_MODULES]
+            kept = {n: sys.modules.pop(n) for n in names if n in sys.modules}
+            try:
+                fresh = importlib.import_module(names[0])
+                fresh.set_as_of(as_of)
+                own = importlib.import_module(names[1])
+                own.load_all()
+                _AT[as_of] = own.QUERIES, own.ORACLE
+            finally:
+                for n in names:
+                    sys.modules.pop(n, None)
+                sys.modules.update(kept)
+                for n, m in kept.items():
+                    setattr(plans, n.rpartition(".")[2], m)
+        return _AT[as_of]
+
+
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from fleetlens.plans import primitives, dataflow, reports, reports_devices, reports_uptime, reports_companies, reports_shapes  # noqa: F401
+    for m in PLAN_MODULES:
+        importlib.import_module(f"fleetlens.plans.{m}")

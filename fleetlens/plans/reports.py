@@ -60,7 +60,7 @@ def k_col() -> Column:
 
 
 # =========================================================== widget / component reliability
-def widget_stats(e: DataFrame, start: dt.date, end: dt.date, failed: Column) -> DataFrame:
+def widget_stats(e: DataFrame, start: dt.date | None, end: dt.date, failed: Column) -> DataFrame:
     """R20/R21 core for one window: configured devices vs configured devices that failed,
     restricted to stable (non-beta) devices of either player family.
 
@@ -81,7 +81,7 @@ def widget_stats(e: DataFrame, start: dt.date, end: dt.date, failed: Column) ->
     return out.where(F.col("total_count") > 0)
 
 
-def widget_stats_sql(d0: dt.date, d1: dt.date, failed: str) -> str:
+def widget_stats_sql(d0: dt.date | None, d1: dt.date, failed: str) -> str:
     stable = (f"(select user_id from {q(d0, d1)} where props not like '{BETA_LIKE}' and event_type in ('signup','purchase') "
               f"union select user_id from {q(d0, d1)} where props not like '{BETA_LIKE}' and event_type in ('view','click'))")
     alld = f"(select * from {q(d0, d1)} where user_id not in (0) and user_id in {stable})"
@@ -95,13 +95,13 @@ def widget_stats_sql(d0: dt.date, d1: dt.date, failed: str) -> str:
 def _spliced_widget(spark: SS, d: str, failed: Column) -> DataFrame:
     e = ev(spark, d)
     fresh = widget_stats(e, W3_START, YESTERDAY, failed)
-    hist = widget_stats(e, dt.date(2024, 1, 1), W3_START - D(days=1), failed)
+    hist = widget_stats(e, None, W3_START - D(days=1), failed)
     return splice_rollup(fresh, hist, "date", W3_START)
 
 
 def _spliced_widget_sql(failed: str) -> str:
     fresh = widget_stats_sql(W3_START, AS_OF, failed)
-    hist = widget_stats_sql(dt.date(2024, 1, 1), W3_START, failed)
+    hist = widget_stats_sql(None, W3_START, failed)
     return f"select * from {fresh} union all select * from {hist} where date < date '{W3_START}'"
 
 
@@ -324,17 +324,33 @@ def r31(spark: SS, d: str) -> DataFrame:
         .agg(F.count_distinct("user_id").alias("displays"))
 
 
+# Binding (R32): the provider's text log of a day is one line per event that is no view.
+TEXT_LOG_SQL = f"""(select cast(ts as date) as date, 'level=' || event_type || ' code=' || coalesce(cast(k as varchar), '-')
+ || ' companyId: ' || lpad(cast(user_id as varchar), 36, '0') || ', ' || props as line from {q(YESTERDAY, AS_OF)} where event_type <> 'view')"""
+
+
 @query("R32_text_log_reliability", f"""
-with x as (select date, regexp_replace(props, '[^0-9]', '', 'g') as company_id, event_type from {q(W3_START, AS_OF)})
-select t.date, t.total_count, coalesce(f.failed_count, 0) as failed_count,
- round((t.total_count - coalesce(f.failed_count, 0)) / t.total_count * 100, 6) as Reliability
-from (select date, count(distinct company_id) as total_count from x group by 1) t left join
-(select date, count(distinct company_id) as failed_count from x where event_type = 'error' group by 1) f on t.date = f.date""")
+with total as (select date, count(distinct lpad(cast(user_id as varchar), 36, '0')) as n from {q(W3_START, AS_OF)} where event_type = 'view' group by 1),
+failed as (select date, count(distinct substr(regexp_replace(line, '.*companyId: ([^,]*),.*', '\\1'), 1, 36)) as n from {TEXT_LOG_SQL}
+ where lower(line) like '%error%' and line not like '%code=4 %' and line like '%companyId: %' group by 1)
+select total.date, total.n as total_count, coalesce(failed.n, 0) as failed_count,
+ round((total.n - coalesce(failed.n, 0)) / total.n, 6) as Reliability
+from total left join failed on failed.date = total.date""")
 def r32(spark: SS, d: str) -> DataFrame:
-    e = cat.read_events(ev(spark, d), W3_START, YESTERDAY) \
-        .withColumn("company_id", F.regexp_replace("props", "[^0-9]", ""))
-    return daily_reliability(e, "company_id", F.col("event_type") == "error", total_name="total_count",
-                             failed_name="failed_count", ratio_name="Reliability")
+    """Companies using the component in 3 days against companies in yesterday's error lines of the
+    provider's text log (ids cut from the text, known authentication errors left out); a fraction."""
+    company = F.lpad(F.col("user_id").cast("string"), 36, "0")
+    total = cat.read_events(ev(spark, d), W3_START, YESTERDAY).where(F.col("event_type") == "view") \
+        .groupBy("date").agg(F.count_distinct(company).alias("total_count"))
+    log = cat.read_events(ev(spark, d), YESTERDAY, YESTERDAY).where(F.col("event_type") != "view").select(
+        "date", F.concat(F.lit("level="), "event_type", F.lit(" code="), F.coalesce(k_col().cast("string"), F.lit("-")),
+                         F.lit(" companyId: "), company, F.lit(", "), "props").alias("line"))
+    bad = log.where(F.lower("line").like("%error%") & ~F.col("line").like("%code=4 %") & F.col("line").like("%companyId: %"))
+    cut = F.substring(F.regexp_replace("line", ".*companyId: ([^,]*),.*", "$1"), 1, 36)
+    failed = bad.groupBy("date").agg(F.count_distinct(cut).alias("failed"))
+    return total.join(failed, "date", "left").withColumn("failed_count", F.coalesce("failed", F.lit(0))).select(
+        "date", "total_count", "failed_count",
+        r6(C.safe_ratio(F.col("total_count") - F.col("failed_count"), F.col("total_count"))).alias("Reliability"))
 
 
 RESP = "case when event_type = 'click' then null else value > 10 end"
@@ -348,24 +364,32 @@ def _uptime_samples(e: DataFrame) -> DataFrame:
 def _uptime_aggs() -> list[Column]:
     n = F.count(F.lit(1))
     ok = F.sum((C.is_true("responding") & C.is_not_true("error")).cast("int"))
-    return [r6(ok / n * 100).alias("uptime_pct"),
+    return [r6(ok / n * 100).alias("day_uptime_pct"),
             r6(F.sum(C.is_true("responding").cast("int")) / n * 100).alias("responding_pct"),
-            r6(F.sum(C.is_not_true("error").cast("int")) / n * 100).alias("error_free_pct")]
+            r6(F.sum(C.is_not_true("error").cast("int")) / n * 100).alias("no_error_pct")]
+
+
+def _uptime_window(e: DataFrame) -> DataFrame:
+    """The view's 30 days, both ends included."""
+    return cat.read_ts_between(e, dt.datetime.combine(AS_OF - D(days=30), dt.time()), dt.datetime.combine(AS_OF, dt.time()))
+
+
+UPTIME_WINDOW_SQL = q(extra=f"ts between timestamp '{AS_OF - D(days=30)}' and timestamp '{AS_OF}'")
 
 
-UPTIME_SQL = f"""round(sum(case when ({RESP}) is true and (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as uptime_pct,
+UPTIME_SQL = f"""round(sum(case when ({RESP}) is true and (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as day_uptime_pct,
  round(sum(case when ({RESP}) is true then 1 else 0 end) / count(*) * 100, 6) as responding_pct,
- round(sum(case when (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as error_free_pct"""
+ round(sum(case when (event_type = 'error') is not true then 1 else 0 end) / count(*) * 100, 6) as no_error_pct"""
 
 
-@query("R33_daily_uptime", f"select date, {UPTIME_SQL} from {q()} group by 1")
+@query("R33_daily_uptime", f"select date, {UPTIME_SQL} from {UPTIME_WINDOW_SQL} group by 1")
 def r33(spark: SS, d: str) -> DataFrame:
-    return _uptime_samples(ev(spark, d)).groupBy("date").agg(*_uptime_aggs())
+    return _uptime_samples(_uptime_window(ev(spark, d))).groupBy("date").agg(*_uptime_aggs())
 
 
-@query("R33b_daily_uptime_per_type", f"select date, {STAGE} as component_type, {UPTIME_SQL} from {q()} group by 1, 2")
+@query("R33b_daily_uptime_per_type", f"select date, {STAGE} as component_type, {UPTIME_SQL} from {UPTIME_WINDOW_SQL} group by 1, 2")
 def r33b(spark: SS, d: str) -> DataFrame:
-    x = _stage_level(_uptime_samples(ev(spark, d))).withColumnRenamed("rollout_stage", "component_type")
+    x = _stage_level(_uptime_samples(_uptime_window(ev(spark, d)))).withColumnRenamed("rollout_stage", "component_type")
     return x.groupBy("date", "component_type").agg(*_uptime_aggs())
 
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
@@ -37,8 +37,9 @@ from fleetlens.sources import catalog as cat
 SS = SparkSession
 r6 = C.r
 D = dt.timedelta
-NOW = dt.datetime(2024, 1, 31)
+NOW = dt.datetime.combine(AS_OF, dt.time())
 W30_START = AS_OF - D(days=30)
+FIRST_WEEK = AS_OF - D(days=AS_OF.weekday(), weeks=15)  # 16 weeks ending with the as-of week
 
 
 # =========================================================== R100-R101 active companies
@@ -63,11 +64,10 @@ ACTIVITY_SQL = """(select a.user_id as companyId, a.ts from (select user_id, ts
 @query("R100_weekly_active_companies", f"""
 select distinct strftime(cast(date_trunc('week', ts) as date) + interval 7 day - interval 1 microsecond, '%d-%b') as weekOf,
  cast(date_trunc('week', ts) as date) as startDate, cast(date_trunc('week', ts) as date) + 7 as endDate, companyId
-from {ACTIVITY_SQL} where ts >= timestamp '{TU.dt.date(2024, 1, 29) - D(weeks=15)}'""")
+from {ACTIVITY_SQL} where ts >= timestamp '{FIRST_WEEK}'""")
 def r100(spark: SS, d: str) -> DataFrame:
     a = activity(spark, d)
-    first = dt.date(2024, 1, 29) - D(weeks=15)  # 16 weeks ending with the as-of week
-    a = a.where(F.col("ts") >= cat.day_start(first))
+    a = a.where(F.col("ts") >= cat.day_start(FIRST_WEEK))
     s, e = TU.period_bounds("ts", "WEEK")
     cal = a.select(s.alias("startDate"), e.alias("endDate")).distinct()
     j = J.join_calendar(a, cal, "ts", "startDate", "endDate", grain="week")
@@ -321,17 +321,37 @@ PL_AS_OF = dt.date(1998, 6, 1)
 
 
 def placeholders(spark: SS, d: str) -> DataFrame:
-    li = tbl(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus")
-    pres = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_linenumber").alias("id"), (F.col("l_returnflag") != "N").alias("timeDefined"),
+    """The placeholders of every presentation, one row each (a line item is one).
+
+    Binding of the recurrence: hours are set from quantity 30 on, the kind follows the
+    supplier, the interval the line number, the days the tax.
+    """
+    li = tbl(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity",
+             "l_suppkey", "l_tax")
+    kind = F.element_at(F.array(F.lit(None).cast("string"), F.lit("Daily"), F.lit("Weekly"), F.lit("Monthly")),
+                        (F.col("l_suppkey") % 4 + 1).cast("int"))
+    hours = F.col("l_quantity") >= 30
+    return li.select(
+        F.col("l_orderkey").alias("presentationId"), F.col("l_linenumber").alias("id"),
+        (F.col("l_returnflag") != "N").alias("timeDefined"),
         F.date_sub(F.to_date("l_shipdate"), 60).alias("startDate"), F.to_date("l_shipdate").alias("endDate"),
-        F.when(F.col("l_linestatus") == "O", F.lit(True)).alias("visibility"))).alias("placeholders"))
-    x = pres.select(F.col("l_orderkey").alias("presentationId"), F.explode("placeholders").alias("pl"))
-    return x.select("presentationId", "pl.*")
+        F.when(F.col("l_linestatus") == "O", F.lit(True)).alias("visibility"),
+        F.when(hours, "08:00:00").alias("startTime"), F.when(hours, "17:00:00").alias("endTime"),
+        kind.alias("recurrenceType"), (F.col("l_linenumber") % 2 + 1).alias("recurrenceFrequency"),
+        F.when(F.col("l_tax") < 0.04, 7).otherwise(5).alias("recurrenceDays"))
 
 
 PL_SQL = """(select l_orderkey as presentationId, l_linenumber as id, l_returnflag <> 'N' as timeDefined,
- cast(l_shipdate as date) - 60 as startDate, cast(l_shipdate as date) as endDate, case when l_linestatus = 'O' then true end as visibility from lineitem)"""
+ cast(l_shipdate as date) - 60 as startDate, cast(l_shipdate as date) as endDate, case when l_linestatus = 'O' then true end as visibility,
+ case when l_quantity >= 30 then '08:00:00' end as startTime, case when l_quantity >= 30 then '17:00:00' end as endTime,
+ [null, 'Daily', 'Weekly', 'Monthly'][(l_suppkey % 4 + 1)::int] as recurrenceType, l_linenumber % 2 + 1 as recurrenceFrequency,
+ case when l_tax < 0.04 then 7 else 5 end as recurrenceDays from lineitem)"""
+
+
+def shown_sql(day: dt.date) -> str:
+    """Whether a placeholder row can be seen on ``day`` (SQL)."""
+    return (f"(coalesce(visibility, true) and (not coalesce(timeDefined, false) "
+            f"or date '{day}' between coalesce(startDate, date '{day}') and coalesce(endDate, date '{day}')))")
 
 
 def none_showing(rows: DataFrame, showing, key: str = "presentationId") -> DataFrame:
@@ -340,19 +360,30 @@ def none_showing(rows: DataFrame, showing, key: str = "presentationId") -> DataF
     return g.where(F.col("__any") == 0).select(key)
 
 
-def _showing(asof: dt.date):
-    t = F.lit(asof)
-    return ((F.col("visibility") == True) | F.col("visibility").isNull()) & (  # noqa: E712
-        (F.col("timeDefined") == False) | F.col("timeDefined").isNull()  # noqa: E712
-        | ((F.col("timeDefined") == True) & (F.col("startDate").isNull() | (t >= F.col("startDate")))  # noqa: E712
-           & (F.col("endDate").isNull() | (t <= F.col("endDate")))))
+def in_dates(day: dt.date) -> Column:
+    """``day`` lies between startDate and endDate; a missing bound is open."""
+    t = F.lit(day)
+    return t.between(F.coalesce("startDate", t), F.coalesce("endDate", t))
+
+
+def untimed() -> Column:
+    return ~F.coalesce("timeDefined", F.lit(False))
+
+
+def _showing(asof: dt.date) -> Column:
+    return F.coalesce("visibility", F.lit(True)) & (untimed() | in_dates(asof))
+
+
+def _plays_always() -> Column:
+    """No time restriction within its dates: untimed, or without hours and recurring every day."""
+    each = F.col("recurrenceFrequency") == 1
+    daily = (F.col("recurrenceType").isNull() | ((F.col("recurrenceType") == "Daily") & each)
+             | ((F.col("recurrenceType") == "Weekly") & each & (F.col("recurrenceDays") == 7)))
+    return untimed() | (F.col("startTime").isNull() & F.col("endTime").isNull() & daily)
 
 
 @query("R109_presentations_with_no_content", f"""
-select P.presentationId from {PL_SQL} P where not exists (select 1 from {PL_SQL} P1 where P1.presentationId = P.presentationId
- and (P1.visibility = true or P1.visibility is null) and (P1.timeDefined = false or P1.timeDefined is null or
- (P1.timeDefined = true and (P1.startDate is null or date '{PL_AS_OF}' >= P1.startDate) and (P1.endDate is null or date '{PL_AS_OF}' <= P1.endDate))))
-group by 1""")
+select presentationId from {PL_SQL} group by presentationId having not bool_or({shown_sql(PL_AS_OF)})""")
 def r109(spark: SS, d: str) -> DataFrame:
     pl = placeholders(spark, d)
     # NOT EXISTS over the same relation == no showing row in the presentation's group:
@@ -361,21 +392,19 @@ def r109(spark: SS, d: str) -> DataFrame:
 
 
 @query("R109b_presentations_with_content_gaps", f"""
-select P.presentationId from {PL_SQL} P where not exists (select 1 from {PL_SQL} P1 where P1.presentationId = P.presentationId
- and (P1.visibility = true or P1.visibility is null) and (P1.timeDefined = false or P1.timeDefined is null))
-group by 1""")
+with shown as (select *, case when not coalesce(timeDefined, false) then 1
+  when startTime is not null or endTime is not null then 0 when recurrenceType is null then 1
+  when recurrenceFrequency <> 1 then 0 when recurrenceType = 'Daily' then 1
+  when recurrenceType = 'Weekly' and recurrenceDays = 7 then 1 else 0 end as always
+ from {PL_SQL} where {shown_sql(PL_AS_OF)})
+select presentationId from shown group by presentationId having max(always) = 0""")
 def r109b(spark: SS, d: str) -> DataFrame:
-    """Gaps: no visible placeholder that plays at all times (not time-restricted)."""
-    pl = placeholders(spark, d)
-    always = (((F.col("visibility") == True) | F.col("visibility").isNull())  # noqa: E712
-              & ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()))  # noqa: E712
-    return none_showing(pl, always)
+    """Gaps: presentations that show something on the day, but nothing that plays at all times."""
+    return none_showing(placeholders(spark, d).where(_showing(PL_AS_OF)), _plays_always())
 
 
 @query("R110_displays_with_white_screen", f"""
-with bad as (select cast(P.presentationId as varchar) as presentationId from {PL_SQL} P where not exists (select 1 from {PL_SQL} P1
- where P1.presentationId = P.presentationId and (P1.visibility = true or P1.visibility is null) and (P1.timeDefined = false or P1.timeDefined is null
- or (P1.timeDefined = true and (P1.startDate is null or date '{PL_AS_OF}' >= P1.startDate) and (P1.endDate is null or date '{PL_AS_OF}' <= P1.endDate)))) group by 1)
+with bad as (select cast(presentationId as varchar) as presentationId from {PL_SQL} group by 1 having not bool_or({shown_sql(PL_AS_OF)}))
 select distinct unnest(s.distribution) as displayId from {SCHED_SQL} s where s.distributeToAll = false and len(s.distribution) > 0
  and s.presentationId in (select presentationId from bad)
 union select c.c_custkey from customer c where c.c_nationkey in (select s.companyId from {SCHED_SQL} s
@@ -525,18 +554,23 @@ def r120b(spark: SS, d: str) -> DataFrame:
 
 
 @query("R121_daily_cycles_instances", f"""
-with r as (select *, cast(ts as date) as date, to_timestamp((floor(epoch(ts))::bigint // 900) * 900) as q15 from {q()}),
-i as (select date, q15, count(distinct k) as inst from r group by 1, 2)
-select d.date, d.teracycles, d.displays, d.pending, round(i2.avg_instances, 6) as avg_instances from
- (select date, round(sum(k) / 1000, 6) as teracycles, count(distinct user_id) as displays, round(sum(value), 6) as pending from r group by 1) d
- join (select date, avg(inst) as avg_instances from i group by 1) i2 on i2.date = d.date""")
+with r as (select *, floor((epoch_us(timestamp '{NOW}') - epoch_us(ts)) / 1000000 / 60 / 15) as ago from {q(AS_OF - D(days=90), AS_OF)}),
+quarter as (select ago, max(date) as date, count(distinct k) as inst from r group by 1)
+select d.date, d.daily_teracycles, d.display_count, d.pending_time, round(i.inst, 6) as avg_fifteen_min_instance_count from
+ (select date, round(sum(k) / 1000000, 6) as daily_teracycles, count(distinct user_id) as display_count,
+  round(sum(coalesce(value, 0)), 6) as pending_time from r group by 1) d
+ left join (select date, avg(inst) as inst from quarter group by 1) i on i.date = d.date""")
 def r121(spark: SS, d: str) -> DataFrame:
-    r = ev(spark, d).withColumn("k", k_col()).withColumn("q15", TU.epoch_bucket("ts", 900))
-    per = r.groupBy("date").agg(r6(F.sum("k") / 1000).alias("teracycles"), F.count_distinct("user_id").alias("displays"),
-                                r6(F.sum("value")).alias("pending"))
-    inst = r.groupBy("date", "q15").agg(F.count_distinct("k").alias("inst")).groupBy("date") \
-        .agg(r6(F.avg("inst")).alias("avg_instances"))
-    return per.join(inst, "date")
+    """Last 90 days; quarters of an hour are counted back from the evaluation instant, and a
+    quarter belongs to the day of its latest request."""
+    r = cat.read_events(ev(spark, d), AS_OF - D(days=90), YESTERDAY).withColumn("k", k_col())
+    ago = F.floor((TU.epoch_micros(TU.as_of_ts(NOW)) - TU.epoch_micros("ts")) / 1_000_000 / 60 / 15)
+    per = r.groupBy("date").agg(r6(F.sum("k") / 1_000_000).alias("daily_teracycles"), F.count_distinct("user_id").alias("display_count"),
+                                r6(F.sum(F.coalesce("value", F.lit(0.0)))).alias("pending_time"))
+    quarter = r.groupBy(ago.alias("ago"), "k").agg(F.max("date").alias("date")).groupBy("ago").agg(
+        F.max("date").alias("date"), F.count("k").alias("inst"))
+    inst = quarter.groupBy("date").agg(r6(F.avg("inst")).alias("avg_fifteen_min_instance_count"))
+    return per.join(inst, "date", "left")
 
 
 def _display_costs(e: DataFrame) -> DataFrame:
@@ -591,11 +625,11 @@ NOISY_CALLS = K.NOISY_CALLS_PER_DAY
 
 @query("R123_display_counts", f"""
 with per as (select date, user_id, count(*) as calls, max(case when event_type in ('view', 'click') then 1 else 0 end) as core,
- max(case when event_type in ('signup', 'purchase') then 1 else 0 end) as client, max(case when k >= 50 then 1 else 0 end) as v3 from {q()} group by 1, 2)
+ max(case when event_type in ('signup', 'purchase') then 1 else 0 end) as client, max(case when k >= 50 then 1 else 0 end) as v3 from {q(extra="user_id is not null")} group by 1, 2)
 select date, count(*) as displays, count(*) filter (where core = 1) as core, count(*) filter (where client = 1) as client,
  count(*) filter (where calls > {NOISY_CALLS}) as noisy, count(*) filter (where v3 = 1) as v3_callers from per group by 1""")
 def r123(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d).withColumn("k", k_col())
+    e = ev(spark, d).where(F.col("user_id").isNotNull()).withColumn("k", k_col())
     per = e.groupBy("date", "user_id").agg(
         F.count(F.lit(1)).alias("calls"), F.max(F.col("event_type").isin("view", "click").cast("int")).alias("core"),
         F.max(F.col("event_type").isin("signup", "purchase").cast("int")).alias("client"),

@@ -95,7 +95,7 @@ def r40d(spark: SS, d: str) -> DataFrame:
         .agg(F.count_distinct("user_id").alias("numberOfDisplays"))
 
 
-def _tpl_rows(spark: SS, d: str, start: dt.date, end: dt.date) -> DataFrame:
+def _tpl_rows(spark: SS, d: str, start: dt.date | None, end: dt.date) -> DataFrame:
     t = templates(cat.read_events(ev(spark, d), start, end))
     c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
     return t.join(c, t.user_id == c.c_custkey).select(
@@ -110,7 +110,7 @@ TPL_ROWS_SQL = lambda d0, d1: f"""(select distinct e.date, e.k as template_id, e
 select * from {TPL_ROWS_SQL(YESTERDAY, AS_OF)} union all select * from {TPL_ROWS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""")
 def r41(spark: SS, d: str) -> DataFrame:
     fresh = _tpl_rows(spark, d, YESTERDAY, YESTERDAY)
-    hist = _tpl_rows(spark, d, dt.date(2024, 1, 1), YESTERDAY - D(days=1))
+    hist = _tpl_rows(spark, d, None, YESTERDAY - D(days=1))
     return splice_rollup(fresh, hist, "date", YESTERDAY)
 
 
@@ -136,7 +136,7 @@ def r41b(spark: SS, d: str) -> DataFrame:
         .agg(F.count_distinct("display_id").alias("displays"), F.count_distinct("company_id").alias("companies"))
 
 
-def _segment_daily(spark: SS, d: str, start: dt.date, end: dt.date) -> DataFrame:
+def _segment_daily(spark: SS, d: str, start: dt.date | None, end: dt.date) -> DataFrame:
     e = cat.read_events(ev(spark, d), start, end)
     seg = tbl(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment").where(F.col("c_mktsegment") == SEGMENT)
     x = e.join(seg, e.user_id == seg.c_custkey)
@@ -158,7 +158,7 @@ SEG_DAILY_SQL = lambda d0, d1: f"""(select e.date, count(distinct c.c_nationkey)
 select * from {SEG_DAILY_SQL(W3_START, AS_OF)} union all select * from {SEG_DAILY_SQL(None, W3_START)} where date < date '{W3_START}'""")
 def r42(spark: SS, d: str) -> DataFrame:
     fresh = _segment_daily(spark, d, W3_START, YESTERDAY)
-    hist = _segment_daily(spark, d, dt.date(2024, 1, 1), W3_START - D(days=1))
+    hist = _segment_daily(spark, d, None, W3_START - D(days=1))
     return splice_rollup(fresh, hist, "date", W3_START)
 
 
@@ -265,7 +265,7 @@ cfg as (select user_id, 'pro' || cast(k as varchar) as product_name from (select
 recommended as (select user_id from running where user_id in (select user_id from cfg where product_name in (select productname from rec)))
 select (select count(*) from running) as total_k12_displays, (select count(*) from recommended) as recommended_k12_displays,
  round(100.0 * (select count(*) from recommended) / nullif((select count(*) from running), 0), 6) as pct,
- timestamp '2024-01-31 06:00:00' as ts""")
+  timestamp '{AS_OF} 06:00:00' as ts""")
 def r45(spark: SS, d: str) -> DataFrame:
     """Share of the segment's recently running displays whose latest configuration is a
     recommended product (literal relation, semi join), stamped with the run time (S11)."""
@@ -282,7 +282,7 @@ def r45(spark: SS, d: str) -> DataFrame:
         recommended.agg(F.count(F.lit(1)).alias("recommended_k12_displays")))  # one row each
     return kpi.select("total_k12_displays", "recommended_k12_displays",
                       r6(C.safe_ratio("recommended_k12_displays", "total_k12_displays", 100.0)).alias("pct"),
-                      F.lit(dt.datetime(2024, 1, 31, 6)).cast("timestamp_ntz").alias("ts"))
+                      F.lit(dt.datetime.combine(AS_OF, dt.time(6))).cast("timestamp_ntz").alias("ts"))
 
 
 # =========================================================== R50-R62 devices
@@ -600,7 +600,7 @@ def r57d(spark: SS, d: str) -> DataFrame:
     return per.groupBy("installer_version").agg(F.count("installer_version").alias("count"))
 
 
-def _module_stats(e: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+def _module_stats(e: DataFrame, start: dt.date | None, end: dt.date) -> DataFrame:
     """R58 for one window.  Bindings: installer rows = all events on the current
     release line (scalar subquery); failure branches: (1) errors with value > 90
     (restart / launch / certificate errors); (2) 'view' rows loading the viewer
@@ -643,7 +643,7 @@ select * from {MODULE_STATS_SQL(W3_START, AS_OF)} union all select * from {MODUL
 def r58(spark: SS, d: str) -> DataFrame:
     e = ev(spark, d)
     fresh = _module_stats(e, W3_START, YESTERDAY)
-    hist = _module_stats(e, dt.date(2024, 1, 1), W3_START - D(days=1))
+    hist = _module_stats(e, None, W3_START - D(days=1))
     return splice_rollup(fresh, hist, "date", W3_START)
 
 

@@ -14,7 +14,7 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import distinct_counts, interval_uptime
 from fleetlens.plans.registry import query
-from fleetlens.plans.reports_companies import none_showing
+from fleetlens.plans.reports_companies import NOW, in_dates, none_showing, untimed
 from fleetlens.plans.reports import NOT_TEST_SQL, W7_START, _not_test, ev, k_col, q
 from fleetlens.plans.reports_uptime import (CLEAN_APP_SQL, LWEEK_SQL, METRICS_SQL, _endpoint_logs, _metric_aggs,
                                              _metrics)
@@ -125,10 +125,7 @@ def placeholder_items(spark: SS, d: str) -> DataFrame:
         F.struct(F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("name"),
                  (F.col("l_tax") > 0.04).alias("timeDefined"), day.alias("startDate"),
                  F.date_add(day, 30).alias("endDate")))
-    pres = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_linenumber").alias("id"), items.alias("items"))).alias("placeholders"))  # <= 7 per order
-    x = pres.select(F.col("l_orderkey").alias("presentationId"), F.explode("placeholders").alias("pl"))
-    return x.select("presentationId", F.explode("pl.items").alias("it")).select("presentationId", "it.*")
+    return li.select(F.col("l_orderkey").alias("presentationId"), F.explode(items).alias("it")).select("presentationId", "it.*")
 
 
 ITEMS_SQL = """(select l_orderkey as presentationId, 'd' || cast(l_partkey as varchar) as name, l_discount > 0.05 as timeDefined,
@@ -138,24 +135,19 @@ ITEMS_AS_OF = dt.date(1998, 6, 1)
 
 
 @query("R109c_no_content_due_to_widget_schedule", f"""
-select P.presentationId from {ITEMS_SQL} P where not exists (select 1 from {ITEMS_SQL} P1 where P1.presentationId = P.presentationId
- and (P1.timeDefined = false or P1.timeDefined is null or (P1.timeDefined = true and (P1.startDate is null or date '{ITEMS_AS_OF}' >= P1.startDate)
- and (P1.endDate is null or date '{ITEMS_AS_OF}' <= P1.endDate)))) group by 1""")
+select presentationId from (select presentationId, timeDefined and not (startDate <= date '{ITEMS_AS_OF}' and endDate >= date '{ITEMS_AS_OF}') as hidden
+ from {ITEMS_SQL}) group by presentationId having min(case when hidden then 1 else 0 end) = 1""")
 def r109c(spark: SS, d: str) -> DataFrame:
     """Presentations none of whose widget items plays on the evaluation date (nested explode + NOT EXISTS)."""
     it = placeholder_items(spark, d)
-    t = F.lit(ITEMS_AS_OF)
-    plays = ((F.col("timeDefined") == False) | F.col("timeDefined").isNull()  # noqa: E712
-             | ((F.col("timeDefined") == True) & (F.col("startDate").isNull() | (t >= F.col("startDate")))  # noqa: E712
-                & (F.col("endDate").isNull() | (t <= F.col("endDate")))))
-    return none_showing(it, plays)
+    return none_showing(it, untimed() | in_dates(ITEMS_AS_OF))
 
 
 @query("R124d_api_call_counts_last_hour", f"""
 select user_id, count(*) as calls, cast(sum(k) as bigint) as cycles, count(*) filter (where value > 90) as loading_requests
-from {q(extra=f"ts > timestamp '{dt.datetime(2024, 1, 31) - D(hours=1)}'")} group by 1""")
+from {q(extra=f"ts > timestamp '{NOW - D(hours=1)}'")} group by 1""")
 def r124d(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d).where(F.col("ts") > TU.as_of_ts(dt.datetime(2024, 1, 31) - D(hours=1))).withColumn("k", k_col())
+    e = ev(spark, d).where(F.col("ts") > TU.as_of_ts(NOW - D(hours=1))).withColumn("k", k_col())
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("calls"), F.sum("k").cast("long").alias("cycles"),
                                     F.count_if(F.col("value") > 90).alias("loading_requests"))
 
@@ -176,12 +168,14 @@ def r123c(spark: SS, d: str) -> DataFrame:
     joins give NULL for a day without clients or noisy displays (``nullif``)."""
     e = cat.read_events(ev(spark, d), AS_OF - D(days=45), YESTERDAY)
     view = F.col("event_type") == "view"
+    known = F.col("user_id").isNotNull()  # a NULL id is no display, but its requests make a group of the noisy count
     per = e.groupBy("date", "user_id").agg(
         F.max(view.cast("int")).alias("core"), F.max(F.col("event_type").isin("click", "signup").cast("int")).alias("client"),
         F.count_if(view).alias("requests"))
-    g = per.groupBy("date").agg(F.sum("core").cast("long").alias("core_displays"),
-                                F.sum("client").cast("long").alias("client_displays"),
+    g = per.groupBy("date").agg(F.sum(F.when(known, F.col("core")).otherwise(0)).cast("long").alias("core_displays"),
+                                F.max("core").alias("any_core"), F.max("client").alias("any_client"),
+                                F.sum(F.when(known, F.col("client")).otherwise(0)).cast("long").alias("client_displays"),
                                 F.count_if(F.col("requests") > K.NOISY_CALLS_PER_DAY).alias("noisy_displays"))
-    return g.where(F.col("core_displays") > 0).select(
-        "date", "core_displays", F.nullif("client_displays", F.lit(0)).alias("client_displays"),
+    return g.where(F.col("any_core") == 1).select(
+        "date", "core_displays", F.when(F.col("any_client") == 1, F.col("client_displays")).alias("client_displays"),
         F.nullif("noisy_displays", F.lit(0)).alias("noisy_displays"))

@@ -366,21 +366,21 @@ def r80(spark: SS, d: str) -> DataFrame:
     return cat.read_events(tbl(spark, d, "events"), AS_OF - D(days=4), YESTERDAY)
 
 
-def uptime_with_whitescreen(e: DataFrame) -> DataFrame:
+def uptime_samples(e: DataFrame) -> DataFrame:
     """Scheduled uptime samples of the past 7 days with 0/1 showing, connected
     and white screen.  White screens come from two sources (union all); the
-    lookback left join's fan-out is kept (Z15): a sample appears once per white
-    screen in its window -- reproduced from the match count, never from pairs."""
+    lookback left join's fan-out (Z15), once per white screen in a sample's window,
+    is the weight ``w`` of the sample: reports sum weights, no copy is made."""
     w = cat.read_partition_time(e, AS_OF - D(days=7), AS_OF)
     s = w.where(F.col("event_type").isin("view", "click") & (k_col() < 80)) \
         .select("event_id", "user_id", "ts", "date", "value")
     ws = w.where((F.col("event_type") == "error") & (F.col("value") > 50)).select("user_id", "ts") \
         .unionByName(w.where((F.col("event_type") == "click") & (F.col("value") < 5)).select("user_id", "ts"))
-    n = J.expand_matches(J.lookback_count(s, ws, "user_id", LOOKBACK_S, name="__ws"), "__ws")
+    n = J.lookback_count(s, ws, "user_id", LOOKBACK_S, name="__ws")
     return n.select("event_id", "user_id", "ts", "date",
                     (F.col("value") > 20).cast("int").alias("showingContent"),
                     (F.col("value") < 95).cast("int").alias("connectedToMS"),
-                    (F.col("__ws") > 0).cast("int").alias("whitescreenDetected"))
+                    (F.col("__ws") > 0).cast("int").alias("whitescreenDetected"), F.greatest("__ws", F.lit(1)).alias("w"))
 
 
 UPTIME_WS_SQL = f"""(with w as (select * from {q(AS_OF - D(days=7), AS_OF)}),
@@ -394,7 +394,7 @@ UPTIME_WS_SQL = f"""(with w as (select * from {q(AS_OF - D(days=7), AS_OF)}),
 
 @query("R81_uptime_with_whitescreen", f"select ts, user_id as display_id, showingContent, connectedToMS, whitescreenDetected from {UPTIME_WS_SQL}")
 def r81(spark: SS, d: str) -> DataFrame:
-    u = uptime_with_whitescreen(ev(spark, d))
+    u = J.expand_matches(uptime_samples(ev(spark, d)), "w")  # the rows themselves are the result here
     return u.select("ts", F.col("user_id").alias("display_id"), "showingContent", "connectedToMS", "whitescreenDetected")
 
 
@@ -405,13 +405,13 @@ select date, round(sum(case when showingContent = 1 and connectedToMS = 1 and wh
 from {UPTIME_WS_SQL} group by 1""")
 def r81b(spark: SS, d: str) -> DataFrame:
     """Per day over the (fanned-out) samples: uptime, renderer, network and white-screen-free shares."""
-    u = uptime_with_whitescreen(ev(spark, d))
+    u = uptime_samples(ev(spark, d))
     ok = ((F.col("showingContent") == 1) & (F.col("connectedToMS") == 1) & (F.col("whitescreenDetected") == 0)).cast("int")
-    n = F.count("ts")
-    return u.groupBy("date").agg(r6(F.sum(ok) / n).alias("average_uptime_pct"),
-                                 r6(F.sum("showingContent") / n).alias("rendererPct"),
-                                 r6(F.sum("connectedToMS") / n).alias("networkPct"),
-                                 r6(1 - F.sum("whitescreenDetected") / n).alias("whitescreenPct"))
+    n, w = F.sum("w"), F.col("w")
+    return u.groupBy("date").agg(r6(F.sum(ok * w) / n).alias("average_uptime_pct"),
+                                 r6(F.sum(F.col("showingContent") * w) / n).alias("rendererPct"),
+                                 r6(F.sum(F.col("connectedToMS") * w) / n).alias("networkPct"),
+                                 r6(1 - F.sum(F.col("whitescreenDetected") * w) / n).alias("whitescreenPct"))
 
 
 DISPLAY_UPTIME_SQL = f"""(select date, user_id, count(*) as samples,
@@ -420,9 +420,10 @@ DISPLAY_UPTIME_SQL = f"""(select date, user_id, count(*) as samples,
 
 
 def _display_uptime(e: DataFrame) -> DataFrame:
-    u = uptime_with_whitescreen(e)
+    u = uptime_samples(e)
     ok = ((F.col("showingContent") == 1) & (F.col("whitescreenDetected") == 0)).cast("int")
-    return u.groupBy("date", "user_id").agg(F.count(F.lit(1)).alias("samples"), r6(F.avg(ok) * 100).alias("uptime_pct"))
+    return u.groupBy("date", "user_id").agg(F.sum("w").alias("samples"),
+                                            r6(F.sum(ok * F.col("w")) / F.sum("w") * 100).alias("uptime_pct"))
 
 
 @query("R81c_daily_uptime_per_display", f"select * from {DISPLAY_UPTIME_SQL}")
@@ -458,28 +459,30 @@ NETERR_SQL = "(event_type = 'error' and value < 40)"
 
 
 def _disconnections(spark: SS, d: str) -> DataFrame:
+    """Samples of the last 2 days, shown, disconnected, without white screen, once per network error
+    (one per display and instant, of the last 7 days) in their look-back window."""
     e = ev(spark, d)
-    u = uptime_with_whitescreen(e)
-    net = e.where(F.expr(NETERR_SQL)).select("user_id", "ts")
-    n = J.lookback_count(u, net, "user_id", LOOKBACK_S, name="__net")
-    inc = n.where((F.col("showingContent") == 1) & (F.col("connectedToMS") == 0) & (F.col("whitescreenDetected") == 0)
-                  & (F.col("__net") > 0))
-    return inc.groupBy("date", "user_id").agg(F.count(F.lit(1)).alias("incidents"))
+    u = uptime_samples(e).where(F.col("date") >= F.lit(AS_OF - D(days=2)))
+    net = cat.read_events(e, AS_OF - D(days=7), YESTERDAY).where(F.expr(NETERR_SQL)).select("user_id", "ts").distinct()
+    down = u.where((F.col("showingContent") == 1) & (F.col("connectedToMS") == 0) & (F.col("whitescreenDetected") == 0))
+    n = J.lookback_count(down, net, "user_id", LOOKBACK_S, name="__net").where(F.col("__net") > 0)
+    return n.groupBy("date", "user_id").agg(F.sum("__net").alias("incidents"))
 
 
-DISCONN_SQL = f"""(select u.date, u.user_id, count(*) as incidents from {UPTIME_WS_SQL} u
- where u.showingContent = 1 and u.connectedToMS = 0 and u.whitescreenDetected = 0 and exists (select 1 from events e
- where {NETERR_SQL.replace('event_type', 'e.event_type').replace('value', 'e.value')} and e.user_id = u.user_id and e.ts <= u.ts and e.ts > u.ts - interval 6 hour)
+DISCONN_SQL = f"""(select u.date, u.user_id, count(*) as incidents from {UPTIME_WS_SQL} u join
+ (select distinct user_id, ts from {q(AS_OF - D(days=7), AS_OF)} where {NETERR_SQL}) n
+ on n.user_id = u.user_id and n.ts <= u.ts and n.ts > u.ts - interval 6 hour
+ where u.showingContent = 1 and u.connectedToMS = 0 and u.whitescreenDetected = 0 and u.date >= date '{AS_OF - D(days=2)}'
  group by 1, 2)"""
 
 
 @query("R83_downtime_disconnection_with_issue", f"""
 select x.date, x.user_id as display_id, x.incidents, c.c_name as company_name, c.c_mktsegment as industry
-from {DISCONN_SQL} x left join customer c on c.c_custkey = x.user_id""")
+from {DISCONN_SQL} x left join customer c on c.c_custkey = x.user_id where c.c_mktsegment = 'BUILDING'""")
 def r83(spark: SS, d: str) -> DataFrame:
     x = _disconnections(spark, d)
     c = tbl(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
-    return x.join(c, x.user_id == c.c_custkey, "left").select(
+    return x.join(c.where(F.col("c_mktsegment") == "BUILDING"), x.user_id == c.c_custkey).select(
         "date", F.col("user_id").alias("display_id"), "incidents", F.col("c_name").alias("company_name"),
         F.col("c_mktsegment").alias("industry"))
 
@@ -493,8 +496,8 @@ select lpad(cast(day(ws.date) as varchar), 2, ' ') || strftime(ws.date, '-%b-%Y'
  ws.incidentCount
 from ws join customer c on c.c_custkey = ws.user_id""")
 def r84(spark: SS, d: str) -> DataFrame:
-    u = uptime_with_whitescreen(ev(spark, d))
-    ws = u.where(F.col("whitescreenDetected") == 1).groupBy("date", "user_id").agg(F.count(F.lit(1)).alias("incidentCount"))
+    u = uptime_samples(ev(spark, d))
+    ws = u.where(F.col("whitescreenDetected") == 1).groupBy("date", "user_id").agg(F.sum("w").alias("incidentCount"))
     c = tbl(spark, d, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     j = ws.join(c, ws.user_id == c.c_custkey)
     return j.select(
@@ -723,18 +726,18 @@ def r89b(spark: SS, d: str) -> DataFrame:
         "date", F.col("user_id").alias("endpointId"), "eventErrorCode", "message", "errorCount").distinct()
 
 
-# Binding (R90): billing export = line items shipped 1998-10-01 .. 1998-11-30, their
+# Binding (R90): billing export = all line items, their
 # ship day mapped onto the event period (1998-10-01 -> 2024-01-01), cost =
 # extended price x discount, project = return flag, service = line status, SKU =
 # supplier; endpoint-infrastructure projects = a literal relation ('A', 'N').
-LI_D0, LI_D1 = dt.date(1998, 10, 1), dt.date(1998, 11, 30)
+LI_D0 = dt.date(1998, 10, 1)
 BILL_BASE = dt.date(2024, 1, 1)
 INFRA_PROJECTS = ["A", "N"]
 
 
 def billing_export(spark: SS, d: str) -> DataFrame:
-    li = cat.read_events(tbl(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_linestatus", "l_suppkey",
-                             "l_extendedprice", "l_discount"), LI_D0, LI_D1, ts_col="l_shipdate")
+    """Every line item; each report bounds the mapped days itself."""
+    li = tbl(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_discount")
     day = F.date_add(F.lit(BILL_BASE), F.datediff(F.to_date("l_shipdate"), F.lit(LI_D0)))
     return li.select(day.alias("date"), F.col("l_returnflag").alias("projectId"), F.col("l_linestatus").alias("service"),
                      F.col("l_suppkey").cast("string").alias("SKU"),
@@ -743,7 +746,7 @@ def billing_export(spark: SS, d: str) -> DataFrame:
 
 BILLING_SQL = f"""(select cast(date '{BILL_BASE}' + cast(datediff('day', date '{LI_D0}', cast(l_shipdate as date)) as integer) as date) as date,
  l_returnflag as projectId, l_linestatus as service, cast(l_suppkey as varchar) as SKU, l_extendedprice * l_discount as cost
- from lineitem where l_shipdate >= timestamp '{LI_D0}' and l_shipdate < timestamp '{LI_D1 + D(days=1)}')"""
+ from lineitem)"""
 INFRA_SQL = f"""(select date, projectId, service, SKU, sum(cost) as dailyCost from {BILLING_SQL}
  where projectId in (select * from (values {', '.join(f"('{p}')" for p in INFRA_PROJECTS)}))
  and date between date '{AS_OF - D(days=60)}' and date '{AS_OF}' and date <= date '{YESTERDAY}' group by 1, 2, 3, 4)"""

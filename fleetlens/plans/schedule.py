@@ -5,7 +5,7 @@ The reference appends with ``INSERT INTO``; a retried or re-run schedule would
 append twice.  Here every table is written with dynamic partition overwrite,
 so running the schedule again for the same day leaves the tables unchanged.
 
-    python -m fleetlens.plans.schedule --sf-dir DIR --out DIR
+    python -m fleetlens.plans.schedule --sf-dir DIR --out DIR [--date YYYY-MM-DD]
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.plans.registry import QUERIES, load_all
+from fleetlens.plans.registry import jobs
 from fleetlens.plans.tables import YESTERDAY
 from fleetlens.sources.sinks import write_partitions
 
@@ -30,11 +30,14 @@ DAILY_SUMMARIES = {
 
 
 def run_daily_summaries(spark: SparkSession, sf_dir: str, out_root: str, run_date: dt.date = YESTERDAY) -> dict[str, str]:
-    """Write each summary into ``out_root/<table>`` partitioned by ``date``; returns the paths."""
-    load_all()
+    """Write the summaries of ``run_date`` into ``out_root/<table>`` partitioned by ``date``; returns the paths.
+
+    The jobs run as of the day after, so a backfill computes the day it is stored under.
+    """
+    queries, _ = jobs(run_date + dt.timedelta(days=1))
     paths = {}
     for table, job in DAILY_SUMMARIES.items():
-        df = QUERIES[job](spark, sf_dir)
+        df = queries[job](spark, sf_dir)
         if "date" not in df.columns:  # per-day job without its own date column
             df = df.withColumn("date", F.lit(run_date))
         paths[table] = f"{out_root.rstrip('/')}/{table}"
@@ -46,10 +49,11 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--date", type=dt.date.fromisoformat, default=YESTERDAY)
     a = ap.parse_args(argv)
     from fleetlens.session import build_session
     spark = build_session()
-    for table, path in run_daily_summaries(spark, a.sf_dir, a.out).items():
+    for table, path in run_daily_summaries(spark, a.sf_dir, a.out, a.date).items():
         print(table, path)
 
 

@@ -6,7 +6,8 @@ configuration = 'view', error = 'error', start = 'signup', complete =
 ``props``; company = ``customer`` (company id = ``c_custkey``, industry =
 ``c_mktsegment``, parent = ``c_nationkey``); change log = ``orders`` per
 ``o_custkey`` ordered by ``o_orderkey``; request URL = ``pages.url``.
-Evaluation date ``AS_OF`` = 2024-01-31 (the events cover 2024-01-01..30).
+The default evaluation date ``AS_OF`` is 2024-01-31 (the events cover 2024-01-01..30);
+``registry.jobs(day)`` gives all jobs as of another day.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ AS_OF = dt.date(2024, 1, 31)
 YESTERDAY = AS_OF - dt.timedelta(days=1)
 
 
+def set_as_of(day: dt.date) -> None:
+    """Evaluation date of the plan modules imported after this call (see ``registry.jobs``)."""
+    global AS_OF, YESTERDAY
+    AS_OF, YESTERDAY = day, day - dt.timedelta(days=1)
+
+
 def tbl(spark: SparkSession, d: str, name: str, *cols: str | Column) -> DataFrame:
     df = spark.read.parquet(f"{d}/{name}.parquet")
     return df.select(*cols) if cols else df
