@@ -26,13 +26,15 @@ from fleetlens.functions.columns import pct_ok
 
 def distinct_counts(df: DataFrame, keys: str | Sequence[str], id_col: str | Column,
                     flags: Mapping[str, Column]) -> DataFrame:
-    """Per ``keys``: number of distinct non-NULL ids whose rows satisfy each flag."""
+    """Per ``keys``: number of distinct non-NULL ids whose rows satisfy each flag.
+
+    Keys whose rows have no id stay, with counts of 0 (as with ``count(distinct id)``).
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     idc = F.col(id_col) if isinstance(id_col, str) else id_col
     base = df.select(*keys, idc.alias("__id"),
-                     *[F.coalesce(c, F.lit(False)).cast("int").alias(f"__f_{n}") for n, c in flags.items()])
-    per_id = (base.where(F.col("__id").isNotNull())
-                  .groupBy(*keys, "__id")
+                     *[(F.coalesce(c, F.lit(False)) & idc.isNotNull()).cast("int").alias(f"__f_{n}") for n, c in flags.items()])
+    per_id = (base.groupBy(*keys, "__id")
                   .agg(*[F.max(f"__f_{n}").alias(f"__f_{n}") for n in flags]))
     return per_id.groupBy(*keys).agg(*[F.sum(f"__f_{n}").cast("long").alias(n) for n in flags])
 
@@ -70,9 +72,8 @@ def funnel(entities: DataFrame, events: DataFrame, *, entity: str, cohort_col: s
     reached = events.groupBy(entity).agg(*[
         F.max((F.col(event_col) == s).cast("int")).alias(f"has_{s}") for s in steps])
     j = entities.join(reached, entity, "left")
-    return j.groupBy(cohort_col).agg(
-        F.count_distinct(entity).alias("registered"),
-        *[F.count_distinct(F.when(F.col(f"has_{s}") == 1, F.col(entity))).alias(f"reached_{s}") for s in steps])
+    return distinct_counts(j, cohort_col, entity, {
+        "registered": F.lit(True), **{f"reached_{s}": F.col(f"has_{s}") == 1 for s in steps}})
 
 
 def top_errors(df: DataFrame, detail: Column, id_col: str, *, detail_len: int = K.TOP_ERROR_DETAIL_LENGTH,

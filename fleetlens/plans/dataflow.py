@@ -11,7 +11,7 @@ from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by, production
 from fleetlens.operators.nested import allocate_cost, expand_hierarchy, licensed_assignments, snapshot_diff
-from fleetlens.operators.reliability import daily_reliability, funnel, top_errors
+from fleetlens.operators.reliability import daily_reliability, distinct_counts, funnel, top_errors
 from fleetlens.operators.rollup import one_scan_union, pivot_metrics, splice_rollup
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
@@ -35,9 +35,8 @@ def r01(spark: SS, d: str) -> DataFrame:
 
 
 def _daily_error_users(e: DataFrame) -> DataFrame:
-    return (e.groupBy(F.to_date("ts").alias("date"))
-             .agg(F.count_distinct("user_id").alias("users"),
-                  F.count_distinct(F.when(F.col("event_type") == "error", F.col("user_id"))).alias("errors")))
+    return distinct_counts(e.withColumn("date", F.to_date("ts")), "date", "user_id",
+                           {"users": F.lit(True), "errors": F.col("event_type") == "error"})
 
 
 @query("R02_splice_rollup", f"""
