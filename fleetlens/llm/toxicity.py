@@ -9,11 +9,13 @@ taken as its insults, re-chosen a few times (multiple-instance learning).  A sen
 as toxic as its best word window, a document as its two best windows; a logistic
 fit on held-back documents turns these margins into a probability.
 
-Spelled-out words (runs of single characters) are joined before scoring.
+Spelled-out words (runs of single characters) are joined before scoring, and words
+with marks inside are also read without them; inserted letters are the kernel's part.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,11 +34,15 @@ DECAY = 0.6
 SPAN = 5  # a triple reaches over at most this many places further
 WINDOW = 48  # longer words are read in windows of this many characters
 EDGE = ".,;:!?|\"'()[]{}<>*#&%$-_/\\~^+="
+_RUN = re.compile(r"(.)\1{2,}", re.S)
 MULT = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case words without their edge marks; a run of three or more single characters becomes one word."""
+    """Lower-case words without their edge marks; a run of three or more single characters becomes one word.
+
+    A word with marks inside stands twice, as it is and without them.
+    """
     out: list[str] = []
     run: list[str] = []
     for w in (text or "").lower().split():
@@ -48,12 +54,18 @@ def words_of(text: str | None) -> list[str]:
             out.extend(["".join(run)] if len(run) > 2 else run)
             run = []
         out.append(w)
+        if not w.isalnum():
+            bare = "".join(filter(str.isalnum, w))
+            if len(bare) > 3:
+                out.append(bare)
     if run:
         out.extend(["".join(run)] if len(run) > 2 else run)
     return out
 
 
 def windows(word: str) -> list[str]:
+    """Windows of a word whose runs of one character are cut to two."""
+    word = _RUN.sub(r"\1\1", word)
     if len(word) <= WINDOW:
         return [word]
     return [word[i:i + WINDOW] for i in range(0, len(word) - 8, WINDOW - 8)]
