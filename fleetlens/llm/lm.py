@@ -22,6 +22,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -63,6 +64,7 @@ class Tree:
     nodes: np.ndarray
     bits: np.ndarray
     logit: np.ndarray  # per node: logit of bit 1 from the counts alone
+    depth: np.ndarray  # per place in nodes: 0 for the first bit of a symbol, 1, then 2
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -80,7 +82,7 @@ def huffman(counts: np.ndarray) -> Tree:
         heapq.heappush(heap, (a + b, nxt))
         nxt += 1
     del weight
-    at, nodes, bits = [0], [], []
+    at, nodes, bits, depth = [0], [], [], []
     for s in range(n):
         path = []
         x = s
@@ -89,8 +91,9 @@ def huffman(counts: np.ndarray) -> Tree:
             path.append((x - n, bit))
         nodes += [p for p, _ in reversed(path)]
         bits += [b for _, b in reversed(path)]
+        depth += [min(k, 2) for k in range(len(path))]
         at.append(len(nodes))
-    return Tree(np.array(at, np.int64), np.array(nodes, np.uint32), np.array(bits, np.uint8), logit)
+    return Tree(np.array(at, np.int32), np.array(nodes, np.uint32), np.array(bits, np.uint8), logit, np.array(depth, np.uint8))
 
 
 @dataclass
@@ -106,7 +109,7 @@ class Coder:
     def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, Counter]:
         """(symbol per token with the end, context id per token, rare tokens)."""
         get = self.vocabulary.get
-        sym = np.fromiter([get(w, -1) for w in words] + [get(END, -1)], np.int64, len(words) + 1)
+        sym = np.fromiter(map(get, chain(words, (END,)), repeat(-1)), np.int64, len(words) + 1)
         ctx = sym + 1
         rare: Counter = Counter()
         for k in np.flatnonzero(sym < 0).tolist():
@@ -132,12 +135,13 @@ def context_hashes(ctx: np.ndarray) -> np.ndarray:
                      _spread(two * np.uint32(0xC2B2AE35) + np.uint32(3))])
 
 
-def expand(tree: Tree, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, position in the tree arrays, depth) of every bit."""
-    n = tree.at[sym + 1] - tree.at[sym]
-    token = np.repeat(np.arange(len(sym)), n)
-    depth = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
-    return token, np.repeat(tree.at[sym], n) + depth, depth
+def expand(tree: Tree, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token, place in the tree arrays) of every bit."""
+    first = tree.at[sym]
+    n = tree.at[sym + 1] - first
+    ends = np.cumsum(n, dtype=np.int32)
+    token = np.repeat(np.arange(len(sym), dtype=np.int32), n)
+    return token, np.arange(len(token), dtype=np.int32) + (first - ends + n)[token]
 
 
 def slots(hashes: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -191,10 +195,11 @@ def _train(shared):
                     hs.append(context_hashes(ctx))
                 sym, h = np.concatenate(sy), np.concatenate(hs, axis=1)
                 for k in range(0, len(sym), SLICE):
-                    token, at, _ = expand(tree, sym[k:k + SLICE])
-                    node, bit = tree.nodes[at], tree.bits[at].astype(np.uint32)
+                    token, at = expand(tree, sym[k:k + SLICE])
+                    node, bit = tree.nodes[at], tree.bits[at]
+                    one = np.ones(len(at), np.int32)  # of the table's type: add.at has a fast path for it
                     for o in range(ORDERS):
-                        np.add.at(flat[o], slots(h[o, k:k + SLICE][token], node) * np.uint32(2) + bit, 1)
+                        np.add.at(flat[o], slots(h[o, k:k + SLICE][token], node).astype(np.int64) * 2 + bit, one)
         for o in range(ORDERS):
             for k in range(0, SLOTS, CHUNK):
                 part = table[o, k:k + CHUNK]
@@ -235,7 +240,7 @@ class Mixer:
     def bits(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """(bits of each text's symbols, its last weights); texts: (symbols, context ids)."""
         n = len(texts)
-        w = np.repeat(self.weights[None].astype(np.float32), n, axis=0).reshape(-1, 4)
+        w = np.asfortranarray(np.repeat(self.weights[None].astype(np.float32), n, axis=0).reshape(-1, 4))
         drift, seen = np.zeros(n * SETS * LEVELS, np.float32), np.full(n * SETS * LEVELS, 40.0, np.float32)
         cost = np.zeros(n)
         hashes = [context_hashes(c) for _, c in texts]
@@ -246,30 +251,32 @@ class Mixer:
             cuts = [(starts[k][step], starts[k][step + 1] if step + 1 < len(starts[k]) else len(texts[k][0])) for k in live]
             sym = np.concatenate([texts[k][0][a:z] for k, (a, z) in zip(live, cuts)])
             h = np.concatenate([hashes[k][:, a:z] for k, (a, z) in zip(live, cuts)], axis=1)
-            doc = np.repeat(live, [z - a for a, z in cuts])
+            doc = np.repeat(np.array(live, np.int32), [z - a for a, z in cuts])
             self._step(sym, h, doc, w, drift, seen, cost)
         return cost, w.reshape(n, SETS, 4)
 
     def _step(self, sym, h, doc, w, drift, seen, cost) -> None:
         tree = self.coder.tree
-        token, at, depth = expand(tree, sym)
+        token, at = expand(tree, sym)
         if not len(token):
             return
         node, bit = tree.nodes[at], tree.bits[at].astype(np.float32)
         x = np.empty((4, len(token)), np.float32)
         x[0] = tree.logit[node]
         for o in range(ORDERS):
-            x[o + 1] = self.tables[o][slots(h[o][token], node)]
-        x[1:] *= np.float32(1 / UNIT)
+            np.multiply(self.tables[o][slots(h[o][token], node)], np.float32(1 / UNIT), out=x[o + 1])
         sure = np.abs(x[2])
         d = doc[token]
-        gate = d * SETS + np.minimum(depth, 2) * 3 + (sure > 0.05) + (sure > 2.0)
-        z = np.einsum("ni,in->n", w[gate], x)
+        gate = d * SETS + tree.depth[at] * 3 + (sure > 0.05) + (sure > 2.0)
+        z = w[:, 0][gate] * x[0]
+        for i in range(1, 4):
+            z += w[:, i][gate] * x[i]
         p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-        cell = gate * LEVELS + np.clip((z + 4).astype(np.int64), 0, LEVELS - 1)
+        cell = gate * LEVELS + np.clip(z + 4, 0, LEVELS - 1).astype(np.int32)
         err = bit - p
-        refined = np.clip(p + 0.7 * drift[cell] / seen[cell], 1 / 8192, 1 - 1 / 8192)
-        cost += np.bincount(d, weights=-np.log2(np.where(bit > 0, refined, 1 - refined)), minlength=len(cost))
+        refined = np.clip(p + np.float32(0.7) * (drift / seen)[cell], np.float32(1 / 8192), np.float32(1 - 1 / 8192))
+        starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])  # a text's bits lie together
+        cost[d[starts]] -= np.add.reduceat(np.log2(np.abs(1 - bit - refined)), starts, dtype=np.float64)
         for i in range(4):
             w[:, i] += RATE * np.bincount(gate, weights=err * x[i], minlength=len(w)).astype(np.float32)
         drift += np.bincount(cell, weights=err, minlength=len(drift)).astype(np.float32)
