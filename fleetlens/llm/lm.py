@@ -219,8 +219,13 @@ def _merge(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
 
 
 def hashed_tables(docs: DataFrame, shared) -> np.ndarray:
-    """ORDERS x SLOTS stored logits, from all rows of ``docs``; tasks' counts are added up on Spark."""
-    rows = (docs.select("text").mapInPandas(_train(shared), "o int, chunk int, n binary").groupBy("o", "chunk")
+    """ORDERS x SLOTS stored logits, from all rows of ``docs``; tasks' counts are added up on Spark.
+
+    Every task sends a table of fixed size, so input partitions are first merged to two
+    per core: what is shuffled then follows the cluster, not the number of files.
+    """
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    rows = (docs.select("text").coalesce(tasks).mapInPandas(_train(shared), "o int, chunk int, n binary").groupBy("o", "chunk")
             .applyInPandas(_merge, "o int, chunk int, n binary").collect())
     out = np.zeros((ORDERS, SLOTS), np.int8)
     for r in rows:
