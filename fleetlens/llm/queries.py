@@ -143,11 +143,15 @@ def op3_decontamination(spark, sf_dir):
 # ------------------------------------------------------------------ 4: licences
 @query("op4_licenses")
 def op4_licenses(spark, sf_dir):
-    """Licence family of every document: its best confirmed notice, else ``none``."""
+    """Licence family of every document: its best confirmed notice, else ``none``.
+
+    Any licence goes before a mere reservation of rights, which licence headers hold too.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.scan(docs)
     sure = F.filter("notices", lambda n: n["confirmed"])
-    best = F.array_max(F.transform(sure, lambda n: F.struct(n["similarity"], n["score"], n["family"].alias("family"))))
+    best = F.array_max(F.transform(sure, lambda n: F.struct(n["family"] != "proprietary", n["similarity"], n["score"],
+                                                         n["family"].alias("family"))))
     return found.select("doc_id", F.coalesce(best["family"], F.lit("none")).alias("family"),
                         F.coalesce(best["score"], F.lit(0.0)).alias("score"),
                         F.size("notices").alias("n_notices"), F.size(sure).alias("n_confirmed"))
