@@ -9,15 +9,16 @@ temperature fitted on sample rows that the weights have not seen.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import first_by_hash, keep_rows
+from fleetlens.llm.common import cut, first_by_hash, keep_rows
 from fleetlens.llm.learn import ftrl, softmax, temperature
 from fleetlens.llm.texts import codes, letters, pieces, runs
 
@@ -92,14 +93,43 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return df, n
 
 
-def bounded_sample(rows: DataFrame, per_label: int, max_chars: int = 20_000) -> list:
-    """At most ``per_label`` rows (__id, __lang, __text) of each language; texts of up to ``max_chars`` only."""
-    short = rows.where((F.length("__text") <= max_chars) & F.col("__id").isNotNull())
-    few = first_by_hash(short.select("__id", "__lang"), "__lang", "__id", per_label)
-    few = few.distinct().withColumnsRenamed({"__id": "__i", "__lang": "__l"})  # bounded: per_label rows a language
-    got = (short.join(F.broadcast(few), (F.col("__id") == F.col("__i")) & (F.col("__lang") == F.col("__l")))
-           .select("__id", "__lang", "__text").dropDuplicates(["__id", "__lang"]))
-    return sorted(got.collect(), key=lambda r: (r["__id"][::-1], r["__lang"]))
+def bounded_sample(rows: DataFrame, per_label: int, most_rows: int, max_chars: int = 20_000) -> list:
+    """At most ``per_label`` rows (language, hashed n-grams, their counts) of each language.
+
+    Texts of up to ``max_chars`` with an id come first; longer ones and those without an
+    id fill up languages that have too few of these, so no language with a letter in
+    its texts is left out.  Of more than ``most_rows`` / ``per_label`` languages each has fewer
+    rows, one at least.  Whole texts are reduced to counts inside the tasks.
+    """
+    text, key = F.col("__text"), F.col("__id")
+    first = (F.length(text) <= max_chars) & key.isNotNull()
+    named = rows.where(text.rlike(r"\p{L}")).select(
+        F.when(key.isNotNull(), key).otherwise(F.concat(F.lit("text:"), F.md5(text.cast("binary")))).alias("__key"),
+        "__lang", F.when(first, 0).otherwise(1).alias("__tier"), "__text")
+    keys = cut(named.select("__key", "__lang", "__tier").distinct())
+    languages = keys.select("__lang").distinct().count()
+    per_label = max(1, min(per_label, most_rows // max(1, languages)))
+    group = F.struct("__lang", "__tier")
+    few = first_by_hash(keys.withColumn("__group", group), "__group", "__key", per_label).drop("__group")
+    order = Window.partitionBy("__lang").orderBy("__tier", F.xxhash64("__key", F.lit(17)), "__key")
+    few = few.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= per_label)  # of at most 2 per_label
+    few = few.select(F.col("__key").alias("__k"), F.col("__lang").alias("__l"), F.col("__tier").alias("__t"))
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            counts = [gram_counts(t) for t in b["__text"]]
+            yield pd.DataFrame({"__key": b["__key"], "__lang": b["__lang"],
+                                "grams": [zlib.compress(a.astype(np.uint16).tobytes() + n.tobytes(), 1) for a, n in counts]})
+
+    met = (F.col("__key") == F.col("__k")) & (F.col("__lang") == F.col("__l")) & (F.col("__tier") == F.col("__t"))
+    got = (named.join(F.broadcast(few), met).select("__key", "__lang", "__text")
+           .mapInPandas(reduce, "__key string, __lang string, grams binary").dropDuplicates(["__key", "__lang"]))
+    out = []
+    for r in sorted(got.collect(), key=lambda r: (r["__key"][::-1], r["__lang"])):
+        raw = zlib.decompress(r["grams"])
+        k = len(raw) // 10  # two bytes an n-gram, eight a count
+        out.append((r["__lang"], np.frombuffer(raw[:2 * k], np.uint16), np.frombuffer(raw[2 * k:], np.int64)))
+    return out
 
 
 @dataclass
@@ -130,29 +160,30 @@ SCALE = 30.0
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-        per_language: int = 1500, max_languages: int = 200) -> LanguageModel:
+        per_language: int = 1500, most_rows: int = 300_000) -> LanguageModel:
     """Learn from the rows of ``docs`` with a text and a language.
 
-    Weights and temperature come from at most ``per_language`` rows of each of at
-    most ``max_languages`` languages; document frequencies from all rows.  Without
-    such rows the model knows no language.
+    Weights and temperature come from at most ``per_language`` rows of every language
+    whose texts hold a letter, and about ``most_rows`` rows in all; document frequencies from
+    all rows.  Without such rows the model knows no language.
     """
     rows = docs.select(docs[text].alias("__text"), docs[lang].cast("string").alias("__lang"),
                        docs[doc_id].cast("string").alias("__id")).where("__text is not null and __lang is not null")
     df, n = document_frequencies(rows, "__text")
     idf = np.log((1.0 + n) / (1.0 + df)) + 0.1
-    sample = bounded_sample(rows, per_language)
-    classes = sorted({r["__lang"] for r in sample})[:max_languages]
+    sample = [r for r in bounded_sample(rows, per_language, most_rows) if len(r[1])]
+    classes = sorted({r[0] for r in sample})
     if not classes:
         return LanguageModel([], np.zeros((DIMS, 1)), 1.0)
-    x, y = [], []
-    for r in sample:
-        at, c = gram_counts(r["__text"])
-        if len(at) and r["__lang"] in classes:
-            x.append((at, c * idf[at] * (SCALE / c.sum())))
-            y.append(classes.index(r["__lang"]))
-    y = np.array(y, int)
-    back = np.arange(len(y)) % 5 == 4
+    number = {c: k for k, c in enumerate(classes)}
+    x, y, back = [], [], []
+    seen = [0] * len(classes)
+    for label, at, c in sample:
+        x.append((at, c * idf[at] * (SCALE / c.sum())))
+        y.append(number[label])
+        seen[y[-1]] += 1
+        back.append(seen[y[-1]] % 5 == 0)  # of each language a fifth, none where it has less than five rows
+    y, back = np.array(y, int), np.array(back)
     w = ftrl([v for v, b in zip(x, back) if not b], y[~back], len(classes), DIMS)
     logits = np.array([v @ w[at] for (at, v), b in zip(x, back) if b]).reshape(-1, len(classes))
     return LanguageModel(classes, (w * idf[:, None]).astype(np.float64), max(temperature(logits, y[back]), 1e-3))
@@ -186,7 +217,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
     no letter is ``und`` with score 0.  Whole texts are read, in pieces.
     """
     d = docs.drop(out, score)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most DIMS x max_languages numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x languages numbers
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
     return d.mapInPandas(predict_batches(shared, (text, out, score)), f"{schema}, `{out}` string, `{score}` double")
 

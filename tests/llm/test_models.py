@@ -47,6 +47,27 @@ def test_language_of_odd_rows(messy, nothing):
     assert language.keep_known(messy, none).count() == messy.count() - 5
 
 
+def test_language_of_only_long_texts_is_learnt(messy):
+    """The only German text of ``messy`` is longer than the texts that are taken first."""
+    model = language.fit(messy)
+    assert model.classes == ["de", "en", "fr"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(messy.where("doc_id = 8"), model).collect()}
+    assert got == {8: "de"}
+
+
+def test_languages_of_long_or_nameless_texts_and_late_names_are_learnt(spark):
+    words = {"aa": "the cat and the dog ", "long": "le chat et la souris ", "noid": "der Hund und die Katze ", "zz": "el perro y el gato "}
+    rows = [(k, words["aa"] * 5, "aa") for k in range(40)] + [(100 + k, words["long"] * 1500, "long") for k in range(10)]
+    rows += [(None, words["noid"] * (5 + k), "noid") for k in range(10)]
+    rows += [(200 + k, chr(0x4E00 + 7 * k) * 30, f"m{k:03d}") for k in range(220)]
+    rows += [(600 + k, words["zz"] * 5, "zz") for k in range(10)] + [(700, "12 34", "nil")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, most_rows=3000)
+    assert set(model.classes) == {r[2] for r in rows} - {"nil"}
+    p, _ = model.scores(list(words.values()))
+    assert [model.classes[k] for k in p.argmax(1)] == list(words)
+
+
 def test_ngrams_of_pieces_are_those_of_the_text():
     from fleetlens.llm import texts
     t = "Über die Brücke, 12 ça va?" * 3
