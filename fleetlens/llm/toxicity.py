@@ -10,14 +10,17 @@ as toxic as its best word window, a document as its two best windows; a logistic
 fit on held-back documents turns these margins into a probability.
 
 Spelled-out words (runs of single characters) are joined before scoring, and words
-with marks inside are also read without them; inserted letters are the kernel's part.
+with marks inside are also read without them; neighbouring words that meet as inside
+an insult are also read as one, which counts where it is more toxic than both.  Inserted letters are the kernel's
+part: the machine learns from torn variants of the insults too, and the logistic fit
+also sees held-back texts with torn insults and short pieces of texts.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +37,8 @@ DECAY = 0.6
 SPAN = 5  # a triple reaches over at most this many places further
 WINDOW = 48  # longer words are read in windows of this many characters
 EDGE = ".,;:!?|\"'()[]{}<>*#&%$-_/\\~^+="
+EXCESS = 0.5  # by which such a pair exceeds both words' margins
+TORN = 20  # torn variants of each insult that is learned
 _RUN = re.compile(r"(.)\1{2,}", re.S)
 MULT = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
@@ -63,6 +68,23 @@ def words_of(text: str | None) -> list[str]:
     return out
 
 
+def junctions(words: Iterable[str]) -> set[str]:
+    """Four characters around each place at which one of the words could be broken in two."""
+    return {f"\x02{w}\x03"[k - 1:k + 3] for w in words for k in range(1, len(w))}
+
+
+def joined(words: list[str], at: frozenset[str]) -> dict[str, tuple[str, str]]:
+    """Two neighbouring words of a text as one -> the two, where they meet as one of ``at``."""
+    return {a + b: (a, b) for a, b in zip(words, words[1:])
+            if ((a[-2:] if len(a) > 1 else "\x02" + a) + (b[:2] if len(b) > 1 else b + "\x03")) in at}
+
+
+def torn(word: str, rng: np.random.Generator) -> str:
+    """The word with one letter inserted between two of its characters."""
+    k = int(rng.integers(1, max(2, len(word))))
+    return word[:k] + chr(97 + int(rng.integers(26))) + word[k:]
+
+
 def windows(word: str) -> list[str]:
     """Windows of a word whose runs of one character are cut to two."""
     word = _RUN.sub(r"\1\1", word)
@@ -140,6 +162,7 @@ class ToxicityModel:
     direction: np.ndarray  # DIMS: the landmarks' features times their coefficients
     offset: float
     calibration: np.ndarray  # constant, best, second best margin
+    junctions: frozenset[str] = frozenset()  # of the learned insults
 
     def margins(self, words: list[str]) -> np.ndarray:
         return project(words, self.direction) + self.offset if words else np.zeros(0)
@@ -155,12 +178,16 @@ class Scorer:
         self.model, self.keep, self.known = model, keep, {}
 
     def two_best(self, texts: list[str]) -> np.ndarray:
+        return self.of_words([words_of(t) for t in texts])
+
+    def of_words(self, texts: list[list[str]]) -> np.ndarray:
+        """Two best margins of texts given as words; a pair of words counts where it exceeds both."""
         out = np.full((len(texts), 2), -3.0)
-        bags = [set(words_of(t)) for t in texts]
-        new = list(set().union(*bags) - self.known.keys()) if bags else []
+        bags, pairs = [set(w) for w in texts], [joined(w, self.model.junctions) for w in texts]
+        new = list(set().union(*bags, *pairs) - self.known.keys()) if bags else []
         if len(self.known) + len(new) > self.keep:
             self.known = {}
-            new = list(set().union(*bags))
+            new = list(set().union(*bags, *pairs))
         for k in range(0, len(new), 20_000):
             part = new[k:k + 20_000]
             cut = [windows(w) for w in part]
@@ -168,9 +195,15 @@ class Scorer:
             ends = np.cumsum([len(c) for c in cut])
             best = np.maximum.reduceat(m, np.r_[0, ends[:-1]]) if len(m) else m
             self.known.update(zip(part, best.tolist()))
-        for i, bag in enumerate(bags):
+        known = self.known
+        for i, (bag, pair) in enumerate(zip(bags, pairs)):
             if bag:
-                m = sorted(map(self.known.__getitem__, bag))[-2:]
+                m = sorted(map(known.__getitem__, bag))[-2:]
+                if pair:
+                    top = max(pair, key=known.__getitem__)
+                    a, b = pair[top]
+                    if known[top] > max(known[a], known[b]) + EXCESS:  # in place of its two words
+                        m = sorted([known[top], *(known[w] for w in bag if w != a and w != b)])[-2:]
                 out[i, 0] = m[-1]
                 if len(m) > 1:
                     out[i, 1] = m[0]
@@ -213,7 +246,11 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = 384, others: int = 1
     usual = list(dict.fromkeys(usual))
     seeds = sorted(gain, key=lambda w: (-gain[w], w))[:max(40, landmarks)]
     seeds = [w for w in seeds if gain[w] >= min(6.0, gain[seeds[0]])] if seeds else sorted(df[1])[:landmarks]
-    toxic = seeds
+    # Only words that stand out are torn: variants of a word that is toxic by chance would be false alarms.
+    sure = [w for w in seeds if len(w) > 3 and not df[0][w] and gain.get(w, 0.0) >= gain[seeds[0]] / 4]
+    variants = [torn(w, rng) for w in sure for _ in range(TORN)]
+    variants = [w for w in dict.fromkeys(variants) if not df[0][w]]
+    toxic = [*seeds, *(w for w in variants if w not in df[1])]
     # Words of toxic documents are unlabelled: no evidence against them, so the other side is clean documents' words only.
     model = None
     marks = list(dict.fromkeys(seeds[:landmarks // 2] + usual[:landmarks - min(len(seeds), landmarks // 2)]))
@@ -233,7 +270,7 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = 384, others: int = 1
             break
         every = sorted(set().union(*(b for b, label, h in zip(bags, y, back) if label == 1 and not h)))
         margin = dict(zip(every, model.margins(every).tolist()))
-        chosen = set(seeds)
+        chosen = set(seeds) | set(variants)
         for bag, label, h in zip(bags, y, back):
             if label == 1 and not h and bag:
                 best = max(bag, key=lambda x: (margin[x], x))
@@ -245,9 +282,23 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = 384, others: int = 1
         extra = [x for x in extra if x not in have]
         usual += extra
         z_usual = np.vstack([z_usual, project(extra, table) @ root])
-    two = Scorer(model).two_best(texts)
     use = back if back.any() else np.ones(len(y), bool)
-    model.calibration = _logistic(np.clip(two[use], -3, 3), y[use])
+    model.junctions = frozenset(junctions([*sure, *variants]))
+    scorer, rows, of = Scorer(model), [], []
+    for t, label in zip([t for t, u in zip(texts, use) if u], y[use]):
+        words = words_of(t)
+        margin = dict(zip(set(words), model.margins(list(set(words))).tolist()))
+        if label:  # as it is, with its insults torn, and a piece around one insult, whole and torn
+            odd = [torn(w, rng) if margin[w] > 0 and len(w) > 3 else w for w in words]
+            at = max(range(len(words)), key=lambda k: margin[words[k]], default=0)
+            piece = slice(max(0, at - 5), at + 5)
+            found = bool(words) and margin[words[at]] > 0
+            more = [words, odd, words[piece], odd[piece]] if found else [words]
+        else:
+            more = [words, *(words[at:at + 10] for at in rng.integers(max(1, len(words) - 10), size=3))]
+        rows += more
+        of += [label] * len(more)
+    model.calibration = _logistic(np.clip(scorer.of_words(rows), -3, 3), np.array(of))
     return model
 
 

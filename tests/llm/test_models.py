@@ -185,3 +185,19 @@ def test_long_words_are_read_whole():
     w = "xz" * 150 + "idiot" + "yw" * 150
     assert any("idiot" in x for x in toxicity.windows(w))
     assert toxicity.words_of("You are an I D I O T.")[-1] == "idiot"
+
+
+def test_single_torn_insults_are_predicted(spark, sf_dir):
+    rows = (table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+            .where("toxic is not null").orderBy("doc_id").select("text", "toxic").collect())
+    model = toxicity.train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]))
+    clean = "the of and that thing is here with the "
+    odd = ["", "id*iot", "p a t h e t i c", "stuxpid idxiot", "stuxpid", "stu pid", "id iot here", "m-o-r-o-n"]
+    p = model.probability(toxicity.Scorer(model).two_best([clean + x for x in odd]))
+    assert p[0] < 0.2 and (p[1:] > 0.5).all()
+
+
+def test_neighbouring_words_are_joined_where_an_insult_may_be_broken():
+    at = frozenset(toxicity.junctions(["idiot"]))
+    assert toxicity.joined("you id iot now".split(), at) == {"idiot": ("id", "iot")}
+    assert toxicity.joined("an i diot or idio t".split(), at) == {"idiot": ("idio", "t")} and not toxicity.joined("a day to".split(), at)
