@@ -1,11 +1,12 @@
-"""N-gram Jaccard join: MinHash LSH forest with exact verification.
+"""N-gram Jaccard join: MinHash banding with exact verification.
 
 1. Every text becomes its set of five-word shingles; texts with equal sets are one
-   *text* with copies.  A text's signature fills a forest of prefix trees: tree t
-   holds the text under the first ``depth`` values of its own run of min-hashes.
-2. The matched prefix starts at ``max_depth`` values and is shortened until two texts
-   of the threshold similarity meet in some tree with the target probability.
-3. Texts that share a prefix are compared by signature; from each group only a
+   *text* with copies.  A text's signature gives one label a tree: the hash of the first
+   ``depth`` values of the tree's own run of min-hashes.  Texts meet by equal labels;
+   this is banding, no prefix trees are kept and shorter prefixes are not matched.
+2. ``depth`` is the greatest up to ``max_depth`` at which two texts of the threshold
+   similarity share a label with the target probability; it does not depend on the data.
+3. Texts that share a label are compared by signature; from each group only a
    spanning forest of its likely links is kept, never its pairs.  The components
    of these forests are *cells*; a link never leaves its cell.
 4. Within a cell every pair is verified on its whole shingle sets, block by block.
