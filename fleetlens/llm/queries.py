@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm import decontaminate, language, licenses, lm, mixing, neardup, packing, quality, sharding, topk, toxicity
+from fleetlens.llm import collocations, decontaminate, language, licenses, lm, mixing, neardup, negatives, packing, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
 from fleetlens.plans.registry import query
 
@@ -200,3 +200,68 @@ def op11_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (_digests(packing.sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024, end=2))
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
+
+
+# ------------------------------------------------------------------ 12: phrase collocations
+_PHRASE_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m AS len, unnest(list_transform(range(1, (len(ws) - m + 2)::BIGINT),
+         lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase FROM w, range(1, 6) r(m) WHERE len(ws) >= m
+), f AS (SELECT lang, len, phrase, count(*)::HUGEINT AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE len > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.len, c.a, t.n, k, l.a AS l, r.a AS r, 1000 * c.a * t.n // (l.a * r.a) AS score
+  FROM c JOIN t ON t.lang = c.lang JOIN range(1, 5) x(k) ON k < c.len
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')
+), s AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a, unnest(list_transform(range(1, (len - m + 2)::BIGINT), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+  FROM c, range(2, 5) r(m) WHERE m < len
+), kept AS (
+  SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM inner_parts i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.a >= 100 * s.a)
+), o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::INT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM o WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", _PHRASE_SQL)
+def op12_collocations(spark, sf_dir):
+    """Each language's 2,000 strongest phrases of two to five words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return collocations.collocations(docs, support=100, longest=5, top=2000)
+
+
+# ------------------------------------------------------------------ 13: hard negatives
+_NEGATIVE_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op13_negatives", _NEGATIVE_SQL)
+def op13_negatives(spark, sf_dir):
+    """Hard negatives of every 100th vector; every seventh row's label is moved on by one."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, label, positives=5, negatives=5, low=80, high=100)
