@@ -75,7 +75,7 @@ def test_small_chunks_and_cut_texts(spark, texts):
     import numpy as np
     import pyarrow as pa
     every = np.full(1 << 4, -1, np.int64).view(np.uint64)
-    whole = pa.array(["a b c \n ", "a b \n d a b \n "])
+    whole = pa.array(["a b c \n", "a b \n d a b \n"])
     got = {(n, p): c for n, ps, cs in collocations.count_chunk("en", whole, 3, True, every, every, 10) for p, c in zip(ps.to_pylist(), cs.tolist())}
     assert got == {(1, "a"): 3, (1, "b"): 3, (1, "c"): 1, (1, "d"): 1, (2, "a b"): 3, (2, "b c"): 1, (2, "d a"): 1, (3, "a b c"): 1, (3, "d a b"): 1}
     parts = list(collocations._slices("x" * 20 + "\n" + "y" * 20))
