@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import cut, id_crc
+from fleetlens.llm.common import cut, id_crc, map_pandas
 from fleetlens.llm.texts import runs
 
 VOCAB = 32_768
@@ -137,11 +137,11 @@ def context_hashes(ctx: np.ndarray) -> np.ndarray:
 
 def expand(tree: Tree, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token, place in the tree arrays) of every bit."""
-    first = tree.at[sym]
-    n = tree.at[sym + 1] - first
+    first = tree.at.take(sym)
+    n = tree.at.take(sym + 1) - first
     ends = np.cumsum(n, dtype=np.int32)
     token = np.repeat(np.arange(len(sym), dtype=np.int32), n)
-    return token, np.arange(len(token), dtype=np.int32) + (first - ends + n)[token]
+    return token, np.arange(len(token), dtype=np.int32) + (first - ends + n).take(token)
 
 
 def slots(hashes: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -196,10 +196,10 @@ def _train(shared):
                 sym, h = np.concatenate(sy), np.concatenate(hs, axis=1)
                 for k in range(0, len(sym), SLICE):
                     token, at = expand(tree, sym[k:k + SLICE])
-                    node, bit = tree.nodes[at], tree.bits[at]
+                    node, bit = tree.nodes.take(at), tree.bits.take(at)
                     one = np.ones(len(at), np.int32)  # of the table's type: add.at has a fast path for it
                     for o in range(ORDERS):
-                        np.add.at(flat[o], slots(h[o, k:k + SLICE][token], node).astype(np.int64) * 2 + bit, one)
+                        np.add.at(flat[o], slots(h[o, k:k + SLICE].take(token), node).astype(np.int64) * 2 + bit, one)
         for o in range(ORDERS):
             for k in range(0, SLOTS, CHUNK):
                 part = table[o, k:k + CHUNK]
@@ -265,21 +265,21 @@ class Mixer:
         token, at = expand(tree, sym)
         if not len(token):
             return
-        node, bit = tree.nodes[at], tree.bits[at].astype(np.float32)
+        node, bit = tree.nodes.take(at), tree.bits.take(at).astype(np.float32)
         x = np.empty((4, len(token)), np.float32)
-        x[0] = tree.logit[node]
+        x[0] = tree.logit.take(node)
         for o in range(ORDERS):
-            np.multiply(self.tables[o][slots(h[o][token], node)], np.float32(1 / UNIT), out=x[o + 1])
+            np.multiply(self.tables[o].take(slots(h[o].take(token), node)), np.float32(1 / UNIT), out=x[o + 1])
         sure = np.abs(x[2])
-        d = doc[token]
-        gate = d * SETS + tree.depth[at] * 3 + (sure > 0.05) + (sure > 2.0)
-        z = w[:, 0][gate] * x[0]
+        d = doc.take(token)
+        gate = d * SETS + tree.depth.take(at) * 3 + (sure > 0.05) + (sure > 2.0)
+        z = w[:, 0].take(gate) * x[0]
         for i in range(1, 4):
-            z += w[:, i][gate] * x[i]
+            z += w[:, i].take(gate) * x[i]
         p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
         cell = gate * LEVELS + np.clip(z + 4, 0, LEVELS - 1).astype(np.int32)
         err = bit - p
-        refined = np.clip(p + np.float32(0.7) * (drift / seen)[cell], np.float32(1 / 8192), np.float32(1 - 1 / 8192))
+        refined = np.clip(p + np.float32(0.7) * (drift / seen).take(cell), np.float32(1 / 8192), np.float32(1 - 1 / 8192))
         starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])  # a text's bits lie together
         cost[d[starts]] -= np.add.reduceat(np.log2(np.abs(1 - bit - refined)), starts, dtype=np.float64)
         for i in range(4):
@@ -288,15 +288,17 @@ class Mixer:
         seen += np.bincount(cell, minlength=len(seen)).astype(np.float32)
 
 
-def _bundles(sizes: list[int], limit: int = SLICE) -> Iterator[range]:
-    at, held = 0, 0
-    for k, n in enumerate(sizes):
-        held += n
-        if held >= limit or k - at >= 511:
-            yield range(at, k + 1)
-            at, held = k + 1, 0
-    if at < len(sizes):
-        yield range(at, len(sizes))
+def _bundles(sizes: list[int], limit: int = SLICE, most: int = 128) -> Iterator[list[int]]:
+    """Texts of like length, which have as many blocks: at most ``most``, of about ``limit`` tokens."""
+    out, held = [], 0
+    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        out.append(k)
+        held += sizes[k]
+        if held >= limit or len(out) == most:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
 
 
 def _calibrate(shared):
@@ -332,7 +334,7 @@ def _score(shared, kind: str):
             texts = b["text"].tolist()
             ids, held = b["doc_id"].tolist(), b["held_out"].tolist()
             at = 0
-            for part in runs([t if isinstance(t, str) else "" for t in texts], limit=1_000_000):
+            for part in runs([t if isinstance(t, str) else "" for t in texts], limit=2_000_000):
                 coded = [(words_of(t), len(t.encode("utf-8", "surrogatepass"))) for t in part]
                 coded = [(*coder.symbols(w), size) for w, size in coded]
                 rows, more = [], []
@@ -390,7 +392,7 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
         mixer = Mixer(coder, mixer.tables, np.array([r["v"] / r["n"] for r in tuned], np.float32).reshape(SETS, 4))
     kind = d.schema["doc_id"].dataType.simpleString()
     shared = sc.broadcast((mixer, float(n + v + 1)))
-    stream = d.mapInPandas(_score(shared, kind), STATS.format(id=kind))
+    stream = map_pandas(d, _score(shared, kind), STATS.format(id=kind))
     c = F.coalesce(F.col("c"), F.lit(0))
     met = stream.join(counts.withColumnRenamed("token", "t"), F.col("token") == F.col("t"), "left")
     out = met.groupBy("rid").agg(
