@@ -15,7 +15,6 @@ import json
 import math
 import os
 import re
-import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import stored
+from fleetlens.llm.common import stored, tidy
 
 #: Tokens of a sequence.
 LIMIT = 1024
@@ -34,12 +33,10 @@ LIMIT = 1024
 OPEN = 4096
 #: Tokens that a stream has about at least (more if its last input split goes over).
 STREAM = 1 << 24
-#: Chunks of text whose ids a worker remembers, twice: those met of late and those before.
-REMEMBERED = 300_000
 #: A place where the tokenizer's words always end: one blank between two marks that are no white space.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-#: How byte-level BPE splits text into words (a fixed value of that tokenizer kind).
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: How byte-level BPE splits text into words (a fixed value of that tokenizer kind, in its backtracking-free form).
+_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 _SLICE = 1 << 20
 
 
@@ -73,35 +70,20 @@ def fast_encoder(path: str):
     return tiktoken.Encoding("file", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
-class _Ids(dict):
-    """Ids of a chunk as little-endian 32-bit numbers; forgets what it has not met for long."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
-        from tokenizers import Tokenizer
-        full = Tokenizer.from_file(path)
-        added = [t.content for t in full.get_added_tokens_decoder().values()]
-        self.exact = lambda chunk: full.encode(chunk, add_special_tokens=False).ids
-        self.fast, self.added, self.before = fast_encoder(path), added, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.before.get(chunk)
-        if ids is None:
-            plain = self.fast is not None and not any(t in chunk for t in self.added)
-            found = (self.fast if plain else self.exact)(chunk)
-            ids = struct.pack(f"<{len(found)}I", *found)
-        if len(chunk) <= 64:
-            if len(self) >= REMEMBERED:
-                self.before = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
 @lru_cache(maxsize=2)
-def known_ids(path: str) -> _Ids:
-    """One memory for all tasks of a worker."""
-    return _Ids(path)
+def encoder(path: str):
+    """A function from a text to its ids, little-endian unsigned 32-bit; one for all tasks of a worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
+    from tokenizers import Tokenizer
+    full = Tokenizer.from_file(path)
+    added = [t.content for t in full.get_added_tokens_decoder().values()]
+    fast = fast_encoder(path)
+
+    def encode(text: str) -> bytes:
+        if fast is None or any(t in text for t in added):
+            return np.array(full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(np.array(fast(part), "<u4").tobytes() for part in _slices(text))
+    return encode
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -116,55 +98,42 @@ def _slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def encode(text: str, known: _Ids) -> bytes:
-    """All ids of a text, equal to one call of the tokenizer: no word of it crosses a lone inner blank."""
-    out = []
-    for part in _slices(text):
-        chunks = _BETWEEN.sub("\0 ", part).split("\0") if "\0" not in part else [part]
-        out += map(known.__getitem__, chunks)
-    return b"".join(out)
-
-
 def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT,
            end: int = 2) -> DataFrame:
-    """doc_id, piece int (from 0), start long, length long, ids array<int>: every text's ids and the end id.
+    """doc_id, piece int (from 0), start long, length long, ids binary: every text's ids and the end id.
 
     A document of more than ``limit`` ids is cut into pieces of ``limit``, of which the
     first may be shorter.  A NULL or empty text has the end id alone; equal rows and rows
-    without an id are documents of their own; ids keep their type and value.  ``path``:
-    a tokenizer file that every worker can read.  No shuffle.
+    without an id are documents of their own; their ids keep type and value.  ``ids`` holds
+    little-endian unsigned 32-bit numbers.  ``path``: a tokenizer file that every worker
+    can read.  No shuffle.
     """
     kind = docs.schema[doc_id].dataType
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    last = np.array([end], "<u4").tobytes()
+    last, wide = np.array([end], "<u4").tobytes(), 4 * limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = known_ids(path)
-        schema = None
+        encode = encoder(path)
         for b in batches:
-            schema = schema or pa.schema([("doc_id", b.schema.field(0).type), ("piece", pa.int32()), ("start", pa.int64()),
-                                          ("length", pa.int64()), ("ids", pa.list_(pa.int32()))])
             row, nr, start, ids, held = [], [], [], [], 0
             for k, t in enumerate(b.column(1)):
-                x = np.frombuffer(encode(t.as_py() or "", known) + last, "<i4")
-                first = (len(x) - 1) % limit + 1
-                at = [0, *range(first, len(x) + 1, limit)]
+                x = encode(t.as_py() or "") + last
+                at = [0, *range((len(x) - 4) % wide + 4, len(x) + 1, wide)]
                 row += [k] * (len(at) - 1)
                 nr += range(len(at) - 1)
-                start += at[:-1]
+                start += [i // 4 for i in at[:-1]]
                 ids += [x[i:j] for i, j in zip(at, at[1:])]
                 held += len(x)
-                if held > 1 << 22 or k == len(b) - 1:
-                    length = np.array([len(x) for x in ids], np.int64)
-                    upto = pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32))
+                if held > 1 << 24 or k == len(b) - 1:
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(row, pa.int64())), pa.array(nr, pa.int32()), pa.array(start, pa.int64()),
-                         pa.array(length), pa.ListArray.from_arrays(upto, pa.array(np.concatenate(ids)))], schema=schema)
+                         pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                        names=["doc_id", "piece", "start", "length", "ids"])
                     row, nr, start, ids, held = [], [], [], [], 0
 
-    return rows.mapInArrow(run, T.StructType([
+    return rows.mapInArrow(tidy(run), T.StructType([
         T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-        T.StructField("length", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+        T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())]))
 
 
 class OpenSequences:

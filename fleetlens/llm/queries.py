@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-
-import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetlens.llm import collocations, decontaminate, language, licenses, lm, mixing, neardup, negatives, packing, quality, sharding, topk, toxicity
 from fleetlens.llm.common import id_crc, table
@@ -177,29 +173,13 @@ def op2_lm_score(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ 11: best-fit packing
-def _digests(placed):
-    """ids_crc32 in place of ids: CRC-32 of the ids as little-endian unsigned 32-bit numbers."""
-    at = placed.columns.index("ids")
-
-    def run(batches):
-        for b in batches:
-            ids = b.column(at)
-            raw = memoryview(ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
-            upto = ids.offsets.to_pylist()
-            crc = pa.array([zlib.crc32(raw[4 * i:4 * j]) for i, j in zip(upto, upto[1:])], pa.int64())
-            yield pa.RecordBatch.from_arrays([crc if k == at else c for k, c in enumerate(b.columns)],
-                                             names=["ids_crc32" if n == "ids" else n for n in b.schema.names])
-    return placed.mapInArrow(run, T.StructType([
-        T.StructField("ids_crc32", T.LongType()) if f.name == "ids" else f for f in placed.schema.fields]))
-
-
 @query("op11_packing")
 def op11_packing(spark, sf_dir):
     """Place of every piece of every document in sequences of at most 1024 tokens."""
     import public_tokenizers
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (_digests(packing.sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024, end=2))
-            .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
+    placed = packing.sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024, end=2)
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 # ------------------------------------------------------------------ 12: phrase collocations
