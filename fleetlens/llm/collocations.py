@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import shared_folder
+from fleetlens.llm.common import shared_folder, tidy
 
 #: Ends of a piece, as RE2 and Java write them.
 ENDS = r"[.,;:!?\x0A-\x0D]+"
@@ -208,7 +208,7 @@ def frequent(docs: DataFrame, support: int, longest: int = 5, shards: int = 3, t
     shard = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(shards)).cast("int")
     (docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), shard.alias("shard"),
                  F.col(text).cast("string").alias("text"))
-     .mapInArrow(_plain, "lang string, shard int, words long, text string")
+     .mapInArrow(tidy(_plain), "lang string, shard int, words long, text string")
      .write.partitionBy("shard").parquet(f"{home}/texts"))
     texts = spark.read.schema("lang string, words long, text string, shard int").parquet(f"{home}/texts")
     totals = texts.groupBy("lang").agg(F.sum("words").alias("n"))
@@ -223,7 +223,7 @@ def frequent(docs: DataFrame, support: int, longest: int = 5, shards: int = 3, t
     while scan <= last + shards and total:
         tables = spark.sparkContext.broadcast((reached, np.bitwise_or.reduce(fresh)))
         seen = (texts.where(F.col("shard") == scan % shards).select("lang", "text")
-                .mapInArrow(_scan(longest, scan < shards, tables, bits), "lang string, phrase string, len int, a long")
+                .mapInArrow(tidy(_scan(longest, scan < shards, tables, bits)), "lang string, phrase string, len int, a long")
                 .groupBy("lang", "phrase", "len").agg(F.sum("a").alias("a")))
         done = state.withColumn("whole", F.when(F.col("start") + shards <= scan, F.col("a")))
         both = (done.unionByName(seen, allowMissingColumns=True)

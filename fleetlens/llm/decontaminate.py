@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import keep_rows
+from fleetlens.llm.common import keep_rows, map_pandas
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -95,14 +95,14 @@ def myers(eq: dict[str, int], m: int, text: str) -> tuple[int, int]:
 @dataclass
 class Block:
     """Items of one pass: (item_id, normal text, k), ready to be sent to the tasks."""
-    items: list[tuple[int, str, int]]
+    items: list[tuple[object, str, int]]
 
     def matcher(self) -> "Matcher":
         return Matcher(self.items)
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, str, int]]):
+    def __init__(self, items: list[tuple[object, str, int]]):
         self.items = items
         self.whole: dict[str, list[int]] = {}
         places: dict[str, list[tuple[int, Node]]] = {}
@@ -183,16 +183,19 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", rate: float = 0.1, min_chars: int = 24,
            block_items: int = 5000, block_chars: int = 4_000_000) -> list[Block]:
-    """The items in blocks that tasks can hold.  Items without words are left out.
+    """The items in blocks that tasks can hold; ids of any type.  Items without words are left out.
+
+    An item without an id counts as the item of the same text that has one, else it stays.
 
     Items of fewer than ``min_chars`` characters say too little to be looked for
     inside texts; they match only a document that consists of them.  The driver reads
     one partition of the benchmark at a time.
     """
-    rows = (benchmark.select(benchmark[item_id].cast("long").alias("i"), benchmark[text].alias("t"))
-            .where("i is not null and t is not null").dropDuplicates())
+    rows = benchmark.select(benchmark[item_id].alias("i"), benchmark[text].alias("t")).where("t is not null").dropDuplicates()
+    named = rows.where("i is not null")
+    rows = named.unionByName(rows.where("i is null").join(named.select("t").distinct(), "t", "left_anti"))
     out: list[Block] = []
-    now: list[tuple[int, str, int]] = []
+    now: list[tuple[object, str, int]] = []
     chars = 0
     for r in rows.toLocalIterator():
         t = normal(r["t"])
@@ -200,26 +203,31 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", r
             now.append((r["i"], t, int(rate * len(t)) if len(t) >= min_chars else -1))
             chars += len(t)
             if len(now) >= block_items or chars >= block_chars:
-                out.append(Block(sorted(now)))
+                out.append(_block(now))
                 now, chars = [], 0
-    return [*out, Block(sorted(now))] if now else out
+    return [*out, _block(now)] if now else out
+
+
+def _block(items: list[tuple[object, str, int]]) -> Block:
+    return Block(sorted(items, key=lambda x: (x[1], str(x[0]))))
 
 
-HIT = "item_id long, edits int, start int, end int, occurrences int"
+HIT = "edits int, start int, end int, occurrences int"
 
 
 def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """doc_id, item_id, edits, start, end (characters of the text), occurrences: one row per document and item in it.
 
     Whole texts; NULL and empty texts and items match nothing; repeated rows are
-    reported each (repeated items of one id and text once); empty tables give an
-    empty result.  No shuffle of documents.
+    reported each (repeated items of one id and text once); ids of both keep type and
+    value; empty tables give an empty result.  No shuffle of documents.
     """
     d = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("__text"))
-    schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, {HIT}"
+    schema = (f"doc_id {d.schema['doc_id'].dataType.simpleString()}, "
+              f"item_id {benchmark.schema[params.get('item_id', 'item_id')].dataType.simpleString()}, {HIT}")
     out = None
     for block in blocks(benchmark, **params) or [Block([])]:
-        part = d.mapInPandas(_finder(docs.sparkSession.sparkContext.broadcast(block)), schema)
+        part = map_pandas(d, _finder(docs.sparkSession.sparkContext.broadcast(block)), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -239,7 +247,11 @@ def _finder(shared):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **params) -> DataFrame:
-    """``docs`` without the documents in which a benchmark item occurs; all columns kept, no shuffle."""
+    """``docs`` without the documents in which a benchmark item occurs; all columns kept, no shuffle.
+
+    Documents without a text or with an empty one stay, as do all where the benchmark is
+    empty; repeated rows stay or go together.  Items without an id count.
+    """
     for block in blocks(benchmark, **params):
         shared = docs.sparkSession.sparkContext.broadcast(block)
         docs = keep_rows(docs, text, _without(shared))

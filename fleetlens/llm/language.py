@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import cut, first_by_hash, keep_rows
+from fleetlens.llm.common import cut, first_by_hash, keep_rows, map_pandas
 from fleetlens.llm.learn import ftrl, softmax, temperature
 from fleetlens.llm.texts import codes, letters, pieces, runs
 
@@ -219,13 +219,14 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
     d = docs.drop(out, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x languages numbers
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields)
-    return d.mapInPandas(predict_batches(shared, (text, out, score)), f"{schema}, `{out}` string, `{score}` double")
+    return map_pandas(d, predict_batches(shared, (text, out, score)), f"{schema}, `{out}` string, `{score}` double")
 
 
 def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.4) -> DataFrame:
     """``docs`` without those of no identifiable language: no letter, or a confidence below ``least``.
 
-    A model that knows no language rejects only texts without a letter.
+    A model that knows no language rejects only texts without a letter.  All columns stay;
+    repeated rows stay or go together; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

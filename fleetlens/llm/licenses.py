@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import first_by_hash
+from fleetlens.llm.common import first_by_hash, map_pandas
 from fleetlens.llm.learn import ftrl, softmax, temperature
 from fleetlens.llm.license_texts import FAMILIES
 
@@ -370,4 +370,4 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: flo
 
     d = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("__text"))
     fields = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in SPAN.split(", "))
-    return d.mapInPandas(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, notices array<struct<{fields}>>")
+    return map_pandas(d, run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, notices array<struct<{fields}>>")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import cut
+from fleetlens.llm.common import cut, map_pandas, tidy
 from fleetlens.llm.components import components
 from fleetlens.llm.texts import runs
 
@@ -135,7 +135,7 @@ def signed(docs: DataFrame, doc_id: str, text: str, depth: int, trees: int = TRE
     """(id, key, labels, sig, n) of every row; key is NULL where the text has no word."""
     d = docs.select(docs[doc_id].alias("__id"), docs[text].alias("__text"))
     kind = d.schema["__id"].dataType.simpleString()
-    return d.mapInPandas(_signed(depth, trees, gram), f"id {kind}, key binary, labels array<long>, sig binary, n long")
+    return map_pandas(d, _signed(depth, trees, gram), f"id {kind}, key binary, labels array<long>, sig binary, n long")
 
 
 def grouped(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
@@ -340,19 +340,19 @@ def texts_and_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                .join(reps.select("key", "sig"), "key"))
     likely = (in_blocks(members, "label", "blocks", "key").repartition("label", "i", "j")
               .sortWithinPartitions("label", "i", "j").select("label", "i", "j", "key", "sig")
-              .mapInPandas(_likely(LIKELY), "a binary, b binary"))
+              .mapInPandas(tidy(_likely(LIKELY)), "a binary, b binary"))
     cells = components(likely.distinct())
     sized = cells.join(reps.select("key", "copies", "n"), "key")
     blocks = (sized.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / cell_block),
                                                    F.ceil(F.sum("n") / block_shingles)).cast("int").alias("blocks"))
               .withColumnRenamed("root", "cell"))
     bloom = docs.sparkSession.sparkContext.broadcast(key_filter(cells))
-    sets = (docs.select(docs[text].alias("__text")).mapInPandas(_sets_of(bloom, GRAM), "key binary, sh binary")
+    sets = (docs.select(docs[text].alias("__text")).mapInPandas(tidy(_sets_of(bloom, GRAM)), "key binary, sh binary")
             .groupBy("key").agg(F.first("sh").alias("sh")))
     filled = (sized.select("key", F.col("root").alias("cell"), "copies").join(blocks, "cell").join(sets, "key"))
     found = cut(in_blocks(filled, "cell", "blocks", "key").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
                 .select("cell", "i", "j", "own", "key", "copies", "sh")
-                .mapInPandas(_verified(threshold), "a binary, b binary, texts long, docs long"))
+                .mapInPandas(tidy(_verified(threshold)), "a binary, b binary, texts long, docs long"))
     classes = components(found.where("b is not null").select("a", "b"))
     counts = (found.where("b is null").groupBy("a").agg(F.sum("texts").alias("links"), F.sum("docs").alias("linked_docs"))
               .withColumnRenamed("a", "key"))
@@ -384,6 +384,10 @@ def join_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **p
     return out.unionByName(alone)
 
 
+#: Column of text keys that ``keep_one`` adds for itself.
+KEY = "__text_key_of_keep_one"
+
+
 def _key_column(text: str, gram: int):
     def run(batches):
         words = _Words()
@@ -391,7 +395,7 @@ def _key_column(text: str, gram: int):
             keys: list[bytes | None] = []
             for part in runs([t or "" for t in b.column(text).to_pylist()], docs=64):
                 keys += [text_key(s) if len(s) else None for s in shingles(part, words, gram)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=[*b.schema.names, "__key"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary())], names=[*b.schema.names, KEY])
     return run
 
 
@@ -406,9 +410,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **para
              .join(texts.select("key", "root"), "key").groupBy("root")
              .agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key")).alias("s"))
              .select(F.col("s.least").alias("__kept_id"), F.col("s.key").alias("__kept_key")))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())])
-    keyed = docs.mapInArrow(_key_column(text, GRAM), schema)
-    some = (keyed.where("__key is not null")
-            .join(first, (F.col("__key") == F.col("__kept_key")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
-            .dropDuplicates(["__key", doc_id]))
-    return some.unionByName(keyed.where("__key is null")).drop("__key")
+    schema = T.StructType([*docs.schema.fields, T.StructField(KEY, T.BinaryType())])
+    keyed = docs.mapInArrow(tidy(_key_column(text, GRAM)), schema)
+    some = (keyed.where(f"`{KEY}` is not null")
+            .join(first, (F.col(f"`{KEY}`") == F.col("__kept_key")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
+            .dropDuplicates([KEY, doc_id]))
+    return some.unionByName(keyed.where(f"`{KEY}` is null")).drop(KEY)

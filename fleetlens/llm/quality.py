@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import cut
+from fleetlens.llm.common import cut, map_pandas
 from fleetlens.llm.learn import isotonic
 
 NAMES = ("log_words", "mean_word", "sd_word", "upper", "digit", "symbol", "end_mark", "bang", "bar", "distinct", "top_word",
@@ -94,7 +94,7 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
             yield b.drop(columns=[text])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "__x array<double>"])
-    return docs.select(*[docs[f.name] for f in rest], docs[text]).mapInPandas(run, schema)
+    return map_pandas(docs.select(*[docs[f.name] for f in rest], docs[text]), run, schema)
 
 
 def _sums(rows: DataFrame, width: int, of) -> np.ndarray:
@@ -176,7 +176,7 @@ def apply(described: DataFrame, model: QualityModel | None, score: str = "score"
             yield b.drop(columns=["__x"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), f"`{score}` double"])
-    return described.select(*[described[f.name] for f in rest], "__x").mapInPandas(run, schema)
+    return map_pandas(described.select(*[described[f.name] for f in rest], "__x"), run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, may_learn, label: str = "quality", doc_id: str = "doc_id",

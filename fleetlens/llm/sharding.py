@@ -61,7 +61,7 @@ def place(df: DataFrame, key: Column, shards: list[str], size: int,
     """
     lookup = table_frame(df.sparkSession, shards, size).select(
         F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    keep = [c for c in df.columns if c not in (slot_col, shard_col)]
+    keep = [c for c in df.columns if c.lower() not in (slot_col.lower(), shard_col.lower())]
     at = F.pmod(digest60(F.coalesce(key.cast("string"), F.lit(""))), F.lit(size))
     return (df.select(*[df[c] for c in keep], at.alias("__at"))
             .join(F.broadcast(lookup), F.col("__at") == F.col("__slot"))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import first_by_hash
+from fleetlens.llm.common import first_by_hash, map_pandas
 from fleetlens.llm.learn import sigmoid
 
 BITS = 16
@@ -247,7 +247,8 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = 384, others: int = 1
     seeds = sorted(gain, key=lambda w: (-gain[w], w))[:max(40, landmarks)]
     seeds = [w for w in seeds if gain[w] >= min(6.0, gain[seeds[0]])] if seeds else sorted(df[1])[:landmarks]
     # Only words that stand out are torn: variants of a word that is toxic by chance would be false alarms.
-    sure = [w for w in seeds if len(w) > 3 and not df[0][w] and gain.get(w, 0.0) >= gain[seeds[0]] / 4]
+    most = max(gain.values(), default=0.0)
+    sure = [w for w in seeds if len(w) > 3 and not df[0][w] and w in gain and gain[w] >= most / 4]
     variants = [torn(w, rng) for w in sure for _ in range(TORN)]
     variants = [w for w in dict.fromkeys(variants) if not df[0][w]]
     toxic = [*seeds, *(w for w in variants if w not in df[1])]
@@ -338,4 +339,4 @@ def classify(docs: DataFrame, labels: DataFrame, may_learn, label: str = "toxic"
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": score, "predicted": (score >= 0.5).astype("int32")})
 
     d = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("__text"))
-    return d.mapInPandas(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return map_pandas(d, run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
