@@ -35,6 +35,7 @@ def query(name: str, sql: str | None = None):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__module__ = fn.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
