@@ -12,8 +12,9 @@ from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by, production
 from fleetlens.operators.nested import allocate_cost, expand_hierarchy, licensed_assignments, snapshot_diff
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, funnel, top_errors
-from fleetlens.operators.rollup import one_scan_union, pivot_metrics, splice_rollup
+from fleetlens.operators.rollup import one_scan_union, pivot_metrics
 from fleetlens.plans.registry import query
+from fleetlens.plans.rollups import rollup
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
 from fleetlens.sources import catalog as cat
 
@@ -39,20 +40,16 @@ def _daily_error_users(e: DataFrame) -> DataFrame:
                            {"users": F.lit(True), "errors": F.col("event_type") == "error"})
 
 
-@query("R02_splice_rollup", f"""
+@rollup("R02_splice_rollup", f"""
 with fresh as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
   where ts >= timestamp '{CUTOFF}' and ts < timestamp '{AS_OF}' group by 1),
 hist as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
   where ts < timestamp '{CUTOFF}' group by 1)
-select * from fresh union all select * from hist where date < date '{CUTOFF}'""")
-def r02(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    fresh = _daily_error_users(cat.read_events(e, CUTOFF, YESTERDAY))
-    # the stored rollup: here derived by Spark from the same table for the older days
-    history = _daily_error_users(e.where(F.col("ts") < cat.day_start(CUTOFF)))
-    return splice_rollup(fresh, history, "date", CUTOFF)
+select * from fresh union all select * from hist where date < date '{CUTOFF}'""", start=CUTOFF)
+def r02(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _daily_error_users(cat.read_events(ev(spark, d), first, last))
 
 
 @query("R03_daily_reliability", """
@@ -284,17 +281,14 @@ def r16(spark: SS, d: str) -> DataFrame:
     return snapshot_diff(_snapshots(ev(spark, d)), "collectionDate", ["user_id"], ["status", "amount"])
 
 
-@query("T06_late_data_reread", f"""
+@rollup("T06_late_data_reread", f"""
 with fresh as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
   where ts >= timestamp '{YESTERDAY}' and ts < timestamp '{AS_OF}' group by 1),
 hist as (select cast(ts as date) as date, count(distinct user_id) as users,
   count(distinct case when event_type = 'error' then user_id end) as errors from events
   where ts < timestamp '{YESTERDAY}' group by 1)
-select * from fresh union all select * from hist where date < date '{YESTERDAY}'""")
-def t06(spark: SS, d: str) -> DataFrame:
-    """Recompute the last N = 1 day (late events included) and splice it over the rollup."""
-    e = ev(spark, d)
-    fresh = _daily_error_users(cat.read_events(e, YESTERDAY, YESTERDAY))
-    history = _daily_error_users(e.where(F.col("ts") < cat.day_start(YESTERDAY)))
-    return splice_rollup(fresh, history, "date", YESTERDAY)
+select * from fresh union all select * from hist where date < date '{YESTERDAY}'""", start=YESTERDAY)
+def t06(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    """Recompute the last N = 1 day (late events included) and splice it over the stored rollup."""
+    return _daily_error_users(cat.read_events(ev(spark, d), first, last))

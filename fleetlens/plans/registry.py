@@ -43,7 +43,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-PLAN_MODULES = ("tables", "registry", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
+PLAN_MODULES = ("tables", "registry", "rollups", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
                 "reports_companies", "reports_shapes")
 _LOCK = threading.Lock()
 _AT: dict[dt.date, tuple[dict[str, Job], dict[str, str]]] = {}

@@ -23,9 +23,10 @@ from fleetlens import constants as K
 from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, top_errors
-from fleetlens.operators.rollup import pivot_long, splice_rollup
+from fleetlens.operators.rollup import pivot_long
 from fleetlens.plans.dataflow import BETA_LIKE
 from fleetlens.plans.registry import query
+from fleetlens.plans.rollups import rollup
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
 from fleetlens.sources import catalog as cat
 
@@ -92,13 +93,6 @@ def widget_stats_sql(d0: dt.date | None, d1: dt.date, failed: str) -> str:
  on a.date = b.date)"""
 
 
-def _spliced_widget(spark: SS, d: str, failed: Column) -> DataFrame:
-    e = ev(spark, d)
-    fresh = widget_stats(e, W3_START, YESTERDAY, failed)
-    hist = widget_stats(e, None, W3_START - D(days=1), failed)
-    return splice_rollup(fresh, hist, "date", W3_START)
-
-
 def _spliced_widget_sql(failed: str) -> str:
     fresh = widget_stats_sql(W3_START, AS_OF, failed)
     hist = widget_stats_sql(None, W3_START, failed)
@@ -108,20 +102,20 @@ def _spliced_widget_sql(failed: str) -> str:
 R20_FAIL_SQL = "event_type = 'error' and props not like '%\"k\": 4_}'"
 
 
-@query("R20_widget_stats_spliced", _spliced_widget_sql(R20_FAIL_SQL))
-def r20(spark: SS, d: str) -> DataFrame:
-    return _spliced_widget(spark, d, (F.col("event_type") == "error") & C.not_like("props", '%"k": 4_}'))
+@rollup("R20_widget_stats_spliced", _spliced_widget_sql(R20_FAIL_SQL), start=W3_START)
+def r20(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return widget_stats(ev(spark, d), first, last, (F.col("event_type") == "error") & C.not_like("props", '%"k": 4_}'))
 
 
 R21_FAIL_SQL = "(event_type = 'error' and value > 50) or (event_type = 'click' and value < 5 and k >= 20)"
 
 
-@query("R21_widget_stats_multi_branch", _spliced_widget_sql(R21_FAIL_SQL))
-def r21(spark: SS, d: str) -> DataFrame:
+@rollup("R21_widget_stats_multi_branch", _spliced_widget_sql(R21_FAIL_SQL), start=W3_START)
+def r21(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     c = F.col
     branch_error = (c("event_type") == "error") & (c("value") > 50)
     branch_player = (c("event_type") == "click") & (c("value") < 5) & (k_col() >= 20)
-    return _spliced_widget(spark, d, branch_error | branch_player)
+    return widget_stats(ev(spark, d), first, last, branch_error | branch_player)
 
 
 @query("R22_daily_reliability_with_usage", f"""
@@ -490,13 +484,12 @@ STATS_SQL = lambda d0, d1: f"""(select date, event_type as platform, {SOURCE_SQL
  cast({PRICE_PER_100MB} as double) as cost_per_100mb from {q(d0, d1)} group by 1, 2, 3)"""
 
 
-@query("R37b_log_table_stats", f"""
-select * from {STATS_SQL(YESTERDAY, AS_OF)} union all select * from {STATS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""")
-def r37(spark: SS, d: str) -> DataFrame:
+@rollup("R37b_log_table_stats", f"""
+select * from {STATS_SQL(YESTERDAY, AS_OF)} union all select * from {STATS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""",
+        start=YESTERDAY)
+def r37(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     """Size of yesterday's log rows per (platform, source), spliced over the stored stats."""
-    e = ev(spark, d)
-    return splice_rollup(_table_stats(cat.read_events(e, YESTERDAY, YESTERDAY)),
-                         _table_stats(e.where(F.col("ts") < cat.day_start(YESTERDAY))), "date", YESTERDAY)
+    return _table_stats(cat.read_events(ev(spark, d), first, last))
 
 
 # cost text: exact decimal of size_kb * price / (1024 * 100), half-up at 10 decimals, from

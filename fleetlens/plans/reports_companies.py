@@ -26,9 +26,10 @@ from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.nested import snapshot_diff
 from fleetlens.operators.reliability import funnel
-from fleetlens.operators.rollup import one_scan_union, splice_rollup
+from fleetlens.operators.rollup import one_scan_union
 from fleetlens.plans.dataflow import r08
 from fleetlens.plans.registry import query
+from fleetlens.plans.rollups import rollup
 from fleetlens.plans.reports_uptime import BILLING_SQL, billing_export
 from fleetlens.plans.reports import W3_START, W7_START, ev, k_col, q
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
@@ -612,12 +613,10 @@ COST_SQL = lambda d0, d1: f"""(select date, round(gets + puts + ih * {K.INSTANCE
   from {q(d0, d1)} group by 1) where cm > 0 and dr > 0 and cu > 0))"""
 
 
-@query("R122_display_costs", f"""
-select * from {COST_SQL(W3_START, AS_OF)} union all select * from {COST_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r122(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    return splice_rollup(_display_costs(cat.read_events(e, W3_START, YESTERDAY)),
-                         _display_costs(e.where(F.col("ts") < cat.day_start(W3_START))), "date", W3_START)
+@rollup("R122_display_costs", f"""
+select * from {COST_SQL(W3_START, AS_OF)} union all select * from {COST_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r122(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _display_costs(cat.read_events(ev(spark, d), first, last))
 
 
 NOISY_CALLS = K.NOISY_CALLS_PER_DAY

@@ -16,8 +16,9 @@ from fleetlens.functions import columns as C
 from fleetlens.operators import joins as J
 from fleetlens.operators.latest import latest_by, production
 from fleetlens.operators.reliability import distinct_counts
-from fleetlens.operators.rollup import one_scan_union, splice_rollup
+from fleetlens.operators.rollup import one_scan_union
 from fleetlens.plans.registry import query
+from fleetlens.plans.rollups import rollup
 from fleetlens.plans.reports import W3_START, W7_START, ev, k_col, q
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
 from fleetlens.sources import catalog as cat
@@ -106,12 +107,10 @@ TPL_ROWS_SQL = lambda d0, d1: f"""(select distinct e.date, e.k as template_id, e
  from {q(d0, d1)} e join customer c on c.c_custkey = e.user_id where {TPL_SQL.replace('user_id', 'e.user_id')})"""
 
 
-@query("R41_html_template_rollup", f"""
-select * from {TPL_ROWS_SQL(YESTERDAY, AS_OF)} union all select * from {TPL_ROWS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""")
-def r41(spark: SS, d: str) -> DataFrame:
-    fresh = _tpl_rows(spark, d, YESTERDAY, YESTERDAY)
-    hist = _tpl_rows(spark, d, None, YESTERDAY - D(days=1))
-    return splice_rollup(fresh, hist, "date", YESTERDAY)
+@rollup("R41_html_template_rollup", f"""
+select * from {TPL_ROWS_SQL(YESTERDAY, AS_OF)} union all select * from {TPL_ROWS_SQL(None, YESTERDAY)} where date < date '{YESTERDAY}'""", start=YESTERDAY)
+def r41(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _tpl_rows(spark, d, first, last)
 
 
 @query("R41b_template_counts_by_period", f"""
@@ -154,12 +153,10 @@ SEG_DAILY_SQL = lambda d0, d1: f"""(select e.date, count(distinct c.c_nationkey)
  from {q(d0, d1)} e join customer c on c.c_custkey = e.user_id where c.c_mktsegment = '{SEGMENT}' group by 1)"""
 
 
-@query("R42_segment_template_adoption", f"""
-select * from {SEG_DAILY_SQL(W3_START, AS_OF)} union all select * from {SEG_DAILY_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r42(spark: SS, d: str) -> DataFrame:
-    fresh = _segment_daily(spark, d, W3_START, YESTERDAY)
-    hist = _segment_daily(spark, d, None, W3_START - D(days=1))
-    return splice_rollup(fresh, hist, "date", W3_START)
+@rollup("R42_segment_template_adoption", f"""
+select * from {SEG_DAILY_SQL(W3_START, AS_OF)} union all select * from {SEG_DAILY_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r42(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _segment_daily(spark, d, first, last)
 
 
 def PROD_COMPANIES_SQL_FN(segment: str) -> str:
@@ -396,24 +393,26 @@ REQ_CLS_SQL = _case(REQUEST_CLASSES)
 CFG_CLS_SQL = f"case when event_type = 'view' then {_case(CONFIG_CLASSES)} end"
 
 
-def installer_class_rows(e: DataFrame) -> DataFrame:
-    """(date, display, request class, config class, class of the display's latest config).
+def installer_class_rows(e: DataFrame, every: DataFrame) -> DataFrame:
+    """(date, display, request class, config class, class of the display's latest config in ``every``).
 
     A configuration row only puts its display in its class when the display's
     latest configuration is not of another class, so a display may be in
     several classes (a request-log class and a config class)."""
-    x = e.withColumn("k", k_col()).withColumn("req_cls", F.expr(REQ_CLS_SQL)).withColumn("cfg_cls", F.expr(CFG_CLS_SQL))
-    latest = latest_by(x.where(F.col("event_type") == "view").select("user_id", "ts", "event_id", "cfg_cls"),
+    classed = lambda df: df.withColumn("k", k_col()).withColumn("cfg_cls", F.expr(CFG_CLS_SQL))
+    # one row per (display, day, classes) before the join: a display's repeated events meet its configuration once
+    x = classed(e).withColumn("req_cls", F.expr(REQ_CLS_SQL)).select("date", "user_id", "req_cls", "cfg_cls").distinct()
+    latest = latest_by(classed(every.where(F.col("event_type") == "view")).select("user_id", "ts", "event_id", "cfg_cls"),
                        "user_id", ["ts", "event_id"], ties="one").select("user_id", F.col("cfg_cls").alias("latest_cls"))
-    return x.select("date", "user_id", "req_cls", "cfg_cls").join(latest, "user_id", "left")
+    return x.join(latest, "user_id", "left")
 
 
 def _cfg_flag(name: str) -> Column:
     return (F.col("cfg_cls") == name) & (F.col("latest_cls").isNull() | (F.col("latest_cls") == name))
 
 
-@query("R53_installer_type_counts", f"""
-with x as (select *, {REQ_CLS_SQL} as req_cls, {CFG_CLS_SQL} as cfg_cls from {q()}),
+@rollup("R53_installer_type_counts", f"""
+with x as (select *, {REQ_CLS_SQL} as req_cls, {CFG_CLS_SQL} as cfg_cls from {q(None, AS_OF)}),
 latest as (select user_id, cfg_cls as latest_cls from (select user_id, cfg_cls, row_number() over
  (partition by user_id order by ts desc, event_id desc) as rn from x where event_type = 'view') where rn = 1),
 j as (select x.date, x.user_id, x.req_cls, x.cfg_cls, l.latest_cls from x left join latest l on l.user_id = x.user_id)
@@ -422,11 +421,12 @@ select date, count(distinct user_id) as total,
  {', '.join(f"count(distinct case when cfg_cls = '{n}' and (latest_cls is null or latest_cls = '{n}') then user_id end) as {n}" for n, _ in CONFIG_CLASSES)},
  count(distinct user_id) - count(distinct case when req_cls is not null
   or (cfg_cls is not null and (latest_cls is null or latest_cls = cfg_cls)) then user_id end) as third_party
-from j group by 1""")
-def r53(spark: SS, d: str) -> DataFrame:
+from j group by 1""", start=YESTERDAY)
+def r53(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     """All classes in one two-level aggregation over one pass of (display, class) rows,
     instead of one scan per class; classes may overlap."""
-    x = installer_class_rows(ev(spark, d))
+    e = ev(spark, d)
+    x = installer_class_rows(cat.read_events(e, first, last), cat.read_events(e, None, YESTERDAY))
     flags = {"total": F.lit(True)}
     flags.update({n: F.col("req_cls") == n for n, _ in REQUEST_CLASSES})
     flags.update({n: _cfg_flag(n) for n, _ in CONFIG_CLASSES})
@@ -532,13 +532,10 @@ FUNNEL_SQL = lambda d0, d1: f"""(with x as (select *, k // 10 as line from {q(d0
  select a.date, a.starts, b.completions from a left join b on a.date = b.date)"""
 
 
-@query("R56_install_funnel", f"""
-select * from {FUNNEL_SQL(W3_START, AS_OF)} union all select * from {FUNNEL_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r56(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    fresh = _install_funnel(cat.read_events(e, W3_START, YESTERDAY))
-    hist = _install_funnel(e.where(F.col("ts") < cat.day_start(W3_START)))
-    return splice_rollup(fresh, hist, "date", W3_START)
+@rollup("R56_install_funnel", f"""
+select * from {FUNNEL_SQL(W3_START, AS_OF)} union all select * from {FUNNEL_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r56(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _install_funnel(cat.read_events(ev(spark, d), first, last))
 
 
 def installer_events(spark: SS, d: str, day: dt.date) -> DataFrame:
@@ -638,13 +635,10 @@ MODULE_STATS_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
  (select date, count(distinct user_id) as failed_count from failed group by 1) f on t.date = f.date)"""
 
 
-@query("R58_player_module_stats", f"""
-select * from {MODULE_STATS_SQL(W3_START, AS_OF)} union all select * from {MODULE_STATS_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r58(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    fresh = _module_stats(e, W3_START, YESTERDAY)
-    hist = _module_stats(e, None, W3_START - D(days=1))
-    return splice_rollup(fresh, hist, "date", W3_START)
+@rollup("R58_player_module_stats", f"""
+select * from {MODULE_STATS_SQL(W3_START, AS_OF)} union all select * from {MODULE_STATS_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r58(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _module_stats(ev(spark, d), first, last)
 
 
 def _unsupported(spark: SS, d: str) -> DataFrame:
@@ -740,9 +734,9 @@ CACHE_REL_SQL = lambda d0, d1: f"""(with c as (select event_type as event, props
   round((t.n - coalesce(e.n, 0)) / t.n, 6) as Reliability from t left join e on t.date = e.date)"""
 
 
-@query("R61_cache_daily_reliability", f"""
-select * from {CACHE_REL_SQL(YESTERDAY, AS_OF + D(days=1))} union all select * from {CACHE_REL_SQL(None, YESTERDAY)} where total_date < date '{YESTERDAY}'""")
-def r61(spark: SS, d: str) -> DataFrame:
+@rollup("R61_cache_daily_reliability", f"""
+select * from {CACHE_REL_SQL(YESTERDAY, AS_OF + D(days=1))} union all select * from {CACHE_REL_SQL(None, YESTERDAY)} where total_date < date '{YESTERDAY}'""", start=YESTERDAY, end=AS_OF, date_col="total_date")
+def r61(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     """Cache reliability for yesterday and today, spliced over the stored days.  The
     cache family keeps ``ts`` as text (schema registry); it is parsed at read."""
     def cache(events: DataFrame) -> DataFrame:
@@ -756,12 +750,9 @@ def r61(spark: SS, d: str) -> DataFrame:
         return events.where((F.col("event_type") == "click") & (F.col("value") > 95)) \
             .select(F.col("user_id").cast("string").alias("display_id"), "date")
 
-    e = ev(spark, d)
     # date bounds on the raw scan (pruning), before the text timestamps are parsed
-    recent, older = cat.read_events(e, YESTERDAY, AS_OF), e.where(F.col("ts") < cat.day_start(YESTERDAY))
-    fresh = _cache_rel(cache(recent), restarts(recent))
-    hist = _cache_rel(cache(older), restarts(older))
-    return splice_rollup(fresh, hist, "total_date", YESTERDAY)
+    w = cat.read_events(ev(spark, d), first, last)
+    return _cache_rel(cache(w), restarts(w))
 
 
 # Binding (R62): recurring revenue = open orders ('O') of the evaluation month number

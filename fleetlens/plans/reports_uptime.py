@@ -20,9 +20,9 @@ from fleetlens.functions import columns as C
 from fleetlens.functions import timeutil as TU
 from fleetlens.operators import joins as J
 from fleetlens.operators.reliability import daily_reliability, distinct_counts, interval_uptime
-from fleetlens.operators.rollup import splice_rollup
 from fleetlens.plans.dataflow import BETA_LIKE, ENRICHED_SQL, _enriched
 from fleetlens.plans.registry import query
+from fleetlens.plans.rollups import rollup
 from fleetlens.plans.reports import W3_START, W5_START, W7_START, ev, k_col, q
 from fleetlens.plans.reports_devices import OS_SQL, os_of
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
@@ -164,12 +164,10 @@ UPD_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
  from t join dsp on t.date = dsp.date)"""
 
 
-@query("R74_content_update_frequency", f"""
-select * from {UPD_SQL(W3_START, AS_OF)} union all select * from {UPD_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r74(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    return splice_rollup(_update_freq(cat.read_events(e, W3_START, YESTERDAY)),
-                         _update_freq(e.where(F.col("ts") < cat.day_start(W3_START))), "date", W3_START)
+@rollup("R74_content_update_frequency", f"""
+select * from {UPD_SQL(W3_START, AS_OF)} union all select * from {UPD_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r74(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _update_freq(cat.read_events(ev(spark, d), first, last))
 
 
 UPD_DISPLAYS_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
@@ -182,12 +180,10 @@ UPD_DISPLAYS_SQL = lambda d0, d1: f"""(with w as (select * from {q(d0, d1)}),
  from t join dsp on t.date = dsp.date)"""
 
 
-@query("R74b_content_displays_with_update", f"""
-select * from {UPD_DISPLAYS_SQL(W3_START, AS_OF)} union all select * from {UPD_DISPLAYS_SQL(None, W3_START)} where date < date '{W3_START}'""")
-def r74b(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d)
-    return splice_rollup(_update_freq(cat.read_events(e, W3_START, YESTERDAY), displays=True),
-                         _update_freq(e.where(F.col("ts") < cat.day_start(W3_START)), displays=True), "date", W3_START)
+@rollup("R74b_content_displays_with_update", f"""
+select * from {UPD_DISPLAYS_SQL(W3_START, AS_OF)} union all select * from {UPD_DISPLAYS_SQL(None, W3_START)} where date < date '{W3_START}'""", start=W3_START)
+def r74b(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
+    return _update_freq(cat.read_events(ev(spark, d), first, last), displays=True)
 
 
 @query("R75_daily_monthly_active_ratio", f"""
@@ -263,14 +259,14 @@ PLAYER_COUNTERS = {
 }
 
 
-@query("R77_player_reliability_stats", f"""
+@rollup("R77_player_reliability_stats", f"""
 select date, {', '.join(f"count(distinct case when {c} then user_id end) as {n}" for n, c in PLAYER_COUNTERS.items())}
-from {q()} group by 1 having {' and '.join(f"count(distinct case when {c} then user_id end) > 0" for c in PLAYER_COUNTERS.values())}""")
-def r77(spark: SS, d: str) -> DataFrame:
+from {q(None, AS_OF)} group by 1 having {' and '.join(f"count(distinct case when {c} then user_id end) > 0" for c in PLAYER_COUNTERS.values())}""", start=W3_START)
+def r77(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     """Nine counters in one scan and one two-level aggregation.  The view inner-joins
     nine per-date scans, so a day missing from any branch (a zero counter) is
     dropped; the filter re-imposes exactly that."""
-    e = ev(spark, d).withColumn("k", k_col())
+    e = cat.read_events(ev(spark, d), first, last).withColumn("k", k_col())
     out = distinct_counts(e, "date", "user_id", {n: F.expr(c) for n, c in PLAYER_COUNTERS.items()})
     return out.where(reduce(lambda a, b: a & b, [F.col(n) > 0 for n in PLAYER_COUNTERS]))
 
@@ -301,15 +297,13 @@ MULTI_SQL = lambda d0, d1: f"""(with x as (select * from {q(d0, d1)} where user_
  from s left join v on v.date = s.date and v.user_id = s.user_id where v.date is not null and s.startupCount > 2 group by 1)"""
 
 
-@query("R78_multiple_unreliable_starts", f"""
-select * from {MULTI_SQL(W3_START, AS_OF)} union all select * from {MULTI_SQL(None, W3_START)} where ddate < date '{W3_START}'""")
-def r78(spark: SS, d: str) -> DataFrame:
+@rollup("R78_multiple_unreliable_starts", f"""
+select * from {MULTI_SQL(W3_START, AS_OF)} union all select * from {MULTI_SQL(None, W3_START)} where ddate < date '{W3_START}'""", start=W3_START, date_col="ddate")
+def r78(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
     """Displays per day with more than two ungraceful startups (two event families)
     that also ran a v3 installer that day; last 3 days spliced over history.  One
     (day, display) aggregation instead of the two scans and the left join."""
-    e = ev(spark, d)
-    return splice_rollup(_multi_unreliable(cat.read_events(e, W3_START, YESTERDAY)),
-                         _multi_unreliable(e.where(F.col("ts") < cat.day_start(W3_START))), "ddate", W3_START)
+    return _multi_unreliable(cat.read_events(ev(spark, d), first, last))
 
 
 @query("R78b_consistently_ungraceful_displays", f"""

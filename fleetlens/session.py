@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the jobs assume; all are runtime-settable SQL confs.
@@ -50,3 +53,16 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", default)
         d = default
     return d
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
+
+    Only a session without one that runs in a single JVM (tests, a laptop) gets a folder of its own.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return checkpoint_dir(spark).rstrip("/")
+    master = spark.sparkContext.master
+    if master.startswith("local[") or master == "local":
+        return checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints")).rstrip("/")
+    raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
