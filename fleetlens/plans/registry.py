@@ -44,7 +44,7 @@ def query(name: str, sql: str | None = None):
 
 
 PLAN_MODULES = ("tables", "registry", "rollups", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
-                "reports_companies", "reports_shapes")
+                "reports_companies", "reports_shapes", "endpoints")
 _LOCK = threading.Lock()
 _AT: dict[dt.date, tuple[dict[str, Job], dict[str, str]]] = {}
 
