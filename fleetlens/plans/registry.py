@@ -11,7 +11,9 @@ import datetime as dt
 import importlib
 import sys
 import threading
+from collections import OrderedDict
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,13 +46,15 @@ def query(name: str, sql: str | None = None):
 
 
 PLAN_MODULES = ("tables", "registry", "rollups", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
-                "reports_companies", "reports_shapes", "endpoints")
+                "reports_companies", "reports_shapes", "endpoints", "costs")
 _LOCK = threading.Lock()
-_AT: dict[dt.date, tuple[dict[str, Job], dict[str, str]]] = {}
+#: Sets of plan modules by evaluation date; the least recently asked for go first.
+_AT: OrderedDict[dt.date, dict[str, ModuleType]] = OrderedDict()
+MOST_DATES = 16
 
 
-def jobs(as_of: dt.date) -> tuple[dict[str, Job], dict[str, str]]:
-    """(queries, oracles) of every job as of another evaluation date.
+def modules(as_of: dt.date) -> dict[str, ModuleType]:
+    """The plan modules as of an evaluation date, by their short names.
 
     All windows, cut-offs and oracle texts of the plan modules follow from
     ``tables.AS_OF``.  A set for another date is a second instance of these
@@ -60,7 +64,7 @@ def jobs(as_of: dt.date) -> tuple[dict[str, Job], dict[str, str]]:
     from fleetlens.plans import tables
     load_all()
     if as_of == tables.AS_OF:
-        return QUERIES, ORACLE
+        return {m: importlib.import_module(f"fleetlens.plans.{m}") for m in PLAN_MODULES}
     with _LOCK:
         if as_of not in _AT:
             names = [f"{plans.__name__}.{m}" for m in PLAN_MODULES]
@@ -68,18 +72,26 @@ def jobs(as_of: dt.date) -> tuple[dict[str, Job], dict[str, str]]:
             try:
                 fresh = importlib.import_module(names[0])
                 fresh.set_as_of(as_of)
-                own = importlib.import_module(names[1])
-                own.load_all()
-                _AT[as_of] = own.QUERIES, own.ORACLE
+                importlib.import_module(names[1]).load_all()
+                _AT[as_of] = {m: sys.modules[n] for m, n in zip(PLAN_MODULES, names)}
             finally:
                 for n in names:
                     sys.modules.pop(n, None)
                 sys.modules.update(kept)
                 for n, m in kept.items():
                     setattr(plans, n.rpartition(".")[2], m)
+            while len(_AT) > MOST_DATES:
+                _AT.popitem(last=False)
+        _AT.move_to_end(as_of)
         return _AT[as_of]
 
 
+def jobs(as_of: dt.date) -> tuple[dict[str, Job], dict[str, str]]:
+    """(queries, oracles) of every job as of an evaluation date."""
+    own = modules(as_of)["registry"]
+    return own.QUERIES, own.ORACLE
+
+
 def load_all() -> None:
     """Import every plan module so their queries register."""
     for m in PLAN_MODULES:
