@@ -21,6 +21,7 @@ from fleetlens.operators.rollup import latest_n_dates, tag_union
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl, version_of
 from fleetlens.sources import catalog as cat
+from fleetlens.sources import shards
 from fleetlens.sources.schemas import conform
 
 SS = SparkSession
@@ -51,16 +52,11 @@ def s02(spark: SS, d: str) -> DataFrame:
 select event_id, 'events_' || strftime(ts, '%Y%m%d') as table_id from events
 where ('events_' || strftime(ts, '%Y%m%d')) like '%2024011%' and year(ts) in (2024, 2023)""")
 def s03(spark: SS, d: str) -> DataFrame:
-    """The family's daily tables are day ranges of ``events``; only matching ids are read (pruned by ``ts``)."""
-    e = ev(spark, d)
-    span = e.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()  # from Parquet footers
-    if span["a"] is None:
-        return e.select("event_id", F.lit("").alias("table_id")).limit(0)
-    n = (span["z"].date() - span["a"].date()).days + 1
-    days = [span["a"].date() + dt.timedelta(days=i) for i in range(n)]
-    family = {f"events_{x:%Y%m%d}": cat.read_events(e, x, x) for x in days}
-    years = {str(AS_OF.year), str(AS_OF.year - 1)}
-    return cat.read_matching(family, lambda t: "2024011" in t and t[7:11] in years).select("event_id", "table_id")
+    """The family's daily tables are day ranges of ``events``; the days come from the predicate, not from the data."""
+    years = (AS_OF.year - 1, AS_OF.year)
+    days = shards.matching_days("events_", dt.date(years[0], 1, 1), dt.date(years[1], 12, 31),
+                                lambda t: "2024011" in t and int(t[7:11]) in years)
+    return shards.read_matching_days(ev(spark, d), "events_", days).select("event_id", "table_id")
 
 
 @query("S04_partition_time_half_open", """

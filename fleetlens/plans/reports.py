@@ -513,7 +513,7 @@ select s.date, s.platform, s.source, s.size_kb, s.cost, {COST_TEXT_SQL.replace('
 from stats s join (select date, sum(size_kb) as size_kb from stats group by 1) t on s.date = t.date""")
 def r37b(spark: SS, d: str) -> DataFrame:
     """Cost per (date, platform, source), its 10-decimal text and its share of the day's size."""
-    st = _table_stats(ev(spark, d))
+    st = _table_stats(cat.read_events(ev(spark, d), None, YESTERDAY))
     st = st.withColumn("cost", F.col("size_kb") * F.col("cost_per_100mb") / (1024 * 100))
     tot = st.groupBy("date").agg(F.sum("size_kb").alias("__t"))  # one row per day
     return st.join(tot, "date").select(

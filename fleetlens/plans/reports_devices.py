@@ -243,8 +243,8 @@ def latest_config(e: DataFrame) -> DataFrame:
     return latest_by(cfg, "user_id", ["ts", "event_id"], ties="one")
 
 
-LATEST_CFG_SQL = f"""(select user_id, arg_max(value, (ts, event_id)) as value, arg_max(k, (ts, event_id)) as k
- from {q()} where event_type = 'view' group by 1)"""
+LATEST_CFG_SQL = f"""(select user_id, value, k from (select user_id, value, k, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+ from {q()} where event_type = 'view' and ts is not null and event_id is not null) where rn = 1)"""
 
 
 # Binding (R45): product of a configuration = 'pro' + its release tag; the recommended

@@ -16,7 +16,7 @@ from fleetlens.operators.reliability import distinct_counts, interval_uptime
 from fleetlens.plans.registry import query
 from fleetlens.plans.reports_companies import NOW, in_dates, none_showing, untimed
 from fleetlens.plans.reports import NOT_TEST_SQL, W7_START, _not_test, ev, k_col, q
-from fleetlens.plans.reports_uptime import (CLEAN_APP_SQL, LWEEK_SQL, METRICS_SQL, _endpoint_logs, _metric_aggs,
+from fleetlens.plans.reports_uptime import (CLEAN_APP_SQL, LWEEK_SQL, METRIC_ROWS_SQL, METRICS_SQL, _endpoint_logs, _metric_aggs,
                                              _metrics)
 from fleetlens.plans.tables import AS_OF, YESTERDAY, tbl
 from fleetlens.sources import catalog as cat
@@ -59,11 +59,11 @@ def r35b(spark: SS, d: str) -> DataFrame:
 
 @query("R76c_weekly_metrics_fixed_fleet", f"""
 select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL}
-from {q()} where user_id in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by 1, 2""")
+from {METRIC_ROWS_SQL} where user_id in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by 1, 2""")
 def r76c(spark: SS, d: str) -> DataFrame:
     fleet = tbl(spark, d, "customer", "c_custkey", "c_mktsegment").where(F.col("c_mktsegment") == "BUILDING") \
         .select(F.col("c_custkey").alias("user_id"))
-    m = _metrics(J.semi(ev(spark, d), fleet, "user_id"))
+    m = _metrics(J.semi(cat.read_events(ev(spark, d), None, YESTERDAY), fleet, "user_id"))
     return m.groupBy("year", "week").agg(*_metric_aggs())
 
 

@@ -187,14 +187,14 @@ def r74b(spark: SS, d: str, first: dt.date | None, last: dt.date) -> DataFrame:
 
 
 @query("R75_daily_monthly_active_ratio", f"""
-with u as (select distinct e.date, c.c_nationkey as company from {q()} e join customer c on c.c_custkey = e.user_id
+with u as (select distinct e.date, c.c_nationkey as company from {q(None, AS_OF)} e join customer c on c.c_custkey = e.user_id
  where e.event_type = 'purchase'),
 days as (select distinct date from u where date >= date '{W3_START}')
 select days.date, count(distinct case when u.date = days.date then u.company end) as dau,
  count(distinct u.company) as mau, round(count(distinct case when u.date = days.date then u.company end) / count(distinct u.company), 6) as ratio
 from days join u on u.date between days.date - interval 29 day and days.date group by 1""")
 def r75(spark: SS, d: str) -> DataFrame:
-    e = ev(spark, d).where(F.col("event_type") == "purchase")
+    e = cat.read_events(ev(spark, d), None, YESTERDAY).where(F.col("event_type") == "purchase")
     c = tbl(spark, d, "customer", "c_custkey", "c_nationkey")
     u = e.join(c, e.user_id == c.c_custkey).select("date", F.col("c_nationkey").alias("company")).distinct()
     # each (company, day) counts for the report days within 29 days after it; only the
@@ -224,22 +224,24 @@ def _metric_aggs() -> list[Column]:
 
 METRICS_SQL = ("count(distinct user_id) as count, round(avg(value / 100) * 100) as avgCPUUsage, "
                "round(avg(k / 100) * 100) as avgMemUsage, round(avg(value * 1024) / 1024) as freeDiskGB")
+#: Rows without a metric are no measurement, as in the view.
+METRIC_ROWS_SQL = f"(select * from {q(None, AS_OF)} where value is not null and k is not null)"
 LWEEK_SQL = "(floor((dayofyear(ts) + dayofweek(date_trunc('year', ts)) + 1 - 2) / 7) + 1)::bigint"
 
 
 @query("R76_weekly_system_metrics", f"""
-select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL} from {q()} group by 1, 2 order by 1 desc, 2 desc limit {K.WEEKLY_METRICS_ROWS}""")
+select year(ts)::bigint as year, {LWEEK_SQL} as week, {METRICS_SQL} from {METRIC_ROWS_SQL} group by 1, 2 order by 1 desc, 2 desc limit {K.WEEKLY_METRICS_ROWS}""")
 def r76(spark: SS, d: str) -> DataFrame:
-    m = _metrics(ev(spark, d))
+    m = _metrics(cat.read_events(ev(spark, d), None, YESTERDAY))
     return m.groupBy("year", "week").agg(*_metric_aggs()).orderBy(F.col("year").desc(), F.col("week").desc()) \
         .limit(K.WEEKLY_METRICS_ROWS)
 
 
 @query("R76b_weekly_metrics_by_platform", f"""
 select year(ts)::bigint as year, {LWEEK_SQL} as week, case when event_type in ('view', 'click') then 'player' when event_type = 'error' then 'watchdog' else 'installer' end as platform,
- {METRICS_SQL} from {q()} group by 1, 2, 3""")
+ {METRICS_SQL} from {METRIC_ROWS_SQL} group by 1, 2, 3""")
 def r76b(spark: SS, d: str) -> DataFrame:
-    m = _metrics(ev(spark, d))
+    m = _metrics(cat.read_events(ev(spark, d), None, YESTERDAY))
     t = F.col("event_type")
     plat = C.first_match([(t.isin("view", "click"), "player"), (t == "error", "watchdog")], "installer")
     return m.groupBy("year", "week", plat.alias("platform")).agg(*_metric_aggs())

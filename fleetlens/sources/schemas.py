@@ -65,12 +65,13 @@ class SchemaError(ValueError):
     pass
 
 
-def conform(df: DataFrame, schema: T.StructType | str, *, strict: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType | str, *, strict: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: declared order, declared types, nulls for absent columns.
 
     Casts use ``try_cast`` semantics so a malformed value becomes NULL instead of
     failing the job (legacy casts behave that way).  A *required* column that is
-    absent raises; with ``strict`` a required column holding NULLs is filtered out.
+    absent raises.  Rows whose required columns hold a NULL stay (``violations`` has
+    them); with ``strict`` they are left out.
     """
     if isinstance(schema, str):
         schema = EVENT_SCHEMAS[schema]
@@ -94,6 +95,14 @@ def conform(df: DataFrame, schema: T.StructType | str, *, strict: bool = True) -
     return res
 
 
+def violations(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Rows of the conformed ``df`` that hold a NULL in a required column, with the columns' names in ``missing``."""
+    schema = EVENT_SCHEMAS[schema] if isinstance(schema, str) else schema
+    required = [f.name for f in schema.fields if not f.nullable]
+    names = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]).cast("array<string>")
+    return conform(df, schema).withColumn("missing", F.filter(names, lambda x: x.isNotNull())).where(F.size("missing") > 0)
+
+
 def create_event_table(spark: SparkSession, name: str, family: str, location: str,
                        partition_col: str = "event_date") -> None:
     """``CREATE TABLE ... USING parquet PARTITIONED BY (event_date)`` for a family."""

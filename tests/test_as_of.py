@@ -16,8 +16,12 @@ from fleetlens.sources.sinks import write_partitions
 OTHER_DAY = dt.date(2024, 1, 16)
 DATED = ["R85_endpoint_uptime", "R86_daily_usage", "R87_daily_errors", "R88_daily_cost_attribution", "R33_daily_uptime",
          "R32_text_log_reliability", "R20_widget_stats_spliced", "R83_downtime_disconnection_with_issue", "R02_splice_rollup",
-         "R121_daily_cycles_instances", "R42_segment_template_adoption"]
-CHANGED = ["R20_widget_stats_spliced", "R21_widget_stats_multi_branch", "R41_html_template_rollup", "R42_segment_template_adoption",
+         "R121_daily_cycles_instances", "R42_segment_template_adoption", "R37_log_table_cost", "R53_installer_type_counts",
+         "R75_daily_monthly_active_ratio", "R76_weekly_system_metrics", "R76b_weekly_metrics_by_platform",
+         "R76c_weekly_metrics_fixed_fleet", "R77_player_reliability_stats", "R78_multiple_unreliable_starts", "R61_cache_daily_reliability"]
+CHANGED = ["S12_conform_installer_family", "S13_conform_viewer_family", "R52_display_info_rollup", "R76_weekly_system_metrics",
+           "R76b_weekly_metrics_by_platform", "R76c_weekly_metrics_fixed_fleet", "R20b_widget_kinds", "R56b_upgrade_funnel",
+           "R56d_upgrade_outcomes", "R20_widget_stats_spliced", "R21_widget_stats_multi_branch", "R41_html_template_rollup", "R42_segment_template_adoption",
            "R58_player_module_stats", "R123c_core_client_noisy_display_counts", "R123_display_counts", "R33_daily_uptime",
            "R121_daily_cycles_instances", "W01_lead_next_event", "J18_lookback_join_fanout", "J19_asof_join"]
 
