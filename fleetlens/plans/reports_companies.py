@@ -242,32 +242,16 @@ def displays(spark: SS, d: str) -> DataFrame:
     return tbl(spark, d, "customer", F.col("c_custkey").alias("displayId"), F.col("c_nationkey").alias("companyId"))
 
 
-def schedules(spark: SS, d: str) -> DataFrame:
-    """Schedules with nested content items (array<struct>) built from orders and line items."""
+def scheduled_presentations(spark: SS, d: str) -> DataFrame:
+    """Presentation items of the schedules, from the items as they come (one row each): they are not nested first."""
     o = tbl(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     li = tbl(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    items = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.when(F.col("l_returnflag") == "N", "presentation").otherwise("url").alias("type"),
-        F.col("l_partkey").cast("string").alias("objectReference"),
-        (F.col("l_linestatus") == "O").alias("distributeToAll"),
-        F.array(F.col("l_suppkey")).alias("distribution"))).alias("contentItems"))  # <= 7 lines per order
-    c = displays(spark, d)
-    s = o.join(c, o.o_custkey == c.displayId).join(items, o.o_orderkey == items.l_orderkey)
-    return s.select(F.col("o_orderkey").alias("scheduleId"), "companyId",
-                    (F.col("o_orderpriority") == "1-URGENT").alias("distributeToAll"),
-                    F.array(F.col("o_custkey")).alias("distribution"), "contentItems")
-
-
-def scheduled_presentations(spark: SS, d: str) -> DataFrame:
-    s = schedules(spark, d)
-    x = s.select("scheduleId", "companyId", F.col("distributeToAll").alias("s_all"), F.col("distribution").alias("s_dist"),
-                 F.explode("contentItems").alias("ci"))
-    x = x.where((F.col("ci.type") == "presentation") & F.col("ci.objectReference").isNotNull()
-                & (F.col("ci.objectReference") != ""))
-    return x.select("scheduleId", "companyId", F.col("ci.objectReference").alias("presentationId"),
-                    (F.col("s_all") & F.col("ci.distributeToAll")).alias("distributeToAll"),
-                    F.concat(C.concat_if_not(F.col("s_all"), F.col("s_dist")),
-                             C.concat_if_not(F.col("ci.distributeToAll"), F.col("ci.distribution"))).alias("distribution"))
+    x = li.where((F.col("l_returnflag") == "N") & F.col("l_partkey").isNotNull()).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    x = x.join(displays(spark, d), F.col("o_custkey") == F.col("displayId"))
+    s_all, ci_all = F.col("o_orderpriority") == "1-URGENT", F.col("l_linestatus") == "O"
+    return x.select(F.col("o_orderkey").alias("scheduleId"), "companyId", F.col("l_partkey").cast("string").alias("presentationId"),
+                    (s_all & ci_all).alias("distributeToAll"),
+                    F.concat(C.concat_if_not(s_all, F.array("o_custkey")), C.concat_if_not(ci_all, F.array("l_suppkey"))).alias("distribution"))
 
 
 SCHED_SQL = """(select o.o_orderkey as scheduleId, c.c_nationkey as companyId, cast(l.l_partkey as varchar) as presentationId,

@@ -19,7 +19,9 @@ OTHER_DAY = dt.date(2024, 1, 16)
 T0 = dt.datetime(2024, 1, 1)
 DATED = ["R56b_upgrade_funnel", "R56c_module_upgrade_funnel", "R56d_upgrade_outcomes", "R103b_registration_funnel_daily",
          "R103c_registration_funnel_weekly_direct", "R104b_customer_journey_full", "R20b_widget_kinds", "R24b_error_lists",
-         "R25b_unsupported_media", "R36b_deprecated_items", "R52b_display_records", "R112d_client_storage"]
+         "R25b_unsupported_media", "R36b_deprecated_items", "R52b_display_records", "R112d_client_storage", "R22b_reliability_of_stable_displays",
+         "R23b_widget_dashboard", "R71c_watchdog_reliability", "R72b_module_dashboard_full", "R75b_active_company_ratio_full",
+         "R123e_daily_display_counts_ninety_days"]
 
 
 @pytest.mark.parametrize("name", DATED)
