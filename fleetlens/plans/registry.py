@@ -47,7 +47,7 @@ def query(name: str, sql: str | None = None):
 
 PLAN_MODULES = ("tables", "registry", "rollups", "primitives", "dataflow", "reports", "reports_devices", "reports_uptime",
                 "reports_companies", "reports_shapes", "endpoints", "costs", "coverage",
-                "funnels", "kinds", "modules")
+                "funnels", "kinds", "modules", "causes")
 _LOCK = threading.Lock()
 #: Sets of plan modules by evaluation date; the least recently asked for go first.
 _AT: OrderedDict[dt.date, dict[str, ModuleType]] = OrderedDict()
