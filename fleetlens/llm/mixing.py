@@ -149,20 +149,22 @@ def mix(docs: DataFrame, block: int = 256, cycle: tuple[int, ...] = (5, 2, 1), s
 
 
 def taken(docs: DataFrame, **params) -> DataFrame:
-    """doc_id, size, source_size, target, taken: what the mix takes of every row of ``docs``.
+    """doc_id, size, source_size, target, taken, first_slot: what the mix takes of every row of ``docs``, and
+    the slot in which it is first read (NULL if never).
 
     A document with words is told apart by its place in its source; one row of
     zero words per document keeps those that the mix leaves out.
     """
     pieces, every = mix(docs, **params)
-    got = pieces.select("source", "start", "doc_id", "size", "source_size", "target", "words")
+    got = pieces.select("source", "start", "doc_id", "size", "source_size", "target", "words", "slot")
+    unread = F.lit(None).cast("long")
     none = every.where("size > 0").select("source", "start", "doc_id", "size", "source_size", "target",
-                                          F.lit(0).cast("long").alias("words"))
+                                          F.lit(0).cast("long").alias("words"), unread.alias("slot"))
     summed = (got.unionByName(none).groupBy("source", "start", "doc_id", "size", "source_size", "target")
-              .agg(F.sum("words").alias("taken")))
-    cols = ["doc_id", "size", "source_size", "target", "taken"]
+              .agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot")))
+    cols = ["doc_id", "size", "source_size", "target", "taken", "first_slot"]
     return summed.select(*cols).unionByName(
-        every.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*cols))
+        every.where("size = 0").withColumn("taken", F.lit(0).cast("long")).withColumn("first_slot", unread).select(*cols))
 
 
 def thin_documents(docs: DataFrame, tag: Column | None = None) -> DataFrame:
@@ -173,8 +175,10 @@ def thin_documents(docs: DataFrame, tag: Column | None = None) -> DataFrame:
 
 
 def apply(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` as the mix reads them: a row for each reading of a document, columns unchanged.
+    """``docs`` as the mix reads them: a row for each reading of a document, columns unchanged, in slot order.
 
+    The order is that of each reading's first slot (a range sort), so any stretch of the
+    result holds the sources in about their shares.
     Needs columns doc_id, text and source.  A document that lies across its source's
     end is cut to the words taken (joined by single blanks), with n_chars set anew.
     Rows that agree in doc_id, source and text share their readings evenly.
@@ -182,15 +186,19 @@ def apply(docs: DataFrame, **params) -> DataFrame:
     """
     tag = F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary"))
     pieces, every = mix(thin_documents(docs, tag), **params)
-    per_row = pieces.groupBy("source", "doc_id", "tag", "start", "epoch", "size").agg(F.sum("words").alias("words"))
+    per_row = pieces.groupBy("source", "doc_id", "tag", "start", "epoch", "size").agg(
+        F.sum("words").alias("words"), F.min("slot").alias("slot"))
     copies = every.groupBy("source", "doc_id", "tag").agg(F.count("*").alias("rows"))
     same = (F.col("p.source").eqNullSafe(F.col("c.source")) & F.col("p.doc_id").eqNullSafe(F.col("c.doc_id"))
             & (F.col("p.tag") == F.col("c.tag")))
-    read = (per_row.groupBy("source", "doc_id", "tag", "epoch", "size").agg(F.sum("words").alias("words")).alias("p")
+    read = (per_row.groupBy("source", "doc_id", "tag", "epoch", "size")
+            .agg(F.sum("words").alias("words"), F.min("slot").alias("slot")).alias("p")
             .join(copies.alias("c"), same)
             .select(F.col("p.source").alias("__source"), F.col("p.doc_id").alias("__id"), F.col("p.tag").alias("__tag"),
-                    F.col("size").alias("__size"), F.ceil(F.col("words") / F.col("rows")).alias("__words")))
+                    F.col("size").alias("__size"), F.ceil(F.col("words") / F.col("rows")).alias("__words"), F.col("slot").alias("__slot"),
+                    F.col("epoch").alias("__epoch")))
     d = docs.withColumn("__t", tag)
+    read = cut(read)  # the sort below looks at its input twice
     out = d.join(read, d["source"].eqNullSafe(F.col("__source")) & d["doc_id"].eqNullSafe(F.col("__id"))
                  & (F.col("__t") == F.col("__tag")))
     part = F.col("__words") < F.col("__size")
@@ -198,4 +206,4 @@ def apply(docs: DataFrame, **params) -> DataFrame:
     out = out.withColumn("text", F.when(part, short).otherwise(d["text"]))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(part, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.orderBy("__slot", "__id", "__epoch").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -64,17 +64,36 @@ WITH d AS (
             / sum(weight) OVER (ORDER BY cap / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
 ), t AS (
   SELECT source, source_size, least(cap, max(level) OVER () * weight) AS target FROM l
+), need AS (SELECT source, ceil(round(target) / 256)::BIGINT AS need FROM t
+), sums AS (
+  SELECT *, (sum(need) OVER (ORDER BY source NULLS LAST))::BIGINT AS upto, (sum(need) OVER ())::BIGINT AS every FROM need
+), span AS (
+  SELECT source, need, every, floor((upto - need) * (2147483648::DOUBLE / every))::BIGINT AS lo,
+         floor(upto * (2147483648::DOUBLE / every))::BIGINT AS hi FROM sums
+), drawn AS (
+  SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS r
+  FROM (SELECT unnest(range((SELECT coalesce(max(every), 0) FROM span))) AS slot) x
+  JOIN span ON slot % 2147483648 * 1327217885 % 2147483648 >= lo AND slot % 2147483648 * 1327217885 % 2147483648 < hi
+), got AS (SELECT source, count(*) AS got FROM drawn GROUP BY source),
+schedule AS (
+  SELECT slot, source, r FROM drawn
+  UNION ALL
+  SELECT every + r, source, r FROM (SELECT span.source, every, unnest(range(coalesce(got, 0), need)) AS r
+                                    FROM span LEFT JOIN got ON span.source IS NOT DISTINCT FROM got.source)
+), took AS (
+  SELECT doc_id, size, p.source, start, source_size::BIGINT AS source_size, target,
+         (greatest(0, least(start + size, round(target)) - start)
+          + greatest(0, least(source_size + start + size, round(target)) - source_size - start))::BIGINT AS taken
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size::BIGINT AS source_size, target,
-       (greatest(0, least(start + size, round(target)) - start)
-        + greatest(0, least(source_size + start + size, round(target)) - source_size - start))::BIGINT AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN slot END AS first_slot
+FROM took LEFT JOIN schedule ON took.source IS NOT DISTINCT FROM schedule.source AND r = (start // 256)::BIGINT
 """
 
 
 @query("op10_mixing", _MIX_SQL)
 def op10_mixing(spark, sf_dir):
-    """Words that the mix takes of every document, against its source's target."""
+    """Words that the mix takes of every document, against its source's target, and the slot that first reads it."""
     return mixing.taken(mixing.thin_documents(table(spark, sf_dir, "documents")), block=256)
 
 

@@ -68,3 +68,28 @@ def test_applied_mix_repeats_documents(messy):
     words = sum(len(WORD.findall(r["text"])) for r in out.select("text").collect())
     want = sum(r["taken"] for r in mixing.taken(mixing.thin_documents(messy), block=16).select("taken").collect())
     assert words == pytest.approx(want, rel=0.02)
+
+
+def test_first_slots_are_those_of_the_schedule(spark, messy):
+    thin = mixing.thin_documents(messy)
+    pieces, _ = mixing.mix(thin, block=16)
+    first = {}
+    for r in pieces.collect():
+        k = (r["source"], r["start"])
+        first[k] = min(first.get(k, r["slot"]), r["slot"])
+    got = mixing.taken(thin, block=16).collect()
+    assert sorted(x["first_slot"] for x in got if x["first_slot"] is not None) == sorted(first.values())
+    assert all((x["first_slot"] is None) == (x["taken"] == 0) for x in got)
+
+
+def test_applied_mix_follows_the_schedule(spark):
+    docs = spark.createDataFrame([(k, f"w{k} " * 40, ("a", "b", "c")[k % 3]) for k in range(300)], "doc_id long, text string, source string").repartition(5)
+    rows = mixing.apply(docs, block=10).collect()
+    total = collections.Counter(r["source"] for r in rows)
+    seen = collections.Counter()
+    for n, r in enumerate(rows, 1):  # every prefix has the sources in their shares; in join order it would not
+        seen[r["source"]] += 1
+        assert all(abs(seen[s] - n * total[s] / len(rows)) < 8 for s in total)
+    slot = {r["doc_id"]: r["first_slot"] for r in mixing.taken(mixing.thin_documents(docs, mixing.F.md5(docs["text"].cast("binary"))), block=10).collect()}
+    firsts = [slot[i] for i in dict.fromkeys(r["doc_id"] for r in rows)]
+    assert firsts == sorted(firsts)
