@@ -45,6 +45,8 @@ SLICE = 100_000
 SUFFIXES = 64
 RATE = np.float32(0.003)
 UNIT = 15.0  # steps of a stored logit per nat
+NODE, SPREAD = 0x27D4EB2F, 0x9E3779B1
+SHIFT = np.uint32(32 - BITS)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -65,6 +67,12 @@ class Tree:
     bits: np.ndarray
     logit: np.ndarray  # per node: logit of bit 1 from the counts alone
     depth: np.ndarray  # per place in nodes: 0 for the first bit of a symbol, 1, then 2
+    place_logit: np.ndarray = None  # logit of each place's node
+    place_hash: np.ndarray = None  # what each place's node adds to a context's hash, see ``slots``
+
+    def __post_init__(self):
+        self.place_logit = self.logit.take(self.nodes) if len(self.nodes) else np.zeros(0, np.float32)
+        self.place_hash = self.nodes * np.uint32(NODE * SPREAD & 0xFFFFFFFF)
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -135,17 +143,32 @@ def context_hashes(ctx: np.ndarray) -> np.ndarray:
                      _spread(two * np.uint32(0xC2B2AE35) + np.uint32(3))])
 
 
+def _take(values: np.ndarray, at: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """``values[at]``; every place is within bounds, so numpy's check of them (half the time) is left out."""
+    return values.take(at, mode="clip", out=out)
+
+
 def expand(tree: Tree, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token, place in the tree arrays) of every bit."""
-    first = tree.at.take(sym)
-    n = tree.at.take(sym + 1) - first
+    first = _take(tree.at, sym)
+    n = _take(tree.at, sym + 1) - first
     ends = np.cumsum(n, dtype=np.int32)
     token = np.repeat(np.arange(len(sym), dtype=np.int32), n)
-    return token, np.arange(len(token), dtype=np.int32) + (first - ends + n).take(token)
+    return token, np.arange(len(token), dtype=np.int32) + _take(first - ends + n, token)
 
 
 def slots(hashes: np.ndarray, node: np.ndarray) -> np.ndarray:
-    return ((hashes + node * np.uint32(0x27D4EB2F)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+    """The upper bits of (hash + node * NODE) * SPREAD.
+
+    Modulo 2^32 that is hash * SPREAD + node * (NODE * SPREAD): the first term is made once a
+    token (``token_hashes``), the second once a place of the tree, and bits only add them.
+    """
+    return (hashes * np.uint32(SPREAD) + node * np.uint32(NODE * SPREAD & 0xFFFFFFFF)) >> np.uint32(32 - BITS)
+
+
+def token_hashes(ctx: np.ndarray) -> np.ndarray:
+    """``context_hashes``, multiplied for ``slots``."""
+    return context_hashes(ctx) * np.uint32(SPREAD)
 
 
 def _count_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,14 +215,18 @@ def _train(shared):
                 for t in part:
                     sym, ctx, _ = coder.symbols(words_of(t))
                     sy.append(sym)
-                    hs.append(context_hashes(ctx))
+                    hs.append(token_hashes(ctx))
                 sym, h = np.concatenate(sy), np.concatenate(hs, axis=1)
                 for k in range(0, len(sym), SLICE):
                     token, at = expand(tree, sym[k:k + SLICE])
-                    node, bit = tree.nodes.take(at), tree.bits.take(at)
+                    node, bit = _take(tree.place_hash, at), _take(tree.bits, at).astype(np.int64)
                     one = np.ones(len(at), np.int32)  # of the table's type: add.at has a fast path for it
                     for o in range(ORDERS):
-                        np.add.at(flat[o], slots(h[o, k:k + SLICE].take(token), node).astype(np.int64) * 2 + bit, one)
+                        where = _take(h[o, k:k + SLICE], token)
+                        where += node
+                        where >>= SHIFT
+                        where <<= np.uint32(1)
+                        np.add.at(flat[o], bit + where, one)
         for o in range(ORDERS):
             for k in range(0, SLOTS, CHUNK):
                 part = table[o, k:k + CHUNK]
@@ -248,7 +275,7 @@ class Mixer:
         w = np.asfortranarray(np.repeat(self.weights[None].astype(np.float32), n, axis=0).reshape(-1, 4))
         drift, seen = np.zeros(n * SETS * LEVELS, np.float32), np.full(n * SETS * LEVELS, 40.0, np.float32)
         cost = np.zeros(n)
-        hashes = [context_hashes(c) for _, c in texts]
+        hashes = [token_hashes(c) for _, c in texts]
         starts = [_blocks(len(s)) for s, _ in texts]
         steps = max((len(s) for s in starts), default=0)
         for step in range(0, steps):
@@ -265,23 +292,26 @@ class Mixer:
         token, at = expand(tree, sym)
         if not len(token):
             return
-        node, bit = tree.nodes.take(at), tree.bits.take(at).astype(np.float32)
+        node, bit = _take(tree.place_hash, at), _take(tree.bits, at).astype(np.float32)
         x = np.empty((4, len(token)), np.float32)
-        x[0] = tree.logit.take(node)
+        _take(tree.place_logit, at, out=x[0])
         for o in range(ORDERS):
-            np.multiply(self.tables[o].take(slots(h[o].take(token), node)), np.float32(1 / UNIT), out=x[o + 1])
+            where = _take(h[o], token)
+            where += node
+            where >>= SHIFT
+            np.multiply(self.tables[o].take(where), np.float32(1 / UNIT), out=x[o + 1])
         sure = np.abs(x[2])
-        d = doc.take(token)
-        gate = d * SETS + tree.depth.take(at) * 3 + (sure > 0.05) + (sure > 2.0)
-        z = w[:, 0].take(gate) * x[0]
+        d = _take(doc, token)
+        gate = (d * SETS + _take(tree.depth, at) * 3 + (sure > 0.05) + (sure > 2.0)).astype(np.int64)
+        z = _take(w[:, 0], gate) * x[0]
         for i in range(1, 4):
-            z += w[:, i].take(gate) * x[i]
+            z += _take(w[:, i], gate) * x[i]
         p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-        cell = gate * LEVELS + np.clip(z + 4, 0, LEVELS - 1).astype(np.int32)
+        cell = gate * LEVELS + np.clip(z + 4, 0, LEVELS - 1).astype(np.int64)
         err = bit - p
-        refined = np.clip(p + np.float32(0.7) * (drift / seen).take(cell), np.float32(1 / 8192), np.float32(1 - 1 / 8192))
+        refined = np.clip(p + np.float32(0.7) * _take(drift / seen, cell), np.float32(1 / 8192), np.float32(1 - 1 / 8192))
         starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])  # a text's bits lie together
-        cost[d[starts]] -= np.add.reduceat(np.log2(np.abs(1 - bit - refined)), starts, dtype=np.float64)
+        cost[d[starts]] -= np.add.reduceat(np.log(np.abs(1 - bit - refined)), starts, dtype=np.float64) / np.log(2.0)
         for i in range(4):
             w[:, i] += RATE * np.bincount(gate, weights=err * x[i], minlength=len(w)).astype(np.float32)
         drift += np.bincount(cell, weights=err, minlength=len(drift)).astype(np.float32)
