@@ -223,7 +223,8 @@ def frequent(docs: DataFrame, support: int, longest: int = 5, shards: int = 3, t
     while scan <= last + shards and total:
         tables = spark.sparkContext.broadcast((reached, np.bitwise_or.reduce(fresh)))
         seen = (texts.where(F.col("shard") == scan % shards).select("lang", "text")
-                .mapInArrow(tidy(_scan(longest, scan < shards, tables, bits)), "lang string, phrase string, len int, a long"))
+                .mapInArrow(tidy(_scan(longest, scan < shards, tables, bits)), "lang string, phrase string, len int, a long")
+                .groupBy("lang", "phrase", "len").agg(F.sum("a").alias("a")))  # narrow rows, before they meet the state
         done = state.withColumn("whole", F.when(F.col("start") + shards <= scan, F.col("a")))
         both = (done.unionByName(seen, allowMissingColumns=True)
                 .groupBy("lang", "phrase", "len")
