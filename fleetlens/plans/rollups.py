@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetlens.operators.rollup import splice_rollup
 from fleetlens.plans.registry import query
 from fleetlens.plans.tables import YESTERDAY, tbl
-from fleetlens.session import shared_folder
+from fleetlens.session import has_shared_folder, shared_folder
 from fleetlens.sources.rollups import RollupTable
 
 #: Rows of the days ``first`` (None: from the start) to ``last``.
@@ -80,8 +80,13 @@ def history_table(spark: SparkSession, sf_dir: str, r: Rollup) -> RollupTable:
 
 
 def spliced(spark: SparkSession, sf_dir: str, r: Rollup) -> DataFrame:
+    """The window over the stored days; a session without a shared folder has nowhere to keep them and computes them anew."""
     fresh = r.compute(spark, sf_dir, r.start, r.end)
-    return splice_rollup(fresh, history_table(spark, sf_dir, r).read(before=r.start), r.date_col, r.start)
+    if has_shared_folder(spark):
+        history = history_table(spark, sf_dir, r).read(before=r.start)
+    else:
+        history = r.compute(spark, sf_dir, None, r.start - dt.timedelta(days=1))
+    return splice_rollup(fresh, history, r.date_col, r.start)
 
 
 def run_rollup(spark: SparkSession, sf_dir: str, root: str, name: str) -> DataFrame:

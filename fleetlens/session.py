@@ -55,6 +55,15 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     return d
 
 
+def _single_jvm(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+
+
+def has_shared_folder(spark: SparkSession) -> bool:
+    """Whether ``shared_folder`` finds one."""
+    return bool(spark.conf.get("spark.checkpoint.dir", None)) or _single_jvm(spark)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
@@ -62,7 +71,6 @@ def shared_folder(spark: SparkSession) -> str:
     """
     if spark.conf.get("spark.checkpoint.dir", None):
         return checkpoint_dir(spark).rstrip("/")
-    master = spark.sparkContext.master
-    if master.startswith("local[") or master == "local":
+    if _single_jvm(spark):
         return checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "fleetlens-checkpoints")).rstrip("/")
     raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")

@@ -186,3 +186,10 @@ def test_the_sessions_history_follows_the_input(spark, duck, sf_dir, growing):
     for sf in growing.values():
         got = compare(spark, connect(sf), r.name, registry.QUERIES[r.name], registry.ORACLE[r.name], sf)
         assert got["ok"], got
+
+
+def test_without_a_shared_folder_the_days_are_computed(spark, duck, sf_dir, monkeypatch):
+    monkeypatch.setattr("fleetlens.plans.rollups.has_shared_folder", lambda _: False)
+    name = "R78_multiple_unreliable_starts"
+    assert compare(spark, duck, name, registry.QUERIES[name], registry.ORACLE[name], sf_dir)["ok"]
+    assert "run#" not in registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
