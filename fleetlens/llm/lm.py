@@ -104,6 +104,17 @@ def huffman(counts: np.ndarray) -> Tree:
     return Tree(np.array(at, np.int32), np.array(nodes, np.uint32), np.array(bits, np.uint8), logit, np.array(depth, np.uint8))
 
 
+class _Tails(dict):
+    """Context class of a rare word by its last two bytes (or its only one)."""
+
+    def __missing__(self, tail: bytes) -> int:
+        self[tail] = (tail[1] * 31 + tail[0] if len(tail) > 1 else tail[0]) & (SUFFIXES - 1)
+        return self[tail]
+
+
+_TAILS = _Tails()  # at most 65,792 tails
+
+
 @dataclass
 class Coder:
     vocabulary: dict[bytes, int]
@@ -119,11 +130,15 @@ class Coder:
         get = self.vocabulary.get
         sym = np.fromiter(map(get, chain(words, (END,)), repeat(-1)), np.int64, len(words) + 1)
         ctx = sym + 1
-        rare: Counter = Counter()
-        for k in np.flatnonzero(sym < 0).tolist():
-            w = words[k] if k < len(words) else END
-            rare[w] += 1
-            ctx[k] = self.escape + 2 + ((w[-1] * 31 + w[-2:-1][0] if len(w) > 1 else w[-1]) & (SUFFIXES - 1))
+        miss = np.flatnonzero(sym < 0)
+        if not len(miss):
+            return sym, ctx, Counter()
+        at = miss.tolist()
+        if at[-1] == len(words):  # the end itself may be unknown
+            words = [*words, END]
+        found = [words[k] for k in at]
+        rare = Counter(found)
+        ctx[miss] = self.escape + 2 + np.fromiter(map(_TAILS.__getitem__, [w[-2:] for w in found]), np.int64, len(found))
         sym[sym < 0] = self.escape
         return sym, ctx, rare
 
@@ -133,11 +148,16 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
 
 
-def context_hashes(ctx: np.ndarray) -> np.ndarray:
-    """ORDERS x tokens: hashes of the contexts before each token of one text."""
-    c = ctx.astype(np.uint32)
-    one = np.r_[np.uint32(0), c[:-1]] if len(c) else c
-    two = np.r_[np.uint32(0), one[:-1]] if len(c) else c
+def context_hashes(*ctx: np.ndarray) -> np.ndarray:
+    """ORDERS x tokens: hashes of the contexts before each token of the texts, one after the other."""
+    c = np.concatenate(ctx).astype(np.uint32) if ctx else np.zeros(0, np.uint32)
+    size = np.array([len(x) for x in ctx if len(x)], int)
+    starts = np.cumsum(size) - size
+    one, two = np.zeros_like(c), np.zeros_like(c)
+    one[1:] = c[:-1]
+    one[starts] = 0  # nothing stands before a text
+    two[1:] = one[:-1]
+    two[starts] = 0
     return np.stack([_spread(one * np.uint32(0x9E3779B1) + np.uint32(1)),
                      _spread(one * np.uint32(0x9E3779B1) + two * np.uint32(0x85EBCA6B) + np.uint32(2)),
                      _spread(two * np.uint32(0xC2B2AE35) + np.uint32(3))])
@@ -166,9 +186,9 @@ def slots(hashes: np.ndarray, node: np.ndarray) -> np.ndarray:
     return (hashes * np.uint32(SPREAD) + node * np.uint32(NODE * SPREAD & 0xFFFFFFFF)) >> np.uint32(32 - BITS)
 
 
-def token_hashes(ctx: np.ndarray) -> np.ndarray:
+def token_hashes(*ctx: np.ndarray) -> np.ndarray:
     """``context_hashes``, multiplied for ``slots``."""
-    return context_hashes(ctx) * np.uint32(SPREAD)
+    return context_hashes(*ctx) * np.uint32(SPREAD)
 
 
 def _count_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,12 +231,8 @@ def _train(shared):
         flat = table.reshape(ORDERS, -1)
         for b in batches:
             for part in runs([t if isinstance(t, str) else "" for t in b["text"]], limit=400_000):
-                sy, hs = [], []
-                for t in part:
-                    sym, ctx, _ = coder.symbols(words_of(t))
-                    sy.append(sym)
-                    hs.append(token_hashes(ctx))
-                sym, h = np.concatenate(sy), np.concatenate(hs, axis=1)
+                coded = [coder.symbols(words_of(t)) for t in part]
+                sym, h = np.concatenate([c[0] for c in coded]), token_hashes(*[c[1] for c in coded])
                 for k in range(0, len(sym), SLICE):
                     token, at = expand(tree, sym[k:k + SLICE])
                     node, bit = _take(tree.place_hash, at), _take(tree.bits, at).astype(np.int64)
@@ -275,7 +291,8 @@ class Mixer:
         w = np.asfortranarray(np.repeat(self.weights[None].astype(np.float32), n, axis=0).reshape(-1, 4))
         drift, seen = np.zeros(n * SETS * LEVELS, np.float32), np.full(n * SETS * LEVELS, 40.0, np.float32)
         cost = np.zeros(n)
-        hashes = [token_hashes(c) for _, c in texts]
+        every, upto = token_hashes(*[c for _, c in texts]), np.cumsum([0, *(len(c) for _, c in texts)])
+        hashes = [every[:, a:z] for a, z in zip(upto, upto[1:])]
         starts = [_blocks(len(s)) for s, _ in texts]
         steps = max((len(s) for s in starts), default=0)
         for step in range(0, steps):
