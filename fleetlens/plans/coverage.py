@@ -44,19 +44,23 @@ _ITEMS = [{
 
 
 def presentations(spark: SS, d: str) -> DataFrame:
-    """Production presentations, nested: presentationId, placeholders array<struct<..., items array<struct>>>."""
+    """Production presentations, nested: presentationId, placeholders array<struct<..., items array<struct>>>.
+
+    The binding has 997 presentations (1,993 with negative keys) however many orders there are, so their
+    current versions are broadcast, and only the lines of these are nested and shuffled.
+    """
     def item(rules: dict[str, str]):
         days = F.expr(f"sequence(1, {rules['recurrenceDays']})").alias("recurrenceDaysOfWeek")
         return F.struct(*[F.expr(v).alias(n) for n, v in rules.items() if n != "recurrenceDays"], days)
     o = tbl(spark, d, "orders", "o_orderkey", "o_orderpriority").withColumn("presentationId", F.col("o_orderkey") % 997)
-    live = current(o, "presentationId", "o_orderkey", F.col("o_orderpriority") != "5-LOW")
+    live = current(o, "presentationId", "o_orderkey", F.col("o_orderpriority") != "5-LOW").select("o_orderkey", "presentationId")
     li = tbl(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate")
     placeholder = F.struct(F.col("l_linenumber").alias("id"), *[F.expr(v).alias(n) for n, v in _LINE.items()],
                            F.array(*[item(i) for i in _ITEMS]).alias("items"))
-    x = J.semi(li.select("l_orderkey", placeholder.alias("p")), live.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
-    nested = x.groupBy("l_orderkey").agg(F.collect_list("p").alias("placeholders"))  # <= 7 lines per order
-    return live.join(nested, F.col("o_orderkey") == F.col("l_orderkey")).select("presentationId", "placeholders")
+    x = li.join(F.broadcast(live), F.col("l_orderkey") == F.col("o_orderkey")).select("presentationId", "l_orderkey", placeholder.alias("p"))
+    nested = x.groupBy("presentationId", "l_orderkey").agg(F.collect_list("p").alias("placeholders"))  # <= 7 lines per order
+    return nested.select("presentationId", "placeholders")
 
 
 def _items_sql() -> str:
