@@ -200,7 +200,7 @@ def r84b(spark: SS, d: str) -> DataFrame:
     Company-wide presentations meet the displays that had an incident, never all displays of a company.
     """
     bad = content_gaps(widget_coverage(presentations(spark, d), SCHEDULE_DAY)).select(F.col("presentationId").cast("string").alias("presentationId"))
-    on = J.semi(r108(spark, d), bad, "presentationId")
+    on = r108(spark, d, bad)
     u = uptime_samples(ev(spark, d)).where("showingContent = 1 and connectedToMS = 1 and whitescreenDetected = 1")
     seg = segment(spark, d).where(F.col("c_acctbal") >= 0).select(F.col("c_custkey").alias("user_id"), "c_name", F.col("c_nationkey").cast("long").alias("of"))
     hit = u.groupBy("user_id").agg(F.sum("w").alias("incidentCount")).join(seg, "user_id")

@@ -242,14 +242,20 @@ def displays(spark: SS, d: str) -> DataFrame:
     return tbl(spark, d, "customer", F.col("c_custkey").alias("displayId"), F.col("c_nationkey").alias("companyId"))
 
 
-def scheduled_presentations(spark: SS, d: str) -> DataFrame:
-    """Presentation items of the schedules, from the items as they come (one row each): they are not nested first."""
+def scheduled_presentations(spark: SS, d: str, only: DataFrame | None = None) -> DataFrame:
+    """Presentation items of the schedules, from the items as they come (one row each): they are not nested first.
+
+    ``only``: a small relation of presentationId; other items are left out before they meet their schedules.
+    """
     o = tbl(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     li = tbl(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    x = li.where((F.col("l_returnflag") == "N") & F.col("l_partkey").isNotNull()).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    x = x.join(displays(spark, d), F.col("o_custkey") == F.col("displayId"))
+    items = li.where((F.col("l_returnflag") == "N") & F.col("l_partkey").isNotNull()).withColumn(
+        "presentationId", F.col("l_partkey").cast("string"))
+    if only is not None:
+        items = J.semi(items, F.broadcast(only), "presentationId")
+    x = items.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(displays(spark, d), F.col("o_custkey") == F.col("displayId"))
     s_all, ci_all = F.col("o_orderpriority") == "1-URGENT", F.col("l_linestatus") == "O"
-    return x.select(F.col("o_orderkey").alias("scheduleId"), "companyId", F.col("l_partkey").cast("string").alias("presentationId"),
+    return x.select(F.col("o_orderkey").alias("scheduleId"), "companyId", "presentationId",
                     (s_all & ci_all).alias("distributeToAll"),
                     F.concat(C.concat_if_not(s_all, F.array("o_custkey")), C.concat_if_not(ci_all, F.array("l_suppkey"))).alias("distribution"))
 
@@ -265,11 +271,13 @@ SCHED_SQL = """(select o.o_orderkey as scheduleId, c.c_nationkey as companyId, c
 select distinct presentationId, unnest(distribution) as displayId, null::bigint as companyId from {SCHED_SQL}
  where distributeToAll = false and len(distribution) > 0
 union all select distinct presentationId, null::bigint, companyId from {SCHED_SQL} where distributeToAll = true""")
-def r108(spark: SS, d: str) -> DataFrame:
+def r108(spark: SS, d: str, only: DataFrame | None = None) -> DataFrame:
     """(presentation, display) for explicit distributions; for "distribute to all"
     one (presentation, company) row standing for every display of the company
-    (expanding it is a join with the display list; it is not materialised here)."""
-    p = scheduled_presentations(spark, d)
+    (expanding it is a join with the display list; it is not materialised here).
+
+    ``only``: as for ``scheduled_presentations``."""
+    p = scheduled_presentations(spark, d, only)
     # one pass: explicit rows explode their distribution; company-wide rows explode
     # a single NULL display (no second scan of the schedules for a union branch)
     to_all = F.col("distributeToAll")

@@ -1,11 +1,13 @@
-"""Jobs on widget schedules shuffle the lines of current presentations only (R109d/e)."""
+"""Jobs on widget schedules shuffle the lines of current presentations only (R84b, R109d/e, R110b)."""
 
 import datetime as dt
 
 import pytest
 
+from fleetlens.operators import joins as J
 from fleetlens.plans.coverage import presentations
 from fleetlens.plans.registry import QUERIES, load_all
+from fleetlens.plans.reports_companies import r108
 
 load_all()
 LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, "
@@ -49,3 +51,18 @@ def test_only_lines_of_current_presentations_are_nested(spark, tables, large):
 @pytest.mark.parametrize("name", ["R109d_no_content_by_widget_schedule", "R109e_content_gaps_by_widget_schedule"])
 def test_lines_are_not_shuffled_to_be_joined(spark, sf_dir, large, name):
     assert "SortMergeJoin" not in plan(QUERIES[name](spark, sf_dir))
+
+
+def test_items_are_chosen_before_they_meet_their_schedules(spark, tables, large):
+    only = spark.createDataFrame([("1",), ("3",), ("3",), (None,)], "presentationId string")
+    df = r108(spark, tables, only)
+    assert "BroadcastHashJoin [presentationId" in plan(df)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    want = J.semi(r108(spark, tables), only, "presentationId").select(*df.columns)
+    got = sorted(map(tuple, df.collect()), key=key)
+    assert got == sorted(map(tuple, want.collect()), key=key) and {r[0] for r in got} == {"1", "3"}
+
+
+@pytest.mark.parametrize("name", ["R84b_white_screens_by_widget_gaps"])
+def test_presentations_with_gaps_choose_the_items(spark, sf_dir, large, name):
+    assert "BroadcastHashJoin [presentationId" in plan(QUERIES[name](spark, sf_dir))
