@@ -103,7 +103,7 @@ def r110b(spark: SS, d: str) -> DataFrame:
     """Displays that show such a presentation: one pass over the presentations gives both kinds."""
     c = widget_coverage(presentations(spark, d), DAY)
     bad = c.where(F.col("has_items") & ~F.col("covered")).select(F.col("presentationId").cast("string").alias("presentationId"))
-    r = J.semi(r108(spark, d), bad, "presentationId")
+    r = r108(spark, d, bad)
     explicit = r.where(F.col("displayId").isNotNull()).select("displayId")
     companies = r.where(F.col("companyId").isNotNull()).select("companyId")
     return explicit.union(J.semi(displays(spark, d), companies, "companyId").select("displayId")).distinct()

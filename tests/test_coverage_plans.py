@@ -63,6 +63,6 @@ def test_items_are_chosen_before_they_meet_their_schedules(spark, tables, large)
     assert got == sorted(map(tuple, want.collect()), key=key) and {r[0] for r in got} == {"1", "3"}
 
 
-@pytest.mark.parametrize("name", ["R84b_white_screens_by_widget_gaps"])
+@pytest.mark.parametrize("name", ["R84b_white_screens_by_widget_gaps", "R110b_white_screen_by_widget_schedule"])
 def test_presentations_with_gaps_choose_the_items(spark, sf_dir, large, name):
     assert "BroadcastHashJoin [presentationId" in plan(QUERIES[name](spark, sf_dir))
