@@ -69,10 +69,12 @@ class Tree:
     depth: np.ndarray  # per place in nodes: 0 for the first bit of a symbol, 1, then 2
     place_logit: np.ndarray = None  # logit of each place's node
     place_hash: np.ndarray = None  # what each place's node adds to a context's hash, see ``slots``
+    place_bit: np.ndarray = None  # ``bits`` as numbers that are calculated with
 
     def __post_init__(self):
         self.place_logit = self.logit.take(self.nodes) if len(self.nodes) else np.zeros(0, np.float32)
         self.place_hash = self.nodes * np.uint32(NODE * SPREAD & 0xFFFFFFFF)
+        self.place_bit = self.bits.astype(np.float32)
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -170,11 +172,12 @@ def _take(values: np.ndarray, at: np.ndarray, out: np.ndarray | None = None) ->
 
 def expand(tree: Tree, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(token, place in the tree arrays) of every bit."""
-    first = _take(tree.at, sym)
+    first = _take(tree.at, sym).astype(np.intp)  # indices of numpy's own type, which every take would make of others
     n = _take(tree.at, sym + 1) - first
-    ends = np.cumsum(n, dtype=np.int32)
-    token = np.repeat(np.arange(len(sym), dtype=np.int32), n)
-    return token, np.arange(len(token), dtype=np.int32) + _take(first - ends + n, token)
+    token = np.repeat(np.arange(len(sym)), n)
+    at = np.repeat(first - np.cumsum(n) + n, n)
+    at += np.arange(len(at))
+    return token, at
 
 
 def slots(hashes: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -300,7 +303,7 @@ class Mixer:
             cuts = [(starts[k][step], starts[k][step + 1] if step + 1 < len(starts[k]) else len(texts[k][0])) for k in live]
             sym = np.concatenate([texts[k][0][a:z] for k, (a, z) in zip(live, cuts)])
             h = np.concatenate([hashes[k][:, a:z] for k, (a, z) in zip(live, cuts)], axis=1)
-            doc = np.repeat(np.array(live, np.int32), [z - a for a, z in cuts])
+            doc = np.repeat(np.array(live, np.intp), [z - a for a, z in cuts])
             self._step(sym, h, doc, w, drift, seen, cost)
         return cost, w.reshape(n, SETS, 4)
 
@@ -309,28 +312,46 @@ class Mixer:
         token, at = expand(tree, sym)
         if not len(token):
             return
-        node, bit = _take(tree.place_hash, at), _take(tree.bits, at).astype(np.float32)
+        node, bit = _take(tree.place_hash, at), _take(tree.place_bit, at)
         x = np.empty((4, len(token)), np.float32)
         _take(tree.place_logit, at, out=x[0])
         for o in range(ORDERS):
             where = _take(h[o], token)
             where += node
             where >>= SHIFT
-            np.multiply(self.tables[o].take(where), np.float32(1 / UNIT), out=x[o + 1])
+            np.multiply(_take(self.tables[o], where), np.float32(1 / UNIT), out=x[o + 1])
         sure = np.abs(x[2])
-        d = _take(doc, token)
-        gate = (d * SETS + _take(tree.depth, at) * 3 + (sure > 0.05) + (sure > 2.0)).astype(np.int64)
-        z = _take(w[:, 0], gate) * x[0]
+        gate = _take(doc * SETS, token)
+        gate += _take(tree.depth, at) * np.uint8(3)
+        gate += sure > 0.05
+        gate += sure > 2.0
+        z, part = _take(w[:, 0], gate), sure  # from here on ``part`` is scratch
+        z *= x[0]
         for i in range(1, 4):
-            z += _take(w[:, i], gate) * x[i]
-        p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
-        cell = gate * LEVELS + np.clip(z + 4, 0, LEVELS - 1).astype(np.int64)
+            _take(w[:, i], gate, out=part)
+            part *= x[i]
+            z += part
+        level = z + 4
+        np.clip(level, 0, LEVELS - 1, out=level)
+        cell = gate * LEVELS
+        cell += level.astype(np.intp)
+        p = np.clip(z, -12, 12, out=z)
+        np.exp(np.negative(p, out=p), out=p)
+        p += 1
+        np.divide(1, p, out=p)
         err = bit - p
-        refined = np.clip(p + np.float32(0.7) * _take(drift / seen, cell), np.float32(1 / 8192), np.float32(1 - 1 / 8192))
-        starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])  # a text's bits lie together
-        cost[d[starts]] -= np.add.reduceat(np.log(np.abs(1 - bit - refined)), starts, dtype=np.float64) / np.log(2.0)
+        refined = _take(drift / seen, cell, out=part)
+        refined *= np.float32(0.7)
+        refined += p
+        np.clip(refined, np.float32(1 / 8192), np.float32(1 - 1 / 8192), out=refined)
+        miss = np.subtract(1, bit, out=bit)
+        miss -= refined
+        np.log(np.abs(miss, out=miss), out=miss)
+        first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])  # a text's tokens, and so its bits, lie together
+        cost[doc[first]] -= np.add.reduceat(miss, np.searchsorted(token, first), dtype=np.float64) / np.log(2.0)
         for i in range(4):
-            w[:, i] += RATE * np.bincount(gate, weights=err * x[i], minlength=len(w)).astype(np.float32)
+            np.multiply(err, x[i], out=part)
+            w[:, i] += RATE * np.bincount(gate, weights=part, minlength=len(w)).astype(np.float32)
         drift += np.bincount(cell, weights=err, minlength=len(drift)).astype(np.float32)
         seen += np.bincount(cell, minlength=len(seen)).astype(np.float32)
 
@@ -384,7 +405,7 @@ def _score(shared, kind: str):
             for part in runs([t if isinstance(t, str) else "" for t in texts], limit=2_000_000):
                 coded = [(words_of(t), len(t.encode("utf-8", "surrogatepass"))) for t in part]
                 coded = [(*coder.symbols(w), size) for w, size in coded]
-                rows, more = [], []
+                rows, more = [], []  # of texts; rare tokens of each, in the same order
                 for r in _bundles([len(c[0]) for c in coded]):
                     cost, _ = m.bits([coded[k][:2] for k in r])
                     for k, bits in zip(r, cost):
@@ -393,20 +414,37 @@ def _score(shared, kind: str):
                         i = at + k
                         rows.append((rid, ids[i], held[i], b" %d" % rid, 0, len(sym), int(known[sym].sum()),
                                      float(per_symbol[sym].sum()), float(bits), size))
-                        more += [(rid, w, n) for w, n in rare.items()]
+                        more.append(rare)
                 at += len(part)
-                names = ["rid", "doc_id", "held_out", "token", "n", "n_tokens", "known", "base", "bits", "bytes"]
-                out = pd.DataFrame(rows, columns=names)
-                if more:
-                    rest = pd.DataFrame(more, columns=["rid", "token", "n"])
-                    out = pd.concat([out.astype({"doc_id": object, "held_out": object}), rest.reindex(columns=names)],
-                                    ignore_index=True)
-                for c in ("n_tokens", "known", "bytes"):
-                    out[c] = out[c].astype("Int64")
-                yield out
+                yield _stats(rows, more)
     return run
 
 
+def _stats(rows: list[tuple], more: list[Counter]) -> pd.DataFrame:
+    """A row of ``STATS`` for each text and then for each of its rare tokens, which has only rid, token and n."""
+    if not rows:
+        return pd.DataFrame(columns=["rid", "doc_id", "held_out", "token", "n", "n_tokens", "known", "base", "bits", "bytes"])
+    rid, doc_id, held, token, n, n_tokens, known, base, bits, size = zip(*rows)
+    kinds = np.array([len(c) for c in more], int)
+    none = int(kinds.sum())
+    rid = np.array(rid, np.int64)
+    absent = np.arange(len(rows) + none) >= len(rows)
+
+    def plain(x: tuple) -> pd.Series:
+        return pd.Series([*x, *repeat(None, none)], dtype=object)
+
+    def whole(x: tuple) -> pd.arrays.IntegerArray:
+        return pd.arrays.IntegerArray(np.concatenate([np.array(x, np.int64), np.zeros(none, np.int64)]), absent.copy())
+
+    def real(x: tuple) -> np.ndarray:
+        return np.concatenate([np.array(x, float), np.full(none, np.nan)])
+    return pd.DataFrame({
+        "rid": np.concatenate([rid, np.repeat(rid, kinds)]), "doc_id": plain(doc_id), "held_out": plain(held),
+        "token": pd.Series([*token, *chain.from_iterable(more)], dtype=object),
+        "n": np.fromiter(chain(n, chain.from_iterable(c.values() for c in more)), np.int64, len(rows) + none),
+        "n_tokens": whole(n_tokens), "known": whole(known), "base": real(base), "bits": real(bits), "bytes": whole(size)})
+
+
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", vocabulary: int = VOCAB) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of ``docs``.
 

@@ -86,3 +86,23 @@ def test_frequent_tokens_are_bounded(spark):
     df = ready(spark).createDataFrame([(b"w%d" % k, 1 + k % 50) for k in range(2000)] + [(lm.END, 3)], "token binary, c long")
     top = lm.frequent(df, 300)
     assert len(top) <= 300 and dict(top)[lm.END] == 3 and min(c for t, c in top if t != lm.END) > 40
+
+
+def test_rows_of_rare_tokens_follow_their_texts_and_keep_large_ids():
+    """Columns are laid out without passing through doubles or a row for each token."""
+    big = 2**63 - 1
+    rare = [collections.Counter({b"x": 2, b"y": 1}), collections.Counter()]
+    out = lm._stats([(7, big, True, b" 7", 0, 4, 1, -2.5, 9.0, 11), (8, None, False, b" 8", 0, 1, 1, -0.5, 3.0, 0)], rare)
+    assert out["rid"].tolist() == [7, 8, 7, 7] and out["doc_id"].tolist() == [big, None, None, None]
+    assert list(zip(out["token"], out["n"])) == [(b" 7", 0), (b" 8", 0), (b"x", 2), (b"y", 1)]
+    assert str(out["n_tokens"].dtype) == "Int64" and out["n_tokens"].isna().tolist() == [False, False, True, True]
+    assert out["bytes"].tolist()[:2] == [11, 0] and out["base"].isna().sum() == 2 and len(lm._stats([], [])) == 0
+
+
+def test_places_are_indices_of_numpys_own_type():
+    """Others would be converted anew by each of the takes that read with them."""
+    tree = lm.huffman(np.array([50, 1, 1, 7, 20, 0, 3]))
+    sym = np.array([6, 0, 3, 3])
+    token, at = lm.expand(tree, sym)
+    assert token.dtype == at.dtype == np.intp
+    assert list(zip(token.tolist(), at.tolist())) == [(k, p) for k, s in enumerate(sym) for p in range(tree.at[s], tree.at[s + 1])]
